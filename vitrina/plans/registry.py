@@ -239,3 +239,98 @@ QUERIES: dict[str, Query] = {
     "weekly_dedup": q_weekly_dedup,
     "guarded_ratio": q_guarded_ratio,
 }
+
+
+# ---- data movement -----------------------------------------------------------------------
+
+RELOAD_TABLES = ["region", "nation", "supplier", "customer", "part", "orders", "lineitem"]
+
+
+def q_full_reload_copy(spark, d):
+    """Config-driven reload of the driver tables into a staging schema; the
+    ``orders`` target pre-exists with one more column (filled with NULL)."""
+    from pyspark.sql.types import StringType, StructField, StructType
+    from vitrina.operators.sinks import create_empty
+    from vitrina.plans.load import ParquetTables, run_full_reload
+    from vitrina.session import scratch_path
+    from vitrina.sources.tables import read_table
+    root = scratch_path(spark, "reload")
+    sources = ParquetTables(spark, {("stage_db", "tpch"): d}, suffix=".parquet")
+    targets = ParquetTables(spark, {("stage_db", "stg_tpch"): f"{root}/stg_tpch",
+                                    ("stage_db", "stg_other"): f"{root}/stg_other"})
+    ddl = StructType(read_table(spark, d, "orders").schema.fields
+                     + [StructField("load_note", StringType())])
+    create_empty(spark, targets.path("stage_db", "stg_tpch", "orders"), ddl)
+    run_full_reload(spark, fx.reload_config(spark, RELOAD_TABLES), "tpch", sources, targets)
+    return targets.read("stage_db", "stg_tpch", "orders")
+
+
+def q_tabular_reload(spark, d):
+    """A sheet (header CSV of ``customer``) loaded into a table with declared types."""
+    from vitrina.operators.sinks import create_empty
+    from vitrina.plans.load import tabular_reload
+    from vitrina.session import scratch_path
+    from vitrina.sources.tables import read_table
+    root = scratch_path(spark, "sheet")
+    cust = read_table(spark, d, "customer")
+    cust.write.option("header", True).csv(f"{root}/config.csv")
+    create_empty(spark, f"{root}/target", cust.schema)
+    return tabular_reload(spark, f"{root}/config.csv", f"{root}/target")
+
+
+def _load_marts(spark, d, months=None):
+    from vitrina.plans.load import load_payment_months
+    from vitrina.session import scratch_path
+    root = scratch_path(spark, "marts")
+    short, full = f"{root}/tiktok_payment_short", f"{root}/tiktok_payment_full"
+    load_payment_months(spark, *_payment_inputs(spark, d), short, full, months)
+    return short, full
+
+
+def _mart_schema(df):
+    from pyspark.sql.types import StructType
+    from vitrina.plans.load import MONTH_COL, to_mart
+    m = to_mart(df).schema
+    return StructType([f for f in m.fields if f.name != MONTH_COL]
+                      + [f for f in m.fields if f.name == MONTH_COL])
+
+
+def q_replace_slice(spark, d):
+    """Backfill every month, then re-run one month: the mart must equal the
+    all-month summary (the re-run replaced its slice, nothing doubled)."""
+    from vitrina.plans.load import load_payment_months
+    short, full = _load_marts(spark, d)
+    load_payment_months(spark, *_payment_inputs(spark, d), short, full, [TEST_MONTH])
+    schema = _mart_schema(payment.payment_summary(*_payment_inputs(spark, d)))
+    return spark.read.schema(schema).parquet(short)
+
+
+def q_export_detail(spark, d):
+    """Export of the detail mart, one folder per month and blogger, read back."""
+    from vitrina.plans.export import export_month, read_sheets
+    from vitrina.plans.load import BLOGGER_COL, MONTH_COL
+    from vitrina.session import scratch_path
+    short, full = _load_marts(spark, d)
+    paths = export_month(spark, short, full, scratch_path(spark, "export"), None)
+    m = _mart_schema(payment.payment_detail(*_payment_inputs(spark, d)))
+    from pyspark.sql.types import StructType
+    schema = StructType([f for f in m.fields if f.name not in (MONTH_COL, BLOGGER_COL)]
+                        + [f for f in m.fields if f.name in (MONTH_COL, BLOGGER_COL)])
+    return read_sheets(spark, paths["detail"], schema)
+
+
+def q_column_widths(spark, d):
+    """Display width of every column of every (month, blogger) detail sheet."""
+    from vitrina.plans.export import sheet_widths
+    from vitrina.plans.load import BLOGGER_COL, MONTH_COL, to_mart
+    detail = to_mart(payment.payment_detail(*_payment_inputs(spark, d)))
+    return sheet_widths(detail, [MONTH_COL, BLOGGER_COL])
+
+
+QUERIES.update({
+    "full_reload_copy": q_full_reload_copy,
+    "tabular_reload": q_tabular_reload,
+    "replace_slice": q_replace_slice,
+    "export_detail": q_export_detail,
+    "column_widths": q_column_widths,
+})
