@@ -21,9 +21,11 @@ single-month run (month is part of every join key), so the result is the
 union of all monthly runs, i.e. what the mart holds after loading each month.
 
 Plan shape.  The fan-out join (posts x accounts) is never materialised for
-the summaries: both sides are aggregated first and the join multiplies the
-aggregates (sum over pairs = per-post sum x number of partner rows).  All
-shuffles then carry partial aggregates, so a blogger holding a third of all
+the summaries: the posts are scanned once and aggregated, and the join
+multiplies aggregates (sum over pairs = per-post sum x number of partner
+rows).  Premium brackets are looked up as non-overlapping intervals (match
+count + sums), so overlapping brackets are counted without repeating rows.
+All shuffles carry partial aggregates, so a blogger holding a third of all
 posts costs no skew.  The roster and the bracket sheets are broadcast behind
 a size check; the fact table is never shuffled for a lookup.
 """
@@ -35,6 +37,7 @@ from pyspark.sql import functions as F
 
 from vitrina.functions.text import int_from_text, strip_word
 from vitrina.operators.aggs import capped_count, count_if
+from vitrina.operators.brackets import elementary_intervals, interval_lookup
 from vitrina.operators.broadcast import BRACKET_MAX_ROWS, checked_broadcast
 from vitrina.operators.joins import bracket_join, name_key_join, person_keys
 
@@ -76,6 +79,9 @@ class Brackets:
         self.price, self.price_bc = checked_broadcast(
             price.select("grade", "currency", "start_count", "end_count", "price"),
             BRACKET_MAX_ROWS)
+        # premium sheet as non-overlapping intervals (match count + premium sums)
+        self.kpi_iv = elementary_intervals(self.kpi, "start_reach", "end_reach",
+                                           ["tiktok", "likee"])
 
     def premium(self, df: DataFrame, measure: str, column: str, out: str) -> DataFrame:
         return bracket_join(df, self.kpi, measure, "start_reach", "end_reach", {column: out},
@@ -85,6 +91,19 @@ class Brackets:
         return bracket_join(df, self.price, count, "start_count", "end_count", {"price": out},
                             broadcast=self.price_bc, coalesce=False)
 
+    def post_premium_sums(self, stats: DataFrame) -> DataFrame:
+        """Per post, without repeating it: k1/s1 = tiktok brackets matched and
+        their premium sum, k2/s2 the same for likee.  The SQL's per-post rows
+        number max(k1,1)*max(k2,1); their tiktok premiums sum to
+        max(k2,1)*s1 and their likee premiums to max(k1,1)*s2."""
+        x = interval_lookup(stats, self.kpi_iv, "tiktok_reach", {"tiktok": "_s1"}, "_k1",
+                            broadcast=self.kpi_bc)
+        x = interval_lookup(x, self.kpi_iv, "likee_reach", {"likee": "_s2"}, "_k2",
+                            broadcast=self.kpi_bc)
+        k1, k2 = F.greatest(F.col("_k1"), F.lit(1)), F.greatest(F.col("_k2"), F.lit(1))
+        return x.select(*stats.columns, (k1 * k2).alias("_rows"),
+                        (k2 * F.col("_s1")).alias("_tiktok"), (k1 * F.col("_s2")).alias("_likee"))
+
 
 def month_slice(posts: DataFrame, month: str | None) -> DataFrame:
     """Equality filter on the report month (pushed into the scan)."""
@@ -157,23 +176,32 @@ def payment_summary(posts: DataFrame, roster: DataFrame, kpi: DataFrame, price:
                     month: str | None = None) -> DataFrame:
     """Q1: one row per blogger, grade, currency, month and account.
 
-    Equals grouping the fan-out rows by (person, post grade, post currency,
-    account counts, month, account) with SUM(price), SUM/SUM of the post
-    premiums and MAX/MAX of the account premiums, computed from two
-    aggregates:
-        T: per (person, grade, currency, month): n posts, sum of premiums
-        V: per (person, month, account, counts): sum of price, n rows, max premiums
-    joined on (person, month): SUM(price) = n_posts * sum_price and
-    SUM(post premium) = premium_sum * n_rows.
+    Equals grouping the fan-out rows (per-post rows x account rows of the same
+    person and month) by (person, post grade, post currency, account counts,
+    month, account) with SUM(price), SUM of the post premiums and MAX of the
+    account premiums.  Computed without the fan-out, from one scan:
+        G: per (person, grade, currency, month, account): link count, reach
+           totals, number of per-post rows and their premium sums;
+        T: G rolled up over the account;  V: G's counts priced per account;
+    joined on (person, month): SUM(price) = post rows x price sum and
+    SUM(post premium) = premium sum x account rows.
     """
     br = Brackets(kpi, price)
     stats = payment_stats(posts, roster, month)
-    t = (post_premiums(stats, br)
-         .groupBy(*PERSON, "grade", "currency", MONTH)
-         .agg(F.count(F.lit(1)).alias("_n_posts"),
-              F.sum("tiktok_premium").alias("_tiktok"),
-              F.sum("likee_premium").alias("_likee")))
-    v = (account_prices(account_totals(stats), br)
+    link = F.col("tiktok_video_link")
+    g = (br.post_premium_sums(stats)
+         .groupBy(*PERSON, "grade", "currency", MONTH, "account_name")
+         .agg(count_if(link.isNotNull() & (link != "")).alias("video_count"),
+              F.sum("instagram_reach").alias("instagram_count"),
+              F.sum("youtube_reach").alias("youtube_count"),
+              F.sum("_rows").alias("_rows"), F.sum("_tiktok").alias("_tiktok"),
+              F.sum("_likee").alias("_likee")))
+    t = (g.groupBy(*PERSON, "grade", "currency", MONTH)
+          .agg(F.sum("_rows").alias("_n_posts"), F.sum("_tiktok").alias("_tiktok"),
+               F.sum("_likee").alias("_likee")))
+    totals = g.select(*PERSON, "grade", "currency", MONTH, "account_name", "video_count",
+                      "instagram_count", "youtube_count")
+    v = (account_prices(totals, br)
          .groupBy(*PERSON, MONTH, "account_name", "video_count", "instagram_count", "youtube_count")
          .agg(F.sum("price").alias("_price"),
               F.count(F.lit(1)).alias("_n_rows"),
@@ -193,30 +221,47 @@ def payment_summary(posts: DataFrame, roster: DataFrame, kpi: DataFrame, price:
     return out.withColumn("sum_count", total)
 
 
+def _link_aggs(link):
+    return (count_if(link.startswith(LINK_PREFIX)), count_if(F.lower(link) == SPECIAL_LOCATION))
+
+
 def link_counts(stats: DataFrame, cap: int = DEFAULT_CAP) -> DataFrame:
     """v2 counts per person, grade, currency, month: real links (``http`` prefix),
     special-location links, paid links (capped: above ``cap`` it is cap + special)."""
-    link = F.col("tiktok_video_link")
-    real = count_if(link.startswith(LINK_PREFIX))
-    special = count_if(F.lower(link) == SPECIAL_LOCATION)
-    return stats.groupBy(*PERSON, "grade", "currency", MONTH).agg(
-        real.alias("real_tiktok_link_count"),
-        capped_count(real, special, cap).alias("payment_tiktok_link_count"),
-        special.alias("dubai_count"),
+    real, special = _link_aggs(F.col("tiktok_video_link"))
+    g = stats.groupBy(*PERSON, "grade", "currency", MONTH).agg(
+        real.alias("real_tiktok_link_count"), special.alias("dubai_count"),
         F.sum("instagram_reach").alias("instagram_count"),
         F.sum("youtube_reach").alias("youtube_count"))
+    return capped(g, cap)
+
+
+def capped(counts: DataFrame, cap: int) -> DataFrame:
+    return counts.select(
+        *PERSON, "grade", "currency", MONTH, "real_tiktok_link_count",
+        capped_count(F.col("real_tiktok_link_count"), F.col("dubai_count"), cap)
+        .alias("payment_tiktok_link_count"),
+        "dubai_count", "instagram_count", "youtube_count")
 
 
 def payment_summary_v2(posts: DataFrame, roster: DataFrame, kpi: DataFrame, price: DataFrame,
                        month: str | None = None, cap: int = DEFAULT_CAP) -> DataFrame:
     """Q3: per blogger and month, with the link cap, the special-location bonus
-    and the staff / contract label.  Same two-aggregate plan as Q1."""
+    and the staff / contract label.  Same one-scan plan as Q1: G3 at
+    (person, grade, currency, month, staff flag, contract) gives both the
+    premium sums and, rolled up, the link counts."""
     br = Brackets(kpi, price)
     stats = payment_stats(posts, roster, month)
-    t = (post_premiums(stats, br)
+    real, special = _link_aggs(F.col("tiktok_video_link"))
+    g = (br.post_premium_sums(stats)
          .groupBy(*PERSON, "grade", "currency", MONTH, "is_state", "contract")
-         .agg(F.sum("tiktok_premium").alias("_tiktok"), F.sum("likee_premium").alias("_likee")))
-    vc = link_counts(stats, cap)
+         .agg(real.alias("_real"), special.alias("_special"),
+              F.sum("instagram_reach").alias("_insta"), F.sum("youtube_reach").alias("_yt"),
+              F.sum("_tiktok").alias("_tiktok"), F.sum("_likee").alias("_likee")))
+    t = g.select(*PERSON, "grade", "currency", MONTH, "is_state", "contract", "_tiktok", "_likee")
+    vc = capped(g.groupBy(*PERSON, "grade", "currency", MONTH).agg(
+        F.sum("_real").alias("real_tiktok_link_count"), F.sum("_special").alias("dubai_count"),
+        F.sum("_insta").alias("instagram_count"), F.sum("_yt").alias("youtube_count")), cap)
     vp = br.price_for(vc, "payment_tiktok_link_count")
     vp = br.premium(vp, "instagram_count", "instagram", "instagram_premium")
     vp = br.premium(vp, "youtube_count", "youtube", "youtube_premium")

@@ -13,6 +13,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vitrina.sources.tables import read_table
 
@@ -58,7 +59,8 @@ def posts(spark: SparkSession, root: str) -> DataFrame:
     """Published videos, one row per lineitem (``lineitem`` joined to ``part``)."""
     l = read_table(spark, root, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey",
                                              "l_linenumber", "l_quantity", "l_extendedprice",
-                                             "l_returnflag", "l_linestatus", "l_shipdate"])
+                                             "l_returnflag", "l_linestatus", "l_shipdate"],
+                   spread_small=True)
     p = read_table(spark, root, "part", ["p_partkey", "p_name"])
     j = l.join(p, l.l_partkey == p.p_partkey)
     s = lambda c: c.cast("string")
@@ -96,18 +98,41 @@ def roster(spark: SparkSession, root: str) -> DataFrame:
     ).distinct()
 
 
+def _sql_literal(v, dtype) -> str:
+    if v is None:
+        return f"CAST(NULL AS {dtype.simpleString()})"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"CAST({v!r} AS {dtype.simpleString()})"
+
+
+def literal_table(spark: SparkSession, rows, ddl: str) -> DataFrame:
+    """A small fixed table as a SQL VALUES list: a local relation on the
+    driver's plan, no Python rows shipped and no job to build it."""
+    schema = StructType.fromDDL(ddl)
+    names = [f.name for f in schema.fields]
+    if not rows:
+        return spark.sql("SELECT " + ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
+                                               for f in schema.fields) + " WHERE false")
+    values = ", ".join("(" + ", ".join(_sql_literal(v, f.dataType) for v, f in zip(r, schema.fields)) + ")"
+                       for r in rows)
+    cols = ", ".join(f"CAST(`{n}` AS {f.dataType.simpleString()}) AS `{n}`" for n, f in zip(names, schema.fields))
+    return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({', '.join(f'`{n}`' for n in names)})")
+
+
 def kpi(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(KPI_ROWS, KPI_SCHEMA)
+    return literal_table(spark, KPI_ROWS, KPI_SCHEMA)
 
 
 def price(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PRICE_ROWS, PRICE_SCHEMA)
+    return literal_table(spark, PRICE_ROWS, PRICE_SCHEMA)
 
 
 def budget(spark: SparkSession, root: str) -> DataFrame:
     """Advertising-budget sheet rows (one per event) with section headers,
     a cut-off row, total rows, error cells and blank-separated numbers."""
-    e = read_table(spark, root, "events", ["event_id", "user_id", "event_type", "value"])
+    e = read_table(spark, root, "events", ["event_id", "user_id", "event_type", "value"],
+                   spread_small=True)
     eid, uid = F.col("event_id"), F.col("user_id")
     # cut-off rows sit in the last tenth of the sheet: id*10 >= 9*count
     n_rows = e.select(F.count(F.lit(1))).scalar()
@@ -138,7 +163,8 @@ def budget(spark: SparkSession, root: str) -> DataFrame:
 def profit(spark: SparkSession, root: str) -> DataFrame:
     """Daily product profit rows (``lineitem`` joined to ``part``), money as decimal(18,3)."""
     l = read_table(spark, root, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
-                                             "l_extendedprice", "l_returnflag", "l_shipdate"])
+                                             "l_extendedprice", "l_returnflag", "l_shipdate"],
+                   spread_small=True)
     p = read_table(spark, root, "part", ["p_partkey", "p_name", "p_brand", "p_size"])
     j = l.join(p, l.l_partkey == p.p_partkey)
     d3 = "decimal(18,3)"
@@ -167,4 +193,4 @@ def reload_config(spark: SparkSession, tables, schema: str = "tpch") -> DataFram
     rows = [("stage_db", schema, t, "stage_db", "stg_" + schema, t, 1) for t in tables]
     rows += [("stage_db", schema, "orders", "stage_db", "stg_" + schema, "orders_off", 0),
              ("stage_db", "other", "lineitem", "stage_db", "stg_other", "lineitem", 1)]
-    return spark.createDataFrame(rows, RELOAD_SCHEMA)
+    return literal_table(spark, rows, RELOAD_SCHEMA)

@@ -12,7 +12,24 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, root: str, name: str, columns=None) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an under-split scan over all cores.
+
+    A file written as one row group is one read task however large it is, so
+    every per-row expression above it runs on one core.  When the scan has
+    fewer input splits than the default parallelism, the rows are
+    round-robin repartitioned once (planning-time check, no job).  A big table
+    has thousands of splits and is left as is: no extra shuffle at scale.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
+def read_table(spark: SparkSession, root: str, name: str, columns=None,
+               spread_small: bool = False) -> DataFrame:
     """Read ``<root>/<name>.parquet``; ``columns`` prunes the scan (ReadSchema)."""
     df = spark.read.parquet(table_path(root, name))
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread(df) if spread_small else df
