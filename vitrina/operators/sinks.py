@@ -132,13 +132,14 @@ def _clear_partition(spark: SparkSession, path: str, schema: StructType, part_co
     """INSERT OVERWRITE ... PARTITION (month) with no rows: the slice ends empty."""
     name = "vitrina_slice_" + scratch_path(spark, "t").rsplit("/", 1)[-1]
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    data_cols = ", ".join(f"`{f.name}`" for f in schema.fields if f.name != part_col)
+    no_rows = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
+                        for f in schema.fields if f.name != part_col)
     spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet PARTITIONED BY (`{part_col}`) "
               f"LOCATION {_sql_string(path)}")
     try:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
         spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (`{part_col}` = {_sql_string(month)}) "
-                  f"SELECT {data_cols} FROM {name} WHERE false")
+                  f"SELECT {no_rows} WHERE false")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: data stays
 
