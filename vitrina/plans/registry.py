@@ -334,3 +334,24 @@ QUERIES.update({
     "export_detail": q_export_detail,
     "column_widths": q_column_widths,
 })
+
+
+def q_month_feed(spark, d):
+    """Staging rows arrive as files; the streaming feed loads their months
+    into the marts (availableNow); the summary mart is read back."""
+    from vitrina.session import scratch_path
+    from vitrina.streaming import run_month_feed
+    posts, roster, kpi, price = _payment_inputs(spark, d)
+    staging, root = scratch_path(spark, "staging"), scratch_path(spark, "feed")
+    posts.write.parquet(staging)
+    short, full = f"{root}/tiktok_payment_short", f"{root}/tiktok_payment_full"
+    q = run_month_feed(spark, staging, spark.read.parquet(staging).schema, roster, kpi, price,
+                       short, full)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    schema = _mart_schema(payment.payment_summary(posts, roster, kpi, price))
+    return spark.read.schema(schema).parquet(short)
+
+
+QUERIES["month_feed"] = q_month_feed
