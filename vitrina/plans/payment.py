@@ -40,6 +40,7 @@ from vitrina.operators.aggs import capped_count, count_if
 from vitrina.operators.brackets import elementary_intervals, interval_lookup
 from vitrina.operators.broadcast import BRACKET_MAX_ROWS, checked_broadcast
 from vitrina.operators.joins import bracket_join, name_key_join, person_keys
+from vitrina.session import materialize
 
 # Fixed values of the payment marts.
 REPORT_WORD = "Отчет"          # stripped from account names
@@ -181,7 +182,8 @@ def payment_summary(posts: DataFrame, roster: DataFrame, kpi: DataFrame, price:
     month, account) with SUM(price), SUM of the post premiums and MAX of the
     account premiums.  Computed without the fan-out, from one scan:
         G: per (person, grade, currency, month, account): link count, reach
-           totals, number of per-post rows and their premium sums;
+           totals, number of per-post rows and their premium sums
+           (small; checkpointed, so the posts are read once for both sides);
         T: G rolled up over the account;  V: G's counts priced per account;
     joined on (person, month): SUM(price) = post rows x price sum and
     SUM(post premium) = premium sum x account rows.
@@ -189,7 +191,7 @@ def payment_summary(posts: DataFrame, roster: DataFrame, kpi: DataFrame, price:
     br = Brackets(kpi, price)
     stats = payment_stats(posts, roster, month)
     link = F.col("tiktok_video_link")
-    g = (br.post_premium_sums(stats)
+    g = materialize(br.post_premium_sums(stats)
          .groupBy(*PERSON, "grade", "currency", MONTH, "account_name")
          .agg(count_if(link.isNotNull() & (link != "")).alias("video_count"),
               F.sum("instagram_reach").alias("instagram_count"),
@@ -253,7 +255,7 @@ def payment_summary_v2(posts: DataFrame, roster: DataFrame, kpi: DataFrame, pric
     br = Brackets(kpi, price)
     stats = payment_stats(posts, roster, month)
     real, special = _link_aggs(F.col("tiktok_video_link"))
-    g = (br.post_premium_sums(stats)
+    g = materialize(br.post_premium_sums(stats)
          .groupBy(*PERSON, "grade", "currency", MONTH, "is_state", "contract")
          .agg(real.alias("_real"), special.alias("_special"),
               F.sum("instagram_reach").alias("_insta"), F.sum("youtube_reach").alias("_yt"),

@@ -55,3 +55,14 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared checkpoint folder (never machine-local)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([root, "vitrina", *parts, uuid.uuid4().hex])
+
+
+def materialize(df):
+    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+
+    For a small intermediate result read by several branches of one plan:
+    Catalyst prunes each branch differently, so the branches would not share
+    an exchange and the big input would be scanned once per branch.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DRIVER_TABLES = ("region nation customer supplier part orders lineitem events documents "
                  "embeddings pages benchmark labels conversations").split()
@@ -17,13 +18,14 @@ def spread(df: DataFrame) -> DataFrame:
 
     A file written as one row group is one read task however large it is, so
     every per-row expression above it runs on one core.  When the scan has
-    fewer input splits than the default parallelism, the rows are
-    round-robin repartitioned once (planning-time check, no job).  A big table
-    has thousands of splits and is left as is: no extra shuffle at scale.
+    fewer input splits than the default parallelism, the rows are hash
+    partitioned on all columns once (planning-time check, no job; hashing,
+    unlike round-robin, needs no sort to be deterministic on retry).  A big
+    table has thousands of splits and is left as is: no extra shuffle at scale.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
+        return df.repartition(want, *[F.col(c) for c in df.columns])
     return df
 
 
