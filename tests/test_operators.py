@@ -14,7 +14,7 @@ from vitrina.operators.broadcast import checked_broadcast
 from vitrina.operators.joins import bracket_join, not_in
 from vitrina.operators.ordered import carry_last, next_marker, section_carry
 
-HYP = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+HYP = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 BR_SCHEMA = "grade string, currency string, lo int, hi int, v int"
 

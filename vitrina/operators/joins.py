@@ -66,7 +66,8 @@ def bracket_join(left: DataFrame, brackets: DataFrame, measure: str, start: str,
     return j.select(*[F.col(c) for c in left.columns], *vals)
 
 
-def not_in(df: DataFrame, sub: DataFrame, key: str, by: Iterable[str] = ()) -> DataFrame:
+def not_in(df: DataFrame, sub: DataFrame, key: str, by: Iterable[str] = (),
+           counts: tuple[str, str] | None = None) -> DataFrame:
     """``df.key NOT IN (SELECT key FROM sub [WHERE sub.by = df.by])`` with SQL's
     three-valued logic, built from a hash anti join instead of a nested loop:
 
@@ -74,11 +75,17 @@ def not_in(df: DataFrame, sub: DataFrame, key: str, by: Iterable[str] = ()) -> D
     * a NULL key in ``df`` survives only when the subquery is empty.
 
     ``sub`` rows are (by..., key).  The anti join shuffles on (by, key), which
-    spreads evenly; the per-group flags are one row per group.
+    spreads evenly; the per-group flags are one row per group.  ``counts``
+    names columns already on ``df`` holding the group's subquery row count and
+    non-NULL key count (when the caller computed them in a pass it needs
+    anyway); otherwise they are computed from ``sub``.
     """
     by = list(by)
     keys = sub.where(F.col(key).isNotNull()).select(*by, key)
     kept = df.join(keys, [*by, key], "left_anti")
+    if counts is not None:
+        n_rows, n_keys = F.col(counts[0]), F.col(counts[1])
+        return kept.where((n_rows == 0) | ((n_rows == n_keys) & F.col(key).isNotNull()))
     if by:
         flags = sub.groupBy(*by).agg(F.count(F.lit(1)).alias("_nin_rows"),
                                      F.count(key).alias("_nin_keys"))

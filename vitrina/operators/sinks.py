@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from vitrina.session import scratch_path
+from vitrina.session import materialize, scratch_path
 
 # CSV text for NULL ('' stays an empty string), as in PostgreSQL's COPY.
 NULL_MARK = "\\N"
@@ -98,9 +98,7 @@ def _sql_string(v: str) -> str:
 def stage(spark: SparkSession, df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to a fresh folder under the shared checkpoint folder and
     read it back: computed once, lineage cut, safe against lost executors."""
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    return materialize(df, name)
 
 
 def replace_slices(spark: SparkSession, marts: Mapping[str, DataFrame], part_col: str,

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from vitrina.functions.text import MONEY, decimal_from_text, strip_blanks
 from vitrina.operators.joins import not_in
 from vitrina.operators.ordered import next_marker, section_carry
+from vitrina.session import materialize
 
 # Fixed values of the budget sheet.
 CUTOFF_LINK = "БЮДЖЕТ "
@@ -69,11 +70,26 @@ def not_in_filter(rows: DataFrame, source: DataFrame) -> DataFrame:
     return not_in(rows, totals, "id", by=[MONTH])
 
 
+def month_marks(rows: DataFrame) -> DataFrame:
+    """One pass, one row per month: first cut-off id, and the number of total
+    rows and of their non-NULL ids (the NOT IN flags)."""
+    total = F.col("reach") == TOTAL_ROW
+    return rows.groupBy(MONTH).agg(
+        F.min(F.when(F.col("social_link") == CUTOFF_LINK, F.col("id"))).alias("_cut_id"),
+        F.count(F.when(total, F.lit(1))).alias("_nin_rows"),
+        F.count(F.when(total, F.col("id"))).alias("_nin_keys"))
+
+
 def clean_budget(budget: DataFrame, month: str | None = None) -> DataFrame:
-    """Steps 1-3."""
+    """Steps 1-3.  The cut-off and the NOT IN flags come from one per-month
+    aggregate joined once (months are few: adaptive execution broadcasts it);
+    the total-row ids are removed with a hash anti join."""
     b = month_slice(budget, month)
-    kept = not_in_filter(cutoff_filter(b), b)
-    return kept.where(F.col("actual_cpm") != ERROR_CELL)
+    kept = b.join(month_marks(b), MONTH).where(F.col("id") < F.col("_cut_id"))
+    totals = b.where(F.col("reach") == TOTAL_ROW).select(MONTH, "id")
+    kept = not_in(kept, totals, "id", by=[MONTH], counts=("_nin_rows", "_nin_keys"))
+    return (kept.where(F.col("actual_cpm") != ERROR_CELL)
+                .drop("_cut_id", "_nin_rows", "_nin_keys"))
 
 
 def section_bounds(clean: DataFrame) -> DataFrame:
@@ -86,12 +102,15 @@ def carry_sections(clean: DataFrame) -> DataFrame:
     """Step 4: ``product_name`` = header text in effect at each row.
 
     Rows that can never reach the output (neither a header nor a flagged data
-    row) are dropped first, so they are never shuffled.
+    row) are dropped first, so they are never shuffled.  The remaining rows
+    are checkpointed: the carry reads them in several branches, and without it
+    each branch would redo the cleaning (several scans of the sheet).
     """
     useful = is_header() | ((F.col("is_integration") == INTEGRATION_FLAG)
                             & ~F.col("responsible_person").contains(SECTION_MARK))
-    return section_carry(clean.where(useful), "id", is_header(), "responsible_person",
-                         "product_name", by=[MONTH])
+    rows = materialize(clean.where(useful))
+    return section_carry(rows, "id", is_header(), "responsible_person", "product_name",
+                         by=[MONTH])
 
 
 def product_label(code):

@@ -57,12 +57,16 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "vitrina", *parts, uuid.uuid4().hex])
 
 
-def materialize(df):
-    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as a parquet table in the shared checkpoint folder and
+    read it back: lineage cut, computed once, survives lost executors.
 
-    For a small intermediate result read by several branches of one plan:
-    Catalyst prunes each branch differently, so the branches would not share
-    an exchange and the big input would be scanned once per branch.
+    For an intermediate result read by several branches of one plan: Catalyst
+    prunes each branch differently, so the branches would not share an
+    exchange and the input would be recomputed (re-scanned) once per branch.
+    Parquet keeps the re-reads columnar and pruned.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
