@@ -113,8 +113,13 @@ def replace_slices(spark: SparkSession, marts: Mapping[str, DataFrame], part_col
     """
     staged = {p: stage(spark, df, "slice") for p, df in marts.items()}
     for path, df in staged.items():
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(part_col).parquet(path))
+        # range on (month, row hash): each task writes one or two month folders
+        # (few files per slice), and a month holding most rows still spans
+        # several tasks
+        spread = df.repartitionByRange(F.col(f"`{part_col}`"),
+                                       F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+        (spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy(part_col).parquet(path))
         if months is None:
             continue
         months = list(months)

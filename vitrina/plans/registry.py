@@ -287,12 +287,11 @@ def _load_marts(spark, d, months=None):
     return short, full
 
 
-def _mart_schema(df):
-    from pyspark.sql.types import StructType
-    from vitrina.plans.load import MONTH_COL, to_mart
-    m = to_mart(df).schema
-    return StructType([f for f in m.fields if f.name != MONTH_COL]
-                      + [f for f in m.fields if f.name == MONTH_COL])
+def read_mart(spark, path):
+    """A mart folder read back; the month label stays text whatever it looks like."""
+    from vitrina.plans.load import MONTH_COL
+    df = spark.read.parquet(path)
+    return df.withColumn(MONTH_COL, F.col(f"`{MONTH_COL}`").cast("string"))
 
 
 def q_replace_slice(spark, d):
@@ -301,8 +300,7 @@ def q_replace_slice(spark, d):
     from vitrina.plans.load import load_payment_months
     short, full = _load_marts(spark, d)
     load_payment_months(spark, *_payment_inputs(spark, d), short, full, [TEST_MONTH])
-    schema = _mart_schema(payment.payment_summary(*_payment_inputs(spark, d)))
-    return spark.read.schema(schema).parquet(short)
+    return read_mart(spark, short)
 
 
 def q_export_detail(spark, d):
@@ -310,12 +308,12 @@ def q_export_detail(spark, d):
     from vitrina.plans.export import export_month, read_sheets
     from vitrina.plans.load import BLOGGER_COL, MONTH_COL
     from vitrina.session import scratch_path
+    from pyspark.sql.types import StringType, StructField, StructType
     short, full = _load_marts(spark, d)
     paths = export_month(spark, short, full, scratch_path(spark, "export"), None)
-    m = _mart_schema(payment.payment_detail(*_payment_inputs(spark, d)))
-    from pyspark.sql.types import StructType
+    m = spark.read.parquet(full).schema
     schema = StructType([f for f in m.fields if f.name not in (MONTH_COL, BLOGGER_COL)]
-                        + [f for f in m.fields if f.name in (MONTH_COL, BLOGGER_COL)])
+                        + [StructField(MONTH_COL, StringType()), StructField(BLOGGER_COL, StringType())])
     return read_sheets(spark, paths["detail"], schema)
 
 
@@ -350,8 +348,7 @@ def q_month_feed(spark, d):
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    schema = _mart_schema(payment.payment_summary(posts, roster, kpi, price))
-    return spark.read.schema(schema).parquet(short)
+    return read_mart(spark, short)
 
 
 QUERIES["month_feed"] = q_month_feed
