@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -120,9 +119,7 @@ def to_mart(df: DataFrame) -> DataFrame:
 
 def load_payment_months(spark: SparkSession, posts: DataFrame, roster: DataFrame,
                         kpi: DataFrame, price: DataFrame, short_path: str, full_path: str,
-                        months: list[str] | None = None,
-                        summary: Callable = payment.payment_summary,
-                        detail: Callable = payment.payment_detail) -> None:
+                        months: list[str] | None = None) -> None:
     """M8: gate, then replace the month slices of both payment marts together.
 
     ``months=None`` loads every month of the staging table in one job (a
@@ -137,6 +134,6 @@ def load_payment_months(spark: SparkSession, posts: DataFrame, roster: DataFrame
         if missing:
             raise ValueError(f"no staging rows for month(s) {missing}")
     src = posts if months is None else posts.where(F.col("sheets_name").isin(months))
-    replace_slices(spark, {short_path: to_mart(summary(src, roster, kpi, price)),
-                           full_path: to_mart(detail(src, roster, kpi, price))},
+    plan = payment.PaymentPlan(src, roster, kpi, price)
+    replace_slices(spark, {short_path: to_mart(plan.summary()), full_path: to_mart(plan.detail())},
                    MONTH_COL, months)

@@ -145,82 +145,146 @@ def account_prices(totals: DataFrame, br: Brackets) -> DataFrame:
     return br.premium(x, "youtube_count", "youtube", "youtube_premium")
 
 
-def detail_rows(posts: DataFrame, roster: DataFrame, kpi: DataFrame, price: DataFrame,
-                month: str | None = None, br: Brackets | None = None) -> DataFrame:
-    """Per post x per account of the same blogger (and month): the fan-out join."""
-    br = br or Brackets(kpi, price)
-    stats = payment_stats(posts, roster, month)
-    tp = post_premiums(stats, br)
-    vp = account_prices(account_totals(stats), br)
-    vp = vp.select(*PERSON, MONTH, "account_name", "video_count", "instagram_count",
-                   "youtube_count", "price", "instagram_premium", "youtube_premium")
-    tp = tp.drop("account_name")
-    return tp.join(vp, [*PERSON, MONTH])
-
-
-def payment_detail(posts: DataFrame, roster: DataFrame, kpi: DataFrame, price: DataFrame,
-                   month: str | None = None) -> DataFrame:
-    """Q2: distinct published videos with their account's count, price and premiums."""
-    d = detail_rows(posts, roster, kpi, price, month)
-    d = d.where(F.col("tiktok_video_link") != "")
-    return d.select(
-        F.concat(F.col("first_name"), F.lit("  "), F.col("last_name")).alias("blogger_name"),
-        strip_word("account_name", REPORT_WORD).alias("account_name"),
-        "grade", "release_date", "currency", "video_count",
-        F.col("price").alias("price_per_video"),
-        "tiktok_video_link", "tiktok_reach", "likee_video_link", "likee_reach",
-        "instagram_count", "youtube_count", "tiktok_premium", "likee_premium",
-        "instagram_premium", "youtube_premium", MONTH).distinct()
-
-
-def payment_summary(posts: DataFrame, roster: DataFrame, kpi: DataFrame, price: DataFrame,
-                    month: str | None = None) -> DataFrame:
-    """Q1: one row per blogger, grade, currency, month and account.
-
-    Equals grouping the fan-out rows (per-post rows x account rows of the same
-    person and month) by (person, post grade, post currency, account counts,
-    month, account) with SUM(price), SUM of the post premiums and MAX of the
-    account premiums.  Computed without the fan-out, from one scan:
-        G: per (person, grade, currency, month, account): link count, reach
-           totals, number of per-post rows and their premium sums
-           (small; checkpointed, so the posts are read once for both sides);
-        T: G rolled up over the account;  V: G's counts priced per account;
-    joined on (person, month): SUM(price) = post rows x price sum and
-    SUM(post premium) = premium sum x account rows.
+class PaymentPlan:
+    """The payment marts of one month (or all months) over shared inputs.
+
+    The roster and bracket sheets are size-checked once.  The posts are
+    aggregated once, at the finest grain any mart needs (person, grade,
+    currency, month, account, staff flag, contract), into ``accounts``: link
+    counts, reach totals, and the number of per-post premium rows with their
+    premium sums.  That table is small and is written once to the shared
+    checkpoint folder; the summary, the v2 summary and the detail's
+    per-account side are roll-ups of it, so a load of both marts reads the
+    posts twice (once here, once for the detail's per-post rows).
     """
-    br = Brackets(kpi, price)
-    stats = payment_stats(posts, roster, month)
-    link = F.col("tiktok_video_link")
-    g = materialize(br.post_premium_sums(stats)
-         .groupBy(*PERSON, "grade", "currency", MONTH, "account_name")
-         .agg(count_if(link.isNotNull() & (link != "")).alias("video_count"),
-              F.sum("instagram_reach").alias("instagram_count"),
-              F.sum("youtube_reach").alias("youtube_count"),
-              F.sum("_rows").alias("_rows"), F.sum("_tiktok").alias("_tiktok"),
-              F.sum("_likee").alias("_likee")))
-    t = (g.groupBy(*PERSON, "grade", "currency", MONTH)
-          .agg(F.sum("_rows").alias("_n_posts"), F.sum("_tiktok").alias("_tiktok"),
-               F.sum("_likee").alias("_likee")))
-    totals = g.select(*PERSON, "grade", "currency", MONTH, "account_name", "video_count",
-                      "instagram_count", "youtube_count")
-    v = (account_prices(totals, br)
-         .groupBy(*PERSON, MONTH, "account_name", "video_count", "instagram_count", "youtube_count")
-         .agg(F.sum("price").alias("_price"),
-              F.count(F.lit(1)).alias("_n_rows"),
-              F.max("instagram_premium").alias("instagram_premium"),
-              F.max("youtube_premium").alias("youtube_premium")))
-    j = t.join(v, [*PERSON, MONTH])
-    price_count = (F.col("_n_posts") * F.col("_price")).alias("price_count_videos")
-    tiktok = (F.col("_tiktok") * F.col("_n_rows")).alias("tiktok_premium")
-    likee = (F.col("_likee") * F.col("_n_rows")).alias("likee_premium")
-    out = j.select(
-        F.concat(F.col("first_name"), F.lit(" "), F.col("last_name")).alias("blogger_name"),
-        strip_word("account_name", REPORT_WORD).alias("account_name"),
-        "grade", "currency", "video_count", price_count, "instagram_count", "youtube_count",
-        tiktok, likee, "instagram_premium", "youtube_premium", MONTH)
-    total = (F.col("price_count_videos") + F.col("tiktok_premium") + F.col("likee_premium")
-             + F.col("instagram_premium") + F.col("youtube_premium"))
-    return out.withColumn("sum_count", total)
+
+    GRAIN = [*PERSON, "grade", "currency", MONTH, "account_name", "is_state", "contract"]
+
+    def __init__(self, posts: DataFrame, roster: DataFrame, kpi: DataFrame, price: DataFrame,
+                 month: str | None = None, share: bool = True):
+        self.br = Brackets(kpi, price)
+        self.stats = payment_stats(posts, roster, month)
+        self.share = share     # False: a lone detail keeps its account side inline
+        self._accounts: DataFrame | None = None
+
+    def accounts(self) -> DataFrame:
+        if self._accounts is None:
+            link = F.col("tiktok_video_link")
+            real, special = _link_aggs(link)
+            self._accounts = materialize(
+                self.br.post_premium_sums(self.stats).groupBy(*self.GRAIN).agg(
+                    count_if(link.isNotNull() & (link != "")).alias("video_count"),
+                    real.alias("_real"), special.alias("_special"),
+                    F.sum("instagram_reach").alias("instagram_count"),
+                    F.sum("youtube_reach").alias("youtube_count"),
+                    F.sum("_rows").alias("_rows"), F.sum("_tiktok").alias("_tiktok"),
+                    F.sum("_likee").alias("_likee")), "accounts")
+        return self._accounts
+
+    def account_level(self) -> DataFrame:
+        """Per (person, grade, currency, month, account): the A2 totals and premium sums."""
+        return self.accounts().groupBy(*PERSON, "grade", "currency", MONTH, "account_name").agg(
+            *[F.sum(c).alias(c) for c in ("video_count", "instagram_count", "youtube_count",
+                                          "_rows", "_tiktok", "_likee")])
+
+    def account_prices(self) -> DataFrame:
+        cols = [*PERSON, "grade", "currency", MONTH, "account_name", "video_count",
+                "instagram_count", "youtube_count"]
+        totals = (self.account_level() if self.share or self._accounts is not None
+                  else account_totals(self.stats)).select(*cols)
+        return account_prices(totals, self.br)
+
+    def detail_rows(self) -> DataFrame:
+        """Per post x per account of the same blogger (and month): the fan-out join."""
+        tp = post_premiums(self.stats, self.br).drop("account_name")
+        vp = self.account_prices().select(*PERSON, MONTH, "account_name", "video_count",
+                                          "instagram_count", "youtube_count", "price",
+                                          "instagram_premium", "youtube_premium")
+        return tp.join(vp, [*PERSON, MONTH])
+
+    def detail(self) -> DataFrame:
+        """Q2: distinct published videos with their account's count, price and premiums."""
+        d = self.detail_rows().where(F.col("tiktok_video_link") != "")
+        return d.select(
+            F.concat(F.col("first_name"), F.lit("  "), F.col("last_name")).alias("blogger_name"),
+            strip_word("account_name", REPORT_WORD).alias("account_name"),
+            "grade", "release_date", "currency", "video_count",
+            F.col("price").alias("price_per_video"),
+            "tiktok_video_link", "tiktok_reach", "likee_video_link", "likee_reach",
+            "instagram_count", "youtube_count", "tiktok_premium", "likee_premium",
+            "instagram_premium", "youtube_premium", MONTH).distinct()
+
+    def summary(self) -> DataFrame:
+        """Q1: one row per blogger, grade, currency, month and account.
+
+        Equals grouping the fan-out rows (per-post rows x account rows of the
+        same person and month) by (person, post grade, post currency, account
+        counts, month, account) with SUM(price), SUM of the post premiums and
+        MAX of the account premiums, computed without the fan-out:
+            T: accounts rolled up to (person, grade, currency, month);
+            V: account counts priced, per (person, month, account, counts);
+        joined on (person, month): SUM(price) = post rows x price sum and
+        SUM(post premium) = premium sum x account rows.
+        """
+        g = self.account_level()
+        t = (g.groupBy(*PERSON, "grade", "currency", MONTH)
+              .agg(F.sum("_rows").alias("_n_posts"), F.sum("_tiktok").alias("_tiktok"),
+                   F.sum("_likee").alias("_likee")))
+        v = (self.account_prices()
+             .groupBy(*PERSON, MONTH, "account_name", "video_count", "instagram_count",
+                      "youtube_count")
+             .agg(F.sum("price").alias("_price"),
+                  F.count(F.lit(1)).alias("_n_rows"),
+                  F.max("instagram_premium").alias("instagram_premium"),
+                  F.max("youtube_premium").alias("youtube_premium")))
+        j = t.join(v, [*PERSON, MONTH])
+        price_count = (F.col("_n_posts") * F.col("_price")).alias("price_count_videos")
+        tiktok = (F.col("_tiktok") * F.col("_n_rows")).alias("tiktok_premium")
+        likee = (F.col("_likee") * F.col("_n_rows")).alias("likee_premium")
+        out = j.select(
+            F.concat(F.col("first_name"), F.lit(" "), F.col("last_name")).alias("blogger_name"),
+            strip_word("account_name", REPORT_WORD).alias("account_name"),
+            "grade", "currency", "video_count", price_count, "instagram_count", "youtube_count",
+            tiktok, likee, "instagram_premium", "youtube_premium", MONTH)
+        total = (F.col("price_count_videos") + F.col("tiktok_premium") + F.col("likee_premium")
+                 + F.col("instagram_premium") + F.col("youtube_premium"))
+        return out.withColumn("sum_count", total)
+
+    def summary_v2(self, cap: int = DEFAULT_CAP) -> DataFrame:
+        """Q3: per blogger and month, with the link cap, the special-location
+        bonus and the staff / contract label; same roll-up plan as Q1."""
+        g = self.accounts()
+        t = (g.groupBy(*PERSON, "grade", "currency", MONTH, "is_state", "contract")
+              .agg(F.sum("_tiktok").alias("_tiktok"), F.sum("_likee").alias("_likee")))
+        vc = capped(g.groupBy(*PERSON, "grade", "currency", MONTH).agg(
+            F.sum("_real").alias("real_tiktok_link_count"), F.sum("_special").alias("dubai_count"),
+            F.sum("instagram_count").alias("instagram_count"),
+            F.sum("youtube_count").alias("youtube_count")), cap)
+        br = self.br
+        vp = br.price_for(vc, "payment_tiktok_link_count")
+        vp = br.premium(vp, "instagram_count", "instagram", "instagram_premium")
+        vp = br.premium(vp, "youtube_count", "youtube", "youtube_premium")
+        v = (vp.groupBy(*PERSON, MONTH, "real_tiktok_link_count", "payment_tiktok_link_count",
+                        "dubai_count", "instagram_count", "youtube_count", "price")
+               .agg(F.count(F.lit(1)).alias("_n_rows"),
+                    F.max("instagram_premium").alias("instagram_premium"),
+                    F.max("youtube_premium").alias("youtube_premium")))
+        j = t.join(v, [*PERSON, MONTH])
+        pcv = F.col("price") * F.col("payment_tiktok_link_count")
+        pcd = F.col("price") * F.col("dubai_count")
+        tiktok = F.col("_tiktok") * F.col("_n_rows")
+        likee = F.col("_likee") * F.col("_n_rows")
+        return j.select(
+            F.concat(F.col("first_name"), F.lit(" "), F.col("last_name")).alias("blogger_name"),
+            F.when(F.col("is_state") == STAFF_FLAG, F.lit(STAFF_LABEL))
+             .otherwise(F.col("contract")).alias("state"),
+            "grade", "currency", "real_tiktok_link_count", "payment_tiktok_link_count",
+            "dubai_count", pcv.alias("price_count_videos"), pcd.alias("price_count_dubai_videos"),
+            (pcv + pcd).alias("all_price_video"), "instagram_count", "youtube_count",
+            tiktok.alias("tiktok_premium"), likee.alias("likee_premium"),
+            "instagram_premium", "youtube_premium", MONTH,
+            (pcv + pcd + tiktok + likee + F.col("instagram_premium") + F.col("youtube_premium"))
+            .alias("sum_count"))
 
 
 def _link_aggs(link):
@@ -246,45 +310,24 @@ def capped(counts: DataFrame, cap: int) -> DataFrame:
         "dubai_count", "instagram_count", "youtube_count")
 
 
+def detail_rows(posts: DataFrame, roster: DataFrame, kpi: DataFrame, price: DataFrame,
+                month: str | None = None) -> DataFrame:
+    return PaymentPlan(posts, roster, kpi, price, month, share=False).detail_rows()
+
+
+def payment_detail(posts: DataFrame, roster: DataFrame, kpi: DataFrame, price: DataFrame,
+                   month: str | None = None) -> DataFrame:
+    """Q2 (see ``PaymentPlan.detail``)."""
+    return PaymentPlan(posts, roster, kpi, price, month, share=False).detail()
+
+
+def payment_summary(posts: DataFrame, roster: DataFrame, kpi: DataFrame, price: DataFrame,
+                    month: str | None = None) -> DataFrame:
+    """Q1 (see ``PaymentPlan.summary``)."""
+    return PaymentPlan(posts, roster, kpi, price, month).summary()
+
+
 def payment_summary_v2(posts: DataFrame, roster: DataFrame, kpi: DataFrame, price: DataFrame,
                        month: str | None = None, cap: int = DEFAULT_CAP) -> DataFrame:
-    """Q3: per blogger and month, with the link cap, the special-location bonus
-    and the staff / contract label.  Same one-scan plan as Q1: G3 at
-    (person, grade, currency, month, staff flag, contract) gives both the
-    premium sums and, rolled up, the link counts."""
-    br = Brackets(kpi, price)
-    stats = payment_stats(posts, roster, month)
-    real, special = _link_aggs(F.col("tiktok_video_link"))
-    g = materialize(br.post_premium_sums(stats)
-         .groupBy(*PERSON, "grade", "currency", MONTH, "is_state", "contract")
-         .agg(real.alias("_real"), special.alias("_special"),
-              F.sum("instagram_reach").alias("_insta"), F.sum("youtube_reach").alias("_yt"),
-              F.sum("_tiktok").alias("_tiktok"), F.sum("_likee").alias("_likee")))
-    t = g.select(*PERSON, "grade", "currency", MONTH, "is_state", "contract", "_tiktok", "_likee")
-    vc = capped(g.groupBy(*PERSON, "grade", "currency", MONTH).agg(
-        F.sum("_real").alias("real_tiktok_link_count"), F.sum("_special").alias("dubai_count"),
-        F.sum("_insta").alias("instagram_count"), F.sum("_yt").alias("youtube_count")), cap)
-    vp = br.price_for(vc, "payment_tiktok_link_count")
-    vp = br.premium(vp, "instagram_count", "instagram", "instagram_premium")
-    vp = br.premium(vp, "youtube_count", "youtube", "youtube_premium")
-    v = (vp.groupBy(*PERSON, MONTH, "real_tiktok_link_count", "payment_tiktok_link_count",
-                    "dubai_count", "instagram_count", "youtube_count", "price")
-           .agg(F.count(F.lit(1)).alias("_n_rows"),
-                F.max("instagram_premium").alias("instagram_premium"),
-                F.max("youtube_premium").alias("youtube_premium")))
-    j = t.join(v, [*PERSON, MONTH])
-    pcv = F.col("price") * F.col("payment_tiktok_link_count")
-    pcd = F.col("price") * F.col("dubai_count")
-    tiktok = F.col("_tiktok") * F.col("_n_rows")
-    likee = F.col("_likee") * F.col("_n_rows")
-    return j.select(
-        F.concat(F.col("first_name"), F.lit(" "), F.col("last_name")).alias("blogger_name"),
-        F.when(F.col("is_state") == STAFF_FLAG, F.lit(STAFF_LABEL))
-         .otherwise(F.col("contract")).alias("state"),
-        "grade", "currency", "real_tiktok_link_count", "payment_tiktok_link_count", "dubai_count",
-        pcv.alias("price_count_videos"), pcd.alias("price_count_dubai_videos"),
-        (pcv + pcd).alias("all_price_video"), "instagram_count", "youtube_count",
-        tiktok.alias("tiktok_premium"), likee.alias("likee_premium"),
-        "instagram_premium", "youtube_premium", MONTH,
-        (pcv + pcd + tiktok + likee + F.col("instagram_premium") + F.col("youtube_premium"))
-        .alias("sum_count"))
+    """Q3 (see ``PaymentPlan.summary_v2``)."""
+    return PaymentPlan(posts, roster, kpi, price, month).summary_v2(cap)
