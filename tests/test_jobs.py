@@ -46,6 +46,15 @@ def test_reload_by_position(spark):
                     path, by="position")
 
 
+def test_append_by_position(spark):
+    from vitrina.operators.sinks import append
+    path = scratch_path(spark, "t")
+    create_empty(spark, path, TARGET)
+    append(spark, spark.createDataFrame([(1, "a")], "x int, y string"), path)
+    append(spark, spark.createDataFrame([(2, "b", "e")], "p long, q string, r string"), path)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a", None), (2, "b", "e")]
+
+
 def test_reload_plan(spark):
     plan = reload_plan(fx.reload_config(spark, ["orders", "part"]), "tpch")
     assert sorted(p.table_name_source for p in plan) == ["orders", "part"]

@@ -91,6 +91,18 @@ def full_reload(spark: SparkSession, source: DataFrame, path: str, by: str = "na
     return spark.read.parquet(path)
 
 
+def append(spark: SparkSession, source: DataFrame, path: str, by: str = "position",
+           partition_by: Iterable[str] = ()) -> None:
+    """INSERT INTO t SELECT * FROM (...): add rows to an existing table, columns
+    matched by position (or by name); the table keeps its schema."""
+    target = spark.read.parquet(path).schema
+    out = align_by_position(source, target) if by == "position" else align_by_name(source, target)
+    w = out.write.mode("append")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+
+
 def _sql_string(v: str) -> str:
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

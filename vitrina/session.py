@@ -44,6 +44,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder every executor "
+                               "shares (a machine-local folder would lose staged tables)")
         d = os.path.join("/tmp", f"vitrina-ckpt-{uuid.uuid4().hex[:8]}")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
