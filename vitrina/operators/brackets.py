@@ -9,9 +9,9 @@ each interval carries ``n`` (brackets covering it) and the sum of every
 value column.  A measure then falls into at most one interval, so the lookup
 keeps one row per input row and can feed a single aggregation.
 
-All steps run on the bracket sheet itself (a size-checked, small table).
-Measures and bounds are integers (reach and counts), so [s, e] splits at
-s and e + 1.
+All steps run on the bracket sheet itself (a size-checked, small table)
+and are linear in it.  Measures and bounds are integers (reach and counts),
+so [s, e] splits at s and e + 1.
 """
 
 from __future__ import annotations
@@ -24,20 +24,30 @@ from pyspark.sql import functions as F
 
 def elementary_intervals(brackets: DataFrame, start: str, end: str, values: Iterable[str],
                          keys: Iterable[str] = ("grade", "currency")) -> DataFrame:
-    """(keys..., lo, hi, n, values...) with non-overlapping [lo, hi] per key."""
+    """(keys..., lo, hi, n, values...) with non-overlapping [lo, hi] per key.
+
+    A sweep, linear in the sheet: each bracket adds +1 (and +value) at its
+    start and -1 (and -value) just past its end; running sums over the
+    sorted boundary points give, for each interval up to the next point, the
+    number of covering brackets and their value sums.  Uncovered gaps are
+    dropped (a lookup there finds nothing, as in the join).
+    """
     keys, values = list(keys), list(values)
-    b = (brackets.where(F.col(start).isNotNull() & F.col(end).isNotNull())
-                 .select(*keys, F.col(start).cast("bigint").alias("_s"),
-                         F.col(end).cast("bigint").alias("_e"), *values))
-    points = (b.select(*keys, F.col("_s").alias("lo"))
-               .union(b.select(*keys, (F.col("_e") + 1).alias("lo")))
-               .distinct())
-    w = Window.partitionBy(*keys).orderBy("lo")
-    iv = (points.withColumn("hi", F.lead("lo").over(w) - 1)
-                .where(F.col("hi").isNotNull()))
-    cov = iv.join(b, keys).where((F.col("_s") <= F.col("lo")) & (F.col("lo") <= F.col("_e")))
-    return cov.groupBy(*keys, "lo", "hi").agg(F.count(F.lit(1)).alias("n"),
-                                              *[F.sum(v).alias(v) for v in values])
+    b = brackets.where(F.col(start).isNotNull() & F.col(end).isNotNull()
+                       & (F.col(start) <= F.col(end)))
+    ups = b.select(*keys, F.col(start).cast("bigint").alias("p"), F.lit(1).alias("dn"),
+                   *[F.col(v).cast("bigint").alias(v) for v in values])
+    downs = b.select(*keys, (F.col(end).cast("bigint") + 1).alias("p"), F.lit(-1).alias("dn"),
+                     *[(-F.col(v).cast("bigint")).alias(v) for v in values])
+    deltas = (ups.unionByName(downs).groupBy(*keys, "p")
+                 .agg(F.sum("dn").alias("dn"), *[F.sum(F.coalesce(F.col(v), F.lit(0))).alias(v)
+                                                 for v in values]))
+    w = Window.partitionBy(*keys).orderBy("p")
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    iv = deltas.select(*keys, F.col("p").alias("lo"), (F.lead("p").over(w) - 1).alias("hi"),
+                       F.sum("dn").over(run).alias("n"),
+                       *[F.sum(v).over(run).alias(v) for v in values])
+    return iv.where(F.col("hi").isNotNull() & (F.col("n") > 0))
 
 
 def interval_lookup(left: DataFrame, intervals: DataFrame, measure: str, take: dict[str, str],
