@@ -21,6 +21,11 @@ def test_every_query_has_an_oracle():
     assert set(entry.queries()) == set(entry.oracle_sql())
 
 
+# Spark type name -> DuckDB type name, for the schema half of the contract
+TYPE_NAMES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+              "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.fixture(scope="module")
 def con():
     return duck(SF_SMOKE)
@@ -32,7 +37,9 @@ def test_query_matches_oracle(spark, con, key):
     s_rows = [tuple(r) for r in df.collect()]
     cur = con.execute(entry.oracle_sql()[key])
     d_cols = [c[0] for c in cur.description]
+    d_types = {c[0]: str(c[1]) for c in cur.description}
     d_rows = cur.fetchall()
     assert sorted(df.columns) == sorted(d_cols)
+    assert {n: TYPE_NAMES.get(t, t.upper()) for n, t in df.dtypes} == d_types
     assert len(s_rows) == len(d_rows)
     assert digest(df.columns, s_rows)[0] == digest(d_cols, d_rows)[0]
