@@ -93,9 +93,10 @@ def clean_budget(budget: DataFrame, month: str | None = None) -> DataFrame:
 
 
 def section_bounds(clean: DataFrame) -> DataFrame:
-    """Header rows with the id of the next header of the month (LEAD; NULL last)."""
+    """Header rows with the id of the next header of the month (LEAD; NULL last).
+    The headers are materialized first: the LEAD reads them in several branches."""
     h = clean.where(is_header()).select("id", F.col("responsible_person").alias("product_name"), MONTH)
-    return next_marker(h, "id", F.lit(True), "next_separator_id", by=[MONTH])
+    return next_marker(materialize(h, "headers"), "id", F.lit(True), "next_separator_id", by=[MONTH])
 
 
 def carry_sections(clean: DataFrame) -> DataFrame:

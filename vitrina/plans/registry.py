@@ -158,7 +158,8 @@ def q_section_bounds(spark, d):
 
 def q_section_carry(spark, d):
     from vitrina.operators.ordered import section_carry
-    c = marketing.clean_budget(fx.budget(spark, d))
+    from vitrina.session import materialize
+    c = materialize(marketing.clean_budget(fx.budget(spark, d)))
     s = section_carry(c, "id", marketing.is_header(), "responsible_person", "product_name",
                       by=["sheets_name"])
     return s.select("id", "responsible_person", "product_name", "sheets_name")
