@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from vitrina.operators.sinks import create_empty, full_reload, replace_slices
 from vitrina.plans.export import export_month, read_sheets

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitrina.plans import marketing, oracle, payment, profit
-from vitrina.plans.oracle_fixtures import FX_BUDGET, FX_KPI, FX_POSTS, FX_PRICE, FX_PROFIT, FX_ROSTER
+from vitrina.plans.oracle_fixtures import FX_KPI, FX_POSTS, FX_PRICE, FX_ROSTER
 
 POSTS = pd.DataFrame([
     # author, release_date, tiktok_reach, link, youtube, instagram, likee_link, likee_reach, account, month

@@ -3,7 +3,6 @@ rewritten forms against the literal (brute-force) forms."""
 
 import duckdb
 import pandas as pd
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
