@@ -1,12 +1,67 @@
-"""Corpus pipeline: see STAGES."""
+"""Corpus pipeline over the table documents: STAGES in order, each written before the next.
+
+Every stage reads all rows its predecessor kept and returns the columns of documents, except
+the last, which returns the packing (one row for each piece of a document).
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from vitrina.llm.byte_cnn import score_quality, train
+from vitrina.llm.decontam import decontaminate
+from vitrina.llm.line_rules import line_first_rules
+from vitrina.llm.near_dups import without_near_duplicates
+from vitrina.llm.packing import pack, token_pieces
+from vitrina.llm.ship import ship_package
 from vitrina.session import materialize
 
-STAGES: list = []
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the line rules, without their failing lines."""
+    ship_package(spark)
+    judged = line_first_rules(docs, keep=tuple(docs.columns)).filter("kept")
+    cleaned = judged.withColumn("n_chars", F.length("clean_text").cast(docs.schema["n_chars"].dataType))
+    return cleaned.withColumn("text", F.col("clean_text")).select(docs.columns)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the network gives 0.3 and more; it learns from the labelled documents of the table."""
+    ship_package(spark)
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = train(table, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_quality(docs, model, keep=tuple(docs.columns), score_col="__score").filter("__score >= 0.3").drop("__score")
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that is linked by five-word shingle sets of similarity 0.8."""
+    ship_package(spark)
+    return without_near_duplicates(docs, words=5, percent=80)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of a benchmark item."""
+    ship_package(spark)
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in the training sequences of 4096 tokens."""
+    ship_package(spark)
+    pieces = token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), 4096, end_id=1)
+    return pack(pieces, 4096)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("quality_classifier", quality_classifier),
+    ("minhash_near_dedup", minhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("best_fit_packing", best_fit_packing),
+]
+
+# The classifier, the signatures and the packing have no SQL form: see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 
