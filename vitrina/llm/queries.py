@@ -14,6 +14,7 @@ from vitrina.llm.line_rules import line_first_rules
 from vitrina.llm.near_dups import near_duplicates
 from vitrina.llm.packing import pack, token_pieces
 from vitrina.llm.page_diff import extract_pages
+from vitrina.llm.quote_links import reply_ordered
 from vitrina.llm.records import record_digest, write_records
 from vitrina.llm.ship import ship_package
 from vitrina.llm.token_counts import prefix_token_counts
@@ -68,6 +69,10 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, UrlTrees(seed_labels(pages)), URL_RULES)
 
 
+def op9_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reply_ordered(_table(spark, sf_dir, "conversations"))
+
+
 def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     scored = score_quality(docs, train(docs, _table(spark, sf_dir, "labels")))
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_url_filter": op8_url_filter,
+    "op9_quote_links": op9_quote_links,
     "op10_byte_cnn": op10_byte_cnn,
 }
 
