@@ -3,7 +3,7 @@
 from decimal import Decimal
 
 import pytest
-from pyspark.errors import ArithmeticException, NumberFormatException
+from pyspark.errors import ArithmeticException, PySparkException
 from pyspark.sql import functions as F
 
 from vitrina.functions.dates import iso_week, week_end, week_start
@@ -41,7 +41,7 @@ def test_int_text(spark):
 
 def test_int_text_garbage_fails(spark):
     df = spark.createDataFrame([("12.5",)], "v string")
-    with pytest.raises(NumberFormatException):
+    with pytest.raises(PySparkException):
         df.select(int_from_text("v")).collect()
 
 
@@ -53,10 +53,36 @@ def test_decimal_text(spark):
 
 def test_decimal_text_garbage_fails(spark):
     df = spark.createDataFrame([("abc",)], "v string")
-    with pytest.raises(NumberFormatException):
+    with pytest.raises(PySparkException):
         df.select(decimal_from_text("v")).collect()
 
 
+def test_decimal_text_keeps_digits_or_fails(spark):
+    df = spark.createDataFrame([("0,12345678",), ("1000000000000",), ("1,5000000000000000",)], "v string")
+    assert [r[0] for r in df.select(decimal_from_text("v")).collect()] == [
+        Decimal("0.12345678"), Decimal(10 ** 12), Decimal("1.5")]
+    for bad in ("0,1234567890123", "1" * 25):
+        with pytest.raises(PySparkException):
+            spark.createDataFrame([(bad,)], "v string").select(decimal_from_text("v")).collect()
+
+
+def test_bad_text_fails_without_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = spark.createDataFrame([("zz",)], "v string")
+        for f in (int_from_text, decimal_from_text):
+            with pytest.raises(PySparkException):
+                df.select(f("v")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_ratio_operand_that_loses_digits_fails(spark):
+    df = spark.createDataFrame([(Decimal("0.123456789"), Decimal("1"))], "n decimal(18,9), d decimal(18,9)")
+    with pytest.raises(PySparkException):
+        df.select(guarded_ratio("n", "d")).collect()
+
+
 def test_strip_word_keeps_blank(spark):
     df = spark.createDataFrame([("Отчет A",)], "v string")
     assert df.select(strip_word("v", "Отчет")).first()[0] == " A"

@@ -72,6 +72,69 @@ def test_tabular_reload(spark):
         f.write("name,id\ngamma,x1\n")
     with pytest.raises(Exception):
         tabular_reload(spark, f"{root}/bad.csv", f"{root}/t")
+    left = spark.read.parquet(f"{root}/t").collect()      # the old rows survive a bad cell
+    assert sorted(tuple(r) for r in left) == [(1, "alpha", None), (2, "beta", None)]
+    with open(f"{root}/quoted.csv", "w") as f:
+        f.write('name,id\n"a ""b"" c",3\n"two\nlines, and a comma",4\n')
+    got = tabular_reload(spark, f"{root}/quoted.csv", f"{root}/t")
+    assert sorted((r.id, r.name) for r in got.collect()) == [(3, 'a "b" c'), (4, "two\nlines, and a comma")]
+
+
+def test_unreadable_table_is_not_absent(spark):
+    from vitrina.operators.sinks import path_exists
+    root = scratch_path(spark, "broken")
+    os.makedirs(root, exist_ok=True)
+    assert not path_exists(spark, root) and not path_exists(spark, f"{root}/none")
+    with open(f"{root}/part-0.parquet", "w") as f:
+        f.write("this is no parquet file")
+    with pytest.raises(Exception):
+        path_exists(spark, root)
+
+
+def test_backfill_clears_emptied_month_and_repairs(spark):
+    posts, roster, kpi, price = _frames(spark)
+    root = scratch_path(spark, "marts")
+    short, full = f"{root}/short", f"{root}/full"
+    load_payment_months(spark, posts, roster, kpi, price, short, full)
+    want = _mart(spark, short), _mart(spark, full)
+    create_empty(spark, full, spark.read.parquet(full).schema, [MONTH_COL])   # a swap that did not happen
+    load_payment_months(spark, posts, roster, kpi, price, short, full)
+    assert (_mart(spark, short), _mart(spark, full)) == want
+    load_payment_months(spark, posts.where("sheets_name = 'm1'"), roster, kpi, price, short, full)
+    assert _mart(spark, short) == [r for r in want[0] if r[-1] == "m1"]
+    assert _mart(spark, full) == [r for r in want[1] if r[-1] == "m1"]
+
+
+def test_month_labels_stay_text(spark):
+    from vitrina.operators.sinks import read_slices
+    path = scratch_path(spark, "labels")
+    replace_slices(spark, {path: spark.createDataFrame([(1, "0125"), (2, "0225")], "v int, m string")}, "m")
+    replace_slices(spark, {path: spark.createDataFrame([(3, "0125")], "v int, m string")}, "m")
+    assert [tuple(r) for r in read_slices(spark, path, "m").collect()] == [(3, "0125")]
+
+
+def test_exported_cells_round_trip(spark):
+    from vitrina.operators.sinks import export_split
+    rows = [("g", 'say "x"', "two\nlines"), ("g", None, ""), ("g", " padded ", "a,b")]
+    df = spark.createDataFrame(rows, "k string, a string, b string")
+    out = scratch_path(spark, "cells")
+    export_split(df, out, ["k"], [F.col("a").asc_nulls_last()])
+    schema = StructType([StructField("a", StringType()), StructField("b", StringType()), StructField("k", StringType())])
+    back = read_sheets(spark, out, schema).collect()
+    assert sorted(((r.k, r.a, r.b) for r in back), key=repr) == sorted(rows, key=repr)
+
+
+def test_reload_between_stores(spark):
+    from vitrina.plans.load import JdbcTables, ParquetTables, run_full_reload
+    root = scratch_path(spark, "stores")
+    src = ParquetTables(spark, {("stage_db", "tpch"): f"{root}/a"})
+    dst = ParquetTables(spark, {("stage_db", "stg_tpch"): f"{root}/b"})
+    spark.createDataFrame([(1, "x")], "id int, v string").write.parquet(src.path("stage_db", "tpch", "part"))
+    assert dst.schema("stage_db", "stg_tpch", "part") is None
+    run_full_reload(spark, fx.reload_config(spark, ["part"]), "tpch", src, dst)
+    assert [tuple(r) for r in dst.read("stage_db", "stg_tpch", "part").collect()] == [(1, "x")]
+    with pytest.raises(ValueError):                       # no bounds: one task would read it all
+        JdbcTables(spark, {"stage_db": "jdbc:none"}).read("stage_db", "tpch", "part")
 
 
 def _mart(spark, path):

@@ -65,7 +65,7 @@ def test_not_in_matches_sql(spark):
 
 def test_checked_broadcast(spark):
     small = spark.range(10)
-    _, hinted = checked_broadcast(small, 10)
+    _, hinted = checked_broadcast(small, 80)
     assert hinted
     _, hinted = checked_broadcast(small, 9)
     assert not hinted
@@ -94,15 +94,13 @@ def test_column_widths(spark):
 # ---- ordered rows -------------------------------------------------------------------------
 
 def _literal_carry(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The spreadsheet SQL: LEAD over headers + interval self join."""
-    con = duckdb.connect()
-    con.register("t", pdf)
-    return con.execute("""
-        WITH sep AS (SELECT g, id, v, LEAD(id) OVER (PARTITION BY g ORDER BY id) AS nxt
-                     FROM t WHERE hdr)
-        SELECT t.g, t.id, sep.v AS carried FROM t LEFT JOIN sep
-          ON t.g = sep.g AND t.id >= sep.id AND (t.id < sep.nxt OR sep.nxt IS NULL)
-    """).df()
+    """Row by row in id order: the last header seen so far in the group."""
+    last, out = {}, []
+    for r in pdf.sort_values("id").itertuples():
+        if r.hdr:
+            last[r.g] = r.v
+        out.append((r.g, r.id, last.get(r.g)))
+    return pd.DataFrame(out, columns=["g", "id", "carried"])
 
 
 def _check_carry(spark, ids, hdr_flags, groups, bits):
@@ -172,3 +170,23 @@ def test_interval_lookup_equals_bracket_join(spark, brs, rows):
     slow = bracket_join(left, br, "m", "lo", "hi", {"v": "p"}, coalesce=False)
     slow = slow.groupBy("id").agg(F.count("p").alias("k"), F.coalesce(F.sum("p"), F.lit(0)).alias("s"))
     assert {r.id: (r.k, r.s) for r in fast} == {r.id: (r.k, r.s) for r in slow.collect()}
+
+
+def test_brackets_keep_fractions(spark):
+    """Decimal premiums are summed exactly; fractional bounds cover the integers inside."""
+    from decimal import Decimal
+    from vitrina.operators.brackets import elementary_intervals, interval_lookup
+    from vitrina.operators.joins import bracket_join
+    sheet = spark.createDataFrame(
+        [("A", "R", Decimal("0.5"), Decimal("10.5"), Decimal("7.50")), ("A", "R", Decimal("8"), Decimal("12"), Decimal("0.25")),
+         ("A", "R", Decimal("20.2"), Decimal("20.8"), Decimal("9"))],
+        "grade string, currency string, lo decimal(10,1), hi decimal(10,1), v decimal(10,2)")
+    facts = spark.createDataFrame([("A", "R", m) for m in (0, 1, 8, 10, 11, 12, 13, 20)], "grade string, currency string, m int")
+    iv = elementary_intervals(sheet, "lo", "hi", ["v"])
+    want = {0: (0, 0), 1: (1, "7.50"), 8: (2, "7.75"), 10: (2, "7.75"), 11: (1, "0.25"), 12: (1, "0.25"), 13: (0, 0), 20: (0, 0)}
+    for hint in (True, False):                       # broadcast, and binned beyond the bound
+        got = {r.m: (r.n, r.v) for r in interval_lookup(facts, iv, "m", {"v": "v"}, "n", broadcast=hint).collect()}
+        assert got == {m: (n, Decimal(v)) for m, (n, v) in want.items()}
+        rows = bracket_join(facts, sheet, "m", "lo", "hi", {"v": "v"}, broadcast=hint)
+        sums = {r.m: r.s for r in rows.groupBy("m").agg(F.sum("v").alias("s")).collect()}
+        assert sums == {m: Decimal(v) for m, (_, v) in want.items()}

@@ -34,3 +34,18 @@ def test_fact_scans_are_pruned(plans):
         for table, _, schema in summarize(text)["scans"]:
             if table.endswith("lineitem.parquet"):
                 assert "l_discount" not in schema and "l_tax" not in schema, (k, schema)
+
+
+def test_no_shuffle_on_hot_keys(spark):
+    """With hardly any automatic broadcast the sheets are still not dealt by month alone, nor the
+    posts by (grade, currency) alone."""
+    import re
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        texts = [plan_text(QUERIES[k](spark, SF_SMOKE)) for k in ("budget_clean", "bracket_join_row", "bracket_join_agg")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for text in texts:
+        for keys in re.findall(r"hashpartitioning\(([^)]*)\)", text):
+            names = set(re.findall(r"([A-Za-z_]+)#", keys))
+            assert names and names not in ({"sheets_name"}, {"grade", "currency"}), keys

@@ -15,9 +15,9 @@ FIRST_TOKEN = r"^\S+"
 SECOND_TOKEN = r"^\S+\s+(\S+)"
 BLANKS = r"[\xA0\s]+"
 
-# Decimal type for free-form money text.  A bare DECIMAL is (10,0) in Spark
-# and would round 1234.567 to 1235, so the scale is explicit.
-MONEY = "decimal(18,6)"
+# Decimal type for free-form money text: 24 digits before the point, 12 after it.
+# Text with more digits fails the query instead of being rounded.
+MONEY, MONEY_SCALE = "decimal(36,12)", 12
 
 
 def _c(c) -> Column:
@@ -50,10 +50,17 @@ def blank_to_null(c) -> Column:
 def int_from_text(c) -> Column:
     """'' and NULL become 0; digits (blanks around them allowed) become int.
 
-    Anything else fails the query under ANSI mode, as the source database does:
-    a silent ``try_cast`` would hide bad staging rows.
+    Anything else fails the query, as the source database does, whether or not
+    the session has ANSI mode on.
     """
-    return F.coalesce(blank_to_null(c).cast("int"), F.lit(0))
+    text = blank_to_null(c)
+    return F.coalesce(_checked(text, text.try_cast("int"), "int"), F.lit(0))
+
+
+def _checked(text: Column, value: Column, kind: str) -> Column:
+    """``value``; fails where there is text but no value."""
+    bad = F.raise_error(F.concat(F.lit(f"not a valid {kind}: "), text)).cast(kind)
+    return F.when(text.isNotNull() & value.isNull(), bad).otherwise(value)
 
 
 def strip_blanks(c) -> Column:
@@ -62,10 +69,12 @@ def strip_blanks(c) -> Column:
 
 
 def decimal_from_text(c, already_stripped: bool = False) -> Column:
-    """'1\xa0234,5' -> 1234.5; '' and NULL -> 0; garbage fails (ANSI)."""
+    """'1\xa0234,5' -> 1234.5; '' and NULL -> 0; garbage and
+    numbers beyond ``MONEY`` fail."""
     s = _c(c) if already_stripped else strip_blanks(c)
-    s = F.replace(s, F.lit(","), F.lit("."))
-    return F.coalesce(blank_to_null(s).cast(MONEY), F.lit(0).cast(MONEY))
+    s = blank_to_null(F.replace(s, F.lit(","), F.lit(".")))
+    exact = F.when(~s.rlike(rf"\.\d{{{MONEY_SCALE}}}\d*[1-9]"), s.try_cast(MONEY))
+    return F.coalesce(_checked(s, exact, MONEY), F.lit(0).cast(MONEY))
 
 
 def strip_word(c, word: str) -> Column:

@@ -9,18 +9,35 @@ each interval carries ``n`` (brackets covering it) and the sum of every
 value column.  A measure then falls into at most one interval, so the lookup
 keeps one row per input row and can feed a single aggregation.
 
-All steps run on the bracket sheet itself (a size-checked, small table)
-and are linear in it.  Measures and bounds are integers (reach and counts),
-so [s, e] splits at s and e + 1.
+All steps run on the bracket sheet itself and are linear in it.  Measures are
+integers (reach and counts); bounds and values may be decimals: [s, e] covers the
+integers from ceil(s) to floor(e), and values keep their type, so sums are exact.
+
+Small sheets (checked by bytes) are broadcast.  Larger ones are binned: the
+range of a measure is cut into bins of one width, each interval is listed under
+the at most ``MAX_BINS`` + 1 bins it meets, and the join key is (keys, bin), so no
+join runs on (grade, currency) alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitrina.operators.broadcast import BRACKET_MAX_BYTES, fits
+
+MAX_BINS = 256
+
+
+def binned(ranges: DataFrame, lo: str, hi: str, measure: str) -> tuple[DataFrame, Column, str]:
+    """(ranges listed once for each bin they meet, the bin of ``measure``, the bin's column)."""
+    span = ranges.select(F.max(F.col(hi) - F.col(lo))).scalar()
+    width = F.greatest(F.lit(1), F.ceil(F.coalesce(span, F.lit(0)) / MAX_BINS)).cast("bigint")
+    bins = F.sequence(F.floor(F.col(lo) / width).cast("bigint"), F.floor(F.col(hi) / width).cast("bigint"))
+    return ranges.where(F.col(lo) <= F.col(hi)).withColumn("_bin", F.explode(bins)), F.floor(F.col(measure) / width).cast("bigint"), "_bin"
+
 
 def elementary_intervals(brackets: DataFrame, start: str, end: str, values: Iterable[str],
                          keys: Iterable[str] = ("grade", "currency")) -> DataFrame:
@@ -33,12 +50,11 @@ def elementary_intervals(brackets: DataFrame, start: str, end: str, values: Iter
     dropped (a lookup there finds nothing, as in the join).
     """
     keys, values = list(keys), list(values)
-    b = brackets.where(F.col(start).isNotNull() & F.col(end).isNotNull()
-                       & (F.col(start) <= F.col(end)))
-    ups = b.select(*keys, F.col(start).cast("bigint").alias("p"), F.lit(1).alias("dn"),
-                   *[F.col(v).cast("bigint").alias(v) for v in values])
-    downs = b.select(*keys, (F.col(end).cast("bigint") + 1).alias("p"), F.lit(-1).alias("dn"),
-                     *[(-F.col(v).cast("bigint")).alias(v) for v in values])
+    first, last = F.ceil(F.col(start)).cast("bigint"), F.floor(F.col(end)).cast("bigint")
+    b = brackets.where(first <= last)  # drops NULL bounds and ranges that hold no integer
+    ups = b.select(*keys, first.alias("p"), F.lit(1).alias("dn"), *values)
+    downs = b.select(*keys, (last + 1).alias("p"), F.lit(-1).alias("dn"),
+                     *[(-F.col(v)).alias(v) for v in values])
     deltas = (ups.unionByName(downs).groupBy(*keys, "p")
                  .agg(F.sum("dn").alias("dn"), *[F.sum(F.coalesce(F.col(v), F.lit(0))).alias(v)
                                                  for v in values]))
@@ -52,19 +68,27 @@ def elementary_intervals(brackets: DataFrame, start: str, end: str, values: Iter
 
 def interval_lookup(left: DataFrame, intervals: DataFrame, measure: str, take: dict[str, str],
                     count_as: str, keys: Iterable[str] = ("grade", "currency"),
-                    broadcast: bool = True) -> DataFrame:
+                    broadcast: bool | None = None) -> DataFrame:
     """Left lookup of ``measure`` in the elementary intervals: ``count_as`` =
     number of brackets matching (0 if none), ``take`` = sums of their values
-    (0 if none).  One output row per input row."""
+    (0 if none).  One output row per input row.  ``broadcast=None`` checks the size."""
     keys = list(keys)
     p = "_iv_"
-    r = intervals.select(*[F.col(k).alias(p + k) for k in keys], F.col("lo").alias(p + "lo"),
+    if broadcast is None:
+        broadcast = fits(intervals, BRACKET_MAX_BYTES)
+    extra = []
+    if not broadcast:
+        intervals, bin_of, name = binned(intervals, "lo", "hi", measure)
+        extra = [F.col(name).alias(p + "bin")]
+    r = intervals.select(*extra, *[F.col(k).alias(p + k) for k in keys], F.col("lo").alias(p + "lo"),
                          F.col("hi").alias(p + "hi"), F.col("n").alias(p + "n"),
                          *[F.col(c).alias(p + "v_" + c) for c in take])
     if broadcast:
         r = F.broadcast(r)
     cond = [F.col(k) == F.col(p + k) for k in keys]
     cond.append(F.col(measure).between(F.col(p + "lo"), F.col(p + "hi")))
+    if extra:
+        cond.append(bin_of == F.col(p + "bin"))
     j = left.join(r, cond, "left")
     return j.select(*[F.col(c) for c in left.columns],
                     F.coalesce(F.col(p + "n"), F.lit(0)).alias(count_as),

@@ -1,10 +1,9 @@
 """Broadcast only behind a size check.
 
-A dimension or mapping table is hinted for broadcast only after a bounded
-count shows it is small (``limit(max_rows + 1).count()`` reads at most
-``max_rows + 1`` rows).  Beyond the bound the frame is returned unhinted: the
-planner then uses a shuffle join, and adaptive execution may still switch to
-a broadcast at run time from measured sizes.
+The check reads the planner's own size estimate of the (pruned) frame: file
+sizes for scans, exact sizes for literal tables.  It starts no job and brings
+no rows anywhere.  Beyond the bound the frame is returned unhinted, and the
+caller takes a form that needs no broadcast.
 """
 
 from __future__ import annotations
@@ -12,20 +11,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row bounds for the hand-kept dimension sheets.  A roster row is six short
-# strings (~100 bytes), a bracket row a few ints: both stay far below the
-# executor memory a broadcast may take.
-ROSTER_MAX_ROWS = 1_000_000
-BRACKET_MAX_ROWS = 100_000
+# Estimated bytes.  Compressed columns may unfold to several times their size:
+# a roster at the bound stays below some 100 MB in an executor, a bracket sheet
+# at its bound holds a few thousand rows.
+ROSTER_MAX_BYTES = 16 << 20
+BRACKET_MAX_BYTES = 256 << 10
 CONTROL_MAX_ROWS = 100_000
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
+def fits(df: DataFrame, max_bytes: int) -> bool:
+    return estimated_bytes(df) <= max_bytes
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int) -> tuple[DataFrame, bool]:
     """Return ``(frame, hinted)``; the frame carries a broadcast hint iff it fits."""
-    if fits(df, max_rows):
+    if fits(df, max_bytes):
         return F.broadcast(df), True
     return df, False

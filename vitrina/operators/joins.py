@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.functions.text import first_token, leading_word, second_token
-from vitrina.operators.broadcast import ROSTER_MAX_ROWS, checked_broadcast
+from vitrina.operators.brackets import binned
+from vitrina.operators.broadcast import BRACKET_MAX_BYTES, ROSTER_MAX_BYTES, checked_broadcast, fits
 
 
 def person_keys(posts: DataFrame, author: str = "author") -> DataFrame:
@@ -27,39 +28,47 @@ def roster_keys(roster: DataFrame, blogger: str = "blogger") -> DataFrame:
 
 
 def name_key_join(posts_keyed: DataFrame, roster: DataFrame,
-                  max_rows: int = ROSTER_MAX_ROWS) -> DataFrame:
+                  max_bytes: int = ROSTER_MAX_BYTES) -> DataFrame:
     """Inner join of posts to the roster on (first_name, last_name).
 
-    The roster is broadcast when a bounded count shows it is small, so the
+    The roster is broadcast when the planner's estimate shows it is small, so the
     fact side is never shuffled for it (and a blogger holding a third of all
     posts causes no skew).  Duplicate roster names multiply rows, as the SQL
     join does.
     """
-    r, _ = checked_broadcast(roster_keys(roster), max_rows)
+    r, _ = checked_broadcast(roster_keys(roster), max_bytes)
     return posts_keyed.join(r, ["first_name", "last_name"], "inner")
 
 
 def bracket_join(left: DataFrame, brackets: DataFrame, measure: str, start: str, end: str,
                  take: Mapping[str, str], keys: Iterable[str] = ("grade", "currency"),
-                 default=0, broadcast: bool = True, coalesce: bool = True) -> DataFrame:
+                 default=0, broadcast: bool | None = None, coalesce: bool = True) -> DataFrame:
     """Left join each row to the brackets whose keys match and whose inclusive
     range [start, end] holds ``measure``.
 
     ``take`` maps bracket columns to output names.  No bracket gives
     ``default`` (or NULL with ``coalesce=False``); overlapping brackets
-    multiply the row, as the SQL join does.  ``broadcast`` should come from a
-    size check of the bracket table (``checked_broadcast``); then the join is
-    a broadcast hash join on the keys with the range as residual condition.
+    multiply the row, as the SQL join does.  ``broadcast=None`` checks the sheet's
+    size: a small sheet is broadcast, with the range as residual condition; a
+    larger one is joined on (keys, bin of the measure), see ``binned``.
     """
     keys = list(keys)
     p = "_br_"
-    b = brackets.select(*[F.col(k).alias(p + k) for k in keys],
+    if broadcast is None:
+        broadcast = fits(brackets, BRACKET_MAX_BYTES)
+    extra = []
+    if not broadcast:
+        brackets, bin_of, name = binned(brackets, start, end, measure)
+        extra = [F.col(name).alias(p + "bin")]
+    b = brackets.select(*extra, *[F.col(k).alias(p + k) for k in keys],
                         F.col(start).alias(p + "lo"), F.col(end).alias(p + "hi"),
                         *[F.col(c).alias(p + "v_" + c) for c in take])
     if broadcast:
         b = F.broadcast(b)
     cond = [F.col(k) == F.col(p + k) for k in keys]
     cond.append(F.col(measure).between(F.col(p + "lo"), F.col(p + "hi")))
+    if extra:
+        cond.append(bin_of == F.col(p + "bin"))
     j = left.join(b, cond, "left")
     vals = [(F.coalesce(F.col(p + "v_" + c), F.lit(default)) if coalesce else F.col(p + "v_" + c)).alias(o)
             for c, o in take.items()]

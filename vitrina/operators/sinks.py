@@ -11,23 +11,39 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.errors import AnalysisException
+from pyspark.sql.types import StringType, StructField, StructType
 
-from vitrina.session import materialize, scratch_path
+from vitrina.session import drop_scratch, scratch_path
 
 # CSV text for NULL ('' stays an empty string), as in PostgreSQL's COPY.
 NULL_MARK = "\\N"
-# Cells are written as they are: no trimming (the writer trims by default).
-CSV_WRITE = {"header": True, "nullValue": NULL_MARK, "ignoreLeadingWhiteSpace": False,
-             "ignoreTrailingWhiteSpace": False}
+# Sheets as spreadsheets read them: a quote inside a cell is doubled, a cell may hold line
+# breaks, cells are written as they are (the writer trims by default).
+CSV_WRITE = {"header": True, "nullValue": NULL_MARK, "quote": '"', "escape": '"',
+             "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+CSV_READ = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "mode": "FAILFAST"}
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table is there.  Only a missing folder, or one without files, counts as
+    absent; any other failure to read it is raised."""
     try:
         spark.read.parquet(path).schema  # noqa: B018
         return True
-    except Exception:  # noqa: BLE001 - missing folder or no parquet files yet
-        return False
+    except AnalysisException as e:
+        if (e.getCondition() or "").startswith(ABSENT):
+            return False
+        raise
+
+
+def read_slices(spark: SparkSession, path: str, part_col: str) -> DataFrame:
+    """A mart partitioned by ``part_col``, whose labels stay text whatever they look like
+    ("0125" is not 125: partition types are declared, not inferred)."""
+    found = spark.read.parquet(path).schema
+    declared = StructType([StructField(f.name, StringType()) if f.name == part_col else f for f in found])
+    return spark.read.schema(declared).parquet(path)
 
 
 def create_empty(spark: SparkSession, path: str, schema: StructType,
@@ -75,8 +91,8 @@ def full_reload(spark: SparkSession, source: DataFrame, path: str, by: str = "na
     """TRUNCATE + INSERT: replace the whole table at ``path`` with ``source``.
 
     The target's schema is kept when the table exists (or ``schema`` is
-    given); a new table takes the source schema.  The copy is one distributed
-    read and write; nothing passes through the driver.
+    given); a new table takes the source schema.  The new rows are staged
+    first: a failure while reading or parsing them leaves the old table as it was.
     """
     target = schema or (spark.read.parquet(path).schema if path_exists(spark, path) else None)
     if target is None:
@@ -87,7 +103,10 @@ def full_reload(spark: SparkSession, source: DataFrame, path: str, by: str = "na
         out = align_by_position(source, target)
     else:
         raise ValueError(by)
-    out.write.mode("overwrite").parquet(path)
+    staging = scratch_path(spark, "reload-stage")
+    out.write.parquet(staging)
+    spark.read.parquet(staging).write.mode("overwrite").parquet(path)
+    drop_scratch(spark, staging)
     return spark.read.parquet(path)
 
 
@@ -107,12 +126,6 @@ def _sql_string(v: str) -> str:
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def stage(spark: SparkSession, df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` to a fresh folder under the shared checkpoint folder and
-    read it back: computed once, lineage cut, safe against lost executors."""
-    return materialize(df, name)
-
-
 def replace_slices(spark: SparkSession, marts: Mapping[str, DataFrame], part_col: str,
                    months: Iterable[str] | None = None) -> None:
     """Idempotent replacement of month slices in one or more partitioned marts.
@@ -121,10 +134,19 @@ def replace_slices(spark: SparkSession, marts: Mapping[str, DataFrame], part_col
     marts untouched.  Months present in a result are replaced with a dynamic
     partition overwrite (other months stay).  A named month whose new result
     is empty is cleared too: dynamic overwrite alone would keep the old slice,
-    while the delete-then-insert it replaces leaves it empty.
+    while the delete-then-insert it replaces leaves it empty.  ``months=None``
+    names every month: those the marts hold already, and those of the results.
+
+    The marts are swapped one after the other, in the order given.  A failure between
+    two swaps leaves them from different loads; running the same load again repairs it,
+    because every swap is a replacement.
     """
-    staged = {p: stage(spark, df, "slice") for p, df in marts.items()}
+    folders = {p: scratch_path(spark, "slice") for p in marts}
+    for path, df in marts.items():
+        df.write.parquet(folders[path])
+    staged = {p: spark.read.schema(df.schema).parquet(folders[p]) for p, df in marts.items()}
     for path, df in staged.items():
+        held = _labels(read_slices(spark, path, part_col), part_col) if path_exists(spark, path) else set()
         # range on (month, row hash): each task writes one or two month folders
         # (few files per slice), and a month holding most rows still spans
         # several tasks
@@ -132,14 +154,16 @@ def replace_slices(spark: SparkSession, marts: Mapping[str, DataFrame], part_col
                                        F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
         (spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(part_col).parquet(path))
-        if months is None:
-            continue
-        months = list(months)
-        present = {r[0] for r in df.where(F.col(f"`{part_col}`").isin(months))
-                                   .select(part_col).distinct().collect()}  # <= len(months) labels
-        for m in months:
-            if m not in present and path_exists(spark, path):
-                _clear_partition(spark, path, df.schema, part_col, m)
+        present = _labels(df, part_col)
+        for m in sorted(held - present if months is None else (set(months) & held) - present):
+            _clear_partition(spark, path, df.schema, part_col, m)
+    for folder in folders.values():
+        drop_scratch(spark, folder)
+
+
+def _labels(df: DataFrame, part_col: str) -> set[str]:
+    """The month labels of a mart (a handful of values)."""
+    return {r[0] for r in df.select(f"`{part_col}`").distinct().collect() if r[0] is not None}
 
 
 def _clear_partition(spark: SparkSession, path: str, schema: StructType, part_col: str,

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrina.operators.aggs import column_widths
-from vitrina.operators.sinks import CSV_WRITE, NULL_MARK, export_split
+from vitrina.operators.sinks import CSV_READ, CSV_WRITE, NULL_MARK, export_split, read_slices
 from vitrina.plans.load import BLOGGER_COL, MONTH_COL, RELEASE_COL
 
 SUMMARY_SHEET = "Итог"
@@ -15,7 +15,7 @@ SUMMARY_SHEET = "Итог"
 
 def read_month(spark: SparkSession, path: str, month: str | None) -> DataFrame:
     """Mart slice of one month (partition pruning), or all months."""
-    df = spark.read.parquet(path)
+    df = read_slices(spark, path, MONTH_COL)
     return df if month is None else df.where(F.col(f"`{MONTH_COL}`") == F.lit(month))
 
 
@@ -34,7 +34,8 @@ def export_month(spark: SparkSession, short_path: str, full_path: str, out: str,
              "widths": f"{out}/widths"}
     short.write.mode("overwrite").options(**CSV_WRITE).csv(paths["summary"])
     export_split(full, paths["detail"], split, [F.col(f"`{RELEASE_COL}`").asc_nulls_last()])
-    sheet_widths(full, split).write.mode("overwrite").options(**CSV_WRITE).csv(paths["widths"])
+    widths = sheet_widths(full, split).unionByName(summary_widths(short, split))
+    widths.write.mode("overwrite").options(**CSV_WRITE).csv(paths["widths"])
     return paths
 
 
@@ -48,7 +49,17 @@ def sheet_widths(detail: DataFrame, split: list[str]) -> DataFrame:
                     "column_name", "width")
 
 
+def summary_widths(summary: DataFrame, split: list[str]) -> DataFrame:
+    """Width of each column of the summary sheet(s): its blogger column reads as the sheet's name."""
+    months = [c for c in split if c != BLOGGER_COL]
+    keys = [F.col(f"`{c}`").alias(f"_sheet_{i}") for i, c in enumerate(months)]
+    g = summary.select(*keys, *[F.col(f"`{c}`") for c in summary.columns])
+    w = column_widths(g, group=[f"_sheet_{i}" for i in range(len(months))], columns=summary.columns)
+    return w.select(*[F.col(f"_sheet_{i}").alias(c) for i, c in enumerate(months)],
+                    F.lit(SUMMARY_SHEET).alias(BLOGGER_COL), "column_name", "width")
+
+
 def read_sheets(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Read exported sheets back (header CSV, NULL marker, declared schema)."""
-    return (spark.read.option("header", True).option("nullValue", NULL_MARK)
-                 .schema(schema).csv(path))
+    """Read exported sheets back (header CSV, NULL marker, declared schema); a file that does
+    not have these columns fails."""
+    return spark.read.options(**CSV_READ).option("nullValue", NULL_MARK).schema(schema).csv(path)

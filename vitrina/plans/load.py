@@ -4,14 +4,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vitrina.operators.broadcast import CONTROL_MAX_ROWS
-from vitrina.operators.sinks import full_reload, replace_slices
+from vitrina.operators.sinks import (CSV_READ, align_by_name, align_by_position, full_reload,
+                                     path_exists, replace_slices)
 from vitrina.plans import payment
+from vitrina.session import materialize
 
 # Mart column names fixed by the mart DDL (the export reads them by name).
 MONTH_COL = "месяц отчёта"
@@ -47,6 +50,18 @@ def reload_plan(config: DataFrame, schema_source: str) -> list[PlanRow]:
     return [PlanRow(*r) for r in rows]
 
 
+class TableStore(Protocol):
+    """Where tables are read from and reloaded into."""
+
+    def read(self, db: str, schema: str, table: str) -> DataFrame: ...
+
+    def schema(self, db: str, schema: str, table: str) -> StructType | None:
+        """Columns of an existing table; None if there is none."""
+
+    def replace(self, source: DataFrame, db: str, schema: str, table: str, by: str = "name") -> None:
+        """TRUNCATE and INSERT; a failure while computing ``source`` leaves the table as it was."""
+
+
 class ParquetTables:
     """Locates tables as parquet folders: ``roots[(db, schema)]/<table>[suffix]``."""
 
@@ -59,12 +74,19 @@ class ParquetTables:
     def read(self, db: str, schema: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(db, schema, table))
 
+    def schema(self, db: str, schema: str, table: str) -> StructType | None:
+        path = self.path(db, schema, table)
+        return self.spark.read.parquet(path).schema if path_exists(self.spark, path) else None
+
+    def replace(self, source: DataFrame, db: str, schema: str, table: str, by: str = "name") -> None:
+        full_reload(self.spark, source, self.path(db, schema, table), by=by)
+
 
 class JdbcTables:
     """Locates tables in databases reached over JDBC (one URL per database).
 
-    Reads are split into ``num_partitions`` range scans on ``partition_column``
-    when given, so no single task pulls a whole table."""
+    ``partitioning`` names, for every table that is read, the column, its bounds and the
+    number of range scans, so that no single task pulls a whole table."""
 
     def __init__(self, spark: SparkSession, urls: dict[str, str], properties: dict | None = None,
                  partitioning: dict[str, tuple[str, int, int, int]] | None = None):
@@ -74,34 +96,39 @@ class JdbcTables:
 
     def read(self, db: str, schema: str, table: str) -> DataFrame:
         name = f"{schema}.{table}"
-        if name in self.partitioning:
-            col, lo, hi, n = self.partitioning[name]
-            return self.spark.read.jdbc(self.urls[db], name, column=col, lowerBound=lo,
-                                        upperBound=hi, numPartitions=n, properties=self.properties)
-        return self.spark.read.jdbc(self.urls[db], name, properties=self.properties)
+        if name not in self.partitioning:
+            raise ValueError(f"{name}: name its partition column, bounds and number of scans")
+        col, lo, hi, n = self.partitioning[name]
+        return self.spark.read.jdbc(self.urls[db], name, column=col, lowerBound=lo,
+                                    upperBound=hi, numPartitions=n, properties=self.properties)
+
+    def schema(self, db: str, schema: str, table: str) -> StructType | None:
+        none = f"(SELECT * FROM {schema}.{table} WHERE 1 = 0) t"
+        return self.spark.read.jdbc(self.urls[db], none, properties=self.properties).schema
 
-    def write(self, df: DataFrame, db: str, schema: str, table: str) -> None:
-        (df.write.mode("overwrite").option("truncate", True)
-           .jdbc(self.urls[db], f"{schema}.{table}", properties=self.properties))
+    def replace(self, source: DataFrame, db: str, schema: str, table: str, by: str = "name") -> None:
+        target = self.schema(db, schema, table)
+        out = align_by_name(source, target) if by == "name" else align_by_position(source, target)
+        (materialize(out, "jdbc").write.mode("overwrite").option("truncate", True)
+         .jdbc(self.urls[db], f"{schema}.{table}", properties=self.properties))
 
 
 def run_full_reload(spark: SparkSession, config: DataFrame, schema_source: str,
-                    sources, targets: ParquetTables, by: str = "name") -> list[PlanRow]:
+                    sources: TableStore, targets: TableStore, by: str = "name") -> list[PlanRow]:
     """M6: for each plan row, replace the target table with the source table
     (matched by name).  Each copy is a distributed read and write."""
     plan = reload_plan(config, schema_source)
     for r in plan:
         src = sources.read(r.db_source_name, r.schema_name_source, r.table_name_source)
-        full_reload(spark, src, targets.path(r.db_target_name, r.schema_name_target,
-                                             r.table_name_target), by=by)
+        targets.replace(src, r.db_target_name, r.schema_name_target, r.table_name_target, by=by)
     return plan
 
 
 def read_tabular(spark: SparkSession, path: str) -> DataFrame:
     """A sheet saved as a CSV file (or folder): first row is the header; all
-    cells are text until the target's schema parses them."""
-    return (spark.read.option("header", True).option("inferSchema", False)
-                 .option("mode", "FAILFAST").csv(path))
+    cells are text until the target's schema parses them.  Cells may be quoted and
+    may hold line breaks; a sheet file is then read as one piece."""
+    return spark.read.options(**CSV_READ).csv(path)
 
 
 def tabular_reload(spark: SparkSession, path: str, target_path: str,
@@ -117,20 +144,36 @@ def to_mart(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).alias(MART_NAMES.get(c, c)) for c in df.columns])
 
 
+def months_present(posts: DataFrame, months: list[str]) -> DataFrame:
+    """P13: each asked month and its staging rows (0: the gate refuses it)."""
+    spark = posts.sparkSession
+    asked = spark.createDataFrame([(m,) for m in months], "sheets_name string")
+    have = posts.where(F.col("sheets_name").isin(months)).groupBy("sheets_name").agg(F.count(F.lit(1)).alias("n"))
+    return asked.join(have, "sheets_name", "left").select(
+        "sheets_name", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_rows"), F.col("n").isNotNull().alias("passes"))
+
+
+def run_mart_sql(spark: SparkSession, text: str, month: str, frames: dict[str, DataFrame]) -> DataFrame:
+    """K8: one mart text over named frames (``{name}`` in the text) with ``:month`` bound, never
+    spliced.  A text without the parameter is refused: it would run over every month."""
+    if ":month" not in text:
+        raise ValueError("the text has no :month parameter")
+    return spark.sql(text, args={"month": month}, **frames)
+
+
 def load_payment_months(spark: SparkSession, posts: DataFrame, roster: DataFrame,
                         kpi: DataFrame, price: DataFrame, short_path: str, full_path: str,
                         months: list[str] | None = None) -> None:
     """M8: gate, then replace the month slices of both payment marts together.
 
     ``months=None`` loads every month of the staging table in one job (a
-    backfill); otherwise each named month must have staging rows.
+    backfill), and months the marts hold without a result now are cleared;
+    otherwise each named month must have staging rows.
     """
     if months is not None:
         if not months:
             raise ValueError("no month given")
-        have = {r[0] for r in posts.where(F.col("sheets_name").isin(months))
-                                   .select("sheets_name").distinct().collect()}
-        missing = [m for m in months if m not in have]
+        missing = [r.sheets_name for r in months_present(posts, months).where("NOT passes").collect()]
         if missing:
             raise ValueError(f"no staging rows for month(s) {missing}")
     src = posts if months is None else posts.where(F.col("sheets_name").isin(months))

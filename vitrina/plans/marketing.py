@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.functions.text import MONEY, decimal_from_text, strip_blanks
+from vitrina.operators.broadcast import checked_broadcast
 from vitrina.operators.joins import not_in
 from vitrina.operators.ordered import next_marker, section_carry
 from vitrina.session import materialize
@@ -39,6 +40,7 @@ LABELS = (("tsh", "Tashe"), ("lmb", "Limba"))
 NO_LABEL = "Nothing"
 
 MONTH = "sheets_name"
+MARKS_MAX_BYTES = 8 << 20
 OUTPUT_COLUMNS = ["department", "id", "full_price", "actual_reach", "is_integration",
                   "actual_cpm", "product_name", "articul_product", "format", "region",
                   "sheets_name"]
@@ -82,10 +84,12 @@ def month_marks(rows: DataFrame) -> DataFrame:
 
 def clean_budget(budget: DataFrame, month: str | None = None) -> DataFrame:
     """Steps 1-3.  The cut-off and the NOT IN flags come from one per-month
-    aggregate joined once (months are few: adaptive execution broadcasts it);
-    the total-row ids are removed with a hash anti join."""
+    aggregate.  It is computed first and written (one row per month), so its size is
+    known when the join is planned: it is broadcast, and the sheet is not shuffled by
+    month.  The total-row ids are removed with a hash anti join."""
     b = month_slice(budget, month)
-    kept = b.join(month_marks(b), MONTH).where(F.col("id") < F.col("_cut_id"))
+    marks, _ = checked_broadcast(materialize(month_marks(b), "marks"), MARKS_MAX_BYTES)
+    kept = b.join(marks, MONTH).where(F.col("id") < F.col("_cut_id"))
     totals = b.where(F.col("reach") == TOTAL_ROW).select(MONTH, "id")
     kept = not_in(kept, totals, "id", by=[MONTH], counts=("_nin_rows", "_nin_keys"))
     return (kept.where(F.col("actual_cpm") != ERROR_CELL)
@@ -99,17 +103,19 @@ def section_bounds(clean: DataFrame) -> DataFrame:
     return next_marker(materialize(h, "headers"), "id", F.lit(True), "next_separator_id", by=[MONTH])
 
 
-def carry_sections(clean: DataFrame) -> DataFrame:
-    """Step 4: ``product_name`` = header text in effect at each row.
+def is_data(col: str = "responsible_person"):
+    """NOT LIKE '%-%' (NULL is no data row)."""
+    return ~F.col(col).contains(SECTION_MARK)
 
-    Rows that can never reach the output (neither a header nor a flagged data
-    row) are dropped first, so they are never shuffled.  The remaining rows
-    are checkpointed: the carry reads them in several branches, and without it
-    each branch would redo the cleaning (several scans of the sheet).
+
+def carry_sections(clean: DataFrame, wanted=None) -> DataFrame:
+    """Step 4: ``product_name`` = header text in effect at each header and data row.
+
+    ``wanted`` names the data rows a mart keeps later on, so that the others are
+    never shuffled.  The rows are written first: the carry reads them in several
+    branches, and without it each branch would redo the cleaning.
     """
-    useful = is_header() | ((F.col("is_integration") == INTEGRATION_FLAG)
-                            & ~F.col("responsible_person").contains(SECTION_MARK))
-    rows = materialize(clean.where(useful))
+    rows = materialize(clean.where(is_header() | (is_data() if wanted is None else is_data() & wanted)))
     return section_carry(rows, "id", is_header(), "responsible_person", "product_name",
                          by=[MONTH])
 
@@ -127,7 +133,7 @@ def header_code(col: str = "product_name"):
 
 
 def clean_numbers(rows: DataFrame) -> DataFrame:
-    """Step 5 on the four number cells (decimal(18,6))."""
+    """Step 5 on the four number cells (exact decimals)."""
     return rows.select(*[c for c in rows.columns if c not in ("price", "product_cost",
                                                             "actual_reach", "actual_cpm")],
                        *[decimal_from_text(strip_blanks(c), already_stripped=True).alias(c)
@@ -136,9 +142,8 @@ def clean_numbers(rows: DataFrame) -> DataFrame:
 
 def budget_integrations(budget: DataFrame, month: str | None = None) -> DataFrame:
     """Q4: advertising integrations with full price and product label."""
-    carried = carry_sections(clean_budget(budget, month))
-    rows = carried.where(~F.col("responsible_person").contains(SECTION_MARK)
-                         & (F.col("is_integration") == INTEGRATION_FLAG))
+    flagged = F.col("is_integration") == INTEGRATION_FLAG
+    rows = carry_sections(clean_budget(budget, month), flagged).where(is_data() & flagged)
     rows = clean_numbers(rows)
     code = header_code()
     return rows.select(

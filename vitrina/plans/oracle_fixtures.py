@@ -4,10 +4,21 @@ Each oracle query starts with the CTEs it needs; the driver tables are
 pre-registered views in DuckDB.
 """
 
+from vitrina.sources.fixtures import KPI_ROWS, PRICE_ROWS
+
+GIVEN = "CASE WHEN length(p_name) % 7 = 0 THEN 'Анна' ELSE split_part(p_name, ' ', 1) END"
+TWICE = "JOIN range(2) copies(c) ON c = 0 OR l.l_orderkey % 50 = 0"
+
+
+def _values(rows, types) -> str:
+    return ", ".join("(" + ", ".join(f"'{v}'" if t == "VARCHAR" else f"CAST({v} AS {t})" for v, t in zip(r, types)) + ")"
+                     for r in rows)
+
+
 FX_POSTS = r"""
 fx_posts AS (
-  SELECT p.p_name AS author,
-         CAST(l.l_shipdate AS DATE) AS release_date,
+  SELECT """ + GIVEN + r""" || ' ' || split_part(p_name, ' ', 2) AS author,
+         CASE WHEN l.l_orderkey % 89 <> 0 THEN CAST(l.l_shipdate AS DATE) END AS release_date,
          CASE WHEN l.l_linenumber = 1 THEN ''
               ELSE CAST(CAST(floor(l.l_extendedprice) AS INTEGER) AS VARCHAR) END AS tiktok_reach,
          CASE WHEN l.l_linestatus = 'O' THEN 'http://v/' || CAST(l.l_orderkey AS VARCHAR)
@@ -20,43 +31,35 @@ fx_posts AS (
          CAST(CAST(l.l_suppkey AS INTEGER) AS VARCHAR) AS likee_reach,
          'Отчет ' || l.l_returnflag AS account_name,
          strftime(l.l_shipdate, '%Y-%m') AS sheets_name
-  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+  FROM lineitem l """ + TWICE + r""" JOIN part p ON l.l_partkey = p.p_partkey
 )"""
 
 FX_ROSTER = r"""
 fx_roster AS (
   SELECT DISTINCT
-         split_part(p_name, ' ', 2) || ' ' || split_part(p_name, ' ', 1) || ' X' AS blogger,
-         'r' AS region,
-         CASE WHEN length(p_name) % 2 = 0 THEN 'RUB' ELSE 'BYN' END AS currency,
-         CASE WHEN length(p_name) % 3 = 0 THEN 'A' ELSE 'B' END AS grade,
-         CASE WHEN length(p_name) % 2 = 0 THEN 'TRUE' ELSE 'FALSE' END AS is_state,
-         'contract' AS contract
-  FROM part
+         split_part(p_name, ' ', 2) || ' ' || """ + GIVEN + r""" || ' X' AS blogger,
+         CASE WHEN c = 1 THEN 'r2' ELSE 'r' END AS region,
+         CASE WHEN c = 0 AND length(p_name) % 2 = 0 THEN 'RUB' ELSE 'BYN' END AS currency,
+         CASE WHEN c = 1 OR length(p_name) % 3 = 0 THEN 'A' ELSE 'B' END AS grade,
+         CASE WHEN c = 0 AND length(p_name) % 2 = 0 THEN 'TRUE' ELSE 'FALSE' END AS is_state,
+         CASE WHEN c = 1 THEN 'second' ELSE 'contract' END AS contract
+  FROM part JOIN range(2) copies(c) ON c = 0 OR length(p_name) % 5 = 0
 )"""
 
-FX_KPI = r"""
+FX_KPI = f"""
 fx_kpi(grade, currency, start_reach, end_reach, tiktok, instagram, youtube, likee) AS (
-  VALUES ('A', 'RUB', 0, 20000, 0, 0, 0, 0),
-         ('A', 'RUB', 20001, 9999999, 50, 70, 30, 10),
-         ('B', 'RUB', 0, 40000, 5, 1, 2, 3),
-         ('B', 'RUB', 40001, 9999999, 80, 40, 20, 9),
-         ('A', 'BYN', 1000, 60000, 7, 8, 9, 1),
-         ('B', 'BYN', 500, 90000, 11, 12, 13, 2)
+  VALUES {_values(KPI_ROWS, ["VARCHAR"] * 2 + ["DECIMAL(12,1)"] * 2 + ["DECIMAL(10,2)"] * 4)}
 )"""
 
-FX_PRICE = r"""
+FX_PRICE = f"""
 fx_price(grade, currency, start_count, end_count, price) AS (
-  VALUES ('A', 'RUB', 1, 5, 10),
-         ('A', 'RUB', 6, 100, 20),
-         ('B', 'RUB', 1, 100, 15),
-         ('A', 'BYN', 1, 3, 4),
-         ('B', 'BYN', 1, 100, 6)
+  VALUES {_values(PRICE_ROWS, ["VARCHAR"] * 2 + ["INTEGER"] * 2 + ["DECIMAL(10,2)"])}
 )"""
 
 FX_BUDGET = r"""
 fx_budget AS (
-  SELECT event_id AS id,
+  SELECT CASE WHEN user_id % 10 = 7 AND event_id % 97 <> 0 OR user_id % 10 <> 7 AND (event_id % 53 <> 0 OR event_id % 97 = 0)
+              THEN event_id END AS id,
          event_type AS social_network,
          CASE WHEN event_id * 10 >= (SELECT count(*) FROM events) * 9 AND event_id % 100 = 0
               THEN 'БЮДЖЕТ ' ELSE 'link' END AS social_link,
@@ -73,7 +76,7 @@ fx_budget AS (
          CASE WHEN event_type IN ('click', 'purchase') THEN 'TRUE' ELSE 'FALSE' END AS is_integration,
          'r' AS region,
          'f' AS format,
-         CASE WHEN user_id % 2 = 0 THEN 'Апрель 2025' ELSE 'Март 2025' END AS sheets_name
+         CASE WHEN user_id % 10 = 7 THEN 'Май 2025' WHEN user_id % 2 = 0 THEN 'Апрель 2025' ELSE 'Март 2025' END AS sheets_name
   FROM events
 )"""
 
@@ -92,7 +95,7 @@ fx_profit AS (
          CAST(CASE WHEN l.l_returnflag = 'R' THEN CAST(l.l_extendedprice AS DECIMAL(18,2)) * 0.5 ELSE 0 END
               AS DECIMAL(18,3)) AS returnCostSum,
          CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * 0.3 AS DECIMAL(18,3)) AS profit
-  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+  FROM lineitem l """ + TWICE + r""" JOIN part p ON l.l_partkey = p.p_partkey
 )"""
 
 

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from vitrina.functions.text import int_from_text, strip_word
 from vitrina.operators.aggs import capped_count, count_if
 from vitrina.operators.brackets import elementary_intervals, interval_lookup
-from vitrina.operators.broadcast import BRACKET_MAX_ROWS, checked_broadcast
+from vitrina.operators.broadcast import BRACKET_MAX_BYTES, fits
 from vitrina.operators.joins import bracket_join, name_key_join, person_keys
 from vitrina.session import materialize
 
@@ -74,12 +74,11 @@ class Brackets:
     """The two bracket sheets, pruned and size-checked once per plan."""
 
     def __init__(self, kpi: DataFrame, price: DataFrame):
-        self.kpi, self.kpi_bc = checked_broadcast(
-            kpi.select("grade", "currency", "start_reach", "end_reach",
-                       "tiktok", "instagram", "youtube", "likee"), BRACKET_MAX_ROWS)
-        self.price, self.price_bc = checked_broadcast(
-            price.select("grade", "currency", "start_count", "end_count", "price"),
-            BRACKET_MAX_ROWS)
+        self.kpi = kpi.select("grade", "currency", "start_reach", "end_reach",
+                              "tiktok", "instagram", "youtube", "likee")
+        self.price = price.select("grade", "currency", "start_count", "end_count", "price")
+        self.kpi_bc = fits(self.kpi, BRACKET_MAX_BYTES)
+        self.price_bc = fits(self.price, BRACKET_MAX_BYTES)
         # premium sheet as non-overlapping intervals (match count + premium sums)
         self.kpi_iv = elementary_intervals(self.kpi, "start_reach", "end_reach",
                                            ["tiktok", "likee"])
@@ -148,7 +147,7 @@ def account_prices(totals: DataFrame, br: Brackets) -> DataFrame:
 class PaymentPlan:
     """The payment marts of one month (or all months) over shared inputs.
 
-    The roster and bracket sheets are size-checked once.  The posts are
+    The posts are
     aggregated once, at the finest grain any mart needs (person, grade,
     currency, month, account, staff flag, contract), into ``accounts``: link
     counts, reach totals, and the number of per-post premium rows with their
@@ -203,16 +202,27 @@ class PaymentPlan:
         return tp.join(vp, [*PERSON, MONTH])
 
     def detail(self) -> DataFrame:
-        """Q2: distinct published videos with their account's count, price and premiums."""
-        d = self.detail_rows().where(F.col("tiktok_video_link") != "")
-        return d.select(
+        """Q2: distinct published videos with their account's count, price and premiums.
+
+        Both sides are made distinct on the columns they give before the fan-out (a
+        name part holds no blank, so the two-blank name stands for the person):
+        pairs of distinct rows are distinct, and the shuffle carries posts, not pairs.
+        """
+        posts = (post_premiums(self.stats.where(F.col("tiktok_video_link") != ""), self.br)
+                 .select(*PERSON, "grade", "release_date", "currency", "tiktok_video_link",
+                         "tiktok_reach", "likee_video_link", "likee_reach", "tiktok_premium",
+                         "likee_premium", MONTH).distinct())
+        accounts = (self.account_prices()
+                    .select(*PERSON, MONTH, strip_word("account_name", REPORT_WORD).alias("account_name"),
+                            "video_count", "instagram_count", "youtube_count", "price",
+                            "instagram_premium", "youtube_premium").distinct())
+        return posts.join(accounts, [*PERSON, MONTH]).select(
             F.concat(F.col("first_name"), F.lit("  "), F.col("last_name")).alias("blogger_name"),
-            strip_word("account_name", REPORT_WORD).alias("account_name"),
-            "grade", "release_date", "currency", "video_count",
+            "account_name", "grade", "release_date", "currency", "video_count",
             F.col("price").alias("price_per_video"),
             "tiktok_video_link", "tiktok_reach", "likee_video_link", "likee_reach",
             "instagram_count", "youtube_count", "tiktok_premium", "likee_premium",
-            "instagram_premium", "youtube_premium", MONTH).distinct()
+            "instagram_premium", "youtube_premium", MONTH)
 
     def summary(self) -> DataFrame:
         """Q1: one row per blogger, grade, currency, month and account.

@@ -9,10 +9,11 @@ functions themselves keep decimals.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 from vitrina.plans import marketing, payment, profit
 from vitrina.sources import fixtures as fx
@@ -42,15 +43,20 @@ def _stats(spark, d):
 # ---- payment marts -----------------------------------------------------------------------
 
 def q_payment_summary(spark, d):
-    return payment.payment_summary(*_payment_inputs(spark, d))
+    return as_double(payment.payment_summary(*_payment_inputs(spark, d)))
 
 
 def q_payment_detail(spark, d):
-    return payment.payment_detail(*_payment_inputs(spark, d))
+    return as_double(payment.payment_detail(*_payment_inputs(spark, d)))
 
 
 def q_payment_summary_v2(spark, d):
-    return payment.payment_summary_v2(*_payment_inputs(spark, d))
+    return as_double(payment.payment_summary_v2(*_payment_inputs(spark, d)))
+
+
+def q_payment_summary_v2_capped(spark, d):
+    """The same with a cap that the fixtures reach."""
+    return as_double(payment.payment_summary_v2(*_payment_inputs(spark, d), cap=TEST_CAP))
 
 
 def q_person_tokens(spark, d):
@@ -73,13 +79,13 @@ def q_int_text(spark, d):
 def q_bracket_join_row(spark, d):
     br = payment.Brackets(fx.kpi(spark), fx.price(spark))
     t = payment.post_premiums(_stats(spark, d), br)
-    return t.select("first_name", "last_name", "grade", "currency", "sheets_name", "release_date",
-                    "tiktok_reach", "likee_reach", "tiktok_premium", "likee_premium")
+    return as_double(t.select("first_name", "last_name", "grade", "currency", "sheets_name", "release_date",
+                              "tiktok_reach", "likee_reach", "tiktok_premium", "likee_premium"))
 
 
 def q_bracket_join_agg(spark, d):
     br = payment.Brackets(fx.kpi(spark), fx.price(spark))
-    return payment.account_prices(payment.account_totals(_stats(spark, d)), br)
+    return as_double(payment.account_prices(payment.account_totals(_stats(spark, d)), br))
 
 
 def q_account_totals(spark, d):
@@ -96,11 +102,11 @@ def q_capped_count(spark, d):
 
 def q_detail_aggregate_join(spark, d):
     r = payment.detail_rows(*_payment_inputs(spark, d))
-    return r.select("first_name", "last_name", "grade", "currency", "release_date",
-                    "tiktok_video_link", "tiktok_reach", "likee_reach", "tiktok_premium",
-                    "likee_premium", "sheets_name", "account_name", "video_count",
-                    "instagram_count", "youtube_count", "price", "instagram_premium",
-                    "youtube_premium")
+    return as_double(r.select("first_name", "last_name", "grade", "currency", "release_date",
+                              "tiktok_video_link", "tiktok_reach", "likee_reach", "tiktok_premium",
+                              "likee_premium", "sheets_name", "account_name", "video_count",
+                              "instagram_count", "youtube_count", "price", "instagram_premium",
+                              "youtube_premium"))
 
 
 def q_label_strip(spark, d):
@@ -125,10 +131,16 @@ def q_slice_count(spark, d):
 
 
 def q_param_sql(spark, d):
-    """Parameterised SQL text: the month is a bound parameter, never spliced."""
-    return spark.sql("SELECT sheets_name, account_name, COUNT(1) AS n_rows FROM {posts} "
-                     "WHERE sheets_name >= :month GROUP BY sheets_name, account_name",
-                     args={"month": TEST_MONTH}, posts=fx.posts(spark, d))
+    """A mart text over one month: the month is a bound parameter, never spliced."""
+    from vitrina.plans.load import run_mart_sql
+    return run_mart_sql(spark, "SELECT account_name, COUNT(1) AS n_rows FROM {posts} WHERE sheets_name = :month "
+                               "GROUP BY account_name", TEST_MONTH, {"posts": fx.posts(spark, d)})
+
+
+def q_slice_gate(spark, d):
+    """The gate of a month load: a month with staging rows passes, one without does not."""
+    from vitrina.plans.load import months_present
+    return months_present(fx.posts(spark, d), [TEST_MONTH, "2099-01"])
 
 
 # ---- budget mart -------------------------------------------------------------------------
@@ -176,7 +188,7 @@ def q_decimal_text(spark, d):
 
 
 def q_product_label(spark, d):
-    c = marketing.carry_sections(marketing.clean_budget(fx.budget(spark, d)))
+    c = marketing.carry_sections(marketing.clean_budget(fx.budget(spark, d))).where(marketing.is_data())
     code = marketing.header_code()
     return c.select("id", "sheets_name", marketing.product_label(code).alias("product_label"),
                     code.alias("articul_product"))
@@ -212,6 +224,7 @@ QUERIES: dict[str, Query] = {
     "payment_summary": q_payment_summary,
     "payment_detail": q_payment_detail,
     "payment_summary_v2": q_payment_summary_v2,
+    "payment_summary_v2_capped": q_payment_summary_v2_capped,
     "person_tokens": q_person_tokens,
     "name_key_join": q_name_key_join,
     "int_text": q_int_text,
@@ -226,6 +239,7 @@ QUERIES: dict[str, Query] = {
     "slice_filter": q_slice_filter,
     "slice_count": q_slice_count,
     "param_sql": q_param_sql,
+    "slice_gate": q_slice_gate,
     "budget_integrations": q_budget_integrations,
     "budget_clean": q_budget_clean,
     "cutoff_filter": q_cutoff_filter,
@@ -244,37 +258,79 @@ QUERIES: dict[str, Query] = {
 
 # ---- data movement -----------------------------------------------------------------------
 
-RELOAD_TABLES = ["region", "nation", "supplier", "customer", "part", "orders", "lineitem"]
+RELOAD_TABLES = {"region": "r_regionkey", "nation": "n_nationkey", "supplier": "s_suppkey", "customer": "c_custkey",
+                 "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey"}
+
+
+def q_reload_plan(spark, d):
+    """The control rows a reload of the schema ``tpch`` takes."""
+    from vitrina.plans.load import reload_plan_frame
+    return reload_plan_frame(fx.reload_config(spark, RELOAD_TABLES), "tpch")
 
 
 def q_full_reload_copy(spark, d):
-    """Config-driven reload of the driver tables into a staging schema; the
-    ``orders`` target pre-exists with one more column (filled with NULL)."""
-    from pyspark.sql.types import StringType, StructField, StructType
+    """Config-driven reload of the driver tables into a staging schema; the ``orders``
+    target pre-exists with one more column (filled with NULL).  One row for every table
+    found in any target schema: skipped control rows would show as rows too many."""
     from vitrina.operators.sinks import create_empty
     from vitrina.plans.load import ParquetTables, run_full_reload
     from vitrina.session import scratch_path
     from vitrina.sources.tables import read_table
     root = scratch_path(spark, "reload")
-    sources = ParquetTables(spark, {("stage_db", "tpch"): d}, suffix=".parquet")
+    sources = ParquetTables(spark, {("stage_db", "tpch"): d, ("stage_db", "other"): d}, suffix=".parquet")
     targets = ParquetTables(spark, {("stage_db", "stg_tpch"): f"{root}/stg_tpch",
                                     ("stage_db", "stg_other"): f"{root}/stg_other"})
     ddl = StructType(read_table(spark, d, "orders").schema.fields
                      + [StructField("load_note", StringType())])
     create_empty(spark, targets.path("stage_db", "stg_tpch", "orders"), ddl)
     run_full_reload(spark, fx.reload_config(spark, RELOAD_TABLES), "tpch", sources, targets)
-    return targets.read("stage_db", "stg_tpch", "orders")
+    found = []
+    for schema in ("stg_tpch", "stg_other"):
+        for table in [*RELOAD_TABLES, "orders_off"]:
+            if targets.schema("stage_db", schema, table) is not None:
+                df = targets.read("stage_db", schema, table)
+                found.append(df.agg(
+                    F.lit(schema).alias("target_schema"), F.lit(table).alias("table_name"),
+                    F.count(F.lit(1)).alias("n_rows"),
+                    F.sum(RELOAD_TABLES.get(table, df.columns[0])).cast("bigint").alias("key_sum"),
+                    F.lit("load_note" in df.columns).alias("has_note")))
+    return reduce(DataFrame.union, found)
+
+
+def q_append_rows(spark, d):
+    """INSERT INTO by position: nation, then region with one column more."""
+    from vitrina.operators.sinks import append, create_empty
+    from vitrina.session import scratch_path
+    from vitrina.sources.tables import read_table
+    path = scratch_path(spark, "append")
+    create_empty(spark, path, StructType.fromDDL("id bigint, label string, note string"))
+    append(spark, read_table(spark, d, "nation", ["n_nationkey", "n_name"]), path)
+    append(spark, read_table(spark, d, "region", ["r_regionkey", "r_name"]).withColumn("n", F.lit("region")), path)
+    return spark.read.parquet(path)
+
+
+def q_reload_by_position(spark, d):
+    """TRUNCATE and INSERT SELECT *: two source columns into a table of three."""
+    from vitrina.operators.sinks import create_empty, full_reload
+    from vitrina.session import scratch_path
+    from vitrina.sources.tables import read_table
+    path = scratch_path(spark, "position")
+    create_empty(spark, path, StructType.fromDDL("a bigint, b string, c string"))
+    full_reload(spark, read_table(spark, d, "nation", ["n_nationkey", "n_name"]), path, by="position")
+    return full_reload(spark, read_table(spark, d, "customer", ["c_custkey", "c_name"]), path, by="position")
 
 
 def q_tabular_reload(spark, d):
-    """A sheet (header CSV of ``customer``) loaded into a table with declared types."""
-    from vitrina.operators.sinks import create_empty
+    """A sheet (header CSV of ``customer``) loaded into a table with declared types; one
+    column has cells with quotes, commas and line breaks."""
+    from vitrina.operators.sinks import CSV_WRITE, create_empty
     from vitrina.plans.load import tabular_reload
     from vitrina.session import scratch_path
     from vitrina.sources.tables import read_table
     root = scratch_path(spark, "sheet")
     cust = read_table(spark, d, "customer")
-    cust.write.option("header", True).csv(f"{root}/config.csv")
+    cust = cust.withColumn("note", F.concat(F.lit('say "'), "c_name", F.lit('",\n end')))
+    cust.write.options(**{k: v for k, v in CSV_WRITE.items() if k != "nullValue"}).csv(f"{root}/config.csv")
     create_empty(spark, f"{root}/target", cust.schema)
     return tabular_reload(spark, f"{root}/config.csv", f"{root}/target")
 
@@ -290,9 +346,9 @@ def _load_marts(spark, d, months=None):
 
 def read_mart(spark, path):
     """A mart folder read back; the month label stays text whatever it looks like."""
+    from vitrina.operators.sinks import read_slices
     from vitrina.plans.load import MONTH_COL
-    df = spark.read.parquet(path)
-    return df.withColumn(MONTH_COL, F.col(f"`{MONTH_COL}`").cast("string"))
+    return as_double(read_slices(spark, path, MONTH_COL))
 
 
 def q_replace_slice(spark, d):
@@ -304,18 +360,38 @@ def q_replace_slice(spark, d):
     return read_mart(spark, short)
 
 
+def q_backfill_clears(spark, d):
+    """Backfill, then another from a staging table that lost one month: that month goes."""
+    from vitrina.plans.load import load_payment_months
+    short, full = _load_marts(spark, d)
+    posts, roster, kpi, price = _payment_inputs(spark, d)
+    load_payment_months(spark, posts.where(F.col("sheets_name") != TEST_MONTH), roster, kpi, price, short, full)
+    return read_mart(spark, short)
+
+
 def q_export_detail(spark, d):
     """Export of the detail mart, one folder per month and blogger, read back."""
+    from vitrina.operators.sinks import read_slices
     from vitrina.plans.export import export_month, read_sheets
     from vitrina.plans.load import BLOGGER_COL, MONTH_COL
     from vitrina.session import scratch_path
-    from pyspark.sql.types import StringType, StructField, StructType
     short, full = _load_marts(spark, d)
     paths = export_month(spark, short, full, scratch_path(spark, "export"), None)
-    m = spark.read.parquet(full).schema
+    m = read_slices(spark, full, MONTH_COL).schema
     schema = StructType([f for f in m.fields if f.name not in (MONTH_COL, BLOGGER_COL)]
                         + [StructField(MONTH_COL, StringType()), StructField(BLOGGER_COL, StringType())])
-    return read_sheets(spark, paths["detail"], schema)
+    return as_double(read_sheets(spark, paths["detail"], schema))
+
+
+def q_export_summary(spark, d):
+    """The summary sheet of the export, read back."""
+    from vitrina.operators.sinks import read_slices
+    from vitrina.plans.export import export_month, read_sheets
+    from vitrina.plans.load import MONTH_COL
+    from vitrina.session import scratch_path
+    short, full = _load_marts(spark, d)
+    paths = export_month(spark, short, full, scratch_path(spark, "export"), None)
+    return as_double(read_sheets(spark, paths["summary"], read_slices(spark, short, MONTH_COL).schema))
 
 
 def q_column_widths(spark, d):
@@ -329,7 +405,12 @@ def q_column_widths(spark, d):
 QUERIES.update({
     "full_reload_copy": q_full_reload_copy,
     "tabular_reload": q_tabular_reload,
+    "reload_plan": q_reload_plan,
+    "append_rows": q_append_rows,
+    "reload_by_position": q_reload_by_position,
     "replace_slice": q_replace_slice,
+    "backfill_clears": q_backfill_clears,
+    "export_summary": q_export_summary,
     "export_detail": q_export_detail,
     "column_widths": q_column_widths,
 })
@@ -345,7 +426,7 @@ def q_month_feed(spark, d):
     posts.write.parquet(staging)
     short, full = f"{root}/tiktok_payment_short", f"{root}/tiktok_payment_full"
     q = run_month_feed(spark, staging, spark.read.parquet(staging).schema, roster, kpi, price,
-                       short, full)
+                       short, full, scratch_path(spark, "feed-checkpoint"))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

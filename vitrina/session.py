@@ -60,6 +60,14 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "vitrina", *parts, uuid.uuid4().hex])
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of ours once a job no longer needs it."""
+    if "/vitrina/" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df, name: str = "stage"):
     """Write ``df`` once as a parquet table in the shared checkpoint folder and
     read it back: lineage cut, computed once, survives lost executors.

@@ -7,8 +7,10 @@
 of the new files (a handful of values) and replaces those months in both
 marts from the *whole* staging table, because a month may arrive in several
 files.  Replaying a batch after a failure replaces the same slices again, so
-the marts see each batch exactly once in effect.  The stream's checkpoint
-lives under the shared checkpoint folder.
+the marts see each batch exactly once in effect.  The caller names the stream's
+checkpoint folder (shared, and the same at each start: a new one would replay
+every file).  A staging folder partitioned by month is pruned to the months of
+the batch.
 """
 
 from __future__ import annotations
@@ -19,12 +21,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from vitrina.plans.load import load_payment_months
-from vitrina.session import scratch_path
 
 
 def run_month_feed(spark: SparkSession, staging_dir: str, posts_schema: StructType,
                    roster: DataFrame, kpi: DataFrame, price: DataFrame, short_path: str,
-                   full_path: str, checkpoint: str | None = None,
+                   full_path: str, checkpoint: str,
                    available_now: bool = True) -> StreamingQuery:
     """Start the feed; with ``available_now`` it processes what is there and stops."""
 
@@ -39,6 +40,6 @@ def run_month_feed(spark: SparkSession, staging_dir: str, posts_schema: StructTy
 
     w = (spark.readStream.schema(posts_schema).parquet(staging_dir)
          .writeStream.foreachBatch(load)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "month_feed")))
+         .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
