@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-GENERATION = 600_000
+GENERATION = 350_000
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
 # Letters, then punctuation (no apostrophe: contractions have rules of their own), perhaps a
 # line break and the same again: each group is a word of a GPT-2 style pre-tokenizer.
@@ -119,8 +119,9 @@ class _Encoder:
         n = lens[index]
         ends = np.cumsum(n)
         total = int(ends[-1]) if len(ends) else 0
-        take = np.arange(total, dtype=np.int64)
-        take += np.repeat(starts[index] - (ends - n), n)
+        place = np.int32 if max(total, len(flat)) < 2**31 else np.int64
+        take = np.repeat((starts[index] - (ends - n)).astype(place), n)
+        take += np.arange(total, dtype=place)
         bounds = np.concatenate([[0], ends])[offsets]
         return flat[take], bounds
 
@@ -145,13 +146,28 @@ class ByteLevelEncoder(_Encoder):
         get = self.words.fill({w for ws in cut if ws for w in ws}).__getitem__
         return [b"".join(map(get, ws)) if ws is not None else self.whole(blank + p) for p, ws in zip(pieces, cut)]
 
+    def simple_words(self, piece: str, blank: str) -> list[str] | None:
+        """The same for letters and punctuation; None: the piece is of another kind."""
+        m = _SIMPLE.fullmatch(piece)
+        if not m:
+            return None
+        first, marks, line, second, more = m.groups()
+        words = [first, marks] if marks else [first]
+        if not piece.isascii():
+            words[0] = first.encode().decode("latin-1").translate(_ALPHABET)
+        if blank:
+            words[0] = "Ġ" + words[0]
+        if line:
+            words += ["Ċ", second if second.isascii() else second.encode().decode("latin-1").translate(_ALPHABET)]
+            if more:
+                words.append(more)
+        return words
+
     def cut_words(self, piece: str, blank: str) -> list[str] | None:
         """The pre-tokenizer's words of a piece in the byte alphabet; None: it holds a special string."""
-        m = _SIMPLE.fullmatch(piece)
-        if m:
-            words = [w for w in m.groups() if w]
-            words[0] = blank + words[0]
-            return [w.encode().decode("latin-1").translate(_ALPHABET) for w in words]
+        words = self.simple_words(piece, blank)
+        if words:
+            return words
         if "<" in piece and self.has_special(piece):
             return None
         return [w for w, _ in self.tok.pre_tokenizer.pre_tokenize_str(blank + piece)]
@@ -234,6 +250,11 @@ def worker_encoder(kind: type, path: str):
     return _LOADED[key]
 
 
+def release_encoders() -> None:
+    """Let go of the caches, for tasks that need memory and no encoder."""
+    _LOADED.clear()
+
+
 def small_runs(texts: list, budget: int = 6_000_000):
     """(from, to) runs of a batch with about ``budget`` characters each, so a batch of
     long texts is not cut into words all at once; a longer text is a run of its own."""

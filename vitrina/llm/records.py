@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from vitrina.llm.pieces import ByteLevelEncoder, encode_texts, worker_encoder
+from vitrina.llm.pieces import ByteLevelEncoder, encode_texts, release_encoders, worker_encoder
 
 HEAD, FOOT, KEY = struct.Struct("<QI"), struct.Struct("<IB"), struct.Struct("<BqB")
 INDEX_SCHEMA = "shard string, record bigint, doc_id bigint, offset bigint, length bigint, n_tokens bigint"
@@ -106,6 +106,7 @@ def _scan(schema: str):
     types = [kinds[f.split()[1]] for f in schema.split(", ")]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()  # a whole shard needs the room
         for batch in batches:
             for shard, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data, offset, record, rows, size = memoryview(content.as_buffer()), 0, 0, [], 0
