@@ -3,9 +3,9 @@
 1. A text's set: the distinct shingles of ``words`` words (as 64-bit hashes).  Texts with equal
    sets are one node; its name is the smallest key among them.
 2. A node's signature has 64 places of 16 bits, each the low bits of one min-hash.  Two sets
-   of similarity s differ in about (1 - s) * 64 places.  ``errors`` = 27 places may differ: at
-   similarity 0.8 more differ in less than one pair of 100,000.
-3. Pigeonhole: with 14 chunks and at most 27 errors, some chunk has at most one error.  Each
+   of similarity s differ in about (1 - s) * 64 places.  25 places may differ: at similarity
+   0.8 itself more differ in one or two pairs of 10,000, above it in fewer.
+3. Pigeonhole: with 13 chunks and at most 25 errors, some chunk has at most one error.  Each
    chunk's one-error neighbourhood is enumerated by leaving out one place at a time: two chunks with
    at most one error have a key (chunk, place left out, other places) in common.  So every pair
    within the signature distance shares a key: 64 keys for each node.
@@ -14,7 +14,8 @@
    then those between different components.
 5. That is not yet every pair: nodes of one key that the hub did not bring together may still be
    alike.  Keys whose nodes lie in different components are gone through in blocks of
-   about ``BLOCK`` nodes, block against block; pairs of different components within the distance
+   about ``BLOCK`` nodes, each against the blocks of nodes outside the key's largest
+   component; pairs of different components within the distance
    are confirmed on their full sets, the nearest first, until a pass finds no link and all pairs
    left have been confirmed.  Pairs inside a component cannot change it and are not looked at.
 6. Components by large-star and small-star steps over the links.
@@ -42,7 +43,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from vitrina.llm.pieces import small_runs
 from vitrina.session import materialize
 
-PLACES, CHUNKS, ERRORS = 64, 14, 27
+PLACES, CHUNKS, ERRORS = 64, 13, 25
 BLOCK = 512
 BROADCAST_IDS = 1_000_000  # keys of 8 bytes: what a broadcast of this many holds is bounded
 
@@ -124,7 +125,7 @@ def document_sets(df: DataFrame, words: int, id_col: str = "doc_id", text_col: s
     id_type = to_arrow_type(src.schema["id"].dataType)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, 1024) for b in batches for at in range(0, b.num_rows, 1024)):
             found = list(shingle_sets(batch.column(1).to_pylist(), words))
             full = [k for k, s in enumerate(found) if len(s)]
             keys: list = [None] * len(found)
@@ -222,33 +223,56 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.filter("ca <> cb").select("a", "b")
 
 
+def _meets_here(key: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which signature pairs (rows of x and y) have ``key`` as their first common key: a pair is
+    looked at under many keys and given under one."""
+    differs = x != y
+    place = np.full(len(x), -1)
+    for places in np.array_split(np.arange(PLACES), CHUNKS):
+        part = differs[:, places]
+        hit = (place < 0) & (part.sum(axis=1) <= 1)
+        place[hit] = places[0] + part[hit].argmax(axis=1)  # no difference: the first place
+    keys = chunk_keys(x).view(np.int64)[np.arange(len(x)), place]
+    return keys == key
+
+
 def _block_pairs(members: DataFrame, nearest: bool) -> DataFrame:
-    """Pairs (a, b) of one key and different components within the distance, block against block.
-    members: key, node, component, sig.  ``nearest``: of each node and other component only the nearest."""
-    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    rows = members.join(sizes, "key").withColumn("x", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    rows = rows.select("key", "node", "component", "sig", "x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("y"))
-    rows = rows.select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "x", "node", "component", "sig")
-    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "x", "node")
+    """Pairs (a, b) of one key and different components within the distance.
+    members: key, node, component, sig.  ``nearest``: of each node and other component only the nearest.
+
+    Most of a key's nodes are in one component, and pairs inside it are not looked at: the key's
+    largest component is cut into blocks, the other nodes ("apart") too, and every block meets
+    every block of the nodes apart."""
+    counts = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"))
+    sizes = sizes.select("key", F.col("top.component").alias("top"), F.ceil(F.col("all") / BLOCK).alias("xs"),
+                         F.ceil((F.col("all") - F.col("top.n")) / BLOCK).alias("ys"))
+    h = F.xxhash64("node")
+    rows = members.join(sizes, "key").withColumn("apart", F.col("component") != F.col("top"))
+    zero = F.lit(0).cast("long")
+    in_x = rows.select("key", F.pmod(h, F.col("xs")).alias("i"), F.explode(F.sequence(zero, F.col("ys") - 1)).alias("j"),
+                       F.lit(False).alias("right"), "node", "component", "sig")
+    in_y = rows.filter("apart").select("key", F.explode(F.sequence(zero, F.col("xs") - 1)).alias("i"),
+                                       F.pmod(h, F.col("ys")).alias("j"), F.lit(True).alias("right"), "node", "component", "sig")
+    rows = in_x.union(in_y).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "right", "node")
 
     def groups(batches):
         key, held = None, []
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in range(7)]
-            for row in zip(*columns):
-                if row[:3] != key and held:
-                    yield held
-                    held = []
-                key = row[:3]
-                held.append(row)
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                for row in zip(*(part.column(c).to_pylist() for c in range(7))):
+                    if row[:3] != key and held:
+                        yield held
+                        held = []
+                    key = row[:3]
+                    held.append(row)
         if held:
             yield held
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches):
-            i, j = group[0][1], group[0][2]
-            left = [r for r in group if r[3] == i]
-            right = left if i == j else [r for r in group if r[3] == j]
+            left, right = [r for r in group if not r[3]], [r for r in group if r[3]]
             if not left or not right:
                 continue
             sl, sr = (np.frombuffer(b"".join(r[6] for r in s), np.uint16).reshape(-1, PLACES) for s in (left, right))
@@ -257,15 +281,18 @@ def _block_pairs(members: DataFrame, nearest: bool) -> DataFrame:
             distance = np.zeros((len(nl), len(nr)), np.uint8)
             for p in range(PLACES):
                 distance += sl[:, p][:, None] != sr[:, p][None, :]
-            ok = (distance <= ERRORS) & (cl[:, None] != cr[None, :])
-            if i == j:
-                ok &= nl[:, None] < nr[None, :]
+            # two nodes apart meet on both sides: take them in one order
+            both_apart = np.isin(nl, nr)[:, None] if len(nl) else np.zeros((0, 1), bool)
+            ok = (distance <= ERRORS) & (cl[:, None] != cr[None, :]) & (~both_apart | (nl[:, None] < nr[None, :]))
             a, b = np.nonzero(ok)
+            if len(a):
+                here = _meets_here(group[0][0], sl[a], sr[b])
+                a, b = a[here], b[here]
             if nearest and len(a):
-                order = np.lexsort((nr[b], distance[a, b], cr[b], a))
+                order = np.lexsort((nl[a], distance[a, b], cl[a], b))
                 a, b = a[order], b[order]
                 first = np.ones(len(a), bool)
-                first[1:] = (a[1:] != a[:-1]) | (cr[b][1:] != cr[b][:-1])
+                first[1:] = (b[1:] != b[:-1]) | (cl[a][1:] != cl[a][:-1])
                 a, b = a[first], b[first]
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(nl[a]), pa.array(nr[b])], names=["a", "b"])
