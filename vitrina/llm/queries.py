@@ -12,6 +12,7 @@ from vitrina.llm.byte_cnn import held_out, score_quality, train
 from vitrina.llm.decontam import contaminated
 from vitrina.llm.line_rules import line_first_rules
 from vitrina.llm.near_dups import near_duplicates
+from vitrina.llm.oracle import ORACLE  # noqa: F401 - registered with the queries
 from vitrina.llm.packing import pack, token_pieces
 from vitrina.llm.page_diff import extract_pages
 from vitrina.llm.quote_links import reply_ordered
@@ -92,5 +93,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quote_links": op9_quote_links,
     "op10_byte_cnn": op10_byte_cnn,
 }
-
-ORACLE: dict[str, str] = {}
