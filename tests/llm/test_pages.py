@@ -1,0 +1,117 @@
+"""URL rules and trees; page differencing."""
+
+from functools import cache
+
+import pytest
+
+from vitrina.llm.page_diff import extract_pages, page_lines, shared_lines
+from vitrina.llm.queries import URL_RULES
+from vitrina.llm.url_trees import UrlTrees, filter_urls, seed_labels
+
+
+def split(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+    host, rest = rest[:cut], rest[cut:]
+    end = min([rest.find(c) for c in "?#" if c in rest], default=len(rest))
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), rest[:end]
+
+
+def rule_of(url):
+    host, path = split(url)
+    fits = [r for r in URL_RULES if (host == r.partition("/")[0] or host.endswith("." + r.partition("/")[0]))
+            and path.startswith("/" + r.partition("/")[2])]
+    return max(fits, key=len) if fits else None
+
+
+URLS = [None, "", "no scheme/x", "http://", "http://a.net", "http://a.net/", "https://EXAMPLE.net/en/x?y=1", "x://example.net/en",
+        "http://notexample.net/en/1", "http://w.example.com/de/3#t", "http://org/fr/1", "http://a.org/fr?x", "http://ÄB.org/fr/",
+        "http://cheap-pills.example.com/en/1?a=1&b=2", "http://quiet.example.com/en/7", "http://x.com?u=http://a.net/", "//a.net/",
+        "http://a.net:80/", "http://win-casino.example.org/" + "p/" * 5000, "http://a.com/\n/b"]
+
+
+def test_hosts_paths_and_rules(spark):
+    train = [(f"http://{w}{k}.example.com/{k}", int("-" in w)) for k in range(30) for w in ("cheap-bets", "calm", "free-slots", "lemon")]
+    trees = UrlTrees(spark.createDataFrame(train, "url string, label int"), trees=4)
+    df = spark.createDataFrame([(k, u, "clash") for k, u in enumerate(URLS)] + [(None, URLS[5], "clash"), (5, URLS[5], "clash")],
+                               "page_id bigint, url string, host string")
+    got = filter_urls(df, trees, URL_RULES, keep=("page_id", "host")).collect()
+    assert len(got) == len(URLS) + 2
+    for r in got:
+        url = URLS[r.page_id if r.page_id is not None else 5]
+        assert ((r.host, r.path), r.rule) == (split(url), rule_of(url)), url
+        if r.rule:
+            assert r.verdict == URL_RULES[r.rule]
+    by = {r.page_id: r.verdict for r in got}
+    assert by[13] == "block" and by[14] == "allow" and by[0] == by[2] == "allow"
+    none = UrlTrees(spark.createDataFrame([], "url string, label int"))
+    assert {r.verdict for r in filter_urls(df, none, {}).collect()} == {"allow"}
+    assert filter_urls(df.limit(0), trees, URL_RULES).count() == 0
+
+
+def test_seeds(spark):
+    df = spark.createDataFrame([("http://cheap-pills.x.com/",), ("http://plain.x.com/",), ("http://two-words.x.com/",), (None,)], "url string")
+    assert {r.url: r.label for r in seed_labels(df).collect()} == {"http://cheap-pills.x.com/": 1, "http://plain.x.com/": 0}
+
+
+def test_trees_judge_unseen_hosts(spark):
+    """Held-out accuracy on hosts whose words were in no labelled URL."""
+    good = ["ban", "torment", "millionaires", "sunflowers", "ran", "pelicanbrief"]
+    bad = ["hot-deal", "buy-now", "get-rich-quick", "big-prize", "top-offers-now"]
+    train = [(f"{s}://{w}.example.{t}/en/{k}{e}", int("-" in w)) for k in range(20) for t in ("com", "org")
+             for s, e in (("http", ""), ("https", ".html")) for w in good[:4] + bad[:3]]
+    test = [(k, f"https://{w}.example.com/fr/{k}.html") for k, w in enumerate(good[4:] + bad[3:])]
+    trees = UrlTrees(spark.createDataFrame(train, "url string, label int"), trees=4)
+    got = {r.page_id: r.verdict for r in filter_urls(spark.createDataFrame(test, "page_id int, url string"), trees, {}).collect()}
+    assert got == {0: "allow", 1: "allow", 2: "block", 3: "block"}
+
+
+def lcs(a, b):
+    @cache
+    def n(i, j):
+        if i == len(a) or j == len(b):
+            return 0
+        return 1 + n(i + 1, j + 1) if a[i] == b[j] else max(n(i + 1, j), n(i, j + 1))
+    return n(0, 0)
+
+
+def test_shared_lines_are_a_longest_common_subsequence():
+    import random
+    rng = random.Random(5)
+    for _ in range(200):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randint(0, 12))] for _ in range(2))
+        got = sorted(shared_lines(a, b))
+        it = iter(b)
+        assert len(got) == lcs(tuple(a), tuple(b)) and all(a[k] in it for k in got)
+
+
+@pytest.mark.parametrize("html, text", [
+    (None, []), ("", []), ("plain &amp; simple", ["plain & simple"]),
+    ("<nav><ul><li>Menu</ul></nav><article><h1>T</h1><p><b>One<br>two<p>three &eacute;</article><footer>F</footer>", ["T", "One two", "three é"]),
+    ("<article><p>a</p><aside>side</aside><form>f</form><div class='post-comments'>c</div><script>var t='</p>x'</script><p>b</article>", ["a", "b"]),
+    ("<article><header><h1>T</h1></header><p>x &lt; y</p>", ["T", "x < y"]),
+    ("<div id=cookieNotice>We use</div><article>t<!-- no --> u</article>", ["t u"]),
+    ("<article><p>cut &am", ["cut &am"]), ("<article><p>cut <a hre", ["cut"]), ("<p>1 < 2 and 3 > 2</p>", ["1 < 2 and 3 > 2"]),
+])
+def test_page_lines(html, text):
+    lines, has_article = page_lines(html or "")
+    assert [t for t, inside in lines if inside or not has_article] == text
+
+
+def test_differencing(spark):
+    def page(own, article=False):
+        body = f"<article><p>Shared line</p><p>{own}</p></article>" if article else f"<p>{own}</p>"
+        return f"<body><div>Site name</div><p>Shared line</p>{body}<div>Contact us</div></body>"
+    rows = [(1, "http://h.com/a/1", page("first text")), (2, "http://h.com/a/2", page("second text")),
+            (3, "http://h.com/b/1", page("third text", True)), (4, "http://other.com/a/1", page("alone")),
+            (5, None, None), (6, "http://h.com/c", "<p>copy</p>"), (7, "http://h.com/c", "<p>copy</p>"), (8, "http://z.com/x", "")]
+    df = spark.createDataFrame([(*r, 5) for r in rows], "page_id bigint, url string, html string, n_chars int").coalesce(1)
+    got = {r.page_id: (r.text, r.n_chars) for r in extract_pages(df).collect()}
+    assert len(got) == len(rows)
+    assert got[1][0] == "first text" and got[2][0] == "second text" and got[3][0] == "Shared line\n\nthird text"
+    assert got[4][0] == "Site name\n\nShared line\n\nalone\n\nContact us"
+    assert got[5] == ("", 0) and got[8] == ("", 0) and got[6] == got[7] == ("copy", 4)
+    assert all(n == len(t) for t, n in got.values())
+    assert extract_pages(df.limit(0)).count() == 0
