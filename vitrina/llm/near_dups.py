@@ -15,9 +15,8 @@
 5. That is not yet every pair: nodes of one key that the hub did not bring together may still be
    alike.  Keys whose nodes lie in different components are gone through in blocks of
    about ``BLOCK`` nodes, each against the blocks of nodes outside the key's largest
-   component; pairs of different components within the distance
-   are confirmed on their full sets, the nearest first, until a pass finds no link and all pairs
-   left have been confirmed.  Pairs inside a component cannot change it and are not looked at.
+   component; pairs of different components within the distance are confirmed on their full
+   sets: first the nearest of each node, then all that still lie apart.  Pairs inside a component cannot change it and are not looked at.
 6. Components by large-star and small-star steps over the links.
 
 No group is collected: copies are aggregated before the shuffle, stars are joins that adaptive
@@ -223,8 +222,8 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.filter("ca <> cb").select("a", "b")
 
 
-def _meets_here(key: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Which signature pairs (rows of x and y) have ``key`` as their first common key: a pair is
+def _meets_here(key: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which signature pairs (rows of x and y) have their ``key`` as first common key: a pair is
     looked at under many keys and given under one."""
     differs = x != y
     place = np.full(len(x), -1)
@@ -270,32 +269,51 @@ def _block_pairs(members: DataFrame, nearest: bool) -> DataFrame:
         if held:
             yield held
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups(batches):
-            left, right = [r for r in group if not r[3]], [r for r in group if r[3]]
-            if not left or not right:
-                continue
-            sl, sr = (np.frombuffer(b"".join(r[6] for r in s), np.uint16).reshape(-1, PLACES) for s in (left, right))
-            nl, nr = (np.array([r[4] for r in s]) for s in (left, right))
-            cl, cr = (np.array([r[5] for r in s]) for s in (left, right))
+    def candidates(group: list[tuple], number: int):
+        """(group, key, a, b, component of a, distance, signatures of a and b) of its near pairs."""
+        left, right = [r for r in group if not r[3]], [r for r in group if r[3]]
+        if not left or not right:
+            return None
+        sl, sr = (np.frombuffer(b"".join(r[6] for r in s), np.uint16).reshape(-1, PLACES) for s in (left, right))
+        nl, nr = (np.array([r[4] for r in s]) for s in (left, right))
+        cl, cr = (np.array([r[5] for r in s]) for s in (left, right))
+        if len(nl) * len(nr) <= 4096:
+            distance = (sl[:, None, :] != sr[None, :, :]).sum(axis=2)
+        else:
             distance = np.zeros((len(nl), len(nr)), np.uint8)
             for p in range(PLACES):
                 distance += sl[:, p][:, None] != sr[:, p][None, :]
-            # two nodes apart meet on both sides: take them in one order
-            both_apart = np.isin(nl, nr)[:, None] if len(nl) else np.zeros((0, 1), bool)
-            ok = (distance <= ERRORS) & (cl[:, None] != cr[None, :]) & (~both_apart | (nl[:, None] < nr[None, :]))
-            a, b = np.nonzero(ok)
-            if len(a):
-                here = _meets_here(group[0][0], sl[a], sr[b])
-                a, b = a[here], b[here]
-            if nearest and len(a):
-                order = np.lexsort((nl[a], distance[a, b], cl[a], b))
-                a, b = a[order], b[order]
-                first = np.ones(len(a), bool)
-                first[1:] = (b[1:] != b[:-1]) | (cl[a][1:] != cl[a][:-1])
-                a, b = a[first], b[first]
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(nl[a]), pa.array(nr[b])], names=["a", "b"])
+        # two nodes apart meet on both sides: take them in one order
+        ordered = ~np.isin(nl, nr)[:, None] | (nl[:, None] < nr[None, :])
+        a, b = np.nonzero((distance <= ERRORS) & (cl[:, None] != cr[None, :]) & ordered)
+        if not len(a):
+            return None
+        return (np.full(len(a), number), np.full(len(a), group[0][0]), nl[a], nr[b], cl[a], distance[a, b], sl[a], sr[b])
+
+    def chosen(found: list[tuple]) -> pa.RecordBatch:
+        group, key, a, b, ca, distance, x, y = (np.concatenate(c) for c in zip(*found))
+        here = _meets_here(key, x, y)
+        group, a, b, ca, distance = (c[here] for c in (group, a, b, ca, distance))
+        if nearest and len(a):
+            order = np.lexsort((a, distance, ca, b, group))
+            group, a, b, ca = (c[order] for c in (group, a, b, ca))
+            first = np.ones(len(a), bool)
+            first[1:] = (group[1:] != group[:-1]) | (b[1:] != b[:-1]) | (ca[1:] != ca[:-1])
+            a, b = a[first], b[first]
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
+        for number, group in enumerate(groups(batches)):
+            some = candidates(group, number)
+            if some is not None:
+                found.append(some)
+                size += len(some[0])
+            if size > 50_000:
+                yield chosen(found)
+                found, size = [], 0
+        if found:
+            yield chosen(found)
 
     return rows.mapInArrow(pairs, "a bigint, b bigint").distinct()
 
@@ -326,23 +344,14 @@ def near_duplicates(df: DataFrame, words: int = 4, percent: int = 80, id_col: st
 
     # Keys whose nodes, without the hub, are in different components.
     others = stars.filter("n > 2").select("key", "node")
-    nearest = True
-    while True:
+    for nearest in (True, False):
         named = _labelled(others, labels)
         open_keys = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
         members = named.join(open_keys.select("key"), "key", "left_semi").join(nodes.select("node", "sig"), "node")
         members = materialize(members.select("key", "node", "component", "sig"), "members")
         if members.isEmpty():
             break
-        found = materialize(_confirmed(_block_pairs(members, nearest), texts, words, percent), "links")
-        if not nearest:
-            links.append(found)
-            labels = materialize(components(reduce(DataFrame.union, links)), "labels")
-            break
-        if found.isEmpty():
-            nearest = False
-            continue
-        links.append(found)
+        links.append(materialize(_confirmed(_block_pairs(members, nearest), texts, words, percent), "links"))
         labels = materialize(components(reduce(DataFrame.union, links)), "labels")
 
     named = _labelled(nodes.select("set_key", "node"), labels).select("set_key", "component")
