@@ -1,7 +1,6 @@
 """Operators on literal frames: edge cases, plus randomized checks of the
 rewritten forms against the literal (brute-force) forms."""
 
-import duckdb
 import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
