@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from vitrina.llm import near_dups
-from vitrina.llm.decontam import ItemMatcher, best_match, contaminated, decontaminate, masks, normalise, pieces
+from vitrina.llm.decontam import best_match, contaminated, decontaminate, masks, normalise, pieces
 from vitrina.llm.near_dups import chunk_keys, components, near_duplicates, shingle_sets, signatures, without_near_duplicates
 
 WORDS = [a + b for a in ("ka", "lo", "mi", "ne", "tu", "ra") for b in ("s", "n", "rt", "x", "l")]
