@@ -145,6 +145,20 @@ def test_every_pair_within_the_distance_shares_a_key():
     assert all((a[k] == b[k]).any() for k in range(200))
 
 
+def test_bucket_counts_bound_the_intersection():
+    rng = np.random.default_rng(4)
+    for n in (1, 30, 400, 200_000):
+        x = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        for keep in (0.5, 0.85, 0.9, 1.0):
+            y = np.unique(np.concatenate([x[:int(len(x) * keep)], rng.integers(0, 2**63, n - int(len(x) * keep)).astype(np.uint64)]))
+            both = len(np.intersect1d(x, y))
+            rows = [np.frombuffer(near_dups.bucket_counts(s), np.uint8)[None] for s in (x, y)]
+            can = near_dups.may_link(*rows, np.array([len(x)]), np.array([len(y)]), 80)[0]
+            assert can or 100 * both < 80 * (len(x) + len(y) - both)
+            if n == 400 and keep == 0.5:
+                assert not can
+
+
 def test_signature_estimates_similarity():
     x = np.unique(np.random.default_rng(0).integers(0, 2**63, 4000).astype(np.uint64))
     s = signatures([x[:3000], x[600:3600]])

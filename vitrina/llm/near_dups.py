@@ -16,7 +16,9 @@
    alike.  Keys whose nodes lie in different components are gone through in blocks of
    about ``BLOCK`` nodes, each against the blocks of nodes outside the key's largest
    component; pairs of different components within the distance are confirmed on their full
-   sets: first the nearest of each node, then all that still lie apart.  Pairs inside a component cannot change it and are not looked at.
+   sets: first the nearest of each node, then all that still lie apart.  Counts of each set by
+   ``BUCKETS`` hash buckets bound an intersection from above; pairs that this bound shows to be
+   unlike are not looked at further.  Pairs inside a component cannot change it and are not looked at.
 6. Components by large-star and small-star steps over the links.
 
 No group is collected: copies are aggregated before the shuffle, stars are joins that adaptive
@@ -44,6 +46,7 @@ from vitrina.session import materialize
 
 PLACES, CHUNKS, ERRORS = 64, 13, 25
 BLOCK = 512
+BUCKETS = 512  # of a set's counts by hash, for a safe upper bound of an intersection
 BROADCAST_IDS = 1_000_000  # keys of 8 bytes: what a broadcast of this many holds is bounded
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -222,6 +225,36 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.filter("ca <> cb").select("a", "b")
 
 
+def bucket_counts(s: np.ndarray) -> bytes:
+    """How many elements of a set fall into each bucket; 255 stands for "255 or more"."""
+    counts = np.bincount((s % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def may_link(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, percent: int) -> np.ndarray:
+    """Whether pairs of sets (rows of bucket counts, sizes) can be alike: the sum of the smaller counts
+    of all buckets is at least the size of the intersection, so no alike pair is turned away.  A size
+    below 0 (a key with several texts) turns nothing away."""
+    most = np.empty(len(x), np.int64)
+    for at in range(0, len(x), 4096):
+        least = np.minimum(x[at:at + 4096], y[at:at + 4096])
+        most[at:at + 4096] = np.where((least == 255).any(axis=1), 1 << 40, least.sum(axis=1, dtype=np.int64))
+    most = np.minimum(most, np.minimum(nx, ny))
+    return (nx < 0) | (ny < 0) | (100 * most >= percent * (nx + ny - most))
+
+
+def _counted(texts: DataFrame, words: int) -> DataFrame:
+    """node, n, buckets of every text."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(at, 1024) for b in batches for at in range(0, b.num_rows, 1024)):
+            sets = list(shingle_sets(batch.column(1).to_pylist(), words))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(map(bucket_counts, sets), pa.binary())],
+                names=["node", "n", "buckets"])
+
+    return texts.mapInArrow(count, "node bigint, n bigint, buckets binary")
+
+
 def _meets_here(key: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Which signature pairs (rows of x and y) have their ``key`` as first common key: a pair is
     looked at under many keys and given under one."""
@@ -235,9 +268,10 @@ def _meets_here(key: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return keys == key
 
 
-def _block_pairs(members: DataFrame, nearest: bool) -> DataFrame:
-    """Pairs (a, b) of one key and different components within the distance.
-    members: key, node, component, sig.  ``nearest``: of each node and other component only the nearest.
+def _block_pairs(members: DataFrame, nearest: bool, percent: int) -> DataFrame:
+    """Pairs (a, b) of one key and different components within the distance, without those that the
+    bucket counts show to be unlike.
+    members: key, node, component, sig, n, buckets.  ``nearest``: of each node and other component only the nearest.
 
     Most of a key's nodes are in one component, and pairs inside it are not looked at: the key's
     largest component is cut into blocks, the other nodes ("apart") too, and every block meets
@@ -250,9 +284,9 @@ def _block_pairs(members: DataFrame, nearest: bool) -> DataFrame:
     rows = members.join(sizes, "key").withColumn("apart", F.col("component") != F.col("top"))
     zero = F.lit(0).cast("long")
     in_x = rows.select("key", F.pmod(h, F.col("xs")).alias("i"), F.explode(F.sequence(zero, F.col("ys") - 1)).alias("j"),
-                       F.lit(False).alias("right"), "node", "component", "sig")
+                       F.lit(False).alias("right"), "node", "component", "sig", "n", "buckets")
     in_y = rows.filter("apart").select("key", F.explode(F.sequence(zero, F.col("xs") - 1)).alias("i"),
-                                       F.pmod(h, F.col("ys")).alias("j"), F.lit(True).alias("right"), "node", "component", "sig")
+                                       F.pmod(h, F.col("ys")).alias("j"), F.lit(True).alias("right"), "node", "component", "sig", "n", "buckets")
     rows = in_x.union(in_y).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "right", "node")
 
     def groups(batches):
@@ -260,7 +294,7 @@ def _block_pairs(members: DataFrame, nearest: bool) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                for row in zip(*(part.column(c).to_pylist() for c in range(7))):
+                for row in zip(*(part.column(c).to_pylist() for c in range(9))):
                     if row[:3] != key and held:
                         yield held
                         held = []
@@ -286,6 +320,14 @@ def _block_pairs(members: DataFrame, nearest: bool) -> DataFrame:
         # two nodes apart meet on both sides: take them in one order
         ordered = ~np.isin(nl, nr)[:, None] | (nl[:, None] < nr[None, :])
         a, b = np.nonzero((distance <= ERRORS) & (cl[:, None] != cr[None, :]) & ordered)
+        if not len(a):
+            return None
+        hl, hr = (np.frombuffer(b"".join(r[8] for r in s), np.uint8).reshape(-1, BUCKETS) for s in (left, right))
+        zl, zr = (np.array([r[7] for r in s]) for s in (left, right))
+        able = may_link(hl[a], hr[b], zl[a], zr[b], percent) if len(a) <= 20_000 else np.concatenate(
+            [may_link(hl[a[k:k + 20_000]], hr[b[k:k + 20_000]], zl[a[k:k + 20_000]], zr[b[k:k + 20_000]], percent)
+             for k in range(0, len(a), 20_000)])
+        a, b = a[able], b[able]
         if not len(a):
             return None
         return (np.full(len(a), number), np.full(len(a), group[0][0]), nl[a], nr[b], cl[a], distance[a, b], sl[a], sr[b])
@@ -344,6 +386,7 @@ def near_duplicates(df: DataFrame, words: int = 4, percent: int = 80, id_col: st
 
     # Keys whose nodes, without the hub, are in different components.
     others = stars.filter("n > 2").select("key", "node")
+    counted = None
     for nearest in (True, False):
         named = _labelled(others, labels)
         open_keys = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
@@ -351,7 +394,13 @@ def near_duplicates(df: DataFrame, words: int = 4, percent: int = 80, id_col: st
         members = materialize(members.select("key", "node", "component", "sig"), "members")
         if members.isEmpty():
             break
-        links.append(materialize(_confirmed(_block_pairs(members, nearest), texts, words, percent), "links"))
+        if counted is None:  # the nodes of the second pass are among those of the first
+            counted = _counted(texts.join(members.select("node").distinct(), "node", "left_semi"), words)
+            counted = materialize(counted.groupBy("node").agg(
+                F.when(F.count(F.lit(1)) == 1, F.first("n")).otherwise(F.lit(-1)).alias("n"),
+                F.first("buckets").alias("buckets")), "counted")
+        sized = members.join(counted, "node").select("key", "node", "component", "sig", "n", "buckets")
+        links.append(materialize(_confirmed(_block_pairs(sized, nearest, percent), texts, words, percent), "links"))
         labels = materialize(components(reduce(DataFrame.union, links)), "labels")
 
     named = _labelled(nodes.select("set_key", "node"), labels).select("set_key", "component")
