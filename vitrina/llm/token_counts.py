@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 from operator import sub
 
 import numpy as np
@@ -30,9 +31,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from vitrina.llm.pieces import ByteLevelEncoder, Generations, encode_texts, worker_encoder
+from vitrina.llm.pieces import ByteLevelEncoder, Generations, byte_alphabet, encode_texts, worker_encoder
 
 SHARED = 64  # bytes; the states of longer words are not kept
+_CONTINUES = frozenset(sign for byte, sign in byte_alphabet().items() if 0x80 <= byte < 0xC0)
 _RUN = re.compile(r"\s*\S+|\s+")
 
 
@@ -57,7 +59,7 @@ class PrefixCounter(ByteLevelEncoder):
         if len(word) > SHARED:
             return self._long_counts(word)
         states = self.states
-        if len(states) > 1_200_000:
+        if len(states) > 800_000:
             states.clear()
         low, high = 0, len(word)  # the longest prefix that an earlier word had
         while low < high:
@@ -66,14 +68,28 @@ class PrefixCounter(ByteLevelEncoder):
                 low = middle
             else:
                 high = middle - 1
-        counts = states[word[:low]][1] if low else b""
+        last, counts = states[word[:low]] if low else ("", b"")
+        vocab, alone = self.vocab, self.pairs.young
         for i in range(low + 1, len(word) + 1):
             prefix = word[:i]
-            if prefix in self.vocab:
+            if prefix in vocab:
                 last, n = prefix, 1
             else:
-                last, j = self._last_token(prefix, lambda j: states[word[:j]][0])
-                n = counts[j - 1] + 1
+                # Most likely the new token starts where the last one did, or after that.
+                was = max(i - 1 - len(last), 1)
+                for j in chain(range(was, i), range(was - 1, 0, -1)):
+                    token = word[j:i]
+                    if token in vocab:
+                        pair = (states[word[:j]][0], token)
+                        follows = alone.get(pair)
+                        if follows is None:
+                            follows = self.pairs.fill((pair,))[pair]
+                            alone = self.pairs.young
+                        if follows:
+                            break
+                else:
+                    raise ValueError(f"no token of the vocabulary ends {prefix!r}: not a closed byte-level vocabulary")
+                last, n = token, counts[j - 1] + 1
             counts += n.to_bytes()
             states[prefix] = (last, counts)
         if counts and counts[-1] != len(self.tok.model.tokenize(word)):  # the check against the library
@@ -117,21 +133,14 @@ class PrefixCounter(ByteLevelEncoder):
         for word in words:
             counts = self.byte_counts(word)
             if not word.isascii():
-                ends = [k for k, w in enumerate(word) if k + 1 == len(word) or not self._continues(word[k + 1])]
-                counts = [counts[k] for k in ends]
+                counts = [c for c, after in zip(counts, word[1:] + "a") if after not in _CONTINUES]
             out.append(_changes(counts))
         return out
 
-    _CONTINUES: frozenset = frozenset()
-
-    def _continues(self, sign: str) -> bool:
-        if not self._CONTINUES:
-            from vitrina.llm.pieces import byte_alphabet
-
-            type(self)._CONTINUES = frozenset(c for b, c in byte_alphabet().items() if 0x80 <= b < 0xC0)
-        return sign in self._CONTINUES
-
     def cut_words(self, piece: str, blank: str) -> list[str] | None:
+        words = self.simple_words(piece, blank)
+        if words:
+            return words
         words = super().cut_words(piece, blank)
         if words is not None and ("'" in piece or re.search(r"\s\s", blank + piece)):
             return None  # a prefix may be cut into words differently: see ``whole``
