@@ -45,7 +45,7 @@ from vitrina.llm.pieces import small_runs
 from vitrina.session import materialize
 
 PLACES, CHUNKS, ERRORS = 64, 13, 25
-BLOCK = 512
+BLOCK = 256
 BUCKETS = 512  # of a set's counts by hash, for a safe upper bound of an intersection
 BROADCAST_IDS = 1_000_000  # keys of 8 bytes: what a broadcast of this many holds is bounded
 
@@ -334,7 +334,8 @@ def _block_pairs(members: DataFrame, nearest: bool, percent: int) -> DataFrame:
 
     def chosen(found: list[tuple]) -> pa.RecordBatch:
         group, key, a, b, ca, distance, x, y = (np.concatenate(c) for c in zip(*found))
-        here = _meets_here(key, x, y)
+        here = np.concatenate([_meets_here(key[k:k + 20_000], x[k:k + 20_000], y[k:k + 20_000])
+                               for k in range(0, len(key), 20_000)])
         group, a, b, ca, distance = (c[here] for c in (group, a, b, ca, distance))
         if nearest and len(a):
             order = np.lexsort((a, distance, ca, b, group))
