@@ -100,6 +100,26 @@ def test_page_lines(html, text):
     assert [t for t, inside in lines if inside or not has_article] == text
 
 
+MAIN = "<article><h1>T</h1><p>main</p></article>"
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<body><div class='ad'>Buy{MAIN}<footer>F</footer></body>", ["T", "main"]),
+    (f"<body><div id=wrap><div class='ad'><p>Buy</p>{MAIN}</div></body>", ["T", "main"]),
+    (f"<body><nav><ul><li>Menu</ul>{MAIN}<nav>More</nav></body>", ["T", "main"]),
+    (f"<body><aside>Side{MAIN}", ["T", "main"]),
+    (f"<body><p class=promo>Buy{MAIN}</body>", ["T", "main"]),
+    (f"<body>{MAIN}<div class=comments><div><article>c1</article><article>c2</article></body>", ["T", "main"]),
+    (f"<body><nav>Menu<section class='related-posts'><article>other</article></section>{MAIN}</body>", ["T", "main"]),
+    (f"<body><nav>Menu<article class='comment'>c</article>{MAIN}</body>", ["T", "main"]),
+    ("<body><header><article>teaser</article></header><p>main</p></body>", ["main"]),
+    ("<body><aside><article>card</article></aside><p>main</p></body>", ["main"]),
+])
+def test_unclosed_furniture_ends_at_the_article(html, text):
+    lines, has_article = page_lines(html)
+    assert [t for t, inside in lines if inside or not has_article] == text
+
+
 def test_differencing(spark):
     def page(own, article=False):
         body = f"<article><p>Shared line</p><p>{own}</p></article>" if article else f"<p>{own}</p>"
