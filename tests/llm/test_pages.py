@@ -4,7 +4,7 @@ from functools import cache
 
 import pytest
 
-from vitrina.llm.page_diff import extract_pages, page_lines, shared_lines
+from vitrina.llm.page_diff import common_prefix, extract_pages, main_text, page_lines, shared_lines
 from vitrina.llm.queries import URL_RULES
 from vitrina.llm.url_trees import UrlTrees, filter_urls, seed_labels
 
@@ -135,3 +135,30 @@ def test_differencing(spark):
     assert got[5] == ("", 0) and got[8] == ("", 0) and got[6] == got[7] == ("copy", 4)
     assert all(n == len(t) for t, n in got.values())
     assert extract_pages(df.limit(0)).count() == 0
+
+
+def test_neighbours_across_ranges(spark):
+    """Every page equals a brute force over the host's whole order, however many ranges there are."""
+    def page(k):
+        own = "".join(f"<p>own {k} {i}</p>" for i in range(k % 3 + 1))
+        return f"<body><div>Site {k % 2}</div><p>Title</p>{own}<div>Contact us</div></body>"
+    urls = [f"http://h{k % 3 if k < 60 else k}.com/{'abc'[k % 7 % 3]}/{k % 11}" for k in range(72)] + [None, None]
+    rows = [(k, u, page(k)) for k, u in enumerate(urls)]
+    order = sorted(((*split(u), k, page_lines(h)) for k, u, h in rows))
+    pages = [{"host": h, "path": p, "lines": lines, "article": a, "id": k} for h, p, k, (lines, a) in order]
+    want = {}
+    for i, me in enumerate(pages):
+        near = [pages[j] for j in (i - 1, i + 1) if 0 <= j < len(pages) and pages[j]["host"] == me["host"]]
+        want[me["id"]] = main_text(me, max(near, key=lambda x: common_prefix(x["path"], me["path"])) if near else None)
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    setting, old = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions"), {}
+    for ranges in (1, 7, 40, 200):
+        old = old or {k: spark.conf.get(k) for k in setting}
+        try:
+            spark.conf.set(setting[0], "false")
+            spark.conf.set(setting[1], str(ranges))
+            got = {r.page_id: r.text for r in extract_pages(df).collect()}
+        finally:
+            for k, v in old.items():
+                spark.conf.set(k, v)
+        assert got == want, ranges
