@@ -132,3 +132,33 @@ def test_pack(spark):
     seqs = packed_sequences(spark.createDataFrame(rows), pieces).collect()
     assert len(seqs) == len(bins) and all(len(s.ids) == 4 * s.n_tokens for s in seqs)
     assert pack(token_pieces(df.limit(0), WORD)).count() == 0
+
+
+def test_packing_groups_stay_bounded(spark, monkeypatch):
+    """Mid-length pieces: the bound lies below best fit, so nearly all bins stay open in every round."""
+    from vitrina.llm import packing
+    make, rounds = packing._repack, spark.sparkContext.accumulator(0)
+
+    def watched(capacity, first):
+        repack = make(capacity, first)
+
+        def run(pdf):
+            assert len(pdf) <= 100, f"a group of {len(pdf)} pieces"
+            if not first:
+                rounds.add(1)
+            return repack(pdf)
+        return run
+
+    monkeypatch.setattr(packing, "_repack", watched)
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(1100, 1801, 700).tolist()
+    df = spark.createDataFrame([(k, 0, 0, n, k) for k, n in enumerate(lengths)], packing.PIECES)
+    rows = pack(df, 4096, per_part=32).collect()
+    assert sorted((r.doc_id, r.length) for r in rows) == list(enumerate(lengths))
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for items in bins.values():
+        items.sort()
+        assert items[0][0] == 0 and all(a + s == b for (a, s), (b, _) in zip(items, items[1:])) and sum(items[-1]) <= 4096
+    assert rounds.value > 0 and len(bins) <= 1.03 * best_fit_decreasing(np.array(lengths), 4096)[2]

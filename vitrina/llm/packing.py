@@ -11,9 +11,12 @@ sequences of that capacity.
    count that equals the bound is certified: no packing of those pieces is better.
 3. A partition with a gap releases all its bins that are not full; a certified one
    only its emptiest bin (rounding up may have cost it one).  Released bins are
-   dealt anew, whole, into fewer partitions and packed again.  A partition keeps
-   its old bins where the new packing has no fewer.  This goes on until one
-   partition holds what is left, or a round over few partitions gains nothing.
+   dealt anew, whole, by a new hash into as many partitions as hold about
+   ``per_part`` pieces each, and packed again.  A partition keeps its old bins
+   where the new packing has no fewer.  This goes on until nothing is left, one
+   such partition held all that was left, or a round neither saves one bin of
+   ``GAIN`` nor leaves fewer partitions.  So the groups stay of one size however
+   far best fit ends from the bound; then a gap remains.
 
 Each round touches only released bins and is written to the shared folder, so a
 lost executor repeats one round at most.  Only lengths and keys travel, no text.
@@ -37,6 +40,7 @@ from vitrina.session import materialize
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PER_PART = 2048
+GAIN = 1000  # a round must save one of so many bins, else it is the last
 
 
 def token_pieces(df: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1,
@@ -141,7 +145,7 @@ def pack(pieces: DataFrame, capacity: int = 4096, per_part: int = PER_PART, roun
     done: list[DataFrame] = []
     dealt = F.pmod(F.xxhash64(*names), F.lit(parts))
     used = 0  # partition numbers of earlier rounds, so sequence ids never meet
-    last_bins = None
+    bins = None  # bins dealt into the round
     for turn in range(rounds):
         rows = todo.withColumn("part", dealt + F.lit(used))
         if turn == 0:
@@ -150,12 +154,16 @@ def pack(pieces: DataFrame, capacity: int = 4096, per_part: int = PER_PART, roun
         packed = materialize(rows.groupBy("part").applyInPandas(_repack(capacity, turn == 0), schema), "pack-round")
         done.append(packed.filter(~F.col("open")))
         todo = packed.filter("open")
-        left, bins = todo.agg(F.count(F.lit(1)), F.count_distinct("sequence_id")).first()
-        if parts == 1 or not left or (last_bins is not None and bins >= last_bins and parts < 8):
+        by_bin = packed.groupBy("sequence_id").agg(F.max("open").alias("open"), F.count(F.lit(1)).alias("n"))
+        total, open_bins, left = by_bin.agg(F.count(F.lit(1)), F.count_if("open"), F.sum(F.when(F.col("open"), F.col("n")))).first()
+        left = left or 0
+        needed = -(-left // per_part)
+        gained = bins is None or (bins - total) * GAIN >= max(bins, 1)
+        if parts == 1 or not left or not (gained or needed < parts):
             done.append(todo)
             break
-        used, last_bins = used + parts, bins
-        parts = max(1, min(parts // 4, -(-left // per_part))) if parts > 1 else 1
+        used, bins = used + parts, open_bins
+        parts = needed
         dealt = F.pmod(F.xxhash64("sequence_id", F.lit(turn)), F.lit(parts))
     else:
         done.append(todo)
