@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 
 from vitrina.llm.quote_links import parse, reply_ordered
@@ -68,3 +71,56 @@ def test_empty_table(spark):
 @pytest.mark.parametrize("text, levels", [(">a\n> b\n>> c\nd", [1, 2]), ("no", []), ("  > x", [1]), ("> > >y", [3])])
 def test_levels(text, levels):
     assert [q[0] for q in parse(text)[2]] == levels
+
+
+def plain(text):
+    """Words and marks in small letters, one blank between them."""
+    return " " + " ".join(re.findall(r"\w+|[^\w\s]", text.lower())) + " "
+
+
+def parts(text):
+    """The whole, the lines and the sentences of a message's own text."""
+    return {plain(p) for p in (text, *text.split("\n"), *re.split(r"(?<=[.!?])\s+", text.replace("\n", " ")))}
+
+
+def source(messages, turn, quote):
+    """The nearest earlier message that has the quote as a part of its own, else anywhere in its text."""
+    earlier = [(t, own) for t, own in messages if t < turn]
+    same = [t for t, own in earlier if plain(quote) in parts(own)]
+    inside = [t for t, own in earlier if plain(quote) in plain(own)]
+    return max(same) if same else max(inside) if inside else None
+
+
+def test_partial_quotes_equal_substring_search(spark):
+    """Quotes of any run of words, cut into lines of their own, against a search of every earlier text."""
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(14)]
+    rows, want = [], {}
+    for conv in range(6):
+        messages = []
+        for turn in range(25):
+            own = " ".join(rng.choice(words) + rng.choice(["", "", "", ",", ".", "?", "\n"]) for _ in range(rng.randint(3, 25)))
+            quote = None
+            if messages and rng.random() < 0.7:
+                of = rng.choice(messages)[1].split()
+                a = rng.randrange(len(of))
+                quote = of[a:a + rng.randint(1, 12)]
+                wrapped = "".join(w + rng.choice([" ", " ", "\n> "]) for w in quote[:-1]) + quote[-1]
+                want[conv, turn] = source(messages, turn, " ".join(quote))
+            rows.append((conv, turn, "user", (f"> {wrapped}\n" if quote else "") + own))
+            messages.append((turn, own))
+    got = reply_ordered(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
+    got = {(r.conv_id, r.turn): r.reply_to for r in got.collect() if r.n_quotes}
+    assert None not in want.values() and got == want
+
+
+def test_partial_quotes(spark):
+    rows = [("a", 0, "user", "Fine, thanks. And you? We meet at noon, then."),
+            ("a", 1, "user", "One long line that the mail program wraps\nand a second line that follows it.\nEnd."),
+            ("a", 2, "user", "> And you?\nWell."), ("a", 3, "user", "> meet at noon\nYes."),
+            ("a", 4, "user", "> One long line that the\n> mail program wraps and a second\n> line that follows it.\nSure."),
+            ("a", 5, "user", "> Nobody said so. We meet at noon, then.\nGood."), ("a", 6, "user", "> eet at noo\nNo."),
+            ("b", 0, "user", "> And you?\nOther conversation."), ("b", 1, "user", "今天天气很好。你呢？"), ("b", 2, "user", "> 天气很好\nx")]
+    got = reply_ordered(spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")).collect()
+    assert {(r.conv_id, r.turn): r.reply_to for r in got if r.n_quotes} == {
+        ("a", 2): 0, ("a", 3): 0, ("a", 4): 1, ("a", 5): 0, ("a", 6): None, ("b", 0): None, ("b", 2): 1}
