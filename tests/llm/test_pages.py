@@ -6,7 +6,7 @@ import pytest
 
 from vitrina.llm.page_diff import common_prefix, extract_pages, main_text, page_lines, shared_lines
 from vitrina.llm.queries import URL_RULES
-from vitrina.llm.url_trees import UrlTrees, filter_urls, seed_labels
+from vitrina.llm.url_trees import UrlTrees, _lexical, filter_urls, seed_labels
 
 
 def split(url):
@@ -68,6 +68,25 @@ def test_trees_judge_unseen_hosts(spark):
     assert got == {0: "allow", 1: "allow", 2: "block", 3: "block"}
 
 
+def test_suffix_statistics_cover_all_labelled_urls(spark):
+    """Far more labelled URLs than the trees are fitted on: every suffix has its own share."""
+    train = [(f"http://{w}{k}.d{k % 40}.{t}/{k}", int("-" in w)) for k in range(120) for w, t in (("cheap-", "com"), ("calm", "org"))]
+    train += [(f"http://x-y{k}.d1.com/{k}", 0) for k in range(3)] + train[:5]
+    trees = UrlTrees(spark.createDataFrame(train, "url string, label int"), max_labelled=20, trees=2)
+    want = {}
+    for url, label in set(train):
+        last = split(url)[0].split(".")
+        for n in (1, 2):
+            want.setdefault((n, ".".join(last[-n:])), []).append(label)
+    urls = [(f"http://new.d{k}.{t}/",) for k in range(41) for t in ("com", "org")] + [(None,), ("http://new.net/",), ("http:///x",)]
+    got = trees._with_stats(_lexical(spark.createDataFrame(urls, "url string"), "url")).collect()
+    assert len(got) == len(urls)
+    for r in got:
+        for n, suffix, value in ((1, r.suffix1, r.f_suffix1), (2, r.suffix2, r.f_suffix2)):
+            labels = want.get((n, suffix), [])
+            assert value == pytest.approx((sum(labels) + 1) / (len(labels) + 2)), suffix
+
+
 def lcs(a, b):
     @cache
     def n(i, j):

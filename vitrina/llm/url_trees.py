@@ -3,8 +3,9 @@
 Features of a URL: its length, the length of host and path, path depth, labels in the host, share
 of digits, entropy of the host's characters, hyphens in the host, number of parameters, a fragment
 mark, and two suffix statistics: how often labelled URLs with the same last label, and with the same
-last two labels, are blocked (smoothed; from the labelled URLs alone).  They are Spark columns; the
-trees are Spark ML's, trained on labelled URLs (at most ``max_labelled``, by the hash of the URL).
+last two labels, are blocked (smoothed; counted in Spark over all labelled URLs, joined to the URLs and
+broadcast only below ``STATS_MAX_BYTES``).  They are Spark columns; the trees are Spark ML's, trained on
+labelled URLs (at most ``max_labelled``, by the hash of the URL).
 
 Without a labelled set of its own the caller can mark seeds: hosts with one of ``SEED_WORDS`` as a
 hyphened part of a label count as blocked, hosts without a hyphen as allowed; other hosts are not
@@ -19,6 +20,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from vitrina.operators.broadcast import checked_broadcast
+from vitrina.session import materialize
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Words of hosts that advertise or deceive, as a labelled seed.
@@ -26,6 +30,8 @@ SEED_WORDS = ("casino", "pills", "bets", "spam", "ads", "track", "win", "cheap",
               "lottery", "jackpot", "slots")
 FEATURES = ("f_length", "f_host", "f_path", "f_depth", "f_labels", "f_digits", "f_entropy", "f_hyphens", "f_params",
             "f_fragment", "f_suffix1", "f_suffix2")
+SUFFIXES = ("suffix1", "suffix2")
+STATS_MAX_BYTES = 8 << 20  # estimated bytes of one suffix table
 
 
 def host_of(url: Column) -> Column:
@@ -72,6 +78,11 @@ def _lexical(df: DataFrame, url_col: str) -> DataFrame:
     }
     for name, value in values.items():
         df = df.withColumn(name, value.cast("double"))
+    return _suffixes(df)
+
+
+def _suffixes(df: DataFrame) -> DataFrame:
+    """Adds the last label and the last two labels of column host."""
     labels = F.split("host", r"\.")
     return (df.withColumn("suffix1", F.element_at(labels, -1))
             .withColumn("suffix2", F.concat_ws(".", F.slice(labels, -F.least(F.size(labels), F.lit(2)),
@@ -101,25 +112,25 @@ class UrlTrees:
                   .union(rows.filter("label = 0").orderBy(*order).limit(half))).collect()  # bounded by max_labelled
         self.constant = None
         classes = {r["label"] for r in sample}
-        self.stats: dict[str, dict[str, float]] = {"suffix1": {}, "suffix2": {}}
+        self.stats: dict[str, DataFrame] = {}
         if len(classes) < 2:
             self.constant = "block" if classes == {1} else "allow"
             return
         spark = labelled.sparkSession
         frame = _lexical(spark.createDataFrame([(r["url"], float(r["label"])) for r in sample], "url string, label double"), "url")
-        for name, stats in self.stats.items():
-            for r in frame.groupBy(name).agg(F.sum("label").alias("b"), F.count(F.lit(1)).alias("n")).collect():
-                stats[r[name]] = (r["b"] + 1.0) / (r["n"] + 2.0)
+        counted = _suffixes(rows.withColumn("host", host_of(F.col("url").cast("string"))))
+        for name in SUFFIXES:
+            share = (F.sum("label") + 1.0) / (F.count(F.lit(1)) + 2.0)
+            self.stats[name] = materialize(counted.groupBy(F.col(name).alias("__suffix")).agg(share.alias("__share")), "url-suffixes")
         self.assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
         data = self.assembler.transform(self._with_stats(frame)).select("features", "label").coalesce(1)
         self.model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, stepSize=0.3).fit(data)
 
     def _with_stats(self, df: DataFrame) -> DataFrame:
-        for k, name in enumerate(("suffix1", "suffix2"), 1):
-            stats = self.stats[name]
-            table = F.create_map(*(F.lit(x) for pair in sorted(stats.items()) for x in pair)) if stats else None
-            value = F.coalesce(table[F.col(name)], F.lit(0.5)) if table is not None else F.lit(0.5)
-            df = df.withColumn(f"f_suffix{k}", value)
+        for k, name in enumerate(SUFFIXES, 1):
+            table, _ = checked_broadcast(self.stats[name], STATS_MAX_BYTES)
+            df = (df.join(table, F.col(name) == F.col("__suffix"), "left")
+                  .withColumn(f"f_suffix{k}", F.coalesce("__share", F.lit(0.5))).drop("__suffix", "__share"))
         return df
 
     def judge(self, df: DataFrame, url_col: str, keep: tuple[str, ...]) -> DataFrame:
