@@ -18,13 +18,14 @@ from vitrina.llm.page_diff import extract_pages
 from vitrina.llm.quote_links import reply_ordered
 from vitrina.llm.records import record_digest, write_records
 from vitrina.llm.ship import ship_package
+from vitrina.llm.token_alignment import align_tokens
 from vitrina.llm.token_counts import prefix_token_counts
 from vitrina.llm.url_trees import UrlTrees, filter_urls, seed_labels
 from vitrina.session import scratch_path
 
 # The contract's URL rules.
 URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
-BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
+BYTE_BPE, WORD_BPE, PIECE_BPE = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +82,11 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE),
+                        public_tokenizers.path(PIECE_BPE))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_decontamination": op1_edit_decontamination,
     "op2_binary_records": op2_binary_records,
@@ -92,4 +98,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_quote_links": op9_quote_links,
     "op10_byte_cnn": op10_byte_cnn,
+    "op13_token_alignment": op13_token_alignment,
 }
