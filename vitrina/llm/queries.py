@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrina.llm.byte_cnn import held_out, score_quality, train
+from vitrina.llm.conversation_repair import damaged, repair_summaries
 from vitrina.llm.decontam import contaminated
 from vitrina.llm.line_rules import line_first_rules
 from vitrina.llm.near_dups import near_duplicates
@@ -17,6 +18,7 @@ from vitrina.llm.packing import pack, token_pieces
 from vitrina.llm.page_diff import extract_pages
 from vitrina.llm.quote_links import reply_ordered
 from vitrina.llm.records import record_digest, write_records
+from vitrina.llm.secret_links import linked_secrets, span_digest
 from vitrina.llm.ship import ship_package
 from vitrina.llm.token_alignment import align_tokens
 from vitrina.llm.token_counts import prefix_token_counts
@@ -82,6 +84,14 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digest(linked_secrets(_table(spark, sf_dir, "documents")))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_summaries(damaged(_table(spark, sf_dir, "conversations")))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE),
                         public_tokenizers.path(PIECE_BPE))
@@ -98,5 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_quote_links": op9_quote_links,
     "op10_byte_cnn": op10_byte_cnn,
+    "op11_secret_links": op11_secret_links,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_token_alignment": op13_token_alignment,
 }
