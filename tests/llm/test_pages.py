@@ -4,7 +4,7 @@ from functools import cache
 
 import pytest
 
-from vitrina.llm.page_diff import common_prefix, extract_pages, main_text, page_lines, shared_lines
+from vitrina.llm.page_diff import common_prefix, extract_pages, page_lines, shared_lines
 from vitrina.llm.queries import URL_RULES
 from vitrina.llm.url_trees import UrlTrees, _lexical, filter_urls, seed_labels
 
@@ -139,6 +139,27 @@ def test_unclosed_furniture_ends_at_the_article(html, text):
     assert [t for t, inside in lines if inside or not has_article] == text
 
 
+@pytest.mark.parametrize("html, text", [
+    (f"<body><div class='search-results'>{MAIN}</div><p>other</p></body>", ["T", "main"]),
+    (f"<body><div class='widget-area'><section class=ad>{MAIN}</section>tail</div></body>", ["T", "main"]),
+    ("<body><article><p>See <label>box</label> y <button>Go</button>z</p></article></body>", ["See y z"]),
+    (f"<body>{MAIN}<article class='teaser'><p>next</p></article><article class='post-preview'>more</article></body>", ["T", "main"]),
+    (f"<body><article class='teaser'>before</article>{MAIN}</body>", ["T", "main"]),
+])
+def test_articles_in_marked_blocks_and_teasers(html, text):
+    lines, has_article = page_lines(html)
+    assert has_article and [t for t, inside in lines if inside] == text
+
+
+def test_long_repeated_lines_take_linear_memory():
+    import tracemalloc
+    a = ["same"] * 20_000 + ["x"] + ["same"] * 20_000
+    tracemalloc.start()
+    got = shared_lines(a, ["same"] * 30_000 + ["y"])
+    assert len(got) == 30_000 and tracemalloc.get_traced_memory()[1] < 60_000_000
+    tracemalloc.stop()
+
+
 def test_differencing(spark):
     def page(own, article=False):
         body = f"<article><p>Shared line</p><p>{own}</p></article>" if article else f"<p>{own}</p>"
@@ -168,10 +189,13 @@ def test_neighbours_across_ranges(spark):
     want = {}
     for i, me in enumerate(pages):
         near = [pages[j] for j in (i - 1, i + 1) if 0 <= j < len(pages) and pages[j]["host"] == me["host"]]
-        want[me["id"]] = main_text(me, max(near, key=lambda x: common_prefix(x["path"], me["path"])) if near else None)
+        other = max(near, key=lambda x: common_prefix(x["path"], me["path"])) if near else None
+        mine = [t for t, _ in me["lines"]]
+        gone = shared_lines(mine, [t for t, _ in other["lines"]]) if other else set()
+        want[me["id"]] = "\n\n".join(t for k, t in enumerate(mine) if k not in gone or len(gone) == len(mine))
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     setting, old = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions"), {}
-    for ranges in (1, 7, 40, 200):
+    for ranges in (1, 7, 90):
         old = old or {k: spark.conf.get(k) for k in setting}
         try:
             spark.conf.set(setting[0], "false")

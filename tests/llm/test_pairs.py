@@ -145,18 +145,61 @@ def test_every_pair_within_the_distance_shares_a_key():
     assert all((a[k] == b[k]).any() for k in range(200))
 
 
-def test_bucket_counts_bound_the_intersection():
-    rng = np.random.default_rng(4)
-    for n in (1, 30, 400, 200_000):
-        x = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
-        for keep in (0.5, 0.85, 0.9, 1.0):
-            y = np.unique(np.concatenate([x[:int(len(x) * keep)], rng.integers(0, 2**63, n - int(len(x) * keep)).astype(np.uint64)]))
-            both = len(np.intersect1d(x, y))
-            rows = [np.frombuffer(near_dups.bucket_counts(s), np.uint8)[None] for s in (x, y)]
-            can = near_dups.may_link(*rows, np.array([len(x)]), np.array([len(y)]), 80)[0]
-            assert can or 100 * both < 80 * (len(x) + len(y) - both)
-            if n == 400 and keep == 0.5:
-                assert not can
+def families(seed, n, size):
+    """Texts that differ from one centre, many of them by more than the threshold, some alike among themselves."""
+    rng = random.Random(seed)
+    centre = [rng.choice(WORDS) + str(k) for k in range(size)]
+    docs, kinds = [centre], []
+    for k in range(n):
+        w = list(rng.choice(kinds)) if kinds and rng.random() < 0.5 else list(centre)
+        for _ in range(rng.choice([0, 1, size // 40, size // 25, size // 15])):
+            w[rng.randrange(len(w))] = rng.choice(WORDS) + "q" + str(rng.randrange(50))
+        if rng.random() < 0.2:
+            w = w[:rng.randrange(size // 2, size)]
+        if rng.random() < 0.2:
+            kinds.append(w)
+        docs.append(w)
+    return [(k, " ".join(w)) for k, w in enumerate(docs)]
+
+
+@pytest.mark.parametrize("seed,percent", [(1, 80), (2, 80), (3, 90), (4, 60), (5, 100)])
+def test_differences_from_a_centre_lose_no_pair(spark, seed, percent):
+    docs = families(seed, 70, 120) + [(3, "another text of the key three " * 6)]
+    texts = spark.createDataFrame(docs, "node bigint, text string")
+    groups = texts.select("node", near_dups.F.lit(0).cast("bigint").alias("grp")).distinct()
+    weighed = near_dups._weighed(near_dups._differences(groups, texts, 4), percent)
+    links = weighed.filter("NOT apart AND node <> grp").select(near_dups.F.col("grp").alias("a"), near_dups.F.col("node").alias("b"))
+    labels = components(links)
+    want = classes(docs, 4, percent)
+    rounds = {}
+    for turn in (0, 1):  # all pairs alone give everything; the smallest nodes only true links
+        pairs = near_dups._meeting(near_dups._prefixes(weighed, labels, percent), percent)[turn]
+        found = links.union(near_dups._confirmed(pairs, texts, 4, percent))
+        got = {r.node: r.component for r in components(found).collect()}
+        rounds[turn] = {k: got.get(k, k) for k in want}
+    assert rounds[1] == want
+    assert all(want[c] == want[k] for k, c in rounds[0].items())
+
+
+def test_many_copies_of_a_text_share_few_differences(spark):
+    """Copies that differ from their centre each in its own way meet hardly any other copy."""
+    rng = random.Random(6)
+    centre = [rng.choice(WORDS) + str(k) for k in range(200)]
+    counts = {}
+    for n in (100, 400):
+        docs = [(0, " ".join(centre))]
+        for k in range(1, n):
+            w = list(centre)
+            for at in rng.sample(range(200), 14):
+                w[at] = f"own{k}x{at}"
+            docs.append((k, " ".join(w)))
+        texts = spark.createDataFrame(docs, "node bigint, text string")
+        groups = texts.select("node", near_dups.F.lit(0).cast("bigint").alias("grp"))
+        weighed = near_dups._weighed(near_dups._differences(groups, texts, 4), 80)
+        none = spark.createDataFrame([], "node bigint, component bigint")
+        pairs = near_dups._meeting(near_dups._prefixes(weighed, none, 80), 80)[1]
+        counts[n] = (weighed.filter("apart").count(), pairs.count())
+    assert counts[400][0] > 300 and counts[400][1] <= 400
 
 
 def test_signature_estimates_similarity():
@@ -165,21 +208,18 @@ def test_signature_estimates_similarity():
     assert abs((s[0] == s[1]).mean() - 2400 / 3600) < 0.2
 
 
-@pytest.mark.parametrize("block", [512, 3])
-def test_near_duplicates_equal_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(near_dups, "BLOCK", block)
-    docs = corpus()
+@pytest.mark.parametrize("docs", [corpus(), [(k + 1, t) for k, t in families(9, 80, 90)]])
+def test_near_duplicates_equal_brute_force(spark, docs):
     df = spark.createDataFrame([(k, t, 1) for k, t in docs], "doc_id bigint, text string, kept int")
     rows = near_duplicates(df, words=4).collect()
     want = classes(docs, 4)
     assert len(rows) == len(docs)
     assert {r.doc_id: r.component_id for r in rows if r.doc_id is not None} == want
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows if r.doc_id is not None)
-    assert [r.kept for r in rows if r.doc_id is None] == [True]
-    if block == 512:
-        left = {r.doc_id for r in without_near_duplicates(df, words=4).collect()}
-        assert left == {k for k, c in want.items() if k == c} | {None}
-        assert near_duplicates(df.limit(0)).count() == 0
+    assert all(r.kept for r in rows if r.doc_id is None)
+    left = {r.doc_id for r in without_near_duplicates(df, words=4).collect()}
+    assert left - {None} == {k for k, c in want.items() if k == c}
+    assert near_duplicates(df.limit(0)).count() == 0
 
 
 def test_components_of_a_long_chain(spark):

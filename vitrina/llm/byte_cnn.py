@@ -25,6 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from vitrina.llm.pieces import release_encoders
+
 BLOCK = 1 << 17  # window places worked on at once
 
 
@@ -111,8 +113,11 @@ def held_out(id_col: str = "doc_id"):
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
-          text_col: str = "text", per_class: int = 1000) -> ByteCnn | float:
-    """The fitted network, or a constant score where there are not two classes to learn from."""
+          text_col: str = "text", per_class: int = 1000, max_bytes: int = 100_000) -> ByteCnn | float:
+    """The fitted network, or a constant score where there are not two classes to learn from.
+
+    It learns from a sample: at most ``per_class`` labelled documents of each class, whole, of at most
+    ``max_bytes`` each; a document that is labelled twice alike counts once."""
     rows = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
             .filter("id IS NOT NULL AND y IN (0, 1)").filter(~held_out("id")))
     counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
@@ -122,7 +127,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     order = [F.xxhash64("id"), "id"]
     chosen = rows.filter("y = 1").orderBy(*order).limit(per_class).union(rows.filter("y = 0").orderBy(*order).limit(per_class))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = texts.join(F.broadcast(chosen), "id").orderBy("id", "text").limit(4 * per_class).toPandas()
+    # Bounded in rows and bytes: long texts are left out, and at most 4 * per_class rows that repeat an id count.
+    found = texts.join(F.broadcast(chosen.distinct()), "id").filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= max_bytes)
+    found = found.orderBy("id", "text").limit(4 * per_class).toPandas()
     y = found["y"].to_numpy(np.float32)
     if len(set(y.tolist())) < 2:
         return float(share)
@@ -133,12 +140,15 @@ def score_quality(df: DataFrame, model: ByteCnn | float, keep: tuple[str, ...] =
                   text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``keep`` columns and the score of every whole text."""
     keep = tuple(c for c in keep if c != score_col)
-    src = df.select(*(F.col(f"`{c}`") for c in keep), F.col(text_col).cast("string").alias("__text"))
+    place = keep.index(text_col) if text_col in keep and df.schema[text_col].dataType.simpleString() == "string" else len(keep)
+    text = [F.col(text_col).cast("string").alias("__text")] if place == len(keep) else []  # a kept text is not sent twice
+    src = df.select(*(F.col(f"`{c}`") for c in keep), *text)
     schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep), f"`{score_col}` double"])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(len(keep))
+        release_encoders()
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
+            texts = batch.column(place)
             if isinstance(model, float):
                 scores = [model] * len(texts)
             else:

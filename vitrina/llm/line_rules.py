@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from vitrina.llm.pieces import release_encoders
+
 # Phrases of lines that are not part of a text.
 BOILERPLATE = ("all rights reserved", "licensed under", "released under the", "terms of use", "terms of service",
                "privacy policy", "cookie policy", "use cookies", "copyright", "enable javascript", "click here",
@@ -124,7 +126,8 @@ def line_first_rules(df: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_co
     arrow = {"string": pa.string(), "bigint": pa.int64(), "boolean": pa.bool_()}
 
     def rules(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        release_encoders()
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
             rows = [judge(t.as_py() or "", max_loss) for t in batch.column(len(keep))]
             columns = list(zip(*rows)) if rows else [()] * len(RESULTS)
             columns = columns[len(RESULTS) - len(results):]

@@ -13,17 +13,22 @@
    signatures are within the distance; links are confirmed on the full sets, first one for each node,
    then those between different components.
 5. That is not yet every pair: nodes of one key that the hub did not bring together may still be
-   alike.  Keys whose nodes lie in different components are gone through in blocks of
-   about ``BLOCK`` nodes, each against the blocks of nodes outside the key's largest
-   component; pairs of different components within the distance are confirmed on their full
-   sets: first the nearest of each node, then all that still lie apart.  Counts of each set by
-   ``BUCKETS`` hash buckets bound an intersection from above; pairs that this bound shows to be
-   unlike are not looked at further.  Pairs inside a component cannot change it and are not looked at.
+   alike.  Keys whose nodes lie in different components are *open*; the nodes of open keys that
+   share nodes make a group, and each group has one text to compare with, its centre h.  A node is
+   written as its difference from the centre, D = (x - h) and (h - x), marked apart.  Two sets
+   are alike if and only if |x xor y| <= (|x| + |y|)(1 - t)/(1 + t), and |x xor y| = |Dx| + |Dy| -
+   2 |Dx and Dy|: so they must have s = (ax + ay)/2 differences in common, where a = |D| - |x|(1 - t)/(1 + t).
+   A node is alike to the centre if a <= |h|(1 - t)/(1 + t); those are linked with it.  Of any other pair one
+   node lies beyond, and then s > 0.  Differences are put in order, rarest in the group first;
+   two sets with s in common share one of the first |D| - s + 1 of each (prefix filter; s is bounded by
+   what the other node has at least).  Nodes meet on (group, difference), first with the smallest
+   node there, then, where components still differ, with each other.  Copies of a text differ from it in
+   ways of their own, so few differences are shared however many copies there are.
+   Pairs inside a component cannot change it and are not looked at.
 6. Components by large-star and small-star steps over the links.
 
-No group is collected: copies are aggregated before the shuffle, stars are joins that adaptive
-execution can split, large keys are cut into blocks by hash.  Nothing but counts reaches the
-driver.  Steps are written to the shared folder, which cuts the lineage.
+No group is collected: copies are aggregated before the shuffle, stars and differences are joins that
+adaptive execution can split.  Nothing but counts reaches the driver.  Steps are written to the shared folder, which cuts the lineage.
 
 Defined results: NULL or empty text (no word) has an empty set and links with nothing; a text of
 fewer than ``words`` words is one shingle.  A row without key links with nothing, its component is
@@ -38,15 +43,13 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from vitrina.llm.pieces import small_runs
+from vitrina.llm.pieces import release_encoders, small_runs
 from vitrina.session import materialize
 
 PLACES, CHUNKS, ERRORS = 64, 13, 25
-BLOCK = 256
-BUCKETS = 512  # of a set's counts by hash, for a safe upper bound of an intersection
 BROADCAST_IDS = 1_000_000  # keys of 8 bytes: what a broadcast of this many holds is bounded
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -127,6 +130,7 @@ def document_sets(df: DataFrame, words: int, id_col: str = "doc_id", text_col: s
     id_type = to_arrow_type(src.schema["id"].dataType)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         for batch in (b.slice(at, 1024) for b in batches for at in range(0, b.num_rows, 1024)):
             found = list(shingle_sets(batch.column(1).to_pylist(), words))
             full = [k for k, s in enumerate(found) if len(s)]
@@ -225,140 +229,76 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.filter("ca <> cb").select("a", "b")
 
 
-def bucket_counts(s: np.ndarray) -> bytes:
-    """How many elements of a set fall into each bucket; 255 stands for "255 or more"."""
-    counts = np.bincount((s % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+def signed_difference(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """The elements of x that the centre lacks (even) and those of the centre that x lacks (odd)."""
+    one = np.uint64(1)
+    more, less = np.setdiff1d(x, centre, assume_unique=True), np.setdiff1d(centre, x, assume_unique=True)
+    return np.concatenate([more & ~one, less | one]).view(np.int64)
 
 
-def may_link(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, percent: int) -> np.ndarray:
-    """Whether pairs of sets (rows of bucket counts, sizes) can be alike: the sum of the smaller counts
-    of all buckets is at least the size of the intersection, so no alike pair is turned away.  A size
-    below 0 (a key with several texts) turns nothing away."""
-    most = np.empty(len(x), np.int64)
-    for at in range(0, len(x), 4096):
-        least = np.minimum(x[at:at + 4096], y[at:at + 4096])
-        most[at:at + 4096] = np.where((least == 255).any(axis=1), 1 << 40, least.sum(axis=1, dtype=np.int64))
-    most = np.minimum(most, np.minimum(nx, ny))
-    return (nx < 0) | (ny < 0) | (100 * most >= percent * (nx + ny - most))
+def _differences(groups: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """grp, node, variant, n, n_centre, d of every text of the nodes (node, grp): its set as a
+    difference from the set of the group's centre (of a key with several texts: the least)."""
+    centres = texts.join(groups.select(F.col("grp").alias("node")).distinct(), "node", "left_semi")
+    centres = centres.groupBy(F.col("node").alias("grp")).agg(F.min("text").alias("centre"))
+    rows = groups.join(texts, "node").join(centres, "grp").select("grp", "node", F.xxhash64("text").alias("variant"), "text", "centre")
 
-
-def _counted(texts: DataFrame, words: int) -> DataFrame:
-    """node, n, buckets of every text."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(at, 1024) for b in batches for at in range(0, b.num_rows, 1024)):
-            sets = list(shingle_sets(batch.column(1).to_pylist(), words))
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
+            mine, centre = batch.column(3).to_pylist(), batch.column(4).to_pylist()
+            place = {t: k for k, t in enumerate(dict.fromkeys(centre))}  # a centre's set is made once
+            centres = list(shingle_sets(list(place), words))
+            sets = list(shingle_sets(mine, words))
+            both = [(x, centres[place[c]]) for x, c in zip(sets, centre)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(map(bucket_counts, sets), pa.binary())],
-                names=["node", "n", "buckets"])
-
-    return texts.mapInArrow(count, "node bigint, n bigint, buckets binary")
-
-
-def _meets_here(key: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Which signature pairs (rows of x and y) have their ``key`` as first common key: a pair is
-    looked at under many keys and given under one."""
-    differs = x != y
-    place = np.full(len(x), -1)
-    for places in np.array_split(np.arange(PLACES), CHUNKS):
-        part = differs[:, places]
-        hit = (place < 0) & (part.sum(axis=1) <= 1)
-        place[hit] = places[0] + part[hit].argmax(axis=1)  # no difference: the first place
-    keys = chunk_keys(x).view(np.int64)[np.arange(len(x)), place]
-    return keys == key
-
-
-def _block_pairs(members: DataFrame, nearest: bool, percent: int) -> DataFrame:
-    """Pairs (a, b) of one key and different components within the distance, without those that the
-    bucket counts show to be unlike.
-    members: key, node, component, sig, n, buckets.  ``nearest``: of each node and other component only the nearest.
-
-    Most of a key's nodes are in one component, and pairs inside it are not looked at: the key's
-    largest component is cut into blocks, the other nodes ("apart") too, and every block meets
-    every block of the nodes apart."""
-    counts = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"))
-    sizes = sizes.select("key", F.col("top.component").alias("top"), F.ceil(F.col("all") / BLOCK).alias("xs"),
-                         F.ceil((F.col("all") - F.col("top.n")) / BLOCK).alias("ys"))
-    h = F.xxhash64("node")
-    rows = members.join(sizes, "key").withColumn("apart", F.col("component") != F.col("top"))
-    zero = F.lit(0).cast("long")
-    in_x = rows.select("key", F.pmod(h, F.col("xs")).alias("i"), F.explode(F.sequence(zero, F.col("ys") - 1)).alias("j"),
-                       F.lit(False).alias("right"), "node", "component", "sig", "n", "buckets")
-    in_y = rows.filter("apart").select("key", F.explode(F.sequence(zero, F.col("xs") - 1)).alias("i"),
-                                       F.pmod(h, F.col("ys")).alias("j"), F.lit(True).alias("right"), "node", "component", "sig", "n", "buckets")
-    rows = in_x.union(in_y).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "right", "node")
-
-    def groups(batches):
-        key, held = None, []
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                for row in zip(*(part.column(c).to_pylist() for c in range(9))):
-                    if row[:3] != key and held:
-                        yield held
-                        held = []
-                    key = row[:3]
-                    held.append(row)
-        if held:
-            yield held
-
-    def candidates(group: list[tuple], number: int):
-        """(group, key, a, b, component of a, distance, signatures of a and b) of its near pairs."""
-        left, right = [r for r in group if not r[3]], [r for r in group if r[3]]
-        if not left or not right:
-            return None
-        sl, sr = (np.frombuffer(b"".join(r[6] for r in s), np.uint16).reshape(-1, PLACES) for s in (left, right))
-        nl, nr = (np.array([r[4] for r in s]) for s in (left, right))
-        cl, cr = (np.array([r[5] for r in s]) for s in (left, right))
-        if len(nl) * len(nr) <= 4096:
-            distance = (sl[:, None, :] != sr[None, :, :]).sum(axis=2)
-        else:
-            distance = np.zeros((len(nl), len(nr)), np.uint8)
-            for p in range(PLACES):
-                distance += sl[:, p][:, None] != sr[:, p][None, :]
-        # two nodes apart meet on both sides: take them in one order
-        ordered = ~np.isin(nl, nr)[:, None] | (nl[:, None] < nr[None, :])
-        a, b = np.nonzero((distance <= ERRORS) & (cl[:, None] != cr[None, :]) & ordered)
-        if not len(a):
-            return None
-        hl, hr = (np.frombuffer(b"".join(r[8] for r in s), np.uint8).reshape(-1, BUCKETS) for s in (left, right))
-        zl, zr = (np.array([r[7] for r in s]) for s in (left, right))
-        able = may_link(hl[a], hr[b], zl[a], zr[b], percent) if len(a) <= 20_000 else np.concatenate(
-            [may_link(hl[a[k:k + 20_000]], hr[b[k:k + 20_000]], zl[a[k:k + 20_000]], zr[b[k:k + 20_000]], percent)
-             for k in range(0, len(a), 20_000)])
-        a, b = a[able], b[able]
-        if not len(a):
-            return None
-        return (np.full(len(a), number), np.full(len(a), group[0][0]), nl[a], nr[b], cl[a], distance[a, b], sl[a], sr[b])
-
-    def chosen(found: list[tuple]) -> pa.RecordBatch:
-        group, key, a, b, ca, distance, x, y = (np.concatenate(c) for c in zip(*found))
-        here = np.concatenate([_meets_here(key[k:k + 20_000], x[k:k + 20_000], y[k:k + 20_000])
-                               for k in range(0, len(key), 20_000)])
-        group, a, b, ca, distance = (c[here] for c in (group, a, b, ca, distance))
-        if nearest and len(a):
-            order = np.lexsort((a, distance, ca, b, group))
-            group, a, b, ca = (c[order] for c in (group, a, b, ca))
-            first = np.ones(len(a), bool)
-            first[1:] = (group[1:] != group[:-1]) | (b[1:] != b[:-1]) | (ca[1:] != ca[:-1])
-            a, b = a[first], b[first]
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, size = [], 0
-        for number, group in enumerate(groups(batches)):
-            some = candidates(group, number)
-            if some is not None:
-                found.append(some)
-                size += len(some[0])
-            if size > 50_000:
-                yield chosen(found)
-                found, size = [], 0
-        if found:
-            yield chosen(found)
-
-    return rows.mapInArrow(pairs, "a bigint, b bigint").distinct()
+                [*(batch.column(k) for k in range(3)), pa.array([len(x) for x, _ in both], pa.int64()),
+                 pa.array([len(c) for _, c in both], pa.int64()),
+                 pa.array([signed_difference(x, c) for x, c in both], pa.list_(pa.int64()))],
+                names=["grp", "node", "variant", "n", "n_centre", "d"])
+
+    return rows.mapInArrow(differ, "grp bigint, node bigint, variant bigint, n bigint, n_centre bigint, d array<bigint>")
+
+
+def _weighed(differences: DataFrame, percent: int) -> DataFrame:
+    """With a and h (in units of 1 / (100 + percent)) and apart: not alike to the centre, a > h."""
+    more, less = 100 + percent, 100 - percent
+    a = F.size("d") * F.lit(more) - F.col("n") * less
+    return differences.withColumn("a", a).withColumn("h", F.col("n_centre") * less).withColumn("apart", F.col("a") > F.col("h"))
+
+
+def _prefixes(weighed: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """grp, diff, node, component, n, apart, place, far, near: the differences that a node must share
+    one of, by place in the order (rarest in the group first).  A partner beyond the centre shares one of the
+    first ``far``; one alike to the centre (only for a node that is beyond) one of the first ``near``."""
+    named = _labelled(weighed, labels)
+    spread = named.groupBy("grp").agg(F.min("component").alias("x"), F.max("component").alias("y"),
+                                      F.min(F.when(~F.col("apart") & (F.size("d") > 0), F.col("a"))).alias("low"))
+    unit = 2 * (100 + percent)
+    least = lambda c: F.size("d") + 1 - F.greatest(F.lit(1), F.ceil(c / F.lit(unit)))
+    rows = named.join(spread.filter("x <> y").select("grp", "low"), "grp").withColumn("far", least(F.col("a") + F.col("h") + 1))
+    rows = rows.withColumn("near", F.when(F.col("apart") & F.col("low").isNotNull(), least(F.col("a") + F.col("low"))).otherwise(0))
+    rows = rows.select("grp", "node", "variant", "component", "n", "apart", "far", "near", F.explode("d").alias("diff"))
+    common = rows.groupBy("grp", "diff").agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
+    order = Window.partitionBy("grp", "node", "variant").orderBy(F.coalesce("many", F.lit(1)), "diff")  # one text's differences
+    rows = rows.join(common, ["grp", "diff"], "left").withColumn("place", F.row_number().over(order))
+    return rows.filter("many > 1 AND place <= greatest(far, near)").select(
+        "grp", "diff", "node", "component", "n", "apart", "place", "far", "near")
+
+
+def _meeting(prefixes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a, b) of different components: each node with the smallest one that has the
+    difference too; all pairs that share a difference within their bounds."""
+    x, y = (prefixes.select(F.col("grp"), F.col("diff"), *(F.col(c).alias(side + c) for c in prefixes.columns[2:])) for side in "xy")
+    alike = F.least("xn", "yn") * 100 >= F.greatest("xn", "yn") * percent
+    differ = (F.col("xcomponent") != F.col("ycomponent")) & alike
+    least = prefixes.groupBy("grp", "diff").agg(F.min(F.struct("node", "component", "n")).alias("m"))
+    least = least.select("grp", "diff", *(F.col(f"m.{c}").alias("y" + c) for c in ("node", "component", "n")))
+    stars = x.join(least, ["grp", "diff"]).filter(differ & (F.col("xnode") != F.col("ynode")))
+    beyond = F.col("yapart") & (F.col("xplace") <= F.col("xfar")) & (F.col("xnode") < F.col("ynode"))
+    close = ~F.col("yapart") & (F.col("xplace") <= F.col("xnear"))
+    pairs = x.filter("xapart").join(y.filter("yplace <= yfar"), ["grp", "diff"]).filter(differ & (beyond | close))
+    return tuple(f.select(F.least("xnode", "ynode").alias("a"), F.greatest("xnode", "ynode").alias("b")).distinct()
+                 for f in (stars, pairs))
 
 
 def near_duplicates(df: DataFrame, words: int = 4, percent: int = 80, id_col: str = "doc_id",
@@ -385,24 +325,26 @@ def near_duplicates(df: DataFrame, words: int = 4, percent: int = 80, id_col: st
     links.append(materialize(_confirmed(_apart(pairs, labels), texts, words, percent), "links"))
     labels = materialize(components(reduce(DataFrame.union, links)), "labels")
 
-    # Keys whose nodes, without the hub, are in different components.
+    # Keys whose nodes, without the hub, are in different components, and the groups that they make.
     others = stars.filter("n > 2").select("key", "node")
-    counted = None
-    for nearest in (True, False):
-        named = _labelled(others, labels)
-        open_keys = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-        members = named.join(open_keys.select("key"), "key", "left_semi").join(nodes.select("node", "sig"), "node")
-        members = materialize(members.select("key", "node", "component", "sig"), "members")
-        if members.isEmpty():
-            break
-        if counted is None:  # the nodes of the second pass are among those of the first
-            counted = _counted(texts.join(members.select("node").distinct(), "node", "left_semi"), words)
-            counted = materialize(counted.groupBy("node").agg(
-                F.when(F.count(F.lit(1)) == 1, F.first("n")).otherwise(F.lit(-1)).alias("n"),
-                F.first("buckets").alias("buckets")), "counted")
-        sized = members.join(counted, "node").select("key", "node", "component", "sig", "n", "buckets")
-        links.append(materialize(_confirmed(_block_pairs(sized, nearest, percent), texts, words, percent), "links"))
-        labels = materialize(components(reduce(DataFrame.union, links)), "labels")
+    open_keys = _labelled(others, labels).groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"),
+                                                             F.min("node").alias("least")).filter("x <> y")
+    ties = materialize(others.join(open_keys.select("key", "least"), "key")
+                       .select(F.col("node").alias("a"), F.col("least").alias("b")).filter("a <> b").distinct(), "ties")
+    if not ties.isEmpty():
+        def joined() -> DataFrame:
+            return materialize(components(reduce(DataFrame.union, links)), "labels")
+
+        groups = components(ties).select("node", F.col("component").alias("grp"))
+        weighed = _weighed(materialize(_differences(groups, texts, words), "differences"), percent)
+        links.append(materialize(weighed.filter("NOT apart AND node <> grp").select(F.col("grp").alias("a"), F.col("node").alias("b")), "links"))
+        labels = joined()
+        for turn in range(2):
+            prefixes = materialize(_prefixes(weighed, labels, percent), "prefixes")
+            if prefixes.isEmpty():
+                break
+            links.append(materialize(_confirmed(_meeting(prefixes, percent)[turn], texts, words, percent), "links"))
+            labels = joined()
 
     named = _labelled(nodes.select("set_key", "node"), labels).select("set_key", "component")
     rows = sets.select("id", "n_shingles", "set_key").join(named, "set_key", "left")

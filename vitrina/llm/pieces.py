@@ -10,9 +10,10 @@ pre-tokenizer and its BPE model); the ids of the texts are then gathered with
 numpy.  Special strings hold no blank, so they stay inside one piece, and such
 a piece is encoded by the library whole, which gives them its default meaning.
 
-Caches belong to a Python worker.  Each holds two generations of at most
-``GENERATION`` entries; the older is let go when the younger is full, so memory
-is bounded however many words the corpus has.
+Caches belong to a Python worker, which holds one encoder at a time.  Each cache has two
+generations of at most ``GENERATION`` entries and about ``GENERATION_BYTES``; the older is let go
+when the younger is full, so memory is bounded however many words the corpus has and however
+long they are.  Caches do not know their encoder, so dropping an encoder frees them at once.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 GENERATION = 350_000
+GENERATION_BYTES = 32_000_000
+ENTRY = 180  # bytes of a key and a value without their contents, and their place
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
 # Letters, then punctuation (no apostrophe: contractions have rules of their own), perhaps a
 # line break and the same again: each group is a word of a GPT-2 style pre-tokenizer.
@@ -46,31 +49,39 @@ _ALPHABET = byte_alphabet()
 
 
 class Generations:
-    """A dict of bounded size: ``fill`` computes missing values, many at a time."""
+    """A dict of bounded size: ``fill`` computes missing values, many at a time.  ``weigh`` gives the
+    bytes of keys and values beyond ``ENTRY`` each."""
 
-    def __init__(self, compute, limit: int = GENERATION):
-        self.compute, self.limit = compute, limit
+    def __init__(self, limit: int = GENERATION, max_bytes: int = GENERATION_BYTES, weigh=None):
+        self.limit, self.max_bytes = limit, max_bytes
+        self.weigh = weigh or (lambda keys, values: sum(map(len, keys)) + sum(map(len, values)))
         self.young: dict = {}
         self.old: dict = {}
+        self.size = 0
 
-    def fill(self, keys) -> dict:
-        """A dict that holds the values of all ``keys``."""
+    def fill(self, keys, compute) -> dict:
+        """A dict that holds the values of all ``keys``; ``compute`` gives those of a list of them."""
         young = self.young
         missing = [k for k in keys if k not in young]
-        if young and len(young) + len(missing) > self.limit:
-            self.old, self.young, young = young, {}, {}
+        if young and (len(young) + len(missing) > self.limit or self.size > self.max_bytes):
+            self.old, self.young, young, self.size = young, {}, {}, 0
             missing = list(keys)
             self.young = young
         if missing:
-            old, fresh = self.old, []
+            old, fresh, again = self.old, [], []
             for k in missing:
                 v = old.get(k)
                 if v is None:
                     fresh.append(k)
                 else:
                     young[k] = v
+                    again.append(k)
+            if again:
+                self.size += ENTRY * len(again) + self.weigh(again, [old[k] for k in again])
             if fresh:
-                young.update(zip(fresh, self.compute(fresh)))
+                values = compute(fresh)
+                young.update(zip(fresh, values))
+                self.size += ENTRY * len(fresh) + self.weigh(fresh, values)
         return young
 
 
@@ -97,7 +108,7 @@ class _Encoder:
     def __init__(self, path: str, limit: int = GENERATION):
         self.tok = load_tokenizer(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.words = Generations(self._word_ids, limit)
+        self.words = Generations(limit)
 
     def _word_ids(self, words: list[str]) -> list[bytes]:
         tokenize = self.tok.model.tokenize
@@ -137,13 +148,13 @@ class ByteLevelEncoder(_Encoder):
 
     def __init__(self, path: str, limit: int = GENERATION):
         super().__init__(path, limit)
-        self.heads = Generations(lambda ps: self._piece_values(ps, ""), 10_000)
-        self.cache = Generations(lambda ps: self._piece_values(ps, " "), limit)
+        self.heads = Generations(10_000)
+        self.cache = Generations(limit)
 
     def _piece_values(self, pieces: list[str], blank: str) -> list[bytes]:
         """Values of pieces, each with ``blank`` before it."""
         cut = [self.cut_words(p, blank) for p in pieces]
-        get = self.words.fill({w for ws in cut if ws for w in ws}).__getitem__
+        get = self.words.fill({w for ws in cut if ws for w in ws}, self._word_ids).__getitem__
         return [b"".join(map(get, ws)) if ws is not None else self.whole(blank + p) for p, ws in zip(pieces, cut)]
 
     def simple_words(self, piece: str, blank: str) -> list[str] | None:
@@ -193,8 +204,8 @@ class ByteLevelEncoder(_Encoder):
         first = offsets[:-1]
         heads = [uniques[k] for k in index[first].tolist()]
         index[first] = np.arange(len(uniques), len(uniques) + len(heads))
-        values = list(map(self.cache.fill(uniques).__getitem__, uniques))
-        values += map(self.heads.fill(dict.fromkeys(heads)).__getitem__, heads)
+        values = list(map(self.cache.fill(uniques, lambda ps: self._piece_values(ps, " ")).__getitem__, uniques))
+        values += map(self.heads.fill(dict.fromkeys(heads), lambda ps: self._piece_values(ps, "")).__getitem__, heads)
         return self._gather(index, offsets, values, self.dtype)
 
 
@@ -203,11 +214,11 @@ class WordEncoder(_Encoder):
 
     def __init__(self, path: str, limit: int = GENERATION):
         super().__init__(path, limit)
-        self.cache = Generations(self._piece_values, limit)
+        self.cache = Generations(limit)
 
     def _piece_values(self, pieces: list[str]) -> list[bytes]:
         cut = [self.cut_words(p) for p in pieces]
-        get = self.words.fill({w for ws in cut if ws for w in ws}).__getitem__
+        get = self.words.fill({w for ws in cut if ws for w in ws}, self._word_ids).__getitem__
         return [b"".join(map(get, ws)) if ws is not None else self.whole(p) for p, ws in zip(pieces, cut)]
 
     def cut_words(self, piece: str) -> list[str] | None:
@@ -233,7 +244,7 @@ class WordEncoder(_Encoder):
         arr = pc.split_pattern(flat, pattern=" ")
         coded = arr.flatten().dictionary_encode()
         uniques = coded.dictionary.to_pylist()
-        get = self.cache.fill(uniques)
+        get = self.cache.fill(uniques, self._piece_values)
         return self._gather(coded.indices.to_numpy().astype(np.int64), arr.offsets.to_numpy().astype(np.int64),
                             [get[u] for u in uniques], "<u4")
 
@@ -242,20 +253,35 @@ _LOADED: dict = {}
 
 
 def worker_encoder(kind: type, path: str):
-    """One encoder for each kind and file in a Python worker (workers serve many tasks)."""
+    """The worker's encoder (workers serve many tasks); one of another kind or file is let go first."""
     key = (kind.__name__, path)
     if key not in _LOADED:
-        gc.disable()  # the caches hold no cycles; walking them again and again costs a fifth of the time
+        release_encoders()
+        gc.disable()  # no cycles are made; walking the caches again and again costs a fifth of the time
         _LOADED[key] = kind(path)
     return _LOADED[key]
 
 
 def release_encoders() -> None:
-    """Let go of the caches, for tasks that need memory and no encoder."""
-    _LOADED.clear()
+    """Let go of the encoder, for tasks that need its memory."""
+    if _LOADED:
+        _LOADED.clear()
+        gc.enable()
+        gc.collect()
+        trim_memory()
 
 
-def small_runs(texts: list, budget: int = 6_000_000):
+def trim_memory() -> None:
+    """Give freed memory back to the system where the C library can (many small objects leave
+    holes that it would otherwise keep)."""
+    import ctypes
+
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def small_runs(texts: list, budget: int = 3_000_000):
     """(from, to) runs of a batch with about ``budget`` characters each, so a batch of
     long texts is not cut into words all at once; a longer text is a run of its own."""
     start = size = 0

@@ -16,10 +16,12 @@ with shard, byte offset and length, so that a shuffled read can take any record
 without reading the others.  Shards are range partitions of the key, each sorted
 by it: shard order is key order.  The text writer of Spark writes the bytes
 (its commit protocol makes retried and speculative tasks harmless, and it
-reaches any file system that Spark reaches).
+reaches any file system that Spark reaches).  A shard holds about ``SHARD_BYTES`` of
+the table's files (a table of more than ``MAX_SHARDS`` such shards has larger ones) and is
+read back as one value.
 
 Defined results: NULL or empty text has only the end id; NULL keys come first;
-repeated keys are ordered by their text.  An empty table gives no records.
+repeated keys are ordered by the hash of their text, then by it.  An empty table gives no records.
 """
 
 from __future__ import annotations
@@ -33,7 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from vitrina.llm.pieces import ByteLevelEncoder, encode_texts, release_encoders, worker_encoder
+from vitrina.operators.broadcast import estimated_bytes
 
+SHARD_BYTES, MAX_SHARDS = 64 << 20, 100_000
 HEAD, FOOT, KEY = struct.Struct("<QI"), struct.Struct("<IB"), struct.Struct("<BqB")
 INDEX_SCHEMA = "shard string, record bigint, doc_id bigint, offset bigint, length bigint, n_tokens bigint"
 RECORD_SCHEMA = "shard string, record bigint, doc_id bigint, n_tokens bigint, ids binary"
@@ -70,8 +74,13 @@ def unframe(data: bytes | memoryview, offset: int) -> tuple[int | None, np.ndarr
 def write_records(df: DataFrame, path: str, tokenizer_path: str, end_id: int = 0,
                   id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text, append ``end_id``, write shards and index under ``path``."""
-    src = (df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-           .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
+    src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    # The hash parts a key that many rows share (or that is NULL) over several shards, in order.
+    ranges = [F.col("doc_id"), F.xxhash64("text")]
+    shards = min(MAX_SHARDS, estimated_bytes(src) // SHARD_BYTES + 1)
+    many = shards > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    src = src.repartitionByRange(shards, *ranges) if many else src.repartitionByRange(*ranges)
+    src = src.sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(ByteLevelEncoder, tokenizer_path)

@@ -142,6 +142,9 @@ def span_digest(found: DataFrame) -> DataFrame:
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
+    def of(*kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    base = of(*BASE)
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in BASE]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))

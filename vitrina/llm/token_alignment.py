@@ -111,7 +111,8 @@ class PieceAligner:
         self.b_len = np.array([len(e) for e in self.b_bytes], np.int64)
         self.identity = identity_map(self.a_bytes, self.b_bytes,
                                      [self.b.is_byte(i) for i in range(self.b.vocab_size())])
-        self.cache = Generations(self.align, CACHED)
+        self.cache = Generations(CACHED, weigh=lambda pieces, found: sum(map(len, pieces)) + sum(
+            300 + len(f[4]) + len(f[5]) + len(f[6]) for f in found if f))
 
     def align(self, pieces: list[str]) -> list:
         """Alignments of distinct pieces, each with a blank before it."""
@@ -191,7 +192,7 @@ class _Block:
         place: dict[str, int] = {}
         self.words = [np.fromiter((place.setdefault(p, len(place)) for p in _BLANK.split(t)), np.int64) if t
                       else np.zeros(0, np.int64) for t in texts]
-        found = aligner.cache.fill(place)
+        found = aligner.cache.fill(place, aligner.align)
         self.entries = [found[p] for p in place]
         good = np.array([e is not None for e in self.entries], bool)
         self.valid = [len(w) > 0 and bool(good[w].all()) for w in self.words]

@@ -48,7 +48,7 @@ class PrefixCounter(ByteLevelEncoder):
         self.vocab = self.tok.get_vocab()
         self.longest = max(map(len, self.vocab))
         self.states: dict[str, tuple[str, int]] = {}
-        self.pairs = Generations(self._pairs_alone, limit)
+        self.pairs = Generations(limit, weigh=lambda keys, values: 0)
 
     def _pairs_alone(self, pairs: list[tuple[str, str]]) -> list[bool]:
         tokenize = self.tok.model.tokenize
@@ -59,7 +59,7 @@ class PrefixCounter(ByteLevelEncoder):
         if len(word) > SHARED:
             return self._long_counts(word)
         states = self.states
-        if len(states) > 800_000:
+        if len(states) > 400_000:
             states.clear()
         low, high = 0, len(word)  # the longest prefix that an earlier word had
         while low < high:
@@ -83,7 +83,7 @@ class PrefixCounter(ByteLevelEncoder):
                         pair = (states[word[:j]][0], token)
                         follows = alone.get(pair)
                         if follows is None:
-                            follows = self.pairs.fill((pair,))[pair]
+                            follows = self.pairs.fill((pair,), self._pairs_alone)[pair]
                             alone = self.pairs.young
                         if follows:
                             break
@@ -120,7 +120,7 @@ class PrefixCounter(ByteLevelEncoder):
                 pair = (before, token)
                 follows = alone.get(pair)
                 if follows is None:
-                    follows = self.pairs.fill((pair,))[pair]
+                    follows = self.pairs.fill((pair,), self._pairs_alone)[pair]
                     alone = self.pairs.young
                 if follows:
                     return token, j
