@@ -19,11 +19,18 @@ from vitrina.session import materialize
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the line rules, without their failing lines."""
+    """Documents that pass the line rules, without their failing lines.
+
+    The other columns pass under names of their own, so none of them clashes with a count of the rules;
+    ``n_chars``, where there is one, counts the text that is left."""
     ship_package(spark)
-    judged = line_first_rules(docs, keep=tuple(docs.columns)).filter("kept")
-    cleaned = judged.withColumn("n_chars", F.length("clean_text").cast(docs.schema["n_chars"].dataType))
-    return cleaned.withColumn("text", F.col("clean_text")).select(docs.columns)
+    others = {f"__k{i}": c for i, c in enumerate(docs.columns) if c != "text"}
+    src = docs.select("text", *(F.col(f"`{c}`").alias(k) for k, c in others.items()))
+    kept = line_first_rules(src, keep=tuple(others)).filter("kept")
+    values = {c: F.col(k) for k, c in others.items()} | {"text": F.col("clean_text")}
+    if "n_chars" in values:
+        values["n_chars"] = F.length("clean_text").cast(docs.schema["n_chars"].dataType)
+    return kept.select(*(values[c].alias(c) for c in docs.columns))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +38,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     ship_package(spark)
     table = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = train(table, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_quality(docs, model, keep=tuple(docs.columns), score_col="__score").filter("__score >= 0.3").drop("__score")
+    scored = score_quality(docs, model, keep=tuple(docs.columns), score_col="__score", text_col="text")
+    return scored.filter("__score >= 0.3").drop("__score")
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.test_marts import _frames
 from vitrina import cli
+from vitrina.operators.versions import read_table
 from vitrina.session import scratch_path
 
 
@@ -18,7 +19,7 @@ def test_cli_load_export_reload(spark):
                              for x in (f"--{n}", f"{root}/{n}")]
     args += ["--short", f"{root}/short", "--full", f"{root}/full", "--month", "m1"]
     assert cli.main(args) == 0
-    months = {r[0] for r in spark.read.parquet(f"{root}/short").select("месяц отчёта").distinct().collect()}
+    months = {r[0] for r in read_table(spark, f"{root}/short").select("месяц отчёта").distinct().collect()}
     assert months == {"m1"}
     assert cli.main(["export-month", "--short", f"{root}/short", "--full", f"{root}/full",
                      "--out", f"{root}/out", "--month", "m1"]) == 0
@@ -32,6 +33,6 @@ def test_cli_load_export_reload(spark):
     kpi.write.parquet(f"{root}/src/kpi")
     assert cli.main(["reload", "--config", f"{root}/cfg/config.csv", "--schema", "src",
                      "--source", f"db.src={root}/src", "--target", f"db.stg={root}/stg"]) == 0
-    assert spark.read.parquet(f"{root}/stg/kpi_copy").count() == kpi.count()
+    assert read_table(spark, f"{root}/stg/kpi_copy").count() == kpi.count()
     assert not os.path.exists(f"{root}/stg/price_copy")
-    assert spark.read.parquet(f"{root}/full").where(F.col("месяц отчёта") != "m1").count() == 0
+    assert read_table(spark, f"{root}/full").where(F.col("месяц отчёта") != "m1").count() == 0

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from vitrina.operators.sinks import create_empty, full_reload, replace_slices
+from vitrina.operators.versions import read_table
 from vitrina.plans.export import export_month, read_sheets
 from vitrina.plans.load import (BLOGGER_COL, MONTH_COL, RELEASE_COL, load_payment_months,
                                 reload_plan, tabular_reload)
@@ -52,7 +53,7 @@ def test_append_by_position(spark):
     create_empty(spark, path, TARGET)
     append(spark, spark.createDataFrame([(1, "a")], "x int, y string"), path)
     append(spark, spark.createDataFrame([(2, "b", "e")], "p long, q string, r string"), path)
-    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a", None), (2, "b", "e")]
+    assert sorted(tuple(r) for r in read_table(spark, path).collect()) == [(1, "a", None), (2, "b", "e")]
 
 
 def test_reload_plan(spark):
@@ -72,7 +73,7 @@ def test_tabular_reload(spark):
         f.write("name,id\ngamma,x1\n")
     with pytest.raises(Exception):
         tabular_reload(spark, f"{root}/bad.csv", f"{root}/t")
-    left = spark.read.parquet(f"{root}/t").collect()      # the old rows survive a bad cell
+    left = read_table(spark, f"{root}/t").collect()      # the old rows survive a bad cell
     assert sorted(tuple(r) for r in left) == [(1, "alpha", None), (2, "beta", None)]
     with open(f"{root}/quoted.csv", "w") as f:
         f.write('name,id\n"a ""b"" c",3\n"two\nlines, and a comma",4\n')
@@ -97,7 +98,7 @@ def test_backfill_clears_emptied_month_and_repairs(spark):
     short, full = f"{root}/short", f"{root}/full"
     load_payment_months(spark, posts, roster, kpi, price, short, full)
     want = _mart(spark, short), _mart(spark, full)
-    create_empty(spark, full, spark.read.parquet(full).schema, [MONTH_COL])   # a swap that did not happen
+    create_empty(spark, full, read_table(spark, full).schema, [MONTH_COL])   # a swap that did not happen
     load_payment_months(spark, posts, roster, kpi, price, short, full)
     assert (_mart(spark, short), _mart(spark, full)) == want
     load_payment_months(spark, posts.where("sheets_name = 'm1'"), roster, kpi, price, short, full)
@@ -138,7 +139,7 @@ def test_reload_between_stores(spark):
 
 
 def _mart(spark, path):
-    return sorted((tuple(r) for r in spark.read.parquet(path).collect()), key=repr)
+    return sorted((tuple(r) for r in read_table(spark, path).collect()), key=repr)
 
 
 def test_month_load_is_idempotent_and_clears_empty_month(spark):
@@ -165,7 +166,7 @@ def test_replace_slices_keeps_other_months(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "v int, m string")
     replace_slices(spark, {path: df}, "m")
     replace_slices(spark, {path: spark.createDataFrame([(3, "a")], "v int, m string")}, "m", ["a"])
-    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(2, "b"), (3, "a")]
+    assert sorted(tuple(r) for r in read_table(spark, path).collect()) == [(2, "b"), (3, "a")]
 
 
 def test_export_split(spark):
@@ -177,7 +178,7 @@ def test_export_split(spark):
     paths = export_month(spark, short, full, out, "m1")
     sheets = sorted(p for p in os.listdir(paths["detail"]) if p.startswith(BLOGGER_COL))
     assert sheets == [f"{BLOGGER_COL}=ann  lee", f"{BLOGGER_COL}=bob  ray"]
-    detail = spark.read.parquet(full).where(F.col(f"`{MONTH_COL}`") == "m1")
+    detail = read_table(spark, full).where(F.col(f"`{MONTH_COL}`") == "m1")
     back = read_sheets(spark, paths["detail"], StructType(
         [f for f in detail.schema.fields if f.name != BLOGGER_COL]
         + [StructField(BLOGGER_COL, StringType())]))

@@ -189,3 +189,82 @@ def test_brackets_keep_fractions(spark):
         rows = bracket_join(facts, sheet, "m", "lo", "hi", {"v": "v"}, broadcast=hint)
         sums = {r.m: r.s for r in rows.groupBy("m").agg(F.sum("v").alias("s")).collect()}
         assert sums == {m: Decimal(v) for m, (_, v) in want.items()}
+
+
+# ---- ranges beyond the broadcast bound --------------------------------------------------------
+
+def test_dyadic_blocks_cover_each_integer_once(spark):
+    from vitrina.operators.brackets import dyadic_blocks
+    ranges = [(0, 0), (0, 7), (1, 7), (5, 5), (-9, 13), (-8, -1), (3, 2), (2**40 - 3, 2**40 + 5), (-2**62, 2**62)]
+    df = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(ranges)], "k int, a long, b long")
+    got = {}
+    for r in dyadic_blocks(df, "a", "b").collect():
+        got.setdefault(r.k, []).append((r._block << r._level, ((r._block + 1) << r._level) - 1))
+    for k, (a, b) in enumerate(ranges):
+        blocks = sorted(got.get(k, []))
+        assert len(blocks) <= 2 * max(1, (b - a + 1).bit_length())
+        assert not blocks if a > b else blocks[0][0] == a and blocks[-1][1] == b
+        assert all(x[1] + 1 == y[0] for x, y in zip(blocks, blocks[1:]))
+
+
+def test_one_open_ended_range_among_many(spark):
+    """The join gives one row for each match: no coarse bins that short ranges share."""
+    import numpy as np
+    from vitrina.operators.brackets import range_matches
+    n = 20_000
+    sheet = spark.range(n).select(F.lit("A").alias("g"), (F.col("id") * 10).alias("lo"), (F.col("id") * 10 + 7).alias("hi"), F.col("id").alias("v"))
+    sheet = sheet.union(spark.createDataFrame([("A", 150_001, 9_999_999, -1)], "g string, lo long, hi long, v long"))
+    rows = spark.range(300_000).select(F.lit("A").alias("g"), F.pmod(F.col("id") * 7919, F.lit(400_000)).alias("m"))
+    found = range_matches(rows, sheet, "m", "lo", "hi", ["g"])
+    m = np.unique(np.arange(300_000) * 7919 % 400_000)
+    want = ((m % 10 <= 7) & (m < 10 * n)).sum() + (m >= 150_001).sum()
+    assert found.count() == want
+    assert found.where("m between lo and hi").count() == want
+    big = spark.createDataFrame([("A", 5)], "g string, m long")
+    assert bracket_join(big, sheet, "m", "lo", "hi", {"v": "p"}, keys=["g"], broadcast=False).collect()[0].p == 0
+
+
+@HYP
+@given(st.lists(bracket, min_size=0, max_size=8),
+       st.lists(st.tuples(st.sampled_from("ABC"), st.one_of(st.none(), st.integers(-2, 33))), min_size=1, max_size=25))
+def test_bracket_join_by_blocks_equals_broadcast(spark, brs, rows):
+    br = spark.createDataFrame([(g, "X", lo, hi, v) for g, lo, hi, v in brs], BR_SCHEMA)
+    left = spark.createDataFrame([(i, g, "X", m) for i, (g, m) in enumerate(rows)], "id int, grade string, currency string, m int")
+    both = [sorted((tuple(r) for r in bracket_join(left, br, "m", "lo", "hi", {"v": "p"}, coalesce=False, broadcast=hint).collect()), key=repr)
+            for hint in (True, False)]
+    assert both[0] == both[1]
+
+
+# ---- carry over repeated and missing ids -------------------------------------------------------
+
+@HYP
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(-3, 12)), st.one_of(st.none(), st.integers(0, 5)), st.sampled_from("ab")),
+                min_size=1, max_size=60), st.sampled_from([1, 3, 40]), st.sampled_from([1, 4, 1000]), st.booleans())
+def test_carry_over_repeated_and_null_ids(spark, rows, bits, max_rows, strict):
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k int, id long, v int, g string")
+    got = carry_last(df, "id", F.col("v"), "c", by=["g"], strict=strict, bits=bits, max_rows=max_rows).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        marks = [(i, v) for i, v, g in rows if g == r.g and i is not None and v is not None and r.id is not None
+                 and (i < r.id if strict else i <= r.id)]
+        assert r.c == (max(marks)[1] if marks else None)
+
+
+def test_carry_spreads_a_month_of_equal_ids(spark):
+    """A month whose ids are one value or NULL in nine of ten rows is dealt over all tasks."""
+    n = 40_000
+    df = spark.range(n).select(
+        F.lit("m").alias("g"), F.expr("CASE WHEN id % 10 < 5 THEN 7 WHEN id % 10 < 9 THEN NULL ELSE id END").alias("o"),
+        F.expr("IF(id % 1000 = 9 OR id = 0, concat('h', id), NULL)").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = carry_last(df, "o", F.col("v"), "c", by=["g"], max_rows=500)
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 8 and max(sizes) <= 2 * sorted(sizes)[4]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    literal = {r.o: r.c for r in got.where("o is not null").select("o", "c").distinct().collect()}
+    marks = sorted((r.o, r.v) for r in df.where("v is not null and o is not null").collect())
+    for o, c in list(literal.items())[::50] + [(7, literal[7])]:
+        assert c == max((m for m in marks if m[0] <= o), default=(0, None))[1]
+    assert got.where("o is null and c is not null").count() == 0

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from vitrina.operators.versions import read_table
 from vitrina.plans.load import load_payment_months
 from vitrina.session import scratch_path
 from vitrina.streaming import run_month_feed
@@ -10,7 +11,7 @@ from tests.test_marts import _frames
 
 
 def _mart(spark, path):
-    return sorted((tuple(r) for r in spark.read.parquet(path).collect()), key=repr)
+    return sorted((tuple(r) for r in read_table(spark, path).collect()), key=repr)
 
 
 def test_month_feed_matches_batch_load(spark):

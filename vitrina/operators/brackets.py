@@ -13,10 +13,13 @@ All steps run on the bracket sheet itself and are linear in it.  Measures are
 integers (reach and counts); bounds and values may be decimals: [s, e] covers the
 integers from ceil(s) to floor(e), and values keep their type, so sums are exact.
 
-Small sheets (checked by bytes) are broadcast.  Larger ones are binned: the
-range of a measure is cut into bins of one width, each interval is listed under
-the at most ``MAX_BINS`` + 1 bins it meets, and the join key is (keys, bin), so no
-join runs on (grade, currency) alone.
+Small sheets (checked by bytes) are broadcast.  Larger ones are matched by an equi-join:
+each range is cut into aligned blocks of 2^level integers (at most two of a level, so at
+most 2 log2(length) of them), and a measure lies in exactly one block of each level, the one
+numbered ``measure >> level``.  The blocks of a range do not overlap, so a measure and a range
+that match meet under exactly one (keys, level, block): no residual condition, no duplicate, and no
+range, however long, makes the others coarser.  Measures are listed once for each distinct
+(keys, measure) and level in use; the rows find their matches by (keys, measure).
 """
 
 from __future__ import annotations
@@ -28,15 +31,38 @@ from pyspark.sql import functions as F
 
 from vitrina.operators.broadcast import BRACKET_MAX_BYTES, fits
 
-MAX_BINS = 256
 
+def shifted(value: Column, level: Column) -> Column:
+    """``value >> level`` of 64-bit integers (rounding down)."""
+    return F.call_function("shiftright", value.cast("bigint"), level.cast("int"))
 
-def binned(ranges: DataFrame, lo: str, hi: str, measure: str) -> tuple[DataFrame, Column, str]:
-    """(ranges listed once for each bin they meet, the bin of ``measure``, the bin's column)."""
-    span = ranges.select(F.max(F.col(hi) - F.col(lo))).scalar()
-    width = F.greatest(F.lit(1), F.ceil(F.coalesce(span, F.lit(0)) / MAX_BINS)).cast("bigint")
-    bins = F.sequence(F.floor(F.col(lo) / width).cast("bigint"), F.floor(F.col(hi) / width).cast("bigint"))
-    return ranges.where(F.col(lo) <= F.col(hi)).withColumn("_bin", F.explode(bins)), F.floor(F.col(measure) / width).cast("bigint"), "_bin"
+
+def dyadic_blocks(ranges: DataFrame, lo: str, hi: str, level: str = "_level", block: str = "_block") -> DataFrame:
+    """``ranges`` once for each aligned block of the integers in [lo, hi].
+
+    With l = ceil(lo / 2^k) and r = floor((hi + 1) / 2^k), as long as l < r: the block l belongs to the
+    range if l is odd (its neighbour l - 1 begins before the range), and the block r - 1 if r is odd."""
+    first, past = F.ceil(F.col(lo)).cast("bigint"), (F.floor(F.col(hi)) + 1).cast("bigint")
+    k = F.col(level)
+    left, right = -shifted(-first, k), shifted(past, k)
+    odd = lambda c: F.pmod(c, F.lit(2)) == 1
+    ends = F.filter(F.array(F.when(odd(left), left), F.when(odd(right), right - 1)), lambda b: b.isNotNull())
+    length = F.greatest(past.cast("double") - first.cast("double"), F.lit(1.0))
+    top = F.least(F.floor(F.log2(length)).cast("int") + 1, F.lit(62))
+    return (ranges.where(first < past).withColumn(level, F.explode(F.sequence(F.lit(0), top)))
+            .where(left < right).withColumn(block, F.explode(ends)))
+
+
+def range_matches(left: DataFrame, ranges: DataFrame, measure: str, lo: str, hi: str,
+                  keys: Iterable[str]) -> DataFrame:
+    """(keys..., measure, columns of ``ranges`` but its keys): one row for each distinct (keys,
+    measure) of ``left`` and each range of the same keys that holds it."""
+    keys = list(keys)
+    points = left.select(*keys, measure).where(F.col(measure).isNotNull()).distinct()
+    blocks = dyadic_blocks(ranges, lo, hi)
+    levels = blocks.select(F.collect_set("_level")).scalar()
+    points = points.withColumn("_level", F.explode(levels)).withColumn("_block", shifted(F.col(measure), F.col("_level")))
+    return points.join(blocks, [*keys, "_level", "_block"], "inner").drop("_level", "_block")
 
 
 def elementary_intervals(brackets: DataFrame, start: str, end: str, values: Iterable[str],
@@ -76,20 +102,24 @@ def interval_lookup(left: DataFrame, intervals: DataFrame, measure: str, take: d
     p = "_iv_"
     if broadcast is None:
         broadcast = fits(intervals, BRACKET_MAX_BYTES)
-    extra = []
-    if not broadcast:
-        intervals, bin_of, name = binned(intervals, "lo", "hi", measure)
-        extra = [F.col(name).alias(p + "bin")]
-    r = intervals.select(*extra, *[F.col(k).alias(p + k) for k in keys], F.col("lo").alias(p + "lo"),
+    r = intervals.select(*[F.col(k).alias(p + k) for k in keys], F.col("lo").alias(p + "lo"),
                          F.col("hi").alias(p + "hi"), F.col("n").alias(p + "n"),
                          *[F.col(c).alias(p + "v_" + c) for c in take])
-    if broadcast:
-        r = F.broadcast(r)
-    cond = [F.col(k) == F.col(p + k) for k in keys]
-    cond.append(F.col(measure).between(F.col(p + "lo"), F.col(p + "hi")))
-    if extra:
-        cond.append(bin_of == F.col(p + "bin"))
-    j = left.join(r, cond, "left")
+    j = range_join(left, r, measure, p + "lo", p + "hi", {k: p + k for k in keys}, broadcast)
     return j.select(*[F.col(c) for c in left.columns],
                     F.coalesce(F.col(p + "n"), F.lit(0)).alias(count_as),
                     *[F.coalesce(F.col(p + "v_" + c), F.lit(0)).alias(o) for c, o in take.items()])
+
+
+def range_join(left: DataFrame, ranges: DataFrame, measure: str, lo: str, hi: str, keys: dict[str, str],
+               broadcast: bool) -> DataFrame:
+    """Left join of rows to the ranges [lo, hi] that hold ``measure``; ``keys`` pairs key columns of
+    left and ranges (whose column names do not clash).  Broadcast with the range as residual
+    condition, or by dyadic blocks."""
+    if broadcast:
+        cond = [F.col(k) == F.col(r) for k, r in keys.items()] + [F.col(measure).between(F.col(lo), F.col(hi))]
+        return left.join(F.broadcast(ranges), cond, "left")
+    m = "_rj_measure"
+    points = left.select(*[F.col(k).alias(r) for k, r in keys.items()], F.col(measure).alias(m))
+    found = range_matches(points, ranges, m, lo, hi, keys.values())
+    return left.join(found, [F.col(k) == F.col(r) for k, r in keys.items()] + [F.col(measure) == F.col(m)], "left").drop(m)

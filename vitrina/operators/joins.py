@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.functions.text import first_token, leading_word, second_token
-from vitrina.operators.brackets import binned
+from vitrina.operators.brackets import range_join
 from vitrina.operators.broadcast import BRACKET_MAX_BYTES, ROSTER_MAX_BYTES, checked_broadcast, fits
 
 
@@ -50,26 +50,16 @@ def bracket_join(left: DataFrame, brackets: DataFrame, measure: str, start: str,
     ``default`` (or NULL with ``coalesce=False``); overlapping brackets
     multiply the row, as the SQL join does.  ``broadcast=None`` checks the sheet's
     size: a small sheet is broadcast, with the range as residual condition; a
-    larger one is joined on (keys, bin of the measure), see ``binned``.
+    larger one is joined by aligned blocks, see ``brackets.range_join``.
     """
     keys = list(keys)
     p = "_br_"
     if broadcast is None:
         broadcast = fits(brackets, BRACKET_MAX_BYTES)
-    extra = []
-    if not broadcast:
-        brackets, bin_of, name = binned(brackets, start, end, measure)
-        extra = [F.col(name).alias(p + "bin")]
-    b = brackets.select(*extra, *[F.col(k).alias(p + k) for k in keys],
+    b = brackets.select(*[F.col(k).alias(p + k) for k in keys],
                         F.col(start).alias(p + "lo"), F.col(end).alias(p + "hi"),
                         *[F.col(c).alias(p + "v_" + c) for c in take])
-    if broadcast:
-        b = F.broadcast(b)
-    cond = [F.col(k) == F.col(p + k) for k in keys]
-    cond.append(F.col(measure).between(F.col(p + "lo"), F.col(p + "hi")))
-    if extra:
-        cond.append(bin_of == F.col(p + "bin"))
-    j = left.join(b, cond, "left")
+    j = range_join(left, b, measure, p + "lo", p + "hi", {k: p + k for k in keys}, broadcast)
     vals = [(F.coalesce(F.col(p + "v_" + c), F.lit(default)) if coalesce else F.col(p + "v_" + c)).alias(o)
             for c, o in take.items()]
     return j.select(*[F.col(c) for c in left.columns], *vals)

@@ -1,7 +1,8 @@
 """Write semantics of the marts: full reloads, idempotent slice replace, split export.
 
-Tables here are parquet folders (``path``); a cluster would name catalog
-tables instead, the writes are the same DataFrameWriter calls.
+Tables written here are versioned Parquet folders (``versions``): every reload, append and slice
+replacement is one commit, which readers see whole or not at all.  Plain Parquet folders can be read
+too; the first write gives them a commit log.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 from pyspark.sql.types import StringType, StructField, StructType
 
-from vitrina.session import drop_scratch, scratch_path
+from vitrina.operators.versions import (Files, add_rows, create_table, current, read_table, read_version,
+                                        replace_parts, replace_table)
 
 # CSV text for NULL ('' stays an empty string), as in PostgreSQL's COPY.
 NULL_MARK = "\\N"
@@ -29,6 +31,8 @@ ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table is there.  Only a missing folder, or one without files, counts as
     absent; any other failure to read it is raised."""
+    if current(spark, path) is not None:
+        return True
     try:
         spark.read.parquet(path).schema  # noqa: B018
         return True
@@ -41,18 +45,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def read_slices(spark: SparkSession, path: str, part_col: str) -> DataFrame:
     """A mart partitioned by ``part_col``, whose labels stay text whatever they look like
     ("0125" is not 125: partition types are declared, not inferred)."""
+    version = current(spark, path)
+    if version is not None:
+        return read_version(spark, path, version)
     found = spark.read.parquet(path).schema
     declared = StructType([StructField(f.name, StringType()) if f.name == part_col else f for f in found])
     return spark.read.schema(declared).parquet(path)
 
 
+def slice_labels(spark: SparkSession, path: str, part_col: str) -> set[str]:
+    """The labels of the slices a mart holds, from its commit or its folder names: no row is read."""
+    version = current(spark, path)
+    if version is not None:
+        return version.labels()
+    files = Files(spark)
+    found = [n for n in files.folders(path) if n.startswith(f"{part_col}=")]
+    full = [n for n in found if any(not f.startswith(("_", ".")) for f in files.names(f"{path.rstrip('/')}/{n}"))]
+    return {files.unescaped(n) for n in full} - {None}
+
+
 def create_empty(spark: SparkSession, path: str, schema: StructType,
                  partition_by: Iterable[str] = ()) -> None:
     """Create an empty table with a declared schema (the DDL the marts assume)."""
-    w = spark.createDataFrame([], schema).write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    part_col, *more = [*partition_by, None]
+    if len(more) > 1:
+        raise ValueError("slices have one column")
+    create_table(spark, path, schema, part_col)
 
 
 def align_by_name(source: DataFrame, target: StructType, parse_text: bool = False) -> DataFrame:
@@ -91,10 +109,11 @@ def full_reload(spark: SparkSession, source: DataFrame, path: str, by: str = "na
     """TRUNCATE + INSERT: replace the whole table at ``path`` with ``source``.
 
     The target's schema is kept when the table exists (or ``schema`` is
-    given); a new table takes the source schema.  The new rows are staged
-    first: a failure while reading or parsing them leaves the old table as it was.
+    given); a new table takes the source schema.  The new rows become the table
+    in one commit: a failure at any point leaves the old table, and readers see the old
+    rows or the new ones.
     """
-    target = schema or (spark.read.parquet(path).schema if path_exists(spark, path) else None)
+    target = schema or (read_table(spark, path).schema if path_exists(spark, path) else None)
     if target is None:
         out = source
     elif by == "name":
@@ -103,84 +122,36 @@ def full_reload(spark: SparkSession, source: DataFrame, path: str, by: str = "na
         out = align_by_position(source, target)
     else:
         raise ValueError(by)
-    staging = scratch_path(spark, "reload-stage")
-    out.write.parquet(staging)
-    spark.read.parquet(staging).write.mode("overwrite").parquet(path)
-    drop_scratch(spark, staging)
-    return spark.read.parquet(path)
+    replace_table(spark, out, path)
+    return read_table(spark, path)
 
 
 def append(spark: SparkSession, source: DataFrame, path: str, by: str = "position",
            partition_by: Iterable[str] = ()) -> None:
     """INSERT INTO t SELECT * FROM (...): add rows to an existing table, columns
     matched by position (or by name); the table keeps its schema."""
-    target = spark.read.parquet(path).schema
+    version = current(spark, path)
+    target = (version or spark.read.parquet(path)).schema
     out = align_by_position(source, target) if by == "position" else align_by_name(source, target)
+    if version is not None:
+        add_rows(spark, out, path)
+        return
     w = out.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
-def _sql_string(v: str) -> str:
-    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def replace_slices(spark: SparkSession, marts: Mapping[str, DataFrame], part_col: str,
                    months: Iterable[str] | None = None) -> None:
     """Idempotent replacement of month slices in one or more partitioned marts.
 
-    Every new result is staged first, so a failure while computing leaves all
-    marts untouched.  Months present in a result are replaced with a dynamic
-    partition overwrite (other months stay).  A named month whose new result
-    is empty is cleared too: dynamic overwrite alone would keep the old slice,
-    while the delete-then-insert it replaces leaves it empty.  ``months=None``
-    names every month: those the marts hold already, and those of the results.
-
-    The marts are swapped one after the other, in the order given.  A failure between
-    two swaps leaves them from different loads; running the same load again repairs it,
-    because every swap is a replacement.
+    All marts change in one step, after every new result has been written: a failure at any point
+    leaves all of them as they were, and readers of several marts (``versions.read_together``) never
+    see two loads mixed.  Months outside ``months`` keep their folders.  A named month whose new result is
+    empty is cleared.  ``months=None`` replaces every month: those the marts hold without a result now go.
     """
-    folders = {p: scratch_path(spark, "slice") for p in marts}
-    for path, df in marts.items():
-        df.write.parquet(folders[path])
-    staged = {p: spark.read.schema(df.schema).parquet(folders[p]) for p, df in marts.items()}
-    for path, df in staged.items():
-        held = _labels(read_slices(spark, path, part_col), part_col) if path_exists(spark, path) else set()
-        # range on (month, row hash): each task writes one or two month folders
-        # (few files per slice), and a month holding most rows still spans
-        # several tasks
-        spread = df.repartitionByRange(F.col(f"`{part_col}`"),
-                                       F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-        (spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(part_col).parquet(path))
-        present = _labels(df, part_col)
-        for m in sorted(held - present if months is None else (set(months) & held) - present):
-            _clear_partition(spark, path, df.schema, part_col, m)
-    for folder in folders.values():
-        drop_scratch(spark, folder)
-
-
-def _labels(df: DataFrame, part_col: str) -> set[str]:
-    """The month labels of a mart (a handful of values)."""
-    return {r[0] for r in df.select(f"`{part_col}`").distinct().collect() if r[0] is not None}
-
-
-def _clear_partition(spark: SparkSession, path: str, schema: StructType, part_col: str,
-                     month: str) -> None:
-    """INSERT OVERWRITE ... PARTITION (month) with no rows: the slice ends empty."""
-    name = "vitrina_slice_" + scratch_path(spark, "t").rsplit("/", 1)[-1]
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    no_rows = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
-                        for f in schema.fields if f.name != part_col)
-    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet PARTITIONED BY (`{part_col}`) "
-              f"LOCATION {_sql_string(path)}")
-    try:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (`{part_col}` = {_sql_string(month)}) "
-                  f"SELECT {no_rows} WHERE false")
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: data stays
+    replace_parts(spark, marts, part_col, months)
 
 
 def export_split(df: DataFrame, path: str, split: list[str], order: list[Column],

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from vitrina.operators.broadcast import CONTROL_MAX_ROWS
 from vitrina.operators.sinks import (CSV_READ, align_by_name, align_by_position, full_reload,
                                      path_exists, replace_slices)
+from vitrina.operators.versions import read_table
 from vitrina.plans import payment
 from vitrina.session import materialize
 
@@ -72,11 +73,11 @@ class ParquetTables:
         return f"{self.roots[(db, schema)].rstrip('/')}/{table}{self.suffix}"
 
     def read(self, db: str, schema: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(db, schema, table))
+        return read_table(self.spark, self.path(db, schema, table))
 
     def schema(self, db: str, schema: str, table: str) -> StructType | None:
         path = self.path(db, schema, table)
-        return self.spark.read.parquet(path).schema if path_exists(self.spark, path) else None
+        return read_table(self.spark, path).schema if path_exists(self.spark, path) else None
 
     def replace(self, source: DataFrame, db: str, schema: str, table: str, by: str = "name") -> None:
         full_reload(self.spark, source, self.path(db, schema, table), by=by)

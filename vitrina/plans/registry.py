@@ -299,6 +299,7 @@ def q_full_reload_copy(spark, d):
 
 def q_append_rows(spark, d):
     """INSERT INTO by position: nation, then region with one column more."""
+    from vitrina.operators import versions
     from vitrina.operators.sinks import append, create_empty
     from vitrina.session import scratch_path
     from vitrina.sources.tables import read_table
@@ -306,7 +307,7 @@ def q_append_rows(spark, d):
     create_empty(spark, path, StructType.fromDDL("id bigint, label string, note string"))
     append(spark, read_table(spark, d, "nation", ["n_nationkey", "n_name"]), path)
     append(spark, read_table(spark, d, "region", ["r_regionkey", "r_name"]).withColumn("n", F.lit("region")), path)
-    return spark.read.parquet(path)
+    return versions.read_table(spark, path)
 
 
 def q_reload_by_position(spark, d):

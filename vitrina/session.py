@@ -36,21 +36,25 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+_OWN_DIRS: dict[str, str] = {}  # by application: folders of sessions without a checkpoint setting
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    A cluster sets ``spark.checkpoint.dir``; only when it is unset (tests,
-    a laptop) do we pick a folder of our own.
+    A cluster sets ``spark.checkpoint.dir`` (or the context's checkpoint folder); only where both are
+    unset, in local mode (tests, a laptop), do we pick a folder of our own.  The setting cannot be
+    changed in a running session, so our own folder is remembered by application.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or _OWN_DIRS.get(sc.applicationId)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set: name a folder every executor "
                                "shares (a machine-local folder would lose staged tables)")
-        d = os.path.join("/tmp", f"vitrina-ckpt-{uuid.uuid4().hex[:8]}")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        d = _OWN_DIRS[sc.applicationId] = os.path.join("/tmp", f"vitrina-ckpt-{uuid.uuid4().hex[:8]}")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -60,12 +64,17 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "vitrina", *parts, uuid.uuid4().hex])
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever file system it is on."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder of ours once a job no longer needs it."""
     if "/vitrina/" not in path:
         raise ValueError(f"not a scratch folder: {path}")
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    drop_folder(spark, path)
 
 
 def materialize(df, name: str = "stage"):
