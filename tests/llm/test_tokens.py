@@ -41,10 +41,28 @@ def test_every_prefix_count_equals_the_library():
 
 
 def test_generations_are_bounded():
-    g = Generations(lambda ks: [k * 2 for k in ks], limit=10)
+    double = lambda ks: [k * 2 for k in ks]
+    g = Generations(limit=10, weigh=lambda ks, vs: 0)
     for a in range(0, 200, 5):
-        assert g.fill(range(a, a + 5))[a] == 2 * a
+        assert g.fill(range(a, a + 5), double)[a] == 2 * a
         assert len(g.young) + len(g.old) <= 25
+    g = Generations(max_bytes=50_000)
+    for k in range(300):  # long words: bounded in bytes long before the number of entries
+        g.fill([str(k) * 2000], double)
+        assert sum(len(a) + len(b) for a, b in [*g.young.items(), *g.old.items()]) < 150_000
+
+
+def test_released_encoders_are_freed():
+    import weakref
+
+    from vitrina.llm import pieces
+    encoder = weakref.ref(pieces.worker_encoder(ByteLevelEncoder, BYTE))
+    encoder().run(["some words", "more of them"])
+    pieces.worker_encoder(WordEncoder, WORD)  # one encoder at a time
+    assert encoder() is None and len(pieces._LOADED) == 1
+    word = weakref.ref(pieces.worker_encoder(WordEncoder, WORD))
+    pieces.release_encoders()
+    assert word() is None and not pieces._LOADED
 
 
 def test_prefix_counts(spark):

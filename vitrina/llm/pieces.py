@@ -34,6 +34,7 @@ _BLANK = re.compile(r"(?<=\S) (?=\S)")
 # Letters, then punctuation (no apostrophe: contractions have rules of their own), perhaps a
 # line break and the same again: each group is a word of a GPT-2 style pre-tokenizer.
 _LATIN, _PUNCT = "A-Za-zÀ-ÖØ-öø-ÿ", "!-&(-/:-@\\[-`{-~"
+ONE_MARK = frozenset(".,;:!?)")
 _SIMPLE = re.compile(f"([{_LATIN}]+)([{_PUNCT}]*)(?:(\n)([{_LATIN}]+)([{_PUNCT}]*))?")
 
 
@@ -68,23 +69,41 @@ class Generations:
             missing = list(keys)
             self.young = young
         if missing:
-            old, fresh, again = self.old, [], []
-            for k in missing:
-                v = old.get(k)
-                if v is None:
-                    fresh.append(k)
-                else:
-                    young[k] = v
-                    again.append(k)
+            old = self.old
+            again = [k for k in missing if k in old] if old else ()
             if again:
+                young.update(zip(again, map(old.__getitem__, again)))
+                missing = [k for k in missing if k not in old]
                 self.size += ENTRY * len(again) + self.weigh(again, [old[k] for k in again])
-            if fresh:
-                values = compute(fresh)
-                young.update(zip(fresh, values))
-                self.size += ENTRY * len(fresh) + self.weigh(fresh, values)
+            if missing:
+                values = compute(missing)
+                young.update(zip(missing, values))
+                self.size += ENTRY * len(missing) + self.weigh(missing, values)
         return young
 
 
+def cut_texts(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(distinct pieces, place of each piece of all texts among them, offsets of the texts): texts cut at
+    each blank between two characters that are not white space.  An empty text is one empty piece."""
+    arr = pc.split_pattern(pa.array(texts, pa.large_string()), pattern=" ")
+    offsets = arr.offsets.to_numpy().astype(np.int64)
+    coded = arr.flatten().dictionary_encode()
+    index = coded.indices.to_numpy().astype(np.int64)
+    same = pc.equal(pc.utf8_trim_whitespace(coded.dictionary), coded.dictionary)
+    odd = ~pc.and_(same, pc.not_equal(coded.dictionary, "")).to_numpy(zero_copy_only=False)
+    uniques = coded.dictionary.to_pylist()
+    if odd.any():  # white space beside the blank: cut these texts with care
+        rows = np.unique(np.searchsorted(offsets, np.flatnonzero(odd[index]), side="right") - 1)
+        again = set(rows.tolist())
+        pieces = [_BLANK.split(t) if k in again else t.split(" ") for k, t in enumerate(texts)]
+        place: dict[str, int] = {}
+        index = np.fromiter((place.setdefault(p, len(place)) for ps in pieces for p in ps), np.int64,
+                            sum(map(len, pieces)))
+        uniques = list(place)
+        offsets = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
+    return uniques, index, offsets
+
+
 def load_tokenizer(path: str):
     """The tokenizer of a .json file, with truncation and padding off."""
     from tokenizers import Tokenizer
@@ -153,9 +172,19 @@ class ByteLevelEncoder(_Encoder):
 
     def _piece_values(self, pieces: list[str], blank: str) -> list[bytes]:
         """Values of pieces, each with ``blank`` before it."""
-        cut = [self.cut_words(p, blank) for p in pieces]
+        mark, cut = "Ġ" if blank else "", []
+        for p in pieces:  # a word, perhaps with one mark after it, is most of a text
+            if p.isascii():
+                if p.isalpha():
+                    cut.append((mark + p,))
+                    continue
+                if p[-1:] in ONE_MARK and p[:-1].isalpha():
+                    cut.append((mark + p[:-1], p[-1]))
+                    continue
+            cut.append(self.cut_words(p, blank))
         get = self.words.fill({w for ws in cut if ws for w in ws}, self._word_ids).__getitem__
-        return [b"".join(map(get, ws)) if ws is not None else self.whole(blank + p) for p, ws in zip(pieces, cut)]
+        return [get(ws[0]) if ws is not None and len(ws) == 1 else b"".join(map(get, ws)) if ws is not None
+                else self.whole(blank + p) for p, ws in zip(pieces, cut)]
 
     def simple_words(self, piece: str, blank: str) -> list[str] | None:
         """The same for letters and punctuation; None: the piece is of another kind."""
@@ -185,22 +214,7 @@ class ByteLevelEncoder(_Encoder):
 
     def run(self, texts: list[str]):
         """(all values, offsets) of a run of texts."""
-        arr = pc.split_pattern(pa.array(texts, pa.large_string()), pattern=" ")
-        offsets = arr.offsets.to_numpy().astype(np.int64)
-        coded = arr.flatten().dictionary_encode()
-        index = coded.indices.to_numpy().astype(np.int64)
-        same = pc.equal(pc.utf8_trim_whitespace(coded.dictionary), coded.dictionary)
-        odd = ~pc.and_(same, pc.not_equal(coded.dictionary, "")).to_numpy(zero_copy_only=False)
-        uniques = coded.dictionary.to_pylist()
-        if odd.any():  # white space beside the blank: cut these texts with care
-            rows = np.unique(np.searchsorted(offsets, np.flatnonzero(odd[index]), side="right") - 1)
-            again = set(rows.tolist())
-            pieces = [_BLANK.split(t) if k in again else t.split(" ") for k, t in enumerate(texts)]
-            place: dict[str, int] = {}
-            index = np.fromiter((place.setdefault(p, len(place)) for ps in pieces for p in ps), np.int64,
-                                sum(map(len, pieces)))
-            uniques = list(place)
-            offsets = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
+        uniques, index, offsets = cut_texts(texts)
         first = offsets[:-1]
         heads = [uniques[k] for k in index[first].tolist()]
         index[first] = np.arange(len(uniques), len(uniques) + len(heads))
@@ -281,7 +295,7 @@ def trim_memory() -> None:
         trim(0)
 
 
-def small_runs(texts: list, budget: int = 3_000_000):
+def small_runs(texts: list, budget: int = 6_000_000):
     """(from, to) runs of a batch with about ``budget`` characters each, so a batch of
     long texts is not cut into words all at once; a longer text is a run of its own."""
     start = size = 0

@@ -27,8 +27,8 @@ driver gets the vector of A's vocabulary, nothing else.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +36,11 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from vitrina.llm.pieces import ByteLevelEncoder, Generations, byte_alphabet
+from vitrina.llm.pieces import ByteLevelEncoder, Generations, byte_alphabet, cut_texts
 from vitrina.session import materialize
 
 BLOCK = 3_000_000  # characters of text
 CACHED = 120_000  # pieces of one generation of the cache
-_BLANK = re.compile(r"(?<=\S) (?=\S)")
 _PASS = ("kind string, block bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
          "groups_sha256 string, words binary, identity binary, identity_len binary, pairs binary, pairs_len binary, "
          "place int, a int, b int, n bigint")
@@ -111,57 +110,66 @@ class PieceAligner:
         self.b_len = np.array([len(e) for e in self.b_bytes], np.int64)
         self.identity = identity_map(self.a_bytes, self.b_bytes,
                                      [self.b.is_byte(i) for i in range(self.b.vocab_size())])
+        # The text of each token in a group, with the mark before it: ";" a group's first A token, "|" its
+        # first B token, "," the others.
+        n_a, n_b = len(self.a_bytes), len(self.b_bytes)
+        marks = [m % i for m, n in ((b";%d", n_a), (b",%d", n_a), (b"|%d", n_b), (b",%d", n_b)) for i in range(n)]
+        self.marks = np.array(marks, object)
+        self.mark_at = np.cumsum([0, n_a, n_a, n_b])
         self.cache = Generations(CACHED, weigh=lambda pieces, found: sum(map(len, pieces)) + sum(
             300 + len(f[4]) + len(f[5]) + len(f[6]) for f in found if f))
 
+    def _same_bytes(self, pieces: list[str], ids: np.ndarray, n: np.ndarray, entries: list[bytes], size: np.ndarray) -> np.ndarray:
+        """Whether the joined bytes of each piece's tokens are a blank and the piece."""
+        want = [b" " + p.encode() for p in pieces]
+        ends = np.cumsum(n)
+        total = np.concatenate([[0], np.cumsum(size[ids])])
+        good = total[ends] - total[ends - n] == np.fromiter(map(len, want), np.int64, len(want))
+        joined = [entries[i] for i in ids.tolist()]
+        if good.all() and b"".join(joined) == b"".join(want):
+            return good
+        return np.array([b"".join(joined[e - k:e]) == w for e, k, w in zip(ends.tolist(), n.tolist(), want)], bool)
+
     def align(self, pieces: list[str]) -> list:
         """Alignments of distinct pieces, each with a blank before it."""
-        out = [None] * len(pieces)
-        a_ids = [np.frombuffer(v, "<u4") for v in self.a._piece_values(pieces, " ")]
-        b_ids = self.b.encode(pieces, num_threads=1)
-        a_bytes, b_bytes = self.a_bytes, self.b_bytes
-        good = []
-        for k, p in enumerate(pieces):
-            want = b" " + p.encode()
-            if (b"".join([b_bytes[i] for i in b_ids[k]]) == want and
-                    b"".join([a_bytes[i] for i in a_ids[k].tolist()]) == want):
-                good.append(k)
-        if not good:
-            return out
-        a_n = np.array([len(a_ids[k]) for k in good])
-        b_n = np.array([len(b_ids[k]) for k in good])
-        a = np.concatenate([a_ids[k] for k in good]).astype(np.int64)
-        b = np.concatenate([np.asarray(b_ids[k], np.int64) for k in good])
+        a_values, b_values = self.a._piece_values(pieces, " "), self.b.encode(pieces, num_threads=1)
+        a = np.frombuffer(b"".join(a_values), "<u4").astype(np.int64)
+        b = np.fromiter(chain.from_iterable(b_values), np.int64)
+        a_n = np.fromiter(map(len, a_values), np.int64, len(pieces)) // 4
+        b_n = np.fromiter(map(len, b_values), np.int64, len(pieces))
+        good = (self._same_bytes(pieces, a, a_n, self.a_bytes, self.a_len)
+                & self._same_bytes(pieces, b, b_n, self.b_bytes, self.b_len))
+        if not good.all():
+            a, b = a[np.repeat(good, a_n)], b[np.repeat(good, b_n)]
+            a_n, b_n = a_n[good], b_n[good]
+        found = iter(self._aligned(a, b, a_n, b_n) if len(a_n) else ())
+        return [next(found) if g else None for g in good.tolist()]
+
+    def _aligned(self, a: np.ndarray, b: np.ndarray, a_n: np.ndarray, b_n: np.ndarray) -> Iterator[tuple]:
+        """The alignments of pieces whose tokens (``a_n``, ``b_n`` of each) cover the same bytes."""
         a_ends, b_ends = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
         shared = np.intersect1d(a_ends, b_ends, assume_unique=True)
         a_group, b_group = np.searchsorted(shared, a_ends, "left"), np.searchsorted(shared, b_ends, "left")
         in_a, in_b = overlaps(a_ends, b_ends)
-        a_size, b_size = np.bincount(a_group), np.bincount(b_group)
-        lone = (a_size == 1) & (b_size == 1)
-        first_b = np.searchsorted(b_group, np.arange(len(shared)))
-        same = lone[a_group] & (self.identity[a] == b[first_b[a_group]])  # the fast path, by A token
+        a_first = np.concatenate([[True], a_group[1:] != a_group[:-1]])
+        b_first = np.concatenate([[True], b_group[1:] != b_group[:-1]])
+        lone = (np.bincount(a_group) == 1) & (np.bincount(b_group) == 1)
+        same = lone[a_group] & (self.identity[a] == b[b_first][a_group])  # the fast path, by A token
         regular = np.zeros(len(shared), bool)
         regular[a_group[same]] = True
         odd = ~regular[a_group[in_a]]
-        links = a[in_a] << 32 | b[in_b]
-        # Text of the groups: every token with the mark before it, A's tokens of a group first.
-        a_first = np.concatenate([[True], a_group[1:] != a_group[:-1]])
-        b_first = np.concatenate([[True], b_group[1:] != b_group[:-1]])
-        marks = [(";" if f else ",") + str(i) for f, i in zip(a_first.tolist(), a.tolist())]
-        marks += [("|" if f else ",") + str(i) for f, i in zip(b_first.tolist(), b.tolist())]
-        order = np.argsort(np.concatenate([a_group * 2, b_group * 2 + 1]), kind="stable").tolist()
-        marks = [marks[k] for k in order]
-        a_at, b_at = np.cumsum(a_n), np.cumsum(b_n)
-        g_at = (a_group[a_at - 1] + 1).tolist()
-        l_at = np.searchsorted(in_a, a_at, "left").tolist()
-        token = g = link = start = 0
-        for j, k in enumerate(good):
-            stop, end = int(a_at[j]), l_at[j]
-            tokens = token + int(a_n[j] + b_n[j])
-            out[k] = (int(a_n[j]), int(b_n[j]), g_at[j] - g, end - link, "".join(marks[token:tokens])[1:].encode(),
-                      a[start:stop][same[start:stop]].astype("<u4").tobytes(), links[link:end][odd[link:end]].tobytes())
-            token, g, link, start = tokens, g_at[j], end, stop
-        return out
+        at = self.mark_at
+        marks = np.concatenate([self.marks[a + np.where(a_first, at[0], at[1])], self.marks[b + np.where(b_first, at[2], at[3])]])
+        marks = marks[np.argsort(np.concatenate([a_group * 2, b_group * 2 + 1]), kind="stable")].tolist()
+        identity, links = a[same].astype("<u4").tobytes(), (a[in_a] << 32 | b[in_b])[odd].tobytes()
+        a_at, token = np.cumsum(a_n), np.concatenate([[0], np.cumsum(a_n + b_n)])
+        group = np.concatenate([[0], a_group[a_at - 1] + 1])
+        link = np.concatenate([[0], np.searchsorted(in_a, a_at, "left")])
+        ident_at = 4 * np.concatenate([[0], np.cumsum(same)])[np.concatenate([[0], a_at])]
+        links_at = 8 * np.concatenate([[0], np.cumsum(odd)])[link]
+        text = (b"".join(marks[s:e])[1:] for s, e in pairwise(token.tolist()))
+        return zip(a_n.tolist(), b_n.tolist(), np.diff(group).tolist(), np.diff(link).tolist(), text,
+                   [identity[s:e] for s, e in pairwise(ident_at.tolist())], [links[s:e] for s, e in pairwise(links_at.tolist())])
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
@@ -189,16 +197,15 @@ class _Block:
     """One block of documents: their words as places in the block's list of distinct pieces."""
 
     def __init__(self, aligner: PieceAligner, texts: list):
-        place: dict[str, int] = {}
-        self.words = [np.fromiter((place.setdefault(p, len(place)) for p in _BLANK.split(t)), np.int64) if t
-                      else np.zeros(0, np.int64) for t in texts]
-        found = aligner.cache.fill(place, aligner.align)
-        self.entries = [found[p] for p in place]
+        pieces, index, offsets = cut_texts([t or "" for t in texts])
+        self.words = [index[s:e] if t else index[:0] for t, (s, e) in zip(texts, pairwise(offsets.tolist()))]
+        found = aligner.cache.fill(pieces, aligner.align)
+        self.entries = [found[p] for p in pieces]
         good = np.array([e is not None for e in self.entries], bool)
         self.valid = [len(w) > 0 and bool(good[w].all()) for w in self.words]
         none = np.zeros(0, np.int64)
         self.uses = np.bincount(np.concatenate([none, *(w for w, v in zip(self.words, self.valid) if v)]),
-                                minlength=len(place))
+                                minlength=len(pieces))
         self.entries = [e or (0, 0, 0, 0, b"", b"", b"") for e in self.entries]
         self.sizes = np.array([e[:4] for e in self.entries], np.int64).reshape(-1, 4)
         self.identity = np.frombuffer(b"".join(e[5] for e in self.entries), "<u4")
