@@ -3,9 +3,10 @@ NULL-aware NOT IN."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.functions.text import first_token, leading_word, second_token
@@ -34,10 +35,55 @@ def name_key_join(posts_keyed: DataFrame, roster: DataFrame,
     The roster is broadcast when the planner's estimate shows it is small, so the
     fact side is never shuffled for it (and a blogger holding a third of all
     posts causes no skew).  Duplicate roster names multiply rows, as the SQL
-    join does.
+    join does.  Beyond the bound the join is dealt by ``skew_join``.
     """
-    r, _ = checked_broadcast(roster_keys(roster), max_bytes)
-    return posts_keyed.join(r, ["first_name", "last_name"], "inner")
+    r, small = checked_broadcast(roster_keys(roster), max_bytes)
+    keys = ["first_name", "last_name"]
+    return posts_keyed.join(r, keys, "inner") if small else skew_join(posts_keyed, r, keys)
+
+
+def key_hash(keys: Iterable[str]) -> Column:
+    return F.xxhash64(*[F.col(k) for k in keys])
+
+
+def heavy_keys(df: DataFrame, keys: Iterable[str], share: float, counts: DataFrame | None = None) -> dict[int, float]:
+    """Hashes of the keys that hold more than ``share`` of the rows, with their share (at most
+    1 / share of them; NULL keys, which join nothing, are left out).
+
+    From a sketch of bounded size, merged over the tasks (``approx_top_k``): no exchange of keys.
+    ``counts`` (keys and ``n``) gives exact numbers where they have been computed before."""
+    keys, most = list(keys), int(1 / share) + 1
+    if counts is not None:
+        rows = counts.dropna(subset=keys).select(key_hash(keys).alias("h"), "n")
+        total = rows.agg(F.sum("n")).first()[0] or 0
+        found = [(r["h"], r["n"]) for r in rows.orderBy(F.desc("n")).limit(most).collect()]
+    else:
+        hashed = df.dropna(subset=keys).select(key_hash(keys).alias("h"))
+        top = hashed.agg(F.expr(f"approx_top_k(h, {most}, {20 * most})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+        total, found = top["n"], [(t["item"], t["count"]) for t in top["top"] or []]
+    return {h: n / total for h, n in found if n > share * total}
+
+
+def skew_join(left: DataFrame, right: DataFrame, keys: Iterable[str], how: str = "inner",
+              counts: DataFrame | None = None, parts: int | None = None) -> DataFrame:
+    """Equi-join of a large left side whose keys may be hot: one key may hold a third of its rows.
+
+    A key with more than a quarter of a task's fair share is dealt over as many salts as it has quarters; its rows
+    on the right are repeated for each salt.  All other keys have one salt.  So a task holds about
+    its share whatever the keys, nothing is broadcast, and both sides are read and shuffled once."""
+    if how not in ("inner", "left"):
+        raise ValueError("salts repeat the right side: inner and left joins only")
+    keys = list(keys)
+    parts = parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    quarter = 1 / (4 * parts)
+    heavy = heavy_keys(left, keys, quarter, counts)
+    if not heavy:
+        return left.join(right, keys, how)
+    salts = F.create_map(*[F.lit(x) for h, n in heavy.items() for x in (h, math.ceil(n / quarter))])
+    n_salts = F.coalesce(F.element_at(salts, key_hash(keys)), F.lit(1))
+    dealt = left.withColumn("_sj_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), n_salts.cast("bigint")))
+    copied = right.withColumn("_sj_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), n_salts.cast("bigint") - 1)))
+    return dealt.join(copied, [*keys, "_sj_salt"], how).drop("_sj_salt")
 
 
 def bracket_join(left: DataFrame, brackets: DataFrame, measure: str, start: str, end: str,

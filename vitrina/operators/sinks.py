@@ -7,6 +7,7 @@ too; the first write gives them a commit log.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
@@ -17,6 +18,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from vitrina.operators.versions import (Files, add_rows, create_table, current, read_table, read_version,
                                         replace_parts, replace_table)
+from vitrina.session import materialize
 
 # CSV text for NULL ('' stays an empty string), as in PostgreSQL's COPY.
 NULL_MARK = "\\N"
@@ -154,14 +156,30 @@ def replace_slices(spark: SparkSession, marts: Mapping[str, DataFrame], part_col
     replace_parts(spark, marts, part_col, months)
 
 
+SHEET_ROWS = 1_000_000  # a sheet with more rows is written as several files
+
+
 def export_split(df: DataFrame, path: str, split: list[str], order: list[Column],
-                 n_partitions: int | None = None) -> None:
-    """One CSV folder per group (a 'sheet' per blogger), header row, rows in
-    ``order``.  Range partitioning on (split, order) spreads a hot group over
-    several tasks and files, each sorted, so no task holds a whole group."""
+                 n_partitions: int | None = None, sheet_rows: int = SHEET_ROWS) -> None:
+    """One CSV folder per group (a 'sheet' per blogger), header row, rows in ``order``.
+
+    Sheets are counted first.  Those of at most ``sheet_rows`` rows are dealt whole: many to a task, each in
+    one file.  Larger ones (at most rows / ``sheet_rows`` of them) are range-partitioned on (split,
+    order): several tasks and files, each sorted, their numbers in order.  So no task holds more than a
+    few sheets' worth of rows, and no small sheet is cut in two."""
     keyed = df.where(reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in split]))
-    sort = [F.col(f"`{c}`") for c in split] + list(order)
-    parts = (keyed.repartitionByRange(n_partitions, *sort) if n_partitions
-             else keyed.repartitionByRange(*sort))
-    (parts.sortWithinPartitions(*sort).write.mode("overwrite").options(**CSV_WRITE)
-          .partitionBy(*split).csv(path))
+    keys = [F.col(f"`{c}`") for c in split]
+    large = materialize(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > sheet_rows), "large-sheets")
+    rows_of_large = large.agg(F.sum("n")).first()[0] or 0
+    some = rows_of_large > 0
+
+    def write(rows: DataFrame, mode: str) -> None:
+        (rows.sortWithinPartitions(*keys, *order).write.mode(mode).options(**CSV_WRITE)
+             .partitionBy(*split).csv(path))
+
+    names = F.broadcast(large.select(*keys))
+    small = keyed.join(names, split, "left_anti") if some else keyed
+    write(small.repartition(n_partitions, *keys) if n_partitions else small.repartition(*keys), "overwrite")
+    if some:
+        parts = math.ceil(rows_of_large / sheet_rows)
+        write(keyed.join(names, split, "left_semi").repartitionByRange(parts, *keys, *order), "append")

@@ -11,6 +11,7 @@ from vitrina.operators.sinks import CSV_READ, CSV_WRITE, NULL_MARK, export_split
 from vitrina.plans.load import BLOGGER_COL, MONTH_COL, RELEASE_COL
 
 SUMMARY_SHEET = "Итог"
+SUMMARY_ORDER = [BLOGGER_COL, "account_name"]
 
 
 def read_month(spark: SparkSession, path: str, month: str | None) -> DataFrame:
@@ -22,7 +23,7 @@ def read_month(spark: SparkSession, path: str, month: str | None) -> DataFrame:
 def export_month(spark: SparkSession, short_path: str, full_path: str, out: str,
                  month: str | None) -> dict[str, str]:
     """Write the summary and the per-blogger detail of ``month`` (every month
-    when None, one folder per month) as header CSV; return the folders.
+    when None, one folder per month, for the summary too) as header CSV; return the folders.
 
     Detail rows are ordered by release date, NULL dates last; rows without a
     blogger name are left out, as grouping by name drops them.
@@ -32,7 +33,10 @@ def export_month(spark: SparkSession, short_path: str, full_path: str, out: str,
     split = [BLOGGER_COL] if month is not None else [MONTH_COL, BLOGGER_COL]
     paths = {"summary": f"{out}/{SUMMARY_SHEET}", "detail": f"{out}/detail",
              "widths": f"{out}/widths"}
-    short.write.mode("overwrite").options(**CSV_WRITE).csv(paths["summary"])
+    if month is None:
+        export_split(short, paths["summary"], [MONTH_COL], [F.col(f"`{c}`") for c in SUMMARY_ORDER])
+    else:
+        short.write.mode("overwrite").options(**CSV_WRITE).csv(paths["summary"])
     export_split(full, paths["detail"], split, [F.col(f"`{RELEASE_COL}`").asc_nulls_last()])
     widths = sheet_widths(full, split).unionByName(summary_widths(short, split))
     widths.write.mode("overwrite").options(**CSV_WRITE).csv(paths["widths"])

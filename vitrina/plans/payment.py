@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from vitrina.functions.text import int_from_text, strip_word
 from vitrina.operators.aggs import capped_count, count_if
 from vitrina.operators.brackets import elementary_intervals, interval_lookup
-from vitrina.operators.broadcast import BRACKET_MAX_BYTES, fits
-from vitrina.operators.joins import bracket_join, name_key_join, person_keys
+from vitrina.operators.broadcast import BRACKET_MAX_BYTES, ROSTER_MAX_BYTES, fits
+from vitrina.operators.joins import bracket_join, name_key_join, person_keys, skew_join
 from vitrina.session import materialize
 
 # Fixed values of the payment marts.
@@ -216,7 +216,7 @@ class PaymentPlan:
                     .select(*PERSON, MONTH, strip_word("account_name", REPORT_WORD).alias("account_name"),
                             "video_count", "instagram_count", "youtube_count", "price",
                             "instagram_premium", "youtube_premium").distinct())
-        return posts.join(accounts, [*PERSON, MONTH]).select(
+        return self._paired(posts, accounts).select(
             F.concat(F.col("first_name"), F.lit("  "), F.col("last_name")).alias("blogger_name"),
             "account_name", "grade", "release_date", "currency", "video_count",
             F.col("price").alias("price_per_video"),
@@ -224,6 +224,15 @@ class PaymentPlan:
             "instagram_count", "youtube_count", "tiktok_premium", "likee_premium",
             "instagram_premium", "youtube_premium", MONTH)
 
+    def _paired(self, posts: DataFrame, accounts: DataFrame) -> DataFrame:
+        """Posts with the accounts of their person and month.  Account rows that are written already
+        and too many to broadcast: bloggers with many posts are known from them, and dealt."""
+        keys = [*PERSON, MONTH]
+        if self._accounts is None or fits(self._accounts, ROSTER_MAX_BYTES):
+            return posts.join(accounts, keys)
+        counts = self.accounts().groupBy(*keys).agg(F.sum("_rows").alias("n"))
+        return skew_join(posts, accounts, keys, counts=counts)
+
     def summary(self) -> DataFrame:
         """Q1: one row per blogger, grade, currency, month and account.
 

@@ -8,6 +8,7 @@ functions themselves keep decimals.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
@@ -263,9 +264,13 @@ RELOAD_TABLES = {"region": "r_regionkey", "nation": "n_nationkey", "supplier": "
 
 
 def q_reload_plan(spark, d):
-    """The control rows a reload of the schema ``tpch`` takes."""
+    """The control rows a reload of the schema ``tpch`` takes, with the rows of each source table."""
     from vitrina.plans.load import reload_plan_frame
-    return reload_plan_frame(fx.reload_config(spark, RELOAD_TABLES), "tpch")
+    from vitrina.sources.tables import read_table
+    plan = reload_plan_frame(fx.reload_config(spark, RELOAD_TABLES), "tpch")
+    sizes = reduce(DataFrame.union, [read_table(spark, d, t).agg(F.lit(t).alias("table_name_source"), F.count(F.lit(1)).alias("n_rows"))
+                                     for t in RELOAD_TABLES])
+    return plan.join(F.broadcast(sizes), "table_name_source")
 
 
 def q_full_reload_copy(spark, d):
@@ -392,7 +397,8 @@ def q_export_summary(spark, d):
     from vitrina.session import scratch_path
     short, full = _load_marts(spark, d)
     paths = export_month(spark, short, full, scratch_path(spark, "export"), None)
-    return as_double(read_sheets(spark, paths["summary"], read_slices(spark, short, MONTH_COL).schema))
+    m = read_slices(spark, short, MONTH_COL).schema  # the month is the folder's name
+    return as_double(read_sheets(spark, paths["summary"], m))
 
 
 def q_column_widths(spark, d):
@@ -435,3 +441,146 @@ def q_month_feed(spark, d):
 
 
 QUERIES["month_feed"] = q_month_feed
+
+
+# ---- beyond the broadcast bounds, under faults, from metadata ------------------------------------
+
+def q_name_key_join_dealt(spark, d):
+    """The name join with a roster beyond the broadcast bound: hot bloggers dealt over salts."""
+    from vitrina.operators.joins import name_key_join, person_keys
+    keyed = person_keys(fx.posts(spark, d))
+    return name_key_join(keyed, fx.roster(spark, d), max_bytes=0).select(
+        "first_name", "last_name", "author", "account_name", "sheets_name", "grade", "currency", "region")
+
+
+def q_bracket_join_row_blocks(spark, d):
+    """The premium lookups with sheets beyond the broadcast bound: joined by aligned blocks."""
+    br = payment.Brackets(fx.kpi(spark), fx.price(spark))
+    br.kpi_bc = br.price_bc = False
+    t = payment.post_premiums(_stats(spark, d), br)
+    return as_double(t.select("first_name", "last_name", "grade", "currency", "sheets_name", "release_date",
+                              "tiktok_reach", "likee_reach", "tiktok_premium", "likee_premium"))
+
+
+def q_payment_summary_blocks(spark, d):
+    """The summary mart with every bracket lookup joined by aligned blocks."""
+    plan = payment.PaymentPlan(*_payment_inputs(spark, d))
+    plan.br.kpi_bc = plan.br.price_bc = False
+    return as_double(plan.summary())
+
+
+def q_range_join(spark, d):
+    """Many overlapping ranges (one for each part, some open-ended) against the suppliers of all line items."""
+    from vitrina.operators.joins import bracket_join
+    from vitrina.sources.tables import read_table
+    sheet = read_table(spark, d, "part", ["p_partkey", "p_size"]).select(
+        (F.col("p_size") % 3).alias("grade"), F.col("p_partkey").alias("lo"),
+        F.when(F.col("p_partkey") % 500 == 0, 9999999).otherwise(F.col("p_partkey") + F.col("p_size")).alias("hi"),
+        F.col("p_size").alias("v"))
+    rows = read_table(spark, d, "lineitem", ["l_linenumber", "l_suppkey"]).select(
+        (F.col("l_linenumber") % 3).alias("grade"), F.col("l_suppkey").alias("m"))
+    found = bracket_join(rows, sheet, "m", "lo", "hi", {"v": "v"}, keys=["grade"], broadcast=False, coalesce=False)
+    return found.groupBy("grade", "m").agg(F.count(F.lit(1)).alias("n_rows"), F.count("v").alias("n_ranges"), F.sum("v").alias("v"))
+
+
+def q_carry_repeated_ids(spark, d):
+    """Marks carried over ids that repeat hundreds of times or are missing."""
+    from vitrina.operators.ordered import carry_last
+    from vitrina.sources.tables import read_table
+    rows = read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag", "l_suppkey", "l_quantity"])
+    rows = rows.withColumn("place", F.when(F.col("l_linenumber") != 3, F.col("l_suppkey")))
+    mark = F.when((F.col("l_quantity") > 45) & (F.col("l_suppkey") % 7 == 0), F.col("l_orderkey"))
+    got = carry_last(rows, "place", mark, "carried", by=["l_returnflag"], bits=3, max_rows=500)
+    return got.select("l_orderkey", "l_linenumber", "l_returnflag", "place", "carried")
+
+
+def q_reload_outcomes(spark, d):
+    """Seven tables copied side by side, one of which does not exist: the others are there."""
+    from vitrina.plans.load import ParquetTables, reload_plan, reload_tables
+    from vitrina.session import scratch_path
+    root = scratch_path(spark, "outcomes")
+    sources = ParquetTables(spark, {("stage_db", "tpch"): d}, suffix=".parquet")
+    targets = ParquetTables(spark, {("stage_db", "stg_tpch"): root})
+    names = [t if t != "supplier" else "no_such_table" for t in RELOAD_TABLES]
+    outcomes = reload_tables(spark, reload_plan(fx.reload_config(spark, names), "tpch"), sources, targets)
+    rows = []
+    for o in outcomes:
+        name, good = o.row.table_name_target, o.error is None
+        copied = targets.read("stage_db", "stg_tpch", name) if good else spark.range(0)
+        rows.append(copied.agg(F.lit(name).alias("table_name"), F.lit(good).alias("replaced"), F.count(F.lit(1)).alias("n_rows")))
+    return reduce(DataFrame.union, rows)
+
+
+def q_marts_after_faults(spark, d):
+    """Both marts, read as of one moment, after a backfill, a load that died before its decision, and a
+    reload of one month: every month from one load."""
+    from vitrina.operators import versions
+    from vitrina.plans.load import MONTH_COL, load_payment_months
+    short, full = _load_marts(spark, d)
+    dead = versions.Load(spark, [short, full])
+    for path in (short, full):
+        now = versions.read_table(spark, path)
+        dead.put(path, now.schema, MONTH_COL, dead.write(path, now.where(F.col(f"`{MONTH_COL}`") == TEST_MONTH), MONTH_COL))
+    dead.files.create(versions._commit_path(short, dead.base[short].number + 1), json.dumps({
+        "load": dead.id, "schema": dead.staged[short][0].jsonValue(), "part_col": MONTH_COL, "folders": dead.staged[short][2],
+        "decision": f"{short}/_commits/decisions/{dead.id}"}))  # one commit of two, no decision
+    load_payment_months(spark, *_payment_inputs(spark, d), short, full, [TEST_MONTH])
+    both = versions.read_together(spark, [short, full])
+    counts = [m.groupBy(F.col(f"`{MONTH_COL}`").alias("month")).agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("n_rows"))
+              for name, m in zip(("summary", "detail"), both)]
+    return counts[0].union(counts[1])
+
+
+def q_slice_labels(spark, d):
+    """The months a mart holds, from its last commit: no row is read."""
+    from vitrina.operators.sinks import slice_labels
+    from vitrina.plans.load import MONTH_COL
+    short, _ = _load_marts(spark, d)
+    return spark.createDataFrame([(m,) for m in sorted(slice_labels(spark, short, MONTH_COL))], "month string")
+
+
+def q_split_scans(spark, d):
+    """``orders`` read in 16 scans by equi-depth splits of a key with repeats, dates and all: nothing is
+    lost or read twice, and no scan holds more than twice its share."""
+    from vitrina.plans.load import split_predicates
+    from vitrina.sources.tables import read_table
+    orders = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    out = []
+    for key in ("o_custkey", "o_orderdate"):
+        scans = split_predicates(orders.select(key), key, 16)
+        parts = reduce(DataFrame.union, [orders.where(p).select(F.lit(k).alias("scan"), "o_orderkey") for k, p in enumerate(scans)])
+        sizes = parts.groupBy("scan").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("s"))
+        out.append(sizes.agg(F.lit(key).alias("key"), F.sum("n").alias("n_rows"), F.sum("s").alias("key_sum"),
+                             (F.max("n") * 16 <= 2 * F.sum("n")).alias("even")))
+    return out[0].union(out[1])
+
+
+def q_sheet_files(spark, d):
+    """Sheets of ``customer`` by segment and nation, and of one large sheet: files and rows of each."""
+    from vitrina.operators.sinks import export_split
+    from vitrina.plans.export import read_sheets
+    from vitrina.session import scratch_path
+    from vitrina.sources.tables import read_table
+    customers = read_table(spark, d, "customer", ["c_custkey", "c_mktsegment", "c_nationkey"])
+    sheet = F.when(F.col("c_nationkey") < 5, F.lit("large")).otherwise(F.concat_ws("-", "c_mktsegment", "c_nationkey"))
+    path = scratch_path(spark, "sheet-files")
+    limit = customers.where("c_nationkey < 5").count() - 1
+    export_split(customers.select("c_custkey", sheet.alias("sheet")), path, ["sheet"], [F.col("c_custkey")], sheet_rows=limit)
+    back = read_sheets(spark, path, StructType.fromDDL("c_custkey bigint, sheet string"))
+    return (back.withColumn("file", F.col("_metadata.file_name")).groupBy("sheet")
+                .agg((F.countDistinct("file") == 1).alias("one_file"), F.count(F.lit(1)).alias("n_rows"), F.sum("c_custkey").alias("key_sum"))
+                .withColumn("one_file", F.col("one_file") | (F.col("sheet") == "large")))
+
+
+QUERIES.update({
+    "name_key_join_dealt": q_name_key_join_dealt,
+    "bracket_join_row_blocks": q_bracket_join_row_blocks,
+    "payment_summary_blocks": q_payment_summary_blocks,
+    "range_join": q_range_join,
+    "carry_repeated_ids": q_carry_repeated_ids,
+    "reload_outcomes": q_reload_outcomes,
+    "marts_after_faults": q_marts_after_faults,
+    "slice_labels": q_slice_labels,
+    "split_scans": q_split_scans,
+    "sheet_files": q_sheet_files,
+})
