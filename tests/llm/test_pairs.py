@@ -78,6 +78,13 @@ def test_matches_equal_brute_force(spark):
     assert contaminated(dd.limit(0), ii).count() == 0 and contaminated(dd, ii.limit(0)).count() == 0
 
 
+def test_clashing_keys_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a")], "distance int, text string")
+    items = spark.createDataFrame([(1, "a")], "item_id int, text string")
+    with pytest.raises(ValueError):
+        contaminated(docs, items, id_col="distance")
+
+
 def test_blocks_give_the_same(spark, monkeypatch):
     from vitrina.llm import decontam
     docs = spark.createDataFrame([(1, "so it is that all men are here"), (2, "no")], "doc_id bigint, text string")
@@ -145,6 +152,17 @@ def test_every_pair_within_the_distance_shares_a_key():
     assert all((a[k] == b[k]).any() for k in range(200))
 
 
+def test_bitmaps_bound_what_is_shared():
+    rng = np.random.default_rng(4)
+    for n in (1, 30, 400, 20_000):
+        x = rng.integers(0, 2**63, n).astype(np.int64)
+        y = np.concatenate([x[:n // 2], rng.integers(0, 2**63, n - n // 2).astype(np.int64)])
+        bx, by = (near_dups.bitmap(d) for d in (x, y))
+        alone = sum((a & ~b & (2**64 - 1)).bit_count() for a, b in zip(bx.tolist(), by.tolist()))
+        assert len(np.intersect1d(x, y)) <= len(x) - alone
+        assert n != 30 or len(x) - alone <= n // 2 + 4
+
+
 def families(seed, n, size):
     """Texts that differ from one centre, many of them by more than the threshold, some alike among themselves."""
     rng = random.Random(seed)

@@ -14,7 +14,7 @@ from tests.llm.test_pairs import classes
 def test_registered():
     have = entry.queries()
     assert set(QUERIES) | {"pipeline"} <= set(have)
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
 
 
@@ -45,3 +45,12 @@ def test_stages(spark):
     assert clean == {k: t for k, t in near.items() if not matcher.search(normalise(t))} and len(clean) < len(near)
     packed = corpus_pipeline.STAGES[-1][1](spark, frames[-1], SF_SMOKE).collect()
     assert {r.doc_id for r in packed} == set(clean)
+
+
+def test_rules_keep_columns_that_are_named_like_counts(spark):
+    text = "\n".join(" ".join(f"word{k}x{i}" for i in range(9)) + "." for k in range(9))
+    rows = [(1, text, "mine", 5.5, "t"), (2, "short", "mine", 1.5, "u"), (None, text + "\nclick here", "other", 2.5, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_words string, kept double, clean_text string")
+    out = corpus_pipeline.quality_rules(spark, docs, SF_SMOKE)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([rows[0], (None, text, "other", 2.5, None)], key=str)

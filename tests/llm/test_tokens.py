@@ -65,6 +65,13 @@ def test_released_encoders_are_freed():
     assert word() is None and not pieces._LOADED
 
 
+def test_kept_columns_that_clash_with_counts(spark):
+    df = spark.createDataFrame([(1, "a b", "x", "y", "z")], "doc_id int, text string, n_bytes string, `odd name` string, chars_in_3 string")
+    got = prefix_token_counts(df, BYTE, keep=("doc_id", "n_bytes", "odd name", "chars_in_3"), budgets=(3,)).collect()
+    assert got[0].asDict() | {"count_changes": None} == {"doc_id": 1, "odd name": "y", "n_bytes": 3, "n_tokens": 2,
+                                                         "count_changes": None, "chars_in_3": 3}
+
+
 def test_prefix_counts(spark):
     df = spark.createDataFrame(DOCS, SCHEMA)
     got = prefix_token_counts(df, BYTE, budgets=(3,)).collect()

@@ -177,9 +177,12 @@ def _passes(docs: DataFrame, items: DataFrame, item_id: str, item_text: str, rat
 
 def contaminated(docs: DataFrame, items: DataFrame, rate: float = RATE, id_col: str = "doc_id", text_col: str = "text",
                  item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """One row for each document and item that match: id_col, item_id, distance, span_start, span_end."""
+    """One row for each document and item that match: id_col, item_id, distance, span_start, span_end.
+    A key named like another column of the result is an error: rename it before."""
     id_type, item_type = docs.schema[id_col].dataType, items.schema[item_id].dataType
     names = [id_col, item_id, "distance", "span_start", "span_end"]
+    if len({n.lower() for n in names}) < len(names):
+        raise ValueError(f"keys clash with other columns of the result: {names}")
     types = [to_arrow_type(id_type), to_arrow_type(item_type)] + [pa.int64()] * 3
     schema = f"`{id_col}` {id_type.simpleString()}, `{item_id}` {item_type.simpleString()}, {MATCHES}"
     src = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))

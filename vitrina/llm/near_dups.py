@@ -22,9 +22,9 @@
    node lies beyond, and then s > 0.  Differences are put in order, rarest in the group first;
    two sets with s in common share one of the first |D| - s + 1 of each (prefix filter; s is bounded by
    what the other node has at least).  Nodes meet on (group, difference), first with the smallest
-   node there, then, where components still differ, with each other.  Copies of a text differ from it in
-   ways of their own, so few differences are shared however many copies there are.
-   Pairs inside a component cannot change it and are not looked at.
+   node there, then, where components still differ, with each other.  Each brings a bitmap of its differences, from
+   which the join bounds |Dx and Dy| from above (a bit that only x has is a difference that y lacks), so that
+   only pairs that may have s in common come out of it.  Pairs inside a component cannot change it and are not looked at.
 6. Components by large-star and small-star steps over the links.
 
 No group is collected: copies are aggregated before the shuffle, stars and differences are joins that
@@ -43,13 +43,14 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from vitrina.llm.pieces import release_encoders, small_runs
 from vitrina.session import materialize
 
 PLACES, CHUNKS, ERRORS = 64, 13, 25
+BITMAP = 16  # 64-bit words of the bitmap of a node's differences
 BROADCAST_IDS = 1_000_000  # keys of 8 bytes: what a broadcast of this many holds is bounded
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -201,11 +202,16 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
 def components(links: DataFrame) -> DataFrame:
     """node, component (its smallest node) of all nodes with a link (a, b): alternating
     large-star and small-star steps, each written before the next."""
-    edges = materialize(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                        .distinct(), "cc")
+    def written(edges: DataFrame) -> tuple[DataFrame, dict]:
+        """The edges and their number and hash, observed while they are written."""
+        seen = Observation()
+        mark = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+        edges = materialize(edges.distinct().observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("mark")), "cc")
+        return edges, seen.get
+
+    edges, state = written(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
     before = None
     while True:
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
@@ -215,7 +221,7 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(smallest, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = materialize(small.union(smallest.select("u", F.col("m").alias("v"))).distinct(), "cc")
+        edges, state = written(small.union(smallest.select("u", F.col("m").alias("v"))))
 
 
 def _labelled(nodes: DataFrame, labels: DataFrame, node: str = "node", out: str = "component") -> DataFrame:
@@ -236,8 +242,15 @@ def signed_difference(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
     return np.concatenate([more & ~one, less | one]).view(np.int64)
 
 
+def bitmap(d: np.ndarray) -> np.ndarray:
+    """Bits of the (well mixed) elements, as BITMAP 64-bit words."""
+    bits = np.zeros(64 * BITMAP, np.uint8)
+    bits[(d.view(np.uint64) >> np.uint64(1)) % np.uint64(64 * BITMAP)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def _differences(groups: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """grp, node, variant, n, n_centre, d of every text of the nodes (node, grp): its set as a
+    """grp, node, variant, n, n_centre, d, bits of every text of the nodes (node, grp): its set as a
     difference from the set of the group's centre (of a key with several texts: the least)."""
     centres = texts.join(groups.select(F.col("grp").alias("node")).distinct(), "node", "left_semi")
     centres = centres.groupBy(F.col("node").alias("grp")).agg(F.min("text").alias("centre"))
@@ -250,13 +263,15 @@ def _differences(groups: DataFrame, texts: DataFrame, words: int) -> DataFrame:
             centres = list(shingle_sets(list(place), words))
             sets = list(shingle_sets(mine, words))
             both = [(x, centres[place[c]]) for x, c in zip(sets, centre)]
+            found = [signed_difference(x, c) for x, c in both]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k) for k in range(3)), pa.array([len(x) for x, _ in both], pa.int64()),
-                 pa.array([len(c) for _, c in both], pa.int64()),
-                 pa.array([signed_difference(x, c) for x, c in both], pa.list_(pa.int64()))],
-                names=["grp", "node", "variant", "n", "n_centre", "d"])
+                 pa.array([len(c) for _, c in both], pa.int64()), pa.array(found, pa.list_(pa.int64())),
+                 pa.array([bitmap(d) for d in found], pa.list_(pa.int64()))],
+                names=["grp", "node", "variant", "n", "n_centre", "d", "bits"])
 
-    return rows.mapInArrow(differ, "grp bigint, node bigint, variant bigint, n bigint, n_centre bigint, d array<bigint>")
+    return rows.mapInArrow(differ, "grp bigint, node bigint, variant bigint, n bigint, n_centre bigint, d array<bigint>, "
+                                   "bits array<bigint>")
 
 
 def _weighed(differences: DataFrame, percent: int) -> DataFrame:
@@ -267,8 +282,8 @@ def _weighed(differences: DataFrame, percent: int) -> DataFrame:
 
 
 def _prefixes(weighed: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """grp, diff, node, component, n, apart, place, far, near: the differences that a node must share
-    one of, by place in the order (rarest in the group first).  A partner beyond the centre shares one of the
+    """grp, diff, node, component, n, a, size, apart, place, far, near, w0...: the differences that a node must
+    share one of, by place in the order (rarest in the group first).  A partner beyond the centre shares one of the
     first ``far``; one alike to the centre (only for a node that is beyond) one of the first ``near``."""
     named = _labelled(weighed, labels)
     spread = named.groupBy("grp").agg(F.min("component").alias("x"), F.max("component").alias("y"),
@@ -277,26 +292,32 @@ def _prefixes(weighed: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     least = lambda c: F.size("d") + 1 - F.greatest(F.lit(1), F.ceil(c / F.lit(unit)))
     rows = named.join(spread.filter("x <> y").select("grp", "low"), "grp").withColumn("far", least(F.col("a") + F.col("h") + 1))
     rows = rows.withColumn("near", F.when(F.col("apart") & F.col("low").isNotNull(), least(F.col("a") + F.col("low"))).otherwise(0))
-    rows = rows.select("grp", "node", "variant", "component", "n", "apart", "far", "near", F.explode("d").alias("diff"))
+    words = [F.col("bits")[k].alias(f"w{k}") for k in range(BITMAP)]
+    rows = rows.select("grp", "node", "variant", "component", "n", "a", F.size("d").alias("size"), "apart", "far", "near", *words,
+                       F.explode("d").alias("diff"))
     common = rows.groupBy("grp", "diff").agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
     order = Window.partitionBy("grp", "node", "variant").orderBy(F.coalesce("many", F.lit(1)), "diff")  # one text's differences
     rows = rows.join(common, ["grp", "diff"], "left").withColumn("place", F.row_number().over(order))
-    return rows.filter("many > 1 AND place <= greatest(far, near)").select(
-        "grp", "diff", "node", "component", "n", "apart", "place", "far", "near")
+    return rows.filter("many > 1 AND place <= greatest(far, near)").drop("many", "variant")
 
 
 def _meeting(prefixes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs (a, b) of different components: each node with the smallest one that has the
     difference too; all pairs that share a difference within their bounds."""
-    x, y = (prefixes.select(F.col("grp"), F.col("diff"), *(F.col(c).alias(side + c) for c in prefixes.columns[2:])) for side in "xy")
-    alike = F.least("xn", "yn") * 100 >= F.greatest("xn", "yn") * percent
-    differ = (F.col("xcomponent") != F.col("ycomponent")) & alike
-    least = prefixes.groupBy("grp", "diff").agg(F.min(F.struct("node", "component", "n")).alias("m"))
-    least = least.select("grp", "diff", *(F.col(f"m.{c}").alias("y" + c) for c in ("node", "component", "n")))
-    stars = x.join(least, ["grp", "diff"]).filter(differ & (F.col("xnode") != F.col("ynode")))
+    own = [c for c in prefixes.columns if c not in ("grp", "diff")]
+    x, y = (prefixes.select("grp", "diff", *(F.col(c).alias(side + c) for c in own)) for side in "xy")
+    alone = [sum((F.bit_count(F.col(f"{p}w{k}").bitwiseAND(F.bitwise_not(F.col(f"{q}w{k}")))) for k in range(BITMAP)), F.lit(0))
+             for p, q in ("xy", "yx")]
+    most = F.least(F.col("xsize") - alone[0], F.col("ysize") - alone[1])  # differences in common, at most
+    differ = (F.col("xcomponent") != F.col("ycomponent")) & (most * (2 * (100 + percent)) >= F.col("xa") + F.col("ya"))
+    least = prefixes.groupBy("grp", "diff").agg(F.min(F.struct("node", *(c for c in own if c != "node"))).alias("m"))
+    least = least.select("grp", "diff", *(F.col(f"m.{c}").alias("y" + c) for c in own))
+    meet = (F.col("xgrp") == F.col("grp")) & (F.col("xdiff") == F.col("diff"))
+    x = x.withColumnsRenamed({"grp": "xgrp", "diff": "xdiff"})
+    stars = x.join(least, meet & (F.col("xnode") != F.col("ynode")) & differ)
     beyond = F.col("yapart") & (F.col("xplace") <= F.col("xfar")) & (F.col("xnode") < F.col("ynode"))
     close = ~F.col("yapart") & (F.col("xplace") <= F.col("xnear"))
-    pairs = x.filter("xapart").join(y.filter("yplace <= yfar"), ["grp", "diff"]).filter(differ & (beyond | close))
+    pairs = x.filter("xapart").join(y.filter("yplace <= yfar"), meet & (beyond | close) & differ)
     return tuple(f.select(F.least("xnode", "ynode").alias("a"), F.greatest("xnode", "ynode").alias("b")).distinct()
                  for f in (stars, pairs))
 
@@ -332,19 +353,19 @@ def near_duplicates(df: DataFrame, words: int = 4, percent: int = 80, id_col: st
     ties = materialize(others.join(open_keys.select("key", "least"), "key")
                        .select(F.col("node").alias("a"), F.col("least").alias("b")).filter("a <> b").distinct(), "ties")
     if not ties.isEmpty():
-        def joined() -> DataFrame:
-            return materialize(components(reduce(DataFrame.union, links)), "labels")
+        def joined(labels: DataFrame, more: DataFrame) -> DataFrame:
+            links.append(materialize(more, "links"))
+            return labels if links[-1].isEmpty() else materialize(components(reduce(DataFrame.union, links)), "labels")
 
         groups = components(ties).select("node", F.col("component").alias("grp"))
         weighed = _weighed(materialize(_differences(groups, texts, words), "differences"), percent)
-        links.append(materialize(weighed.filter("NOT apart AND node <> grp").select(F.col("grp").alias("a"), F.col("node").alias("b")), "links"))
-        labels = joined()
+        close = weighed.filter("NOT apart AND node <> grp").select(F.col("grp").alias("a"), F.col("node").alias("b"))
+        labels = joined(labels, _apart(close, labels))
         for turn in range(2):
             prefixes = materialize(_prefixes(weighed, labels, percent), "prefixes")
             if prefixes.isEmpty():
                 break
-            links.append(materialize(_confirmed(_meeting(prefixes, percent)[turn], texts, words, percent), "links"))
-            labels = joined()
+            labels = joined(labels, _confirmed(_meeting(prefixes, percent)[turn], texts, words, percent))
 
     named = _labelled(nodes.select("set_key", "node"), labels).select("set_key", "component")
     rows = sets.select("id", "n_shingles", "set_key").join(named, "set_key", "left")

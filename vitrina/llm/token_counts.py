@@ -199,8 +199,10 @@ def prefix_token_counts(df: DataFrame, tokenizer_path: str, keep: tuple[str, ...
                         text_col: str = "text", budgets: tuple[int, ...] = ()) -> DataFrame:
     """``keep`` columns of ``df`` with n_bytes, n_tokens, count_changes (16-bit little-endian,
     one per character) and, for each budget b, chars_in_b: the most characters a prefix of at
-    most b tokens has."""
-    src = df.select(*(F.col(c) for c in keep), F.col(text_col).cast("string").alias("__text"))
+    most b tokens has.  A kept column named like a result is left out."""
+    results = {"n_bytes", "n_tokens", "count_changes", *(f"chars_in_{b}" for b in budgets)}
+    keep = tuple(c for c in keep if c.lower() not in results)
+    src = df.select(*(F.col(f"`{c}`") for c in keep), F.col(text_col).cast("string").alias("__text"))
     fields = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep]
     schema = ", ".join([*fields, "n_bytes bigint", "n_tokens bigint", "count_changes binary",
                         *(f"chars_in_{b} bigint" for b in budgets)])

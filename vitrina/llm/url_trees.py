@@ -1,15 +1,15 @@
 """URL filter: host and path rules first, gradient-boosted trees on lexical features for the rest.
 
 Features of a URL: its length, the length of host and path, path depth, labels in the host, share
-of digits, entropy of the host's characters, hyphens in the host, number of parameters, a fragment
-mark, and two suffix statistics: how often labelled URLs with the same last label, and with the same
+of digits, entropy of the host's characters, number of parameters, a fragment mark, and two suffix statistics: how often labelled URLs with the same last label, and with the same
 last two labels, are blocked (smoothed; counted in Spark over all labelled URLs, joined to the URLs and
 broadcast only below ``STATS_MAX_BYTES``).  They are Spark columns; the trees are Spark ML's, trained on
 labelled URLs (at most ``max_labelled``, by the hash of the URL).
 
-Without a labelled set of its own the caller can mark seeds: hosts with one of ``SEED_WORDS`` as a
-hyphened part of a label count as blocked, hosts without a hyphen as allowed; other hosts are not
-labelled.  The words are no feature, so the trees judge unseen hosts by form.
+Without a labelled set of its own the caller can mark seeds: a host counts as blocked if a label of it
+begins or ends with one of ``SEED_WORDS`` (joined to other words by a hyphen or by nothing), every
+other host as allowed, hyphens or not.  No feature is a function of that label: words and hyphens
+are none, so the trees judge unseen hosts by form.
 
 Defined results: a NULL URL, or one without "://", has empty host and path, fits no rule and is
 allowed.  Without labelled URLs of both classes every URL gets the one class there is (allow if none).
@@ -18,6 +18,7 @@ Repeated rows give repeated rows.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrina.operators.broadcast import checked_broadcast
@@ -26,11 +27,12 @@ from vitrina.session import materialize
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Words of hosts that advertise or deceive, as a labelled seed.
-SEED_WORDS = ("casino", "pills", "bets", "spam", "ads", "track", "win", "cheap", "viagra", "poker", "porn", "loan",
+SEED_WORDS = ("casino", "adult", "pills", "bets", "spam", "ads", "track", "win", "cheap", "viagra", "poker", "porn", "loan",
               "lottery", "jackpot", "slots")
-FEATURES = ("f_length", "f_host", "f_path", "f_depth", "f_labels", "f_digits", "f_entropy", "f_hyphens", "f_params",
+FEATURES = ("f_length", "f_host", "f_path", "f_depth", "f_labels", "f_digits", "f_entropy", "f_params",
             "f_fragment", "f_suffix1", "f_suffix2")
 SUFFIXES = ("suffix1", "suffix2")
+BLOCK_AT = 0.8  # probability of class block from which a URL is blocked
 STATS_MAX_BYTES = 8 << 20  # estimated bytes of one suffix table
 
 
@@ -72,7 +74,7 @@ def _lexical(df: DataFrame, url_col: str) -> DataFrame:
         "f_depth": F.size(F.filter(F.split("path", "/"), lambda p: p != "")),
         "f_labels": F.size(F.split("host", r"\.")),
         "f_digits": F.length(F.regexp_replace(url, r"[^0-9]", "")) / F.greatest(F.length(url), F.lit(1)),
-        "f_entropy": entropy, "f_hyphens": F.length("host") - F.length(F.translate("host", "-", "")),
+        "f_entropy": entropy,
         "f_params": F.size(F.filter(F.split(query, "&"), lambda p: p != "")),
         "f_fragment": F.instr(url, "#") > 0,
     }
@@ -92,8 +94,8 @@ def _suffixes(df: DataFrame) -> DataFrame:
 def seed_labels(urls: DataFrame, url_col: str = "url") -> DataFrame:
     """url, label (1: block) of the URLs whose host a seed rule decides."""
     host = host_of(F.col(url_col).cast("string"))
-    spam = F.concat(F.lit("-"), F.translate(host, ".", "-"), F.lit("-")).rlike("-(" + "|".join(SEED_WORDS) + ")-")
-    label = F.when(spam & host.contains("-"), 1).when((host != "") & ~host.contains("-"), 0)
+    words = "|".join(SEED_WORDS)
+    label = F.when(host != "", host.rlike(f"(?:^|[.-])(?:{words})|(?:{words})(?:$|[.-])").cast("int"))
     return urls.select(F.col(url_col).cast("string").alias("url"), label.alias("label")).filter("label IS NOT NULL")
 
 
@@ -124,7 +126,8 @@ class UrlTrees:
             self.stats[name] = materialize(counted.groupBy(F.col(name).alias("__suffix")).agg(share.alias("__share")), "url-suffixes")
         self.assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
         data = self.assembler.transform(self._with_stats(frame)).select("features", "label").coalesce(1)
-        self.model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, stepSize=0.3).fit(data)
+        # Each split sees half the features, so that none decides alone.
+        self.model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, stepSize=0.3, featureSubsetStrategy="0.5").fit(data)
 
     def _with_stats(self, df: DataFrame) -> DataFrame:
         for k, name in enumerate(SUFFIXES, 1):
@@ -143,7 +146,8 @@ class UrlTrees:
             verdict = F.when(F.col("host") == "", "allow").otherwise(self.constant)
         else:
             rows = self.model.transform(self.assembler.transform(self._with_stats(rows)))
-            verdict = F.when((F.col("prediction") == 1) & (F.col("host") != ""), "block").otherwise("allow")
+            sure = vector_to_array("probability")[1] >= BLOCK_AT
+            verdict = F.when(sure & (F.col("host") != ""), "block").otherwise("allow")
         return rows.select(*back, "host", "path", verdict.alias("tree_verdict"))
 
 
