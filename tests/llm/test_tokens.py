@@ -187,3 +187,22 @@ def test_packing_groups_stay_bounded(spark, monkeypatch):
         items.sort()
         assert items[0][0] == 0 and all(a + s == b for (a, s), (b, _) in zip(items, items[1:])) and sum(items[-1]) <= 4096
     assert rounds.value > 0 and len(bins) <= 1.03 * best_fit_decreasing(np.array(lengths), 4096)[2]
+
+
+def test_rows_alike_in_every_column_are_dealt(spark):
+    """A third of all pieces without key and of one text: packed in groups of the usual size, none lost."""
+    from pyspark.sql import functions as F
+
+    from vitrina.llm.packing import PIECES
+    same = spark.range(3000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("bigint").alias("start"),
+                                    F.lit(1000).cast("bigint").alias("length"), F.lit(7).cast("bigint").alias("ids_crc32"))
+    other = spark.range(6000).select("id", F.lit(0), F.lit(0).cast("bigint"), (F.col("id") % 900 + 1), F.lit(8).cast("bigint"))
+    pieces = same.union(other)
+    assert pieces.columns == [f.split()[0] for f in PIECES.split(", ")]
+    rows = pack(pieces, 4096, per_part=500).collect()
+    assert len(rows) == 9000 and sum(r.doc_id is None for r in rows) == 3000
+    ends = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+    assert max(ends.values()) <= 4096 and len(ends) <= 1.03 * sum(r.length for r in rows) / 4096 + 1

@@ -143,7 +143,8 @@ def pack(pieces: DataFrame, capacity: int = 4096, per_part: int = PER_PART, roun
     n = todo.count()
     parts = max(1, -(-n // per_part))
     done: list[DataFrame] = []
-    dealt = F.pmod(F.xxhash64(*names), F.lit(parts))
+    # With the row's place in the written table: rows alike in every column are dealt too.
+    dealt = F.pmod(F.xxhash64(*names, F.monotonically_increasing_id()), F.lit(parts))
     used = 0  # partition numbers of earlier rounds, so sequence ids never meet
     bins = None  # bins dealt into the round
     for turn in range(rounds):
