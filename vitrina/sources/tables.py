@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrina.operators.broadcast import estimated_bytes
+
+SPREAD_MAX_BYTES = 4 << 30
 DRIVER_TABLES = ("region nation customer supplier part orders lineitem events documents "
                  "embeddings pages benchmark labels conversations").split()
 
@@ -20,11 +23,12 @@ def spread(df: DataFrame) -> DataFrame:
     every per-row expression above it runs on one core.  When the scan has
     fewer input splits than the default parallelism, the rows are hash
     partitioned on all columns once (planning-time check, no job; hashing,
-    unlike round-robin, needs no sort to be deterministic on retry).  A big
-    table has thousands of splits and is left as is: no extra shuffle at scale.
+    unlike round-robin, needs no sort to be deterministic on retry).  A table of more than
+    ``SPREAD_MAX_BYTES`` is left as is, however many cores there are: its splits are
+    work enough, and it is not shuffled for this.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    if df.rdd.getNumPartitions() < want and estimated_bytes(df) <= SPREAD_MAX_BYTES:
         return df.repartition(want, *[F.col(c) for c in df.columns])
     return df
 
