@@ -116,6 +116,16 @@ def test_query_on_documents_equals_brute_force(spark):
         assert got[want[0]][:5] + got[want[0]][7:] == want[:5] + want[7:]
 
 
+def test_packed_numbers_round_trip():
+    import numpy as np
+
+    from vitrina.llm.token_alignment import packed, unpacked
+    for top in (0, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1):
+        given = np.array([0, top // 2, top], np.int64)
+        assert unpacked(packed(given)).tolist() == given.tolist()
+    assert unpacked(packed(np.zeros(0, np.int64))).tolist() == []
+
+
 def test_pair_counts_and_identity_map(spark):
     from vitrina.llm.token_alignment import AlignedCorpus, identity_map
     assert identity_map([b"a", b"", b"b", b"c"], [b"x", b"b", b"b", b"a"], [False, True, False, False]).tolist() == [3, -1, 2, -1]

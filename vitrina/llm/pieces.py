@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 GENERATION = 350_000
-GENERATION_BYTES = 32_000_000
+GENERATION_BYTES = 40_000_000
 ENTRY = 180  # bytes of a key and a value without their contents, and their place
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
 # Letters, then punctuation (no apostrophe: contractions have rules of their own), perhaps a
@@ -167,12 +167,13 @@ class ByteLevelEncoder(_Encoder):
 
     def __init__(self, path: str, limit: int = GENERATION):
         super().__init__(path, limit)
-        self.heads = Generations(10_000)
-        self.cache = Generations(limit)
+        self.heads = Generations(10_000, GENERATION_BYTES // 8)
+        self.cache = Generations(limit, GENERATION_BYTES // 2)
 
     def _piece_values(self, pieces: list[str], blank: str) -> list[bytes]:
-        """Values of pieces, each with ``blank`` before it."""
-        mark, cut = "Ġ" if blank else "", []
+        """Values of pieces, each with ``blank`` before it: those of their words, which the cache keeps;
+        pieces that are not plain words are kept themselves."""
+        mark, cut, odd = "Ġ" if blank else "", [], []
         for p in pieces:  # a word, perhaps with one mark after it, is most of a text
             if p.isascii():
                 if p.isalpha():
@@ -181,10 +182,18 @@ class ByteLevelEncoder(_Encoder):
                 if p[-1:] in ONE_MARK and p[:-1].isalpha():
                     cut.append((mark + p[:-1], p[-1]))
                     continue
-            cut.append(self.cut_words(p, blank))
+            cut.append(self.simple_words(p, blank))
+            if cut[-1] is None:
+                odd.append(p)
+        kept = (self.cache if blank else self.heads).fill(odd, lambda ps: self._odd_values(ps, blank)) if odd else {}
+        get = self.words.fill({w for ws in cut if ws for w in ws}, self._word_ids).__getitem__
+        return [kept[p] if ws is None else get(ws[0]) if len(ws) == 1 else b"".join(map(get, ws)) for p, ws in zip(pieces, cut)]
+
+    def _odd_values(self, pieces: list[str], blank: str) -> list[bytes]:
+        """Values of pieces that are not plain words, from the library's pre-tokenizer."""
+        cut = [self.cut_words(p, blank) for p in pieces]
         get = self.words.fill({w for ws in cut if ws for w in ws}, self._word_ids).__getitem__
-        return [get(ws[0]) if ws is not None and len(ws) == 1 else b"".join(map(get, ws)) if ws is not None
-                else self.whole(blank + p) for p, ws in zip(pieces, cut)]
+        return [b"".join(map(get, ws)) if ws is not None else self.whole(blank + p) for p, ws in zip(pieces, cut)]
 
     def simple_words(self, piece: str, blank: str) -> list[str] | None:
         """The same for letters and punctuation; None: the piece is of another kind."""
@@ -218,8 +227,7 @@ class ByteLevelEncoder(_Encoder):
         first = offsets[:-1]
         heads = [uniques[k] for k in index[first].tolist()]
         index[first] = np.arange(len(uniques), len(uniques) + len(heads))
-        values = list(map(self.cache.fill(uniques, lambda ps: self._piece_values(ps, " ")).__getitem__, uniques))
-        values += map(self.heads.fill(dict.fromkeys(heads), lambda ps: self._piece_values(ps, "")).__getitem__, heads)
+        values = self._piece_values(uniques, " ") + self._piece_values(heads, "")
         return self._gather(index, offsets, values, self.dtype)
 
 

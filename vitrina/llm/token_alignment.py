@@ -90,6 +90,19 @@ def corpus_identity(a_path: str, b_path: str) -> np.ndarray:
     return identity_map(a_entries(a.tok), b_entries(b), [b.is_byte(i) for i in range(b.vocab_size())])
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**32 in the fewest bytes that hold the largest, after one byte that says how many."""
+    width = next(w for w in (1, 2, 3, 4) if not len(numbers) or int(numbers.max()) >> 8 * w == 0)
+    return bytes([width]) + np.ascontiguousarray(numbers, "<u4").view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8, offset=1).reshape(-1, data[0])
+    out = np.zeros((len(raw), 4), np.uint8)
+    out[:, :data[0]] = raw
+    return out.view("<u4").ravel().astype(np.int64)
+
+
 def overlaps(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places (in A, in B) of all tokens that share a byte; both cover the same bytes without gaps."""
     starts = np.concatenate([[0], a_ends[:-1]])
@@ -231,7 +244,7 @@ def _first_pass(a_path: str, b_path: str):
         for seq, (keys, texts) in enumerate(_blocks(batches)):
             block = _Block(aligner, texts)
             numbers, hashes = block.documents()
-            words = [w.astype("<u4").tobytes() if v else b"" for w, v in zip(block.words, block.valid)]
+            words = [packed(w if v else w[:0]) for w, v in zip(block.words, block.valid)]
             n_a, n_b, n_groups, n_links = zip(*numbers)
             yield _rows(len(keys), kind=["doc"] * len(keys), block=[base + seq] * len(keys), doc_id=keys, n_a=n_a,
                         n_b=n_b, n_groups=n_groups, n_links=n_links, groups_sha256=hashes, words=words)
@@ -239,9 +252,8 @@ def _first_pass(a_path: str, b_path: str):
                                   len(vector)).astype(np.int64)
             pairs, place = np.unique(block.links, return_inverse=True)
             n = np.bincount(place, np.repeat(block.uses, block.links_len), len(pairs)).astype(np.int64)
-            yield _rows(1, kind=["pieces"], block=[base + seq], identity=[block.identity.tobytes()],
-                        identity_len=[block.identity_len.astype("<u4").tobytes()],
-                        pairs=[place.astype("<u4").tobytes()], pairs_len=[block.links_len.astype("<u4").tobytes()])
+            yield _rows(1, kind=["pieces"], block=[base + seq], identity=[packed(block.identity)],
+                        identity_len=[packed(block.identity_len)], pairs=[packed(place)], pairs_len=[packed(block.links_len)])
             for k in range(0, len(pairs), 100_000):
                 some = pairs[k:k + 100_000]
                 yield _rows(len(some), kind=["pair"] * len(some), block=[base + seq] * len(some),
@@ -267,12 +279,10 @@ def _second_pass(counts: np.ndarray, best: np.ndarray):
         at = pairs["place"].to_numpy()
         pair_count, pair_best = np.zeros((2, len(at)), np.int64)
         pair_count[at], pair_best[at] = pairs["total"].to_numpy(), pairs["best"].to_numpy()
-        identity, links = np.frombuffer(pieces["identity"], "<u4"), np.frombuffer(pieces["pairs"], "<u4")
-        identity_len = np.frombuffer(pieces["identity_len"], "<u4").astype(np.int64)
-        links_len = np.frombuffer(pieces["pairs_len"], "<u4").astype(np.int64)
+        identity, links, identity_len, links_len = (unpacked(pieces[c]) for c in ("identity", "pairs", "identity_len", "pairs_len"))
         of_piece = [sums(vector[identity], identity_len) + sums(of_pair[links], links_len)
                     for vector, of_pair in ((best, pair_best), (counts, pair_count))]
-        words = [np.frombuffer(w.as_buffer(), "<u4") for w in docs["words"]]
+        words = [unpacked(w.as_py()) for w in docs["words"]]
         n_best, count_sum = (pa.array([int(values[w].sum()) for w in words], pa.int64()) for values in of_piece)
         return (docs.append_column("n_best", n_best).append_column("count_sum", count_sum)
                 .select([f.split()[0] for f in RESULT.split(", ")]))
