@@ -219,3 +219,21 @@ def test_neighbours_across_ranges(spark):
             for k, v in old.items():
                 spark.conf.set(k, v)
         assert got == want, ranges
+
+
+def test_pages_with_articles_are_differenced(spark):
+    """Every page is aligned with its neighbour; the article element then gives back what was shared in it."""
+    def page(k):
+        body = f"<article><h1>Title {k}</h1><p>Shared passage</p></article><p>outside {k}</p>"
+        return f"<body><div>Site</div>{body}<div>Contact</div><div>{'About us' if k % 3 else 'Jobs'}</div></body>"
+    rows = [(k, f"http://h{k % 2}.com/{k // 4}/{k}", page(k)) for k in range(20)] + [(20, "http://lone.com/", page(20)), (21, "http://z.com", None)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(5)
+    got = {r.page_id: r for r in extract_pages(df).collect()}
+    assert len(got) == len(rows) and got[21].text == "" and got[21].n_shared == 0
+    pages = sorted((*split(u), k, [t for t, _ in page_lines(h or "")[0]]) for k, u, h in rows)
+    for i, (host, path, k, lines) in enumerate(pages):
+        near = [pages[j] for j in (i - 1, i + 1) if 0 <= j < len(pages) and pages[j][0] == host]
+        other = max(near, key=lambda x: common_prefix(x[1], path))[3] if near else []
+        assert got[k].n_shared == lcs(tuple(lines), tuple(other)), k
+        assert k == 21 or got[k].text == f"Title {k}\n\nShared passage"
+    assert got[2].n_shared >= 3 and got[20].n_shared == 0

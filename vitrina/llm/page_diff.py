@@ -11,15 +11,17 @@ subsequence, and lines that both have are deleted: they belong to the site, not
 An article that opens inside furniture ends it if the page leaves elements of that name open, except in
 comments and related articles.  Where no article stands outside furniture, one inside a block that only its
 class, id or role marks is the article.  Teasers of other articles are furniture, labels and buttons in
-running text are left out of their line.  Lines inside an article element are not deleted, since an article
-that a site carries twice (copies, shared passages) must stay whole; a page with an article element gives
-the article's lines, any other page what the differencing leaves.
+running text are left out of their line.  Every page is paired and
+aligned; a check by markup follows on pages with an article element: lines inside it that the difference
+took are given back, since an article that a site carries twice (copies, shared passages) must stay whole, and
+lines outside it that the difference left (adverts and notices that change from page to page) go.
 
-Pages are read first, one by one, and their lines written.  Only pages without an article need a
-neighbour: where there are any, the keys of all pages (host, path, page) are put in order by range partitions, which
+Pages are read first, one by one, and their lines written, packed, with a 64-bit hash of each line.  The keys of
+all pages (host, path, page) are put in order by range partitions, which
 spreads a large host over many tasks; the first and the last page of each range get their neighbour across the
-bound from a table of two rows a range.  Then the lines of the pages in need and of the neighbours chosen for
-them meet by row.  So html is never shuffled, and the bounds of the ranges do not change the result.
+bound from a table of two rows a range.  Then the hashes of the pages and of the neighbours chosen for
+them meet by row and are aligned, and the places of shared lines meet the packed lines.  So html is never shuffled, the
+text once, and the bounds of the ranges do not change the result.
 
 Defined results: NULL or empty html gives empty text.  NULL URLs count as host and path "".
 Repeated rows are pages of their own; a page whose whole content equals its pair's and that has no
@@ -30,7 +32,9 @@ from __future__ import annotations
 
 import html as entities
 import re
+import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
 from itertools import chain
 
 import numpy as np
@@ -202,8 +206,8 @@ def _places(lines: list[int]) -> dict[int, int]:
     return {line: int.from_bytes(bits, "little") for line, bits in by_line.items()}
 
 
-def shared_lines(mine: list[str], other: list[str]) -> set[int]:
-    """Places in ``mine`` that a longest common subsequence with ``other`` matches.
+def shared_lines(mine: list, other: list) -> set[int]:
+    """Places in ``mine`` (lines or their hashes) that a longest common subsequence with ``other`` matches.
 
     Equal beginnings and ends are matched first; between them Hirschberg's halving, with bit
     vectors for the lengths: memory is linear in the lines, whatever repeats."""
@@ -238,77 +242,80 @@ def common_prefix(a: str, b: str) -> int:
     return next((k for k in range(n) if a[k] != b[k]), n)
 
 
-LINES = "row bigint, lines array<string>, inside array<boolean>, article boolean"
-NEAR = "row bigint, need boolean, part int, place int, host string, path string, before bigint, after bigint"
+LINES = "row bigint, packed binary, inside array<boolean>, marks array<bigint>, article boolean"
+NEAR = ("row bigint, near bigint, part int, place int, host string, path string, before bigint, before_path string, "
+        "after bigint, after_path string")
 CHUNK = 64  # pages of a batch that are worked on at once
 
 
 def extract_pages(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), url_col: str = "url",
                   html_col: str = "html", order_col: str = "page_id") -> DataFrame:
-    """``keep`` columns, text and n_chars (its code points)."""
-    keep = tuple(c for c in keep if c not in ("text", "n_chars"))
+    """``keep`` columns, text, n_chars (its code points) and n_shared (lines that the paired page shares)."""
+    keep = tuple(c for c in keep if c not in ("text", "n_chars", "n_shared"))
     url = F.coalesce(F.col(url_col).cast("string"), F.lit(""))
     names = [*(f"__k{i}" for i in range(len(keep))), "__order", "__host", "__path"]
     src = pages.select(*(F.col(f"`{c}`").alias(f"__k{i}") for i, c in enumerate(keep)), F.col(order_col).alias("__order"),
                        host_of(url).alias("__host"), path_of(url).alias("__path"), F.col(html_col).cast("string").alias("__html"))
     fields = [f"{n} {src.schema[n].dataType.simpleString()}" for n in names]
     read = materialize(src.mapInArrow(_read(len(names)), ", ".join([*fields, LINES])), "page-lines")
-    out = [F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)]
-    whole = F.expr("array_join(transform(filter(arrays_zip(lines, inside), x -> x.inside), x -> x.lines), '\n\n')")
-    done = read.filter("article").select(*out, whole.alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))
-    need = read.filter("NOT article")
-    if need.isEmpty():
-        return done
-    pairs = _neighbours(read)
-    other = read.select(F.col("row").alias("near"), F.col("lines").alias("near_lines"))
-    rows = need.join(pairs, "row", "left").join(other, "near", "left")
-    rows = rows.select(*(f"__k{i}" for i in range(len(keep))), "lines", "near_lines")
-    decided = rows.mapInArrow(_decide(len(keep)), ", ".join([*fields[:len(keep)], "text string, n_chars bigint"]))
-    return done.union(decided.select(*out, "text", "n_chars"))
+    near = read.select(F.col("row").alias("near"), F.col("marks").alias("near_marks"))
+    pairs = _neighbours(read).join(read.select("row", "marks"), "row").join(near, "near")
+    shared = pairs.select("row", "marks", "near_marks").mapInArrow(_align, "row bigint, shared array<int>")
+    rows = read.join(shared, "row", "left").select(*names[:len(keep)], "packed", "inside", "article", "shared")
+    decided = rows.mapInArrow(_decide(len(keep)), ", ".join([*fields[:len(keep)], "text string, n_chars bigint, n_shared bigint"]))
+    return decided.select(*(F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)), "text", "n_chars", "n_shared")
+
+
+def _mark(line: str) -> int:
+    return int.from_bytes(blake2b(line.encode(), digest_size=8).digest(), "little", signed=True)
 
 
 def _read(n: int):
-    """The lines of each page; ``row`` numbers the pages of the written table."""
+    """The lines of each page, which hold no line breaks, in one packed piece; ``row`` numbers the pages of the
+    written table."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
         for batch in (b.slice(at, CHUNK) for b in batches for at in range(0, b.num_rows, CHUNK)):
             found = [page_lines(html.as_py() or "") for html in batch.column(n)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:n], pa.array(range(row, row + batch.num_rows), pa.int64()),
-                 pa.array([[t for t, _ in lines] for lines, _ in found], pa.list_(pa.string())),
+                 pa.array([zlib.compress("\n".join(t for t, _ in lines).encode(), 6) for lines, _ in found], pa.binary()),
                  pa.array([[x for _, x in lines] for lines, _ in found], pa.list_(pa.bool_())),
+                 pa.array([[_mark(t) for t, _ in lines] for lines, _ in found], pa.list_(pa.int64())),
                  pa.array([article for _, article in found], pa.bool_())],
-                names=[*batch.schema.names[:n], "row", "lines", "inside", "article"])
+                names=[*batch.schema.names[:n], "row", "packed", "inside", "marks", "article"])
             row += batch.num_rows
 
     return read
 
 
+def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The places of each page's lines that its neighbour shares."""
+    for batch in (b.slice(at, CHUNK) for b in batches for at in range(0, b.num_rows, CHUNK)):
+        places = [sorted(shared_lines(mine, near)) for mine, near in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(places, pa.list_(pa.int32()))], names=["row", "shared"])
+
+
 def _neighbours(read: DataFrame) -> DataFrame:
-    """(row, near): of each page without an article the neighbour of its host whose path shares the
-    longer prefix (ties: the one before); pages of one path are ordered by page, then row."""
-    keys = read.select("__host", "__path", "__order", "row", (~F.col("article")).alias("need"))
+    """(row, near): of each page the neighbour of its host whose path shares the longer prefix (ties: the one before); pages of one path are ordered by page, then row."""
+    keys = read.select("__host", "__path", "__order", "row")
     order = ["__host", "__path", "__order", "row"]
     near = materialize(keys.repartitionByRange(*order).sortWithinPartitions(*order)
-                       .select("__host", "__path", "row", "need").mapInArrow(_beside, NEAR), "page-keys")
+                       .select("__host", "__path", "row").mapInArrow(_beside, NEAR), "page-keys")
     bounds = Window.orderBy("part", "place")  # two rows a range
     edges = near.filter("place IS NOT NULL").select(
-        "row", *(f(c).over(bounds).alias(f"{side}_{c}") for side, f in (("b", F.lag), ("a", F.lead)) for c in ("row", "host")))
-    near = near.filter("need").join(F.broadcast(edges), "row", "left")
-    first, last = F.col("place").isin(0, 2), F.col("place").isin(1, 2)
-    near = near.select(
-        "row", "path",
-        F.coalesce("before", F.when(first & (F.col("b_host") == F.col("host")), F.col("b_row"))).alias("before"),
-        F.coalesce("after", F.when(last & (F.col("a_host") == F.col("host")), F.col("a_row"))).alias("after"))
-    paths = read.select("row", F.col("__path").alias("p"))
-    for side in ("before", "after"):
-        near = near.join(paths.select(F.col("row").alias(side), F.col("p").alias(f"{side}_path")), side, "left")
-    return near.mapInArrow(_choose, "row bigint, near bigint").filter("near IS NOT NULL")
+        "*", *(f(c).over(bounds).alias(f"{side}_{c}") for side, f in (("b", F.lag), ("a", F.lead)) for c in ("row", "host", "path")))
+    beyond = {"before": ("b", F.col("place").isin(0, 2) & (F.col("b_host") == F.col("host"))),
+              "after": ("a", F.col("place").isin(1, 2) & (F.col("a_host") == F.col("host")))}
+    edges = edges.select("row", "path", *(F.coalesce(name, F.when(there, F.col(f"{side}_{c}"))).alias(name)
+                                          for at, (side, there) in beyond.items() for name, c in ((at, "row"), (f"{at}_path", "path"))))
+    chosen = edges.mapInArrow(_choose, "row bigint, near bigint")
+    return near.filter("place IS NULL").select("row", "near").union(chosen).filter("near IS NOT NULL")
 
 
 def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pages of one range that need a neighbour, with the rows beside them, and the range's ends
-    (place 0: the first, 1: the last, 2: both)."""
+    """The neighbour of each page inside one range; of the range's ends (place 0: the first, 1: the last, 2: both)
+    what is beside them, since they may have another beyond it."""
     part = TaskContext.get().partitionId()
 
     def rows() -> Iterator[tuple]:
@@ -316,15 +323,17 @@ def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from zip(*(c.to_pylist() for c in batch.columns))
 
     def result(before: tuple | None, page: tuple, after: tuple | None) -> tuple:
-        host, path, row, need = page
+        host, path, row = page
         place = (2 if after is None else 0) if before is None else 1 if after is None else None
-        same = [x[2] if x is not None and x[0] == host else None for x in (before, after)]
-        return row, need, part, place, host, path, *same
+        sides = [(x[2], x[1]) if x is not None and x[0] == host else (None, None) for x in (before, after)]
+        if place is None:
+            return row, nearest(path, *sides), part, *[None] * 7
+        return row, None, part, place, host, path, *sides[0], *sides[1]
 
     def results() -> Iterator[tuple]:
         before = page = None
         for after in chain(rows(), [None]):
-            if page is not None and (page[3] or before is None or after is None):
+            if page is not None:
                 yield result(before, page, after)
             before, page = page, after
 
@@ -343,25 +352,35 @@ def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _TYPES = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
 
 
+def nearest(path: str, *sides: tuple[int | None, str | None]) -> int | None:
+    """The first of the (row, path) whose path shares the longest prefix."""
+    found = [(common_prefix(other, path), row) for row, other in sides if row is not None]
+    return max(found, key=lambda x: x[0])[1] if found else None
+
+
 def _choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        near = []
-        for r in batch.to_pylist():
-            sides = [(common_prefix(r[f"{side}_path"], r["path"]), r[side]) for side in ("before", "after") if r[side] is not None]
-            near.append(max(sides, key=lambda x: x[0])[1] if sides else None)
+        near = [nearest(r["path"], (r["before"], r["before_path"]), (r["after"], r["after_path"])) for r in batch.to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("row")), pa.array(near, pa.int64())],
                                          names=["row", "near"])
 
 
 def _decide(n: int):
-    """The text of each page without an article: its lines without those that the neighbour shares."""
+    """The text of each page: the lines that its neighbour does not share, set right by the article element."""
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, CHUNK) for b in batches for at in range(0, b.num_rows, CHUNK)):
-            texts = []
-            for lines, near in zip(batch.column(n).to_pylist(), batch.column(n + 1).to_pylist()):
-                gone = shared_lines(lines, near) if near is not None else set()
-                texts.append("\n\n".join(lines if len(gone) == len(lines) else [x for k, x in enumerate(lines) if k not in gone]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
-                                             names=[*batch.schema.names[:n], "text", "n_chars"])
+            texts, counts = [], []
+            for packed, inside, article, shared in zip(*(c.to_pylist() for c in batch.columns[n:])):
+                lines = zlib.decompress(packed).decode().split("\n") if inside else []
+                gone = set(shared or ())
+                counts.append(len(gone))
+                if article:
+                    left = [x for x, within in zip(lines, inside) if within]
+                else:
+                    left = lines if len(gone) == len(lines) else [x for k, x in enumerate(lines) if k not in gone]
+                texts.append("\n\n".join(left))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()),
+                                              pa.array(counts, pa.int64())],
+                                             names=[*batch.schema.names[:n], "text", "n_chars", "n_shared"])
 
     return decide
