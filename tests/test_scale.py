@@ -164,3 +164,47 @@ def test_cluster_session_must_name_its_folder(monkeypatch):
     bare = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d: d))
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(bare)
+
+
+def _plan(df):
+    df.count()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_month_load_shuffles_posts_not_pairs(spark):
+    """The detail's posts are dealt by month before the accounts join them: no exchange stands above that join."""
+    from vitrina.plans.payment import PaymentPlan
+    from vitrina.sources import fixtures as fx
+    posts = spark.range(300).selectExpr(
+        "concat('Ann B', id % 3) author", "date'2024-01-01' release_date", "'5' tiktok_reach", "concat('http://v/', id % 50) tiktok_video_link",
+        "'1' youtube_reach", "'2' instagram_reach", "'' likee_video_link", "'3' likee_reach", "concat('acc', id % 4) account_name",
+        "concat('2024-0', id % 5 + 1) sheets_name")
+    roster = spark.range(3).selectExpr("concat('B', id, ' Ann X') blogger", "'r' region", "'RUB' currency", "'A' grade", "'TRUE' is_state", "'c' contract")
+    plan = PaymentPlan(posts, roster, fx.kpi(spark), fx.price(spark)).keep()
+    plain = PaymentPlan(posts, roster, fx.kpi(spark), fx.price(spark), share=False)
+    dealt = plan.detail(by_month=True)
+    assert plan.dealt and sorted(dealt.collect(), key=str) == sorted(plain.detail().collect(), key=str) and not plain.dealt
+    text = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in text and text.index("Join Inner") < text.index("RebalancePartitions")
+
+
+def test_derived_roster_is_measured_once_written(spark):
+    """A roster that the planner overrates (bytes before a distinct) is still broadcast: the posts are not shuffled."""
+    from vitrina.operators.joins import name_key_join, person_keys
+    roster = spark.range(400_000).selectExpr("concat('B', id % 5, ' Ann X') blogger", "repeat('r', 3) region").distinct()
+    posts = person_keys(spark.range(100).selectExpr("concat('Ann B', id % 7) author", "id"))
+    got = name_key_join(posts, roster, max_bytes=100_000)
+    assert got.count() == sum(k % 7 < 5 for k in range(100))
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in text
+
+
+def test_block_lookup_knows_its_matches(spark):
+    """The lookup by blocks joins posts to written matches, without an exchange of the posts where they are few."""
+    from vitrina.operators.brackets import interval_lookup
+    intervals = spark.createDataFrame([("A", "RUB", 0, 9, 1, 5), ("A", "RUB", 10, 99, 2, 7)], "grade string, currency string, lo bigint, hi bigint, n int, v int")
+    rows = spark.range(200).selectExpr("'A' grade", "'RUB' currency", "cast(id as int) m")
+    got = interval_lookup(rows, intervals, "m", {"v": "s"}, "k", broadcast=False)
+    assert {(r.m, r.k, r.s) for r in got.collect()} == {(m, 1, 5) if m < 10 else (m, 2, 7) if m < 100 else (m, 0, 0) for m in range(200)}
+    assert "BroadcastHashJoin" in _plan(got)
+    assert "matches" in got.inputFiles()[0]

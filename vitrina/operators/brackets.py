@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrina.operators.broadcast import BRACKET_MAX_BYTES, fits
+from vitrina.session import materialize
 
 
 def shifted(value: Column, level: Column) -> Column:
@@ -105,21 +106,24 @@ def interval_lookup(left: DataFrame, intervals: DataFrame, measure: str, take: d
     r = intervals.select(*[F.col(k).alias(p + k) for k in keys], F.col("lo").alias(p + "lo"),
                          F.col("hi").alias(p + "hi"), F.col("n").alias(p + "n"),
                          *[F.col(c).alias(p + "v_" + c) for c in take])
-    j = range_join(left, r, measure, p + "lo", p + "hi", {k: p + k for k in keys}, broadcast)
+    j = range_join(left, r, measure, p + "lo", p + "hi", {k: p + k for k in keys}, broadcast, known=True)
     return j.select(*[F.col(c) for c in left.columns],
                     F.coalesce(F.col(p + "n"), F.lit(0)).alias(count_as),
                     *[F.coalesce(F.col(p + "v_" + c), F.lit(0)).alias(o) for c, o in take.items()])
 
 
 def range_join(left: DataFrame, ranges: DataFrame, measure: str, lo: str, hi: str, keys: dict[str, str],
-               broadcast: bool) -> DataFrame:
+               broadcast: bool, known: bool = False) -> DataFrame:
     """Left join of rows to the ranges [lo, hi] that hold ``measure``; ``keys`` pairs key columns of
     left and ranges (whose column names do not clash).  Broadcast with the range as residual
-    condition, or by dyadic blocks."""
+    condition, or by dyadic blocks.  ``known``: the matches are written first, so that their size is known and the
+    rows need no exchange where they are few (ranges without overlap: one match for each distinct measure)."""
     if broadcast:
         cond = [F.col(k) == F.col(r) for k, r in keys.items()] + [F.col(measure).between(F.col(lo), F.col(hi))]
         return left.join(F.broadcast(ranges), cond, "left")
     m = "_rj_measure"
     points = left.select(*[F.col(k).alias(r) for k, r in keys.items()], F.col(measure).alias(m))
     found = range_matches(points, ranges, m, lo, hi, keys.values())
+    if known:
+        found = materialize(found, "matches")
     return left.join(found, [F.col(k) == F.col(r) for k, r in keys.items()] + [F.col(measure) == F.col(m)], "left").drop(m)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from vitrina.functions.text import first_token, leading_word, second_token
 from vitrina.operators.brackets import range_join
 from vitrina.operators.broadcast import BRACKET_MAX_BYTES, ROSTER_MAX_BYTES, checked_broadcast, fits
+from vitrina.session import materialize
 
 
 def person_keys(posts: DataFrame, author: str = "author") -> DataFrame:
@@ -38,6 +39,8 @@ def name_key_join(posts_keyed: DataFrame, roster: DataFrame,
     join does.  Beyond the bound the join is dealt by ``skew_join``.
     """
     r, small = checked_broadcast(roster_keys(roster), max_bytes)
+    if not small and max_bytes:  # the planner knows a derived roster's size only once it is written
+        r, small = checked_broadcast(materialize(r, "roster"), max_bytes)
     keys = ["first_name", "last_name"]
     return posts_keyed.join(r, keys, "inner") if small else skew_join(posts_keyed, r, keys)
 

@@ -145,15 +145,16 @@ def append(spark: SparkSession, source: DataFrame, path: str, by: str = "positio
 
 
 def replace_slices(spark: SparkSession, marts: Mapping[str, DataFrame], part_col: str,
-                   months: Iterable[str] | None = None) -> None:
+                   months: Iterable[str] | None = None, dealt: Iterable[str] = ()) -> None:
     """Idempotent replacement of month slices in one or more partitioned marts.
 
     All marts change in one step, after every new result has been written: a failure at any point
     leaves all of them as they were, and readers of several marts (``versions.read_together``) never
     see two loads mixed.  Months outside ``months`` keep their folders.  A named month whose new result is
     empty is cleared.  ``months=None`` replaces every month: those the marts hold without a result now go.
+    ``dealt`` names the marts whose rows come in tasks of about one month each: they are written without an exchange.
     """
-    replace_parts(spark, marts, part_col, months)
+    replace_parts(spark, marts, part_col, months, dealt)
 
 
 SHEET_ROWS = 1_000_000  # a sheet with more rows is written as several files
