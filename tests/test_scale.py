@@ -171,21 +171,19 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_month_load_shuffles_posts_not_pairs(spark):
-    """The detail's posts are dealt by month before the accounts join them: no exchange stands above that join."""
-    from vitrina.plans.payment import PaymentPlan
-    from vitrina.sources import fixtures as fx
+def test_detail_broadcasts_accounts_by_their_written_size(spark):
+    """The accounts are written before the posts join them: the posts are not shuffled for that join."""
+    from vitrina.plans.payment import payment_detail
     posts = spark.range(300).selectExpr(
         "concat('Ann B', id % 3) author", "date'2024-01-01' release_date", "'5' tiktok_reach", "concat('http://v/', id % 50) tiktok_video_link",
         "'1' youtube_reach", "'2' instagram_reach", "'' likee_video_link", "'3' likee_reach", "concat('acc', id % 4) account_name",
         "concat('2024-0', id % 5 + 1) sheets_name")
     roster = spark.range(3).selectExpr("concat('B', id, ' Ann X') blogger", "'r' region", "'RUB' currency", "'A' grade", "'TRUE' is_state", "'c' contract")
-    plan = PaymentPlan(posts, roster, fx.kpi(spark), fx.price(spark)).keep()
-    plain = PaymentPlan(posts, roster, fx.kpi(spark), fx.price(spark), share=False)
-    dealt = plan.detail(by_month=True)
-    assert plan.dealt and sorted(dealt.collect(), key=str) == sorted(plain.detail().collect(), key=str) and not plain.dealt
-    text = dealt._jdf.queryExecution().optimizedPlan().toString()
-    assert "RebalancePartitions" in text and text.index("Join Inner") < text.index("RebalancePartitions")
+    got = payment_detail(posts, roster, fx.kpi(spark), fx.price(spark))
+    assert "account-prices" in " ".join(got.inputFiles())
+    accounts = {(k % 3, k % 5, k % 4) for k in range(300)}
+    links = {(k % 3, k % 5, k % 50) for k in range(300)}
+    assert got.count() == 2 * sum((b, m) == (c, n) for b, m, _ in links for c, n, _ in accounts)  # 5 links have two prices
 
 
 def test_derived_roster_is_measured_once_written(spark):

@@ -273,6 +273,6 @@ def load_payment_months(spark: SparkSession, posts: DataFrame, roster: DataFrame
         if missing:
             raise ValueError(f"no staging rows for month(s) {missing}")
     src = posts if months is None else posts.where(F.col("sheets_name").isin(months))
-    plan = payment.PaymentPlan(src, roster, kpi, price).keep()
-    marts = {short_path: to_mart(plan.summary()), full_path: to_mart(plan.detail(by_month=True))}
-    replace_slices(spark, marts, MONTH_COL, months, dealt=[full_path] if plan.dealt else [])
+    plan = payment.PaymentPlan(src, roster, kpi, price)
+    replace_slices(spark, {short_path: to_mart(plan.summary()), full_path: to_mart(plan.detail())},
+                   MONTH_COL, months)

@@ -164,7 +164,6 @@ class PaymentPlan:
         self.br = Brackets(kpi, price)
         self.stats = payment_stats(posts, roster, month)
         self.share = share     # False: a lone detail keeps its account side inline
-        self.dealt = False     # whether the detail's rows come in tasks of about one month each
         self._accounts: DataFrame | None = None
         self._kept = False
 
@@ -211,9 +210,8 @@ class PaymentPlan:
                                           "instagram_premium", "youtube_premium")
         return tp.join(vp, [*PERSON, MONTH])
 
-    def detail(self, by_month: bool = False) -> DataFrame:
+    def detail(self) -> DataFrame:
         """Q2: distinct published videos with their account's count, price and premiums.
-        ``by_month``: for a table with one folder a month; posts are dealt by month before the pairs are made.
 
         Both sides are made distinct on the columns they give before the fan-out (a
         name part holds no blank, so the two-blank name stands for the person):
@@ -227,7 +225,7 @@ class PaymentPlan:
                     .select(*PERSON, MONTH, strip_word("account_name", REPORT_WORD).alias("account_name"),
                             "video_count", "instagram_count", "youtube_count", "price",
                             "instagram_premium", "youtube_premium").distinct())
-        return self._paired(posts, accounts, by_month).select(
+        return self._paired(posts, accounts).select(
             F.concat(F.col("first_name"), F.lit("  "), F.col("last_name")).alias("blogger_name"),
             "account_name", "grade", "release_date", "currency", "video_count",
             F.col("price").alias("price_per_video"),
@@ -235,15 +233,14 @@ class PaymentPlan:
             "instagram_count", "youtube_count", "tiktok_premium", "likee_premium",
             "instagram_premium", "youtube_premium", MONTH)
 
-    def _paired(self, posts: DataFrame, accounts: DataFrame, by_month: bool) -> DataFrame:
+    def _paired(self, posts: DataFrame, accounts: DataFrame) -> DataFrame:
         """Posts with the accounts of their person and month.  The accounts are written, so their size is
-        known: few are broadcast, and the pairs (several times the posts) are neither shuffled for the join nor
-        for the table.  Where they are too many, bloggers with many posts are dealt."""
+        known: few are broadcast, and the posts are not shuffled for the join.  Where they are too many,
+        bloggers with many posts are dealt."""
         keys = [*PERSON, MONTH]
         accounts = materialize(accounts, "account-prices")
         if fits(accounts, ROSTER_MAX_BYTES):
-            self.dealt = by_month
-            return (posts.hint("rebalance", F.col(MONTH)) if by_month else posts).join(F.broadcast(accounts), keys)
+            return posts.join(F.broadcast(accounts), keys)
         if self._accounts is None:
             return posts.join(accounts, keys)
         counts = self.accounts().groupBy(*keys).agg(F.sum("_rows").alias("n"))
