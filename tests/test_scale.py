@@ -206,3 +206,36 @@ def test_block_lookup_knows_its_matches(spark):
     assert {(r.m, r.k, r.s) for r in got.collect()} == {(m, 1, 5) if m < 10 else (m, 2, 7) if m < 100 else (m, 0, 0) for m in range(200)}
     assert "BroadcastHashJoin" in _plan(got)
     assert "matches" in got.inputFiles()[0]
+
+
+def test_month_load_sorts_posts_not_pairs(spark, tmp_path):
+    """The detail's posts are dealt and sorted by month before the accounts join them, and the table is written in that
+    order: no exchange and no sort stands above that join."""
+    from vitrina.operators.versions import Load
+    from vitrina.plans.payment import PaymentPlan
+    from vitrina.sources import fixtures as fx
+    posts = spark.range(300).selectExpr(
+        "concat('Ann B', id % 3) author", "date'2024-01-01' release_date", "'5' tiktok_reach", "concat('http://v/', id % 50) tiktok_video_link",
+        "'1' youtube_reach", "'2' instagram_reach", "'' likee_video_link", "'3' likee_reach", "concat('acc', id % 4) account_name",
+        "nullif(concat('2024-0', id % 5 + 1), '2024-05') sheets_name")
+    roster = spark.range(3).selectExpr("concat('B', id, ' Ann X') blogger", "'r' region", "'RUB' currency", "'A' grade", "'TRUE' is_state", "'c' contract")
+    plan = PaymentPlan(posts, roster, fx.kpi(spark), fx.price(spark))
+    plain = PaymentPlan(posts, roster, fx.kpi(spark), fx.price(spark), share=False)
+    dealt = plan.detail(by_month=True)
+    assert plan.dealt and sorted(dealt.collect(), key=str) == sorted(plain.detail().collect(), key=str) and not plain.dealt
+    text = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Join Inner") < text.index("Sort [sheets_name") < text.index("RebalancePartitions")
+    folders = Load(spark, [str(tmp_path)]).write(str(tmp_path), dealt, "sheets_name", dealt=True)
+    assert sorted(label for label, _ in folders) == ["2024-01", "2024-02", "2024-03", "2024-04"]
+
+
+def test_missing_names_meet_nothing_and_are_parsed_once(spark):
+    """Names that are missing on both sides do not meet, and no filter on names is pushed below the inputs."""
+    posts = person_keys(spark.createDataFrame([("Ann B", 1), ("Ann", 2), (None, 3), ("- B", 4), ("", 5)], "author string, id int"))
+    roster = spark.createDataFrame([("B Ann X", "r"), ("B", "s"), (None, "t"), ("", "u")], "blogger string, region string")
+    got = name_key_join(posts, roster)
+    assert got.columns == ["first_name", "last_name", "author", "id", "region"]
+    assert [tuple(r) for r in got.collect()] == [("Ann", "B", "Ann B", 1, "r")]
+    text = name_key_join(person_keys(spark.range(9).selectExpr("concat('Ann B', id) author")),
+                         spark.range(9).selectExpr("concat('B', id, ' Ann X') blogger"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" not in text

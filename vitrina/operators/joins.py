@@ -42,7 +42,16 @@ def name_key_join(posts_keyed: DataFrame, roster: DataFrame,
     if not small and max_bytes:  # the planner knows a derived roster's size only once it is written
         r, small = checked_broadcast(materialize(r, "roster"), max_bytes)
     keys = ["first_name", "last_name"]
-    return posts_keyed.join(r, keys, "inner") if small else skew_join(posts_keyed, r, keys)
+    if not small:
+        return skew_join(posts_keyed, r, keys)
+    # A missing name meets nothing: '' and ' ' are no tokens.  Keys that are never NULL need no filter; the planner
+    # would push one below the inputs of both sides and parse every name there several times more.
+    p = "_nk_"
+    named = r.select(*[F.coalesce(F.col(k), F.lit(" ")).alias(p + k) for k in keys],
+                     *[c for c in r.columns if c not in keys])
+    j = posts_keyed.join(F.broadcast(named), [F.coalesce(F.col(k), F.lit("")) == F.col(p + k) for k in keys], "inner")
+    return j.select(*keys, *[posts_keyed[c] for c in posts_keyed.columns if c not in keys],
+                    *[named[c] for c in named.columns if not c.startswith(p)])
 
 
 def key_hash(keys: Iterable[str]) -> Column:

@@ -144,6 +144,17 @@ def account_prices(totals: DataFrame, br: Brackets) -> DataFrame:
     return br.premium(x, "youtube_count", "youtube", "youtube_premium")
 
 
+def in_month_order(posts: DataFrame) -> DataFrame:
+    """Posts in tasks of about one month each, ordered by it; those without a month, which meet no
+    account, have ''.
+
+    A table written by month wants this order.  A broadcast join keeps it, so the posts are sorted and not
+    the pairs, which are several times as many.  The filter, true for every row, keeps the optimizer
+    from dropping the order (it holds that a join needs none), and a month that is never NULL is written as it is."""
+    dealt = posts.withColumn(MONTH, F.coalesce(MONTH, F.lit(""))).hint("rebalance", F.col(MONTH))
+    return dealt.sortWithinPartitions(MONTH).where(F.monotonically_increasing_id() >= 0)
+
+
 class PaymentPlan:
     """The payment marts of one month (or all months) over shared inputs.
 
@@ -166,6 +177,7 @@ class PaymentPlan:
         self.share = share     # False: a lone detail keeps its account side inline
         self._accounts: DataFrame | None = None
         self._kept = False
+        self.dealt = False     # whether the detail's rows come in tasks of about one month each
 
     def keep(self) -> PaymentPlan:
         """Write the joined and parsed posts once, for plans that read them several times."""
@@ -210,12 +222,14 @@ class PaymentPlan:
                                           "instagram_premium", "youtube_premium")
         return tp.join(vp, [*PERSON, MONTH])
 
-    def detail(self) -> DataFrame:
+    def detail(self, by_month: bool = False) -> DataFrame:
         """Q2: distinct published videos with their account's count, price and premiums.
 
         Both sides are made distinct on the columns they give before the fan-out (a
         name part holds no blank, so the two-blank name stands for the person):
         pairs of distinct rows are distinct, and the shuffle carries posts, not pairs.
+        ``by_month``: for a table with a folder for each month; ``dealt`` then tells whether the
+        posts were dealt by month before the pairs were made, so that these need no exchange.
         """
         posts = (post_premiums(self.stats.where(F.col("tiktok_video_link") != ""), self.br)
                  .select(*PERSON, "grade", "release_date", "currency", "tiktok_video_link",
@@ -225,7 +239,7 @@ class PaymentPlan:
                     .select(*PERSON, MONTH, strip_word("account_name", REPORT_WORD).alias("account_name"),
                             "video_count", "instagram_count", "youtube_count", "price",
                             "instagram_premium", "youtube_premium").distinct())
-        return self._paired(posts, accounts).select(
+        return self._paired(posts, accounts, by_month).select(
             F.concat(F.col("first_name"), F.lit("  "), F.col("last_name")).alias("blogger_name"),
             "account_name", "grade", "release_date", "currency", "video_count",
             F.col("price").alias("price_per_video"),
@@ -233,14 +247,15 @@ class PaymentPlan:
             "instagram_count", "youtube_count", "tiktok_premium", "likee_premium",
             "instagram_premium", "youtube_premium", MONTH)
 
-    def _paired(self, posts: DataFrame, accounts: DataFrame) -> DataFrame:
+    def _paired(self, posts: DataFrame, accounts: DataFrame, by_month: bool) -> DataFrame:
         """Posts with the accounts of their person and month.  The accounts are written, so their size is
         known: few are broadcast, and the posts are not shuffled for the join.  Where they are too many,
         bloggers with many posts are dealt."""
         keys = [*PERSON, MONTH]
         accounts = materialize(accounts, "account-prices")
         if fits(accounts, ROSTER_MAX_BYTES):
-            return posts.join(F.broadcast(accounts), keys)
+            self.dealt = by_month
+            return (in_month_order(posts) if by_month else posts).join(F.broadcast(accounts), keys)
         if self._accounts is None:
             return posts.join(accounts, keys)
         counts = self.accounts().groupBy(*keys).agg(F.sum("_rows").alias("n"))

@@ -68,11 +68,13 @@ def posts(spark: SparkSession, root: str) -> DataFrame:
                                              "l_returnflag", "l_linestatus", "l_shipdate"],
                    spread_small=True)
     l = twice(l, F.col("l_orderkey") % 50 == 0)
-    p = read_table(spark, root, "part", ["p_partkey", "p_name"])
+    # a part's author is made once, not once for each of its line items
+    p = read_table(spark, root, "part", ["p_partkey", "p_name"]).select(
+        "p_partkey", F.concat(_given(), F.lit(" "), F.split_part("p_name", F.lit(" "), F.lit(2))).alias("author"))
     j = l.join(p, l.l_partkey == p.p_partkey)
     s = lambda c: c.cast("string")
     return j.select(
-        F.concat(_given(), F.lit(" "), F.split_part("p_name", F.lit(" "), F.lit(2))).alias("author"),
+        "author",
         F.when(F.col("l_orderkey") % 89 != 0, F.to_date("l_shipdate")).alias("release_date"),
         F.when(F.col("l_linenumber") == 1, F.lit(""))
          .otherwise(s(F.floor("l_extendedprice").cast("int"))).alias("tiktok_reach"),
@@ -85,10 +87,17 @@ def posts(spark: SparkSession, root: str) -> DataFrame:
         F.lit("").alias("likee_video_link"),
         s(F.col("l_suppkey").cast("int")).alias("likee_reach"),
         F.concat(F.lit(REPORT_PREFIX), F.col("l_returnflag")).alias("account_name"),
-        F.date_format("l_shipdate", "yyyy-MM").alias("sheets_name"),
+        _year_month("l_shipdate").alias("sheets_name"),
     )
 
 
+def _year_month(c: str):
+    """``yyyy-MM``, put together from the numbers: a formatter for each row costs several times as much."""
+    y, m = F.year(c), F.month(c)
+    plain = F.concat(y.cast("string"), F.when(m < 10, "-0").otherwise("-"), m.cast("string"))
+    return F.when(y.between(1000, 9999), plain).otherwise(F.date_format(c, "yyyy-MM"))
+
+
 def twice(df: DataFrame, some) -> DataFrame:
     """The rows of ``df``, those where ``some`` holds two times."""
     copies = F.when(some, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
