@@ -206,3 +206,24 @@ def test_rows_alike_in_every_column_are_dealt(spark):
         assert r.offset == ends.get(r.sequence_id, 0)
         ends[r.sequence_id] = r.offset + r.length
     assert max(ends.values()) <= 4096 and len(ends) <= 1.03 * sum(r.length for r in rows) / 4096 + 1
+
+
+def test_words_beyond_ascii_are_cut_together():
+    """One call of the library for a run of pieces, with the words that a call for each piece gives."""
+    encoder, calls = WordEncoder(WORD), []
+    plain = ["é", "Naïve,", "ÀÉ.", "中文字", "x́", "́", "İ", "ﬁ's", "²½", "…"] * 10
+    blank = ["a\tb", "é\u3000é", "", "ok", "\x85"]
+    want = [encoder.cut_words(p) for p in plain + blank]
+
+    class Counted:
+        def __init__(self, tok):
+            self.normalizer, self.pre_tokenizer, self.tok = self, tok.pre_tokenizer, tok
+
+        def normalize_str(self, text):
+            calls.append(text)
+            return self.tok.normalizer.normalize_str(text)
+
+    encoder.tok = Counted(encoder.tok)
+    assert encoder._cut_together(plain) == want[:100] and len(calls) == 2  # runs of 64 pieces
+    assert encoder._cut_together(plain + blank) == want  # blanks inside a piece: cut one by one
+    assert encoder._cut_together([]) == []

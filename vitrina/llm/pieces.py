@@ -34,6 +34,8 @@ _BLANK = re.compile(r"(?<=\S) (?=\S)")
 # Letters, then punctuation (no apostrophe: contractions have rules of their own), perhaps a
 # line break and the same again: each group is a word of a GPT-2 style pre-tokenizer.
 _LATIN, _PUNCT = "A-Za-zÀ-ÖØ-öø-ÿ", "!-&(-/:-@\\[-`{-~"
+TOGETHER = 64  # pieces that one call of the library normalizes and cuts
+_GAP = re.compile(r"\s")
 ONE_MARK = frozenset(".,;:!?)")
 _SIMPLE = re.compile(f"([{_LATIN}]+)([{_PUNCT}]*)(?:(\n)([{_LATIN}]+)([{_PUNCT}]*))?")
 
@@ -239,9 +241,53 @@ class WordEncoder(_Encoder):
         self.cache = Generations(limit)
 
     def _piece_values(self, pieces: list[str]) -> list[bytes]:
-        cut = [self.cut_words(p) for p in pieces]
-        get = self.words.fill({w for ws in cut if ws for w in ws}, self._word_ids).__getitem__
-        return [b"".join(map(get, ws)) if ws is not None else self.whole(p) for p, ws in zip(pieces, cut)]
+        cut, plain, rest = [], self.lower_ascii, []
+        add = cut.append
+        for p in pieces:  # a word (kept as text), perhaps with one mark after it, is most of a text
+            if p.isascii() and plain:
+                if p.isalpha():
+                    add(p.lower())
+                    continue
+                if p[-1:] in ONE_MARK and p[:-1].isalpha():
+                    add((p[:-1].lower(), p[-1]))
+                    continue
+            elif not ("<" in p and self.has_special(p)):
+                rest.append(len(cut))
+                add(())
+                continue
+            add(self.cut_words(p))
+        for at, ws in zip(rest, self._cut_together([pieces[k] for k in rest])):
+            cut[at] = ws
+        return [self.whole(p) if v is None else v for p, v in zip(pieces, self._joined(cut))]
+
+    def _joined(self, cut: list) -> list:
+        """The values of pieces cut into words (a word, or several in a tuple or list); None stays."""
+        wanted = {ws for ws in cut if type(ws) is str}
+        wanted.update(w for ws in cut if type(ws) is not str and ws for w in ws)
+        get = self.words.fill(wanted, self._word_ids).__getitem__
+        return [get(ws) if type(ws) is str else b"".join(map(get, ws)) if ws is not None else None for ws in cut]
+
+    def _cut_together(self, pieces: list[str]) -> list[list[str]]:
+        """``cut_words`` of pieces without special strings, ``TOGETHER`` in one call of the normalizer and one of
+        the pre-tokenizer: a blank between two pieces parts them in both.  Where the normalizer puts blanks into
+        or takes them from a piece (their number tells), its run is cut piece by piece."""
+        out: list[list[str]] = []
+        for at in range(0, len(pieces), TOGETHER):
+            run = pieces[at:at + TOGETHER]
+            text = self.tok.normalizer.normalize_str(" ".join(run))
+            ends = [m.start() for m in _GAP.finditer(text)]
+            if len(ends) != len(run) - 1:
+                out += [[w for w, _ in self.tok.pre_tokenizer.pre_tokenize_str(self.tok.normalizer.normalize_str(p))] for p in run]
+                continue
+            ends.append(len(text))
+            cut: list[list[str]] = [[] for _ in run]
+            k = 0
+            for w, (start, _) in self.tok.pre_tokenizer.pre_tokenize_str(text):
+                while start >= ends[k]:
+                    k += 1
+                cut[k].append(w)
+            out += cut
+        return out
 
     def cut_words(self, piece: str) -> list[str] | None:
         """The pre-tokenizer's words of a piece; None: it holds a special string."""
