@@ -229,6 +229,52 @@ def test_month_load_sorts_posts_not_pairs(spark, tmp_path):
     assert sorted(label for label, _ in folders) == ["2024-01", "2024-02", "2024-03", "2024-04"]
 
 
+def test_named_months_are_taken_out_of_the_staging_table_once(spark, tmp_path, monkeypatch):
+    """A load of named months reads the staging table once, for the gate and both marts; a table that is written
+    already is not written again."""
+    from vitrina.operators.sinks import read_slices
+    from vitrina.plans import load, payment
+    from vitrina.sources import fixtures as fx
+    posts = spark.range(300).selectExpr(
+        "concat('Ann B', id % 3) author", "date'2024-01-01' release_date", "'5' tiktok_reach", "concat('http://v/', id % 50) tiktok_video_link",
+        "'1' youtube_reach", "'2' instagram_reach", "'' likee_video_link", "'3' likee_reach", "concat('acc', id % 4) account_name",
+        "concat('2024-0', id % 4 + 1) sheets_name")
+    roster = spark.range(3).selectExpr("concat('B', id, ' Ann X') blogger", "'r' region", "'RUB' currency", "'A' grade", "'TRUE' is_state", "'c' contract")
+    seen = []
+
+    class Plan(payment.PaymentPlan):
+        def __init__(self, posts, *more):
+            seen.append(posts.inputFiles())
+            super().__init__(posts, *more)
+
+    monkeypatch.setattr(load.payment, "PaymentPlan", Plan)
+    staged = str(tmp_path / "staged")
+    posts.write.parquet(staged)
+    found = []
+    for name, src, written in (("derived", posts, False), ("table", spark.read.parquet(staged), True)):
+        short, full = str(tmp_path / name / "short"), str(tmp_path / name / "full")
+        load.load_payment_months(spark, src, roster, fx.kpi(spark), fx.price(spark), short, full, ["2024-02", "2024-03"], written=written)
+        found.append([sorted(read_slices(spark, p, load.MONTH_COL).collect(), key=str) for p in (short, full)])
+    assert seen[0] and all("month-posts" in f for f in seen[0])
+    assert seen[1] and not any("month-posts" in f for f in seen[1])
+    assert found[0] == found[1] and {r[load.MONTH_COL] for r in found[0][1]} == {"2024-02", "2024-03"}
+    with pytest.raises(ValueError, match="2023-01"):
+        load.load_payment_months(spark, posts, roster, fx.kpi(spark), fx.price(spark), short, full, ["2024-02", "2023-01"])
+
+
+def test_names_of_pairs_are_made_once_an_account(spark):
+    """The detail's blogger names come with the accounts: no name is put together above the join that makes the pairs."""
+    from vitrina.plans.payment import PaymentPlan
+    from vitrina.sources import fixtures as fx
+    posts = spark.sql("SELECT 'Ann B' author, date'2024-01-01' release_date, '5' tiktok_reach, 'http://v/1' tiktok_video_link, '1' youtube_reach, "
+                      "'2' instagram_reach, '' likee_video_link, '3' likee_reach, 'acc' account_name, '2024-01' sheets_name")
+    roster = spark.sql("SELECT 'B Ann X' blogger, 'r' region, 'RUB' currency, 'A' grade, 'TRUE' is_state, 'c' contract")
+    detail = PaymentPlan(posts, roster, fx.kpi(spark), fx.price(spark)).detail()
+    assert [r.blogger_name for r in detail.collect()] == ["Ann  B"]
+    text = detail._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat(" not in text[:text.index("Join Inner")]
+
+
 def test_missing_names_meet_nothing_and_are_parsed_once(spark):
     """Names that are missing on both sides do not meet, and no filter on names is pushed below the inputs."""
     posts = person_keys(spark.createDataFrame([("Ann B", 1), ("Ann", 2), (None, 3), ("- B", 4), ("", 5)], "author string, id int"))

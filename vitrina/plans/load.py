@@ -259,20 +259,23 @@ def run_mart_sql(spark: SparkSession, text: str, month: str, frames: dict[str, D
 
 def load_payment_months(spark: SparkSession, posts: DataFrame, roster: DataFrame,
                         kpi: DataFrame, price: DataFrame, short_path: str, full_path: str,
-                        months: list[str] | None = None) -> None:
+                        months: list[str] | None = None, written: bool = False) -> None:
     """M8: gate, then replace the month slices of both payment marts together.
 
     ``months=None`` loads every month of the staging table in one job (a
     backfill), and months the marts hold without a result now are cleared;
-    otherwise each named month must have staging rows.
+    otherwise each named month must have staging rows.  The named months' posts are taken out
+    of the staging table once, for the gate and both marts; ``written`` tells that ``posts`` are such a table already.
     """
     if months is not None:
         if not months:
             raise ValueError("no month given")
+        posts = posts.where(F.col("sheets_name").isin(months))
+        if not written:
+            posts = materialize(posts, "month-posts")
         missing = [r.sheets_name for r in months_present(posts, months).where("NOT passes").collect()]
         if missing:
             raise ValueError(f"no staging rows for month(s) {missing}")
-    src = posts if months is None else posts.where(F.col("sheets_name").isin(months))
-    plan = payment.PaymentPlan(src, roster, kpi, price)
+    plan = payment.PaymentPlan(posts, roster, kpi, price)
     marts = {short_path: to_mart(plan.summary()), full_path: to_mart(plan.detail(by_month=True))}
     replace_slices(spark, marts, MONTH_COL, months, dealt=[full_path] if plan.dealt else [])

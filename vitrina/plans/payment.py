@@ -235,13 +235,14 @@ class PaymentPlan:
                  .select(*PERSON, "grade", "release_date", "currency", "tiktok_video_link",
                          "tiktok_reach", "likee_video_link", "likee_reach", "tiktok_premium",
                          "likee_premium", MONTH).distinct())
+        name = F.concat(F.col("first_name"), F.lit("  "), F.col("last_name"))  # once an account, not once a pair
         accounts = (self.account_prices()
-                    .select(*PERSON, MONTH, strip_word("account_name", REPORT_WORD).alias("account_name"),
+                    .select(*PERSON, MONTH, name.alias("blogger_name"),
+                            strip_word("account_name", REPORT_WORD).alias("account_name"),
                             "video_count", "instagram_count", "youtube_count", "price",
                             "instagram_premium", "youtube_premium").distinct())
         return self._paired(posts, accounts, by_month).select(
-            F.concat(F.col("first_name"), F.lit("  "), F.col("last_name")).alias("blogger_name"),
-            "account_name", "grade", "release_date", "currency", "video_count",
+            "blogger_name", "account_name", "grade", "release_date", "currency", "video_count",
             F.col("price").alias("price_per_video"),
             "tiktok_video_link", "tiktok_reach", "likee_video_link", "likee_reach",
             "instagram_count", "youtube_count", "tiktok_premium", "likee_premium",

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -67,7 +67,8 @@ def posts(spark: SparkSession, root: str) -> DataFrame:
                                              "l_linenumber", "l_quantity", "l_extendedprice",
                                              "l_returnflag", "l_linestatus", "l_shipdate"],
                    spread_small=True)
-    l = twice(l, F.col("l_orderkey") % 50 == 0)
+    # year and month are taken once a line item, not once for each place they stand in
+    l = twice(l.withColumn("_y", F.year("l_shipdate")).withColumn("_m", F.month("l_shipdate")), F.col("l_orderkey") % 50 == 0)
     # a part's author is made once, not once for each of its line items
     p = read_table(spark, root, "part", ["p_partkey", "p_name"]).select(
         "p_partkey", F.concat(_given(), F.lit(" "), F.split_part("p_name", F.lit(" "), F.lit(2))).alias("author"))
@@ -87,13 +88,12 @@ def posts(spark: SparkSession, root: str) -> DataFrame:
         F.lit("").alias("likee_video_link"),
         s(F.col("l_suppkey").cast("int")).alias("likee_reach"),
         F.concat(F.lit(REPORT_PREFIX), F.col("l_returnflag")).alias("account_name"),
-        _year_month("l_shipdate").alias("sheets_name"),
+        _year_month("l_shipdate", F.col("_y"), F.col("_m")).alias("sheets_name"),
     )
 
 
-def _year_month(c: str):
+def _year_month(c: str, y: Column, m: Column) -> Column:
     """``yyyy-MM``, put together from the numbers: a formatter for each row costs several times as much."""
-    y, m = F.year(c), F.month(c)
     plain = F.concat(y.cast("string"), F.when(m < 10, "-0").otherwise("-"), m.cast("string"))
     return F.when(y.between(1000, 9999), plain).otherwise(F.date_format(c, "yyyy-MM"))
 

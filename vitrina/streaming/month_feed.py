@@ -36,7 +36,7 @@ def run_month_feed(spark: SparkSession, staging_dir: str, posts_schema: StructTy
             return
         s = batch.sparkSession
         posts = s.read.schema(posts_schema).parquet(staging_dir)
-        load_payment_months(s, posts, roster, kpi, price, short_path, full_path, sorted(months))
+        load_payment_months(s, posts, roster, kpi, price, short_path, full_path, sorted(months), written=True)
 
     w = (spark.readStream.schema(posts_schema).parquet(staging_dir)
          .writeStream.foreachBatch(load)
