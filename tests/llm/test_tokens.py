@@ -227,3 +227,16 @@ def test_words_beyond_ascii_are_cut_together():
     assert encoder._cut_together(plain) == want[:100] and len(calls) == 2  # runs of 64 pieces
     assert encoder._cut_together(plain + blank) == want  # blanks inside a piece: cut one by one
     assert encoder._cut_together([]) == []
+
+
+def test_strings_are_made_in_one_call():
+    """Distinct pieces come out of Arrow in one call, whatever they hold; none is made scalar by scalar."""
+    import pyarrow as pa
+    from vitrina.llm import pieces
+    given = ["", "plain", "é", "\u0416\u0443\u043a", "\U0001f600", "a\nb", "nul\0", "\u3000", "x" * 70_000]
+    for kind in (pa.string(), pa.large_string()):
+        assert pieces.strings(pa.array(given, kind)) == given
+        assert pieces.strings(pa.array(given, kind)[2:5]) == given[2:5] and pieces.strings(pa.array([], kind)) == []
+    uniques, index, offsets = pieces.cut_texts([" ".join(given[1:5]), "", "plain  text é"])
+    assert [" ".join(uniques[k] for k in index[a:b]) for a, b in zip(offsets, offsets[1:])] == [" ".join(given[1:5]), "", "plain  text é"]
+    assert all(type(u) is str for u in uniques)

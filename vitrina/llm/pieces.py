@@ -84,6 +84,11 @@ class Generations:
         return young
 
 
+def strings(values: pa.Array) -> list[str]:
+    """The Python strings of an array without NULLs, made in one call and not one scalar after the other."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 def cut_texts(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(distinct pieces, place of each piece of all texts among them, offsets of the texts): texts cut at
     each blank between two characters that are not white space.  An empty text is one empty piece."""
@@ -93,7 +98,7 @@ def cut_texts(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     index = coded.indices.to_numpy().astype(np.int64)
     same = pc.equal(pc.utf8_trim_whitespace(coded.dictionary), coded.dictionary)
     odd = ~pc.and_(same, pc.not_equal(coded.dictionary, "")).to_numpy(zero_copy_only=False)
-    uniques = coded.dictionary.to_pylist()
+    uniques = strings(coded.dictionary)
     if odd.any():  # white space beside the blank: cut these texts with care
         rows = np.unique(np.searchsorted(offsets, np.flatnonzero(odd[index]), side="right") - 1)
         again = set(rows.tolist())
@@ -311,7 +316,7 @@ class WordEncoder(_Encoder):
         flat = pc.replace_substring(pa.array(texts, pa.large_string()), pattern="\n", replacement=" ")
         arr = pc.split_pattern(flat, pattern=" ")
         coded = arr.flatten().dictionary_encode()
-        uniques = coded.dictionary.to_pylist()
+        uniques = strings(coded.dictionary)
         get = self.cache.fill(uniques, self._piece_values)
         return self._gather(coded.indices.to_numpy().astype(np.int64), arr.offsets.to_numpy().astype(np.int64),
                             [get[u] for u in uniques], "<u4")
