@@ -245,3 +245,16 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(k + 1, k) for k in range(n)] + [(1000, 1001), (5, 5)], "a bigint, b bigint")
     got = {r.node: r.component for r in components(links).collect()}
     assert got == {k: 0 for k in range(n + 1)} | {1000: 1000, 1001: 1000}
+
+
+def test_pairs_meet_only_where_enough_follows(spark):
+    """Two texts that need 20 differences in common cannot have them if they first meet with 10 to go."""
+    from vitrina.llm.near_dups import BITMAP, _meeting
+
+    words = [f"w{k}" for k in range(BITMAP)]
+    rows = [(1, diff, node, node, 90, 3600, 40, True, place, 30, 0, *[0] * BITMAP)
+            for diff, place, nodes in ((7, 30, (1, 2, 3)), (8, 5, (4, 5))) for node in nodes]
+    kinds = ("grp long, diff long, node long, component long, n long, a long, size int, apart boolean, place int, "
+             "far long, near long, " + ", ".join(f"{w} long" for w in words))
+    pairs = _meeting(spark.createDataFrame(rows, kinds), 80)[1]
+    assert [tuple(r) for r in pairs.collect()] == [(4, 5)]

@@ -24,7 +24,8 @@
    what the other node has at least).  Nodes meet on (group, difference), first with the smallest
    node there, then, where components still differ, with each other.  Each brings a bitmap of its differences, from
    which the join bounds |Dx and Dy| from above (a bit that only x has is a difference that y lacks), so that
-   only pairs that may have s in common come out of it.  Pairs inside a component cannot change it and are not looked at.
+   only pairs that may have s in common come out of it; so do the places of the difference they meet on: if it is the first
+   they share, no more than what follows it in either is shared (positional filter).  Pairs inside a component cannot change it and are not looked at.
 6. Components by large-star and small-star steps over the links.
 
 No group is collected: copies are aggregated before the shuffle, stars and differences are joins that
@@ -317,7 +318,10 @@ def _meeting(prefixes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     stars = x.join(least, meet & (F.col("xnode") != F.col("ynode")) & differ)
     beyond = F.col("yapart") & (F.col("xplace") <= F.col("xfar")) & (F.col("xnode") < F.col("ynode"))
     close = ~F.col("yapart") & (F.col("xplace") <= F.col("xnear"))
-    pairs = x.filter("xapart").join(y.filter("yplace <= yfar"), meet & (beyond | close) & differ)
+    # All that two alike texts share lies at their first shared difference or after it, in both.
+    after = F.least(F.col("xsize") - F.col("xplace"), F.col("ysize") - F.col("yplace")) + 1
+    enough = after * (2 * (100 + percent)) >= F.col("xa") + F.col("ya")
+    pairs = x.filter("xapart").join(y.filter("yplace <= yfar"), meet & (beyond | close) & enough & differ)
     return tuple(f.select(F.least("xnode", "ynode").alias("a"), F.greatest("xnode", "ynode").alias("b")).distinct()
                  for f in (stars, pairs))
 
