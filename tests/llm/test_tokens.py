@@ -4,9 +4,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from vitrina.llm import pieces
 from vitrina.llm.packing import best_fit_decreasing, lower_bound, pack, packed_sequences, token_pieces
 from vitrina.llm.pieces import ByteLevelEncoder, Generations, WordEncoder, encode_texts
 from vitrina.llm.records import (frame, masked_crc, read_at, read_index, read_records, record_digest, unframe,
@@ -240,3 +242,28 @@ def test_strings_are_made_in_one_call():
     uniques, index, offsets = pieces.cut_texts([" ".join(given[1:5]), "", "plain  text é"])
     assert [" ".join(uniques[k] for k in index[a:b]) for a, b in zip(offsets, offsets[1:])] == [" ".join(given[1:5]), "", "plain  text é"]
     assert all(type(u) is str for u in uniques)
+
+
+def test_plain_words_never_reach_the_normalizer():
+    """Latin letters with marks after them are cut by Arrow; other pieces by the library, as it cuts whole texts."""
+    plain = "Événement, señor! ÀÉß&&& Über.\nÇa ÿÿ Été ÉTÉ été, abc ABC abc.)"
+    odd = "don't L'été a×b ǅ é́ <|endoftext|> x1 ٣ 中文 é's"
+    for kind, path in ((ByteLevelEncoder, BYTE), (WordEncoder, WORD)):
+        encoder, cut = kind(path), []
+        for name in ("cut_words", "_cut_together"):
+            if hasattr(encoder, name):
+                inner = getattr(encoder, name)
+                setattr(encoder, name, lambda x, *a, f=inner: (cut.append(x) if x else None) or f(x, *a))
+        for text in (plain, f"{plain} {odd} {plain}", ""):
+            (got,) = encode_texts(encoder, [text])
+            assert got.tolist() == encoder.tok.encode(text, add_special_tokens=False).ids
+            assert text != plain or cut == []
+        assert cut
+
+
+def test_row_runs_give_memory_back(monkeypatch):
+    calls = []
+    monkeypatch.setattr(pieces, "trim_memory", lambda: calls.append(1))
+    batches = [pa.record_batch({"a": list(range(n))}) for n in (5, 0, 2)]
+    parts = [p.column(0).to_pylist() for p in pieces.row_runs(batches, 2)]
+    assert parts == [[0, 1], [2, 3], [4], [0, 1]] and len(calls) == 4

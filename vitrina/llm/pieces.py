@@ -34,10 +34,11 @@ _BLANK = re.compile(r"(?<=\S) (?=\S)")
 # Letters, then punctuation (no apostrophe: contractions have rules of their own), perhaps a
 # line break and the same again: each group is a word of a GPT-2 style pre-tokenizer.
 _LATIN, _PUNCT = "A-Za-zÀ-ÖØ-öø-ÿ", "!-&(-/:-@\\[-`{-~"
+RUN_CHARS = 6_000_000  # characters that are cut into pieces at once
 TOGETHER = 64  # pieces that one call of the library normalizes and cuts
 _GAP = re.compile(r"\s")
-ONE_MARK = frozenset(".,;:!?)")
 _SIMPLE = re.compile(f"([{_LATIN}]+)([{_PUNCT}]*)(?:(\n)([{_LATIN}]+)([{_PUNCT}]*))?")
+_PLAIN = f"^(?P<a>[{_LATIN}]+)(?P<b>[{_PUNCT}]*)(?:(?P<c>\n)(?P<d>[{_LATIN}]+)(?P<e>[{_PUNCT}]*))?$"  # the same for Arrow
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -140,6 +141,39 @@ class _Encoder:
         tokenize = self.tok.model.tokenize
         return [array("I", [t.id for t in tokenize(w)]).tobytes() for w in words]
 
+    def _plain_ids(self, words: list[str]) -> list[bytes]:
+        """Values of words as they are in a text, perhaps with the blank before them."""
+        return self._word_ids([w if w.isascii() and w[0] > " " else "Ġ" + w[1:] if w[0] == " " and w.isascii()
+                               else w.encode().decode("latin-1").translate(_ALPHABET) for w in words])
+
+    def _plain_values(self, pieces: list[str], pattern: str, blank: str = "", lower: bool = False) -> np.ndarray:
+        """Values of the pieces that match ``pattern``, whose groups are their words; None: the piece does not.
+        Arrow cuts them; Python meets each distinct word once.
+
+        The cache holds these words as they are and others in the byte alphabet: no two of them are alike but
+        different words, since plain ones beyond ASCII hold letters alone, the alphabet's a byte after each."""
+        found = pc.extract_regex(pa.array(pieces, pa.large_string()), pattern)
+        out = np.full(len(pieces), None, object)
+        values = None
+        for k, part in enumerate(found.drop_null().flatten()):
+            if lower:
+                part = pc.utf8_lower(part)
+            some = np.flatnonzero(pc.not_equal(part, "").to_numpy(zero_copy_only=False))
+            if k:
+                part = part.take(pa.array(some))
+            elif blank:
+                part = pc.binary_join_element_wise(pa.scalar(blank, pa.large_string()), part, pa.scalar("", pa.large_string()))
+            coded = part.dictionary_encode()
+            words = strings(coded.dictionary)
+            get = self.words.fill(words, self._plain_ids).__getitem__
+            given = np.fromiter(map(get, words), object, len(words))[coded.indices.to_numpy()]
+            if k:
+                values[some] += given
+            else:
+                values = given
+        out[found.is_valid().to_numpy(zero_copy_only=False)] = values
+        return out
+
     def whole(self, text: str) -> bytes:
         """The library's ids of one text, in one call."""
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -180,21 +214,14 @@ class ByteLevelEncoder(_Encoder):
     def _piece_values(self, pieces: list[str], blank: str) -> list[bytes]:
         """Values of pieces, each with ``blank`` before it: those of their words, which the cache keeps;
         pieces that are not plain words are kept themselves."""
-        mark, cut, odd = "Ġ" if blank else "", [], []
-        for p in pieces:  # a word, perhaps with one mark after it, is most of a text
-            if p.isascii():
-                if p.isalpha():
-                    cut.append((mark + p,))
-                    continue
-                if p[-1:] in ONE_MARK and p[:-1].isalpha():
-                    cut.append((mark + p[:-1], p[-1]))
-                    continue
-            cut.append(self.simple_words(p, blank))
-            if cut[-1] is None:
-                odd.append(p)
-        kept = (self.cache if blank else self.heads).fill(odd, lambda ps: self._odd_values(ps, blank)) if odd else {}
-        get = self.words.fill({w for ws in cut if ws for w in ws}, self._word_ids).__getitem__
-        return [kept[p] if ws is None else get(ws[0]) if len(ws) == 1 else b"".join(map(get, ws)) for p, ws in zip(pieces, cut)]
+        values = self._plain_values(pieces, _PLAIN, blank)
+        rest = [k for k, v in enumerate(values) if v is None]
+        if rest:
+            odd = [pieces[k] for k in rest]
+            kept = (self.cache if blank else self.heads).fill(odd, lambda ps: self._odd_values(ps, blank))
+            for k, p in zip(rest, odd):
+                values[k] = kept[p]
+        return values.tolist()
 
     def _odd_values(self, pieces: list[str], blank: str) -> list[bytes]:
         """Values of pieces that are not plain words, from the library's pre-tokenizer."""
@@ -246,31 +273,28 @@ class WordEncoder(_Encoder):
         self.cache = Generations(limit)
 
     def _piece_values(self, pieces: list[str]) -> list[bytes]:
-        cut, plain, rest = [], self.lower_ascii, []
-        add = cut.append
-        for p in pieces:  # a word (kept as text), perhaps with one mark after it, is most of a text
-            if p.isascii() and plain:
-                if p.isalpha():
-                    add(p.lower())
-                    continue
-                if p[-1:] in ONE_MARK and p[:-1].isalpha():
-                    add((p[:-1].lower(), p[-1]))
-                    continue
-            elif not ("<" in p and self.has_special(p)):
-                rest.append(len(cut))
-                add(())
-                continue
-            add(self.cut_words(p))
-        for at, ws in zip(rest, self._cut_together([pieces[k] for k in rest])):
+        letters = _LATIN if self.lower_latin else "A-Za-z"
+        values = (self._plain_values(pieces, f"^(?P<a>[{letters}]+)(?P<b>[{_PUNCT}]*)$", lower=True) if self.lower_ascii
+                  else np.full(len(pieces), None, object))
+        rest = [k for k, v in enumerate(values) if v is None]
+        cut: list = []
+        together = []
+        for p in map(pieces.__getitem__, rest):
+            if not p.isascii() and not ("<" in p and self.has_special(p)):
+                together.append(len(cut))
+                cut.append(())
+            else:
+                cut.append(self.cut_words(p))
+        for at, ws in zip(together, self._cut_together([pieces[rest[k]] for k in together])):
             cut[at] = ws
-        return [self.whole(p) if v is None else v for p, v in zip(pieces, self._joined(cut))]
+        for k, v in zip(rest, self._joined(cut)):
+            values[k] = self.whole(pieces[k]) if v is None else v
+        return values.tolist()
 
     def _joined(self, cut: list) -> list:
-        """The values of pieces cut into words (a word, or several in a tuple or list); None stays."""
-        wanted = {ws for ws in cut if type(ws) is str}
-        wanted.update(w for ws in cut if type(ws) is not str and ws for w in ws)
-        get = self.words.fill(wanted, self._word_ids).__getitem__
-        return [get(ws) if type(ws) is str else b"".join(map(get, ws)) if ws is not None else None for ws in cut]
+        """The values of pieces cut into words; None stays."""
+        get = self.words.fill({w for ws in cut if ws for w in ws}, self._word_ids).__getitem__
+        return [b"".join(map(get, ws)) if ws is not None else None for ws in cut]
 
     def _cut_together(self, pieces: list[str]) -> list[list[str]]:
         """``cut_words`` of pieces without special strings, ``TOGETHER`` in one call of the normalizer and one of
@@ -311,6 +335,14 @@ class WordEncoder(_Encoder):
         got = self.tok.pre_tokenizer.pre_tokenize_str(self.tok.normalizer.normalize_str(given))
         return [w for w, _ in got] == ["ab", ",;", "c", ".*{"]
 
+    @cached_property
+    def lower_latin(self) -> bool:
+        """Whether that holds for the letters from U+00C0 to U+00FF too, with their words in the byte alphabet."""
+        letters = [c for c in map(chr, range(0xC0, 0x100)) if c.isalpha()]
+        got = self.tok.pre_tokenizer.pre_tokenize_str(self.tok.normalizer.normalize_str(" ".join(f"a{c}{c}#" for c in letters)))
+        want = [w for c in letters for w in (f"a{c}{c}".lower().encode().decode("latin-1").translate(_ALPHABET), "#")]
+        return self.lower_ascii and [w for w, _ in got] == want
+
     def run(self, texts: list[str]):
         """(all ids, offsets) of a run of texts."""
         flat = pc.replace_substring(pa.array(texts, pa.large_string()), pattern="\n", replacement=" ")
@@ -345,15 +377,24 @@ def release_encoders() -> None:
 
 
 def trim_memory() -> None:
-    """Give freed memory back to the system where the C library can (many small objects leave
-    holes that it would otherwise keep)."""
+    """Give freed memory back to the system where Arrow's pool and the C library can (many small objects
+    leave holes that they would otherwise keep)."""
     import ctypes
 
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
 
 
+def row_runs(batches, rows: int = 2500):
+    """The batches in parts of at most ``rows`` rows; what a part took is given back before the next."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+            trim_memory()
+
+
 def small_runs(texts: list, budget: int = 3_000_000):
     """(from, to) runs of a batch with about ``budget`` characters each, so a batch of
     long texts is not cut into words all at once; a longer text is a run of its own."""
@@ -369,8 +410,9 @@ def small_runs(texts: list, budget: int = 3_000_000):
 
 
 def encode_texts(encoder, texts: list):
-    """Yields the numpy values of each text of a batch (None: empty), run by run."""
-    for a, b in small_runs(texts):
+    """Yields the numpy values of each text of a batch (None: empty), run by run: the longer a run, the
+    fewer pieces are met again in the next."""
+    for a, b in small_runs(texts, RUN_CHARS):
         values, bounds = encoder.run([t or "" for t in texts[a:b]])
         for k in range(b - a):
             yield values[bounds[k]:bounds[k + 1]]

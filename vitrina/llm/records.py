@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from vitrina.llm.pieces import ByteLevelEncoder, encode_texts, release_encoders, worker_encoder
+from vitrina.llm.pieces import ByteLevelEncoder, encode_texts, release_encoders, row_runs, worker_encoder
 from vitrina.operators.broadcast import estimated_bytes
 
 SHARD_BYTES, MAX_SHARDS = 64 << 20, 100_000
@@ -84,7 +84,7 @@ def write_records(df: DataFrame, path: str, tokenizer_path: str, end_id: int = 0
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(ByteLevelEncoder, tokenizer_path)
-        for batch in batches:
+        for batch in row_runs(batches):
             out, size = [], 0
             ids_of = encode_texts(encoder, batch.column(1).to_pylist())
             for key, ids in zip(batch.column(0).to_pylist(), ids_of):
@@ -94,6 +94,7 @@ def write_records(df: DataFrame, path: str, tokenizer_path: str, end_id: int = 0
                     yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
                     out, size = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
+            del out, ids_of  # before the memory is given back
 
     # The record's last byte is the writer's line end.
     (src.mapInArrow(frames, "frame binary")
