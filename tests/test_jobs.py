@@ -193,3 +193,52 @@ def test_export_split(spark):
                 assert dates == sorted(dates)
     widths = spark.read.option("header", True).csv(paths["widths"])
     assert widths.where(F.col("column_name") == RELEASE_COL).count() == len(sheets)
+
+
+def _files(top):
+    return [f"{d}/{f}" for d, _, names in os.walk(top) for f in names if not f.startswith((".", "_"))]
+
+
+def test_detail_sheets_of_all_months_compressed(spark):
+    """The same sheets, as ``.csv.gz``; the summary and the widths stay plain, and so does everything by default."""
+    posts, roster, kpi, price = _frames(spark)
+    root = scratch_path(spark, "marts")
+    short, full = f"{root}/short", f"{root}/full"
+    load_payment_months(spark, posts, roster, kpi, price, short, full)
+    plain = export_month(spark, short, full, scratch_path(spark, "export"), None)
+    packed = export_month(spark, short, full, scratch_path(spark, "export"), None, detail_compression="gzip")
+    assert all(f.endswith(".csv") for p in plain.values() for f in _files(p))
+    assert all(f.endswith(".csv") for k in ("summary", "widths") for f in _files(packed[k]))
+    assert all(f.endswith(".csv.gz") for f in _files(packed["detail"]))
+    folders = [sorted(os.path.dirname(f)[len(p["detail"]):] for f in _files(p["detail"])) for p in (plain, packed)]
+    assert folders[0] == folders[1] and len(folders[0]) == 2
+    mart = read_table(spark, full)
+    rows = [sorted((tuple(r) for r in read_sheets(spark, p["detail"], mart.schema).select(*mart.columns).collect()), key=repr)
+            for p in (plain, packed)]
+    assert rows[0] == rows[1] == sorted((tuple(r) for r in mart.where(F.col(f"`{BLOGGER_COL}`").isNotNull()).collect()), key=repr)
+
+
+def _exported(spark, monkeypatch, tmp_path, query):
+    """What a registered export of a few line items gives, and the folders it wrote."""
+    from vitrina.plans import export
+    from vitrina.plans.registry import QUERIES
+    seen, run, sf = [], export.export_month, str(tmp_path)
+    spark.range(3).selectExpr("id p_partkey", "concat('red item', id) p_name").write.parquet(f"{sf}/part.parquet")
+    spark.range(60).selectExpr(
+        "id l_orderkey", "id % 3 l_partkey", "id % 7 l_suppkey", "int(id % 4 + 1) l_linenumber", "double(id % 50 + 1) l_quantity",
+        "double(id * 100) l_extendedprice", "IF(id % 2 = 0, 'A', 'N') l_returnflag", "IF(id % 5 = 0, 'F', 'O') l_linestatus",
+        "timestamp'1997-01-15' + make_interval(0, int(id % 3)) l_shipdate").write.parquet(f"{sf}/lineitem.parquet")
+
+    def kept(*args, **named):
+        seen.append(run(*args, **named))
+        return seen[-1]
+
+    monkeypatch.setattr(export, "export_month", kept)
+    return QUERIES[query](spark, sf), seen[0]
+
+
+def test_export_detail_keeps_its_sheets_compressed(spark, monkeypatch, tmp_path):
+    back, paths = _exported(spark, monkeypatch, tmp_path, "export_detail")
+    assert back.count() > 60
+    assert back.inputFiles() and all(f.endswith(".csv.gz") for f in back.inputFiles())
+    assert len(_files(paths["detail"])) == len(back.inputFiles()) and _files(paths["summary"]) and _files(paths["widths"])

@@ -1,18 +1,23 @@
 """Hot keys, unknown tables and many tables at once: dealt joins, equi-depth splits, parallel reloads, sheets."""
 
+import gzip
 import os
 import subprocess
 import sys
 import textwrap
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vitrina.operators.joins import heavy_keys, name_key_join, person_keys, skew_join
 from vitrina.operators.sinks import export_split
 from vitrina.operators.versions import read_table
 from vitrina.plans.load import (ParquetTables, PlanRow, ReloadFailed, reload_tables, run_full_reload, split_predicates,
                                 tabular_reload)
+from vitrina.plans.export import read_sheets
 from vitrina.session import scratch_path
 from vitrina.sources import fixtures as fx
 
@@ -138,6 +143,102 @@ def test_small_sheets_stay_whole_and_large_ones_are_ordered(spark):
         last = values[-1]
 
 
+def _shuffle_files(spark):
+    dirs = spark._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    return {f for d in dirs for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+
+
+def _wide_sheets(spark):
+    """20,000 rows: one large sheet, small ones in twelve months, rows without a month or a name."""
+    return spark.range(20_000).selectExpr(
+        "concat('2024-', lpad(id % 12 + 1, 2, '0')) m", "IF(id % 12 = 3, 'big', concat('s', id % 35)) g", "(id * 7919) % 20011 v",
+        "sha2(string(id), 256) t").union(spark.sql("SELECT NULL, 'g', 1L, 't' UNION ALL SELECT '2024-01', NULL, 2L, 't'"))
+
+
+def test_sheets_in_batches_are_those_of_one_job(spark):
+    """Every sheet comes whole out of one batch, large ones in order; another export to the folder leaves no sheet of
+    the one before, whatever the session's way to overwrite; the mark of success is there at the end."""
+    df = _wide_sheets(spark)
+    schema = StructType.fromDDL("v bigint, t string, m string, g string")
+    found = {}
+    for name, rows in (("one", 10**6), ("batches", 3000)):
+        out = scratch_path(spark, "sheets")
+        spark.createDataFrame([("old", "old", 1, "t")], "m string, g string, v long, t string").write.partitionBy("m", "g").csv(out)
+        mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if name == "batches" else "static")
+        try:
+            export_split(df, out, ["m", "g"], [F.col("v")], sheet_rows=700, batch_rows=rows)
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        assert os.path.exists(f"{out}/_SUCCESS")
+        sheets = {d: sorted(f for f in names if f.endswith(".csv")) for d, _, names in os.walk(out) if "/g=" in d}
+        texts = {d[len(out):]: [open(f"{d}/{f}").read().split("\n")[1:-1] for f in files] for d, files in sheets.items()}
+        assert all(len(t) == 1 for d, t in texts.items() if not d.endswith("g=big"))
+        assert len(next(t for d, t in texts.items() if d.endswith("g=big"))) > 1
+        found[name] = {d: [line for part in t for line in part] for d, t in texts.items()}
+        assert sorted(tuple(r) for r in read_sheets(spark, out, schema).collect()) == sorted(
+            (r.v, r.t, r.m, r.g) for r in df.where("m IS NOT NULL AND g IS NOT NULL").collect())
+    assert found["one"] == found["batches"] and len(found["one"]) == 12 * 35 - 35 + 1
+
+
+def test_an_unfinished_export_has_no_mark_of_success(spark):
+    """A failure in a later batch or among the large sheets leaves a folder without ``_SUCCESS``."""
+    df = _wide_sheets(spark)
+    stop = F.expr("IF(g = 'big', raise_error('stop'), v)").cast("bigint")
+    for rows in (10**6, 3000):
+        out = scratch_path(spark, "sheets")
+        with pytest.raises(Exception, match="stop"):
+            export_split(df.withColumn("v", stop), out, ["m", "g"], [F.col("t")], sheet_rows=700, batch_rows=rows)
+        assert not os.path.exists(f"{out}/_SUCCESS")
+
+
+def test_shuffle_files_of_one_batch_go_while_the_next_is_written(spark):
+    """The rows an export deals are not all on disk a second time: of many batches the last one or two are left."""
+    df, out, seen = _wide_sheets(spark), scratch_path(spark, "sheets"), []
+    before, done = _shuffle_files(spark), threading.Event()
+    dealt = lambda: {f.split("_")[1] for f in _shuffle_files(spark) - before}
+
+    def watch():
+        while not done.wait(0.02):
+            seen.append(dealt())
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        export_split(df, out, ["m", "g"], [F.col("v")], batch_rows=1500)
+    finally:
+        done.set()
+        watcher.join()
+    for _ in range(200):                         # files go soon after their plans
+        if len(dealt()) <= 2:
+            break
+        time.sleep(0.1)
+    assert len(set().union(*seen)) >= 8 and len(dealt()) <= 2
+
+
+def test_compressed_sheets_hold_the_same_text(spark):
+    df = _wide_sheets(spark)
+    plain, packed = scratch_path(spark, "plain"), scratch_path(spark, "packed")
+    export_split(df, plain, ["m", "g"], [F.col("v")])
+    export_split(df, packed, ["m", "g"], [F.col("v")], compression="gzip")
+    texts = [{d[len(top):]: [opened(f"{d}/{f}", "rt").read() for f in names if f.endswith(end)] for d, _, names in os.walk(top) if "/g=" in d}
+             for top, opened, end in ((plain, open, ".csv"), (packed, gzip.open, ".csv.gz"))]
+    assert texts[0] == texts[1] and all(len(t) == 1 for t in texts[0].values())
+    schema = StructType.fromDDL("v bigint, t string, m string, g string")
+    assert sorted(read_sheets(spark, plain, schema).collect()) == sorted(read_sheets(spark, packed, schema).collect())
+
+
+def test_a_batch_reads_only_its_own_folders(spark):
+    """Where the first split column is the mart's folder column, the batches prune its folders."""
+    from vitrina.operators.sinks import read_slices, replace_slices
+    path = scratch_path(spark, "mart")
+    replace_slices(spark, {path: _wide_sheets(spark).where("m IS NOT NULL")}, "m")
+    mart = read_slices(spark, path, "m")
+    parts = [mart.where(F.pmod(F.xxhash64(F.col("m")), F.lit(4)) == k) for k in range(4)]
+    read = [p._jdf.queryExecution().executedPlan().collectLeaves().head().selectedPartitions().totalNumberOfFiles() for p in parts]
+    assert sum(read) == len(mart.inputFiles()) and max(read) < sum(read)
+
+
 def test_checkpoint_folder_without_the_setting(tmp_path):
     """A local session that names no checkpoint folder gets one; off local mode that is an error."""
     code = textwrap.dedent("""

@@ -18,7 +18,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from vitrina.operators.versions import (Files, add_rows, create_table, current, read_table, read_version,
                                         replace_parts, replace_table)
-from vitrina.session import materialize
+from vitrina.session import materialize, release_shuffles
 
 # CSV text for NULL ('' stays an empty string), as in PostgreSQL's COPY.
 NULL_MARK = "\\N"
@@ -158,29 +158,51 @@ def replace_slices(spark: SparkSession, marts: Mapping[str, DataFrame], part_col
 
 
 SHEET_ROWS = 1_000_000  # a sheet with more rows is written as several files
+BATCH_ROWS = 25_000_000  # rows dealt at a time, about: a few hundred MB to a GB of shuffle files
 
 
 def export_split(df: DataFrame, path: str, split: list[str], order: list[Column],
-                 n_partitions: int | None = None, sheet_rows: int = SHEET_ROWS) -> None:
+                 n_partitions: int | None = None, sheet_rows: int = SHEET_ROWS,
+                 batch_rows: int = BATCH_ROWS, compression: str | None = None) -> None:
     """One CSV folder per group (a 'sheet' per blogger), header row, rows in ``order``.
 
     Sheets are counted first.  Those of at most ``sheet_rows`` rows are dealt whole: many to a task, each in
     one file.  Larger ones (at most rows / ``sheet_rows`` of them) are range-partitioned on (split,
     order): several tasks and files, each sorted, their numbers in order.  So no task holds more than a
-    few sheets' worth of rows, and no small sheet is cut in two."""
+    few sheets' worth of rows, and no small sheet is cut in two.
+
+    More than ``batch_rows`` rows are dealt in batches of whole ``split[0]`` values, and the shuffle files of
+    one go while the next is written: the disk holds the sheets and one or two batches, not all rows a
+    second time.  Where ``split[0]`` is the table's folder column, a batch reads only its own folders.  The
+    folder has its ``_SUCCESS`` when the last batch is there.  ``compression`` (``gzip``) writes the same text
+    as ``.csv.gz``."""
+    spark = df.sparkSession
     keyed = df.where(reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in split]))
     keys = [F.col(f"`{c}`") for c in split]
-    large = materialize(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > sheet_rows), "large-sheets")
-    rows_of_large = large.agg(F.sum("n")).first()[0] or 0
-    some = rows_of_large > 0
-
-    def write(rows: DataFrame, mode: str) -> None:
-        (rows.sortWithinPartitions(*keys, *order).write.mode(mode).options(**CSV_WRITE)
+    sheets = materialize(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "sheet-rows")
+    batches = max(1, math.ceil((sheets.agg(F.sum("n")).first()[0] or 0) / batch_rows))
+    batch = F.pmod(F.xxhash64(keys[0]), F.lit(batches))
+    large = sheets.where(F.col("n") > sheet_rows)
+    rows_of_large = {r.batch: r.n for r in large.groupBy(batch.alias("batch")).agg(F.sum("n").alias("n")).collect()}
+    names = F.broadcast(large.select(*keys))
+    # an unfinished export has no mark of success, and what lay in the folder before goes whole
+    unfinished = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
+    first = {"partitionOverwriteMode": "static"} if batches > 1 else {}
+
+    def write(rows: DataFrame, mode: str, options: dict) -> None:
+        if compression is not None:
+            options = {**options, "compression": compression}
+        (rows.sortWithinPartitions(*keys, *order).write.mode(mode).options(**CSV_WRITE, **options)
              .partitionBy(*split).csv(path))
 
-    names = F.broadcast(large.select(*keys))
-    small = keyed.join(names, split, "left_anti") if some else keyed
-    write(small.repartition(n_partitions, *keys) if n_partitions else small.repartition(*keys), "overwrite")
-    if some:
-        parts = math.ceil(rows_of_large / sheet_rows)
-        write(keyed.join(names, split, "left_semi").repartitionByRange(parts, *keys, *order), "append")
+    for k in range(batches):
+        release_shuffles(spark)  # of the batches before, and of the jobs that made the table
+        some = rows_of_large.get(k, 0)
+        part = keyed.where(batch == k) if batches > 1 else keyed
+        small = part.join(names, split, "left_anti") if some else part
+        last = {} if k == batches - 1 else unfinished
+        write(small.repartition(n_partitions, *keys) if n_partitions else small.repartition(*keys),
+              "append" if k else "overwrite", {**({} if k else first), **(unfinished if some else last)})
+        if some:
+            write(part.join(names, split, "left_semi").repartitionByRange(math.ceil(some / sheet_rows), *keys, *order), "append", last)
+    release_shuffles(spark)

@@ -21,12 +21,13 @@ def read_month(spark: SparkSession, path: str, month: str | None) -> DataFrame:
 
 
 def export_month(spark: SparkSession, short_path: str, full_path: str, out: str,
-                 month: str | None) -> dict[str, str]:
+                 month: str | None, detail_compression: str | None = None) -> dict[str, str]:
     """Write the summary and the per-blogger detail of ``month`` (every month
     when None, one folder per month, for the summary too) as header CSV; return the folders.
 
     Detail rows are ordered by release date, NULL dates last; rows without a
-    blogger name are left out, as grouping by name drops them.
+    blogger name are left out, as grouping by name drops them.  ``detail_compression``
+    (``gzip``) writes the detail sheets, about ten times the mart's size as plain text, compressed.
     """
     short = read_month(spark, short_path, month)
     full = read_month(spark, full_path, month)
@@ -37,7 +38,7 @@ def export_month(spark: SparkSession, short_path: str, full_path: str, out: str,
         export_split(short, paths["summary"], [MONTH_COL], [F.col(f"`{c}`") for c in SUMMARY_ORDER])
     else:
         short.write.mode("overwrite").options(**CSV_WRITE).csv(paths["summary"])
-    export_split(full, paths["detail"], split, [F.col(f"`{RELEASE_COL}`").asc_nulls_last()])
+    export_split(full, paths["detail"], split, [F.col(f"`{RELEASE_COL}`").asc_nulls_last()], compression=detail_compression)
     widths = sheet_widths(full, split).unionByName(summary_widths(short, split))
     widths.write.mode("overwrite").options(**CSV_WRITE).csv(paths["widths"])
     return paths

@@ -382,7 +382,7 @@ def q_export_detail(spark, d):
     from vitrina.plans.load import BLOGGER_COL, MONTH_COL
     from vitrina.session import scratch_path
     short, full = _load_marts(spark, d)
-    paths = export_month(spark, short, full, scratch_path(spark, "export"), None)
+    paths = export_month(spark, short, full, scratch_path(spark, "export"), None, detail_compression="gzip")
     m = read_slices(spark, full, MONTH_COL).schema
     schema = StructType([f for f in m.fields if f.name not in (MONTH_COL, BLOGGER_COL)]
                         + [StructField(MONTH_COL, StringType()), StructField(BLOGGER_COL, StringType())])

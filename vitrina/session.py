@@ -6,6 +6,7 @@ settings.  ``build_session`` is for tests, tools and the bench.
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 
@@ -77,6 +78,16 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     drop_folder(spark, path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files of ended jobs deleted.
+
+    Spark's cleaner deletes them once the driver has collected the plans that refer to them.  A driver with
+    memory to spare puts that off (for up to half an hour), so a run of several large jobs holds the
+    shuffle files of all of them on disk."""
+    gc.collect()  # plans are also held by Python's proxies
+    spark._jvm.System.gc()
+
+
 def materialize(df, name: str = "stage"):
     """Write ``df`` once as a parquet table in the shared checkpoint folder and
     read it back: lineage cut, computed once, survives lost executors.
