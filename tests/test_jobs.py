@@ -242,3 +242,11 @@ def test_export_detail_keeps_its_sheets_compressed(spark, monkeypatch, tmp_path)
     assert back.count() > 60
     assert back.inputFiles() and all(f.endswith(".csv.gz") for f in back.inputFiles())
     assert len(_files(paths["detail"])) == len(back.inputFiles()) and _files(paths["summary"]) and _files(paths["widths"])
+
+
+def test_export_summary_writes_every_sheet(spark, monkeypatch, tmp_path):
+    """The summary comes back from plain sheets; the detail's sheets are all written, compressed."""
+    back, paths = _exported(spark, monkeypatch, tmp_path, "export_summary")
+    assert back.count() > 0 and all(f.endswith(".csv") for f in back.inputFiles())
+    assert len(back.inputFiles()) == len(_files(paths["summary"])) and _files(paths["widths"])
+    assert len(_files(paths["detail"])) == 3 and all(f.endswith(".csv.gz") for f in _files(paths["detail"]))
